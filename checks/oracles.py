@@ -394,6 +394,11 @@ SELECT x.*, x.region_id_old FROM o_active x
 WHERE x.region_id_old IS NOT NULL AND {_ON_PHONE}""",
     "o_rules": _ACTIVE_RULES.format(pairs="p", source="o_active"),
     "o_report_rules": _ACTIVE_RULES.format(pairs="p", source="callout_detail"),
+    "o_rule_names": "SELECT main_campaign_id, sub_campaign_id, "
+                    "count(DISTINCT suc_rule_id) AS valid_col_num, "
+                    + ", ".join(f"min(CASE WHEN report_column = '{c}' THEN rule_name END) "
+                                f"AS {c}_name" for c in FLAGS)
+                    + " FROM o_report_rules GROUP BY ALL",
     "o_grid": """
 SELECT code, fir_grid_id, sec_grid_id, thi_grid_id, org_id FROM (
   SELECT *, row_number() OVER (PARTITION BY code ORDER BY thi_grid_id DESC NULLS FIRST,
@@ -473,10 +478,9 @@ def _flag_sum(column: str, given: tuple[str, ...]) -> str:
             else "CAST(0 AS BIGINT)")
 
 
-def _valid(table: str) -> str:
-    return (f"(SELECT count(DISTINCT suc_rule_id) FROM o_report_rules v WHERE "
-            f"v.main_campaign_id = {table}.main_campaign_id AND "
-            f"v.sub_campaign_id = {table}.sub_campaign_id)")
+_VALID = "coalesce(v.valid_col_num, 0) AS valid_col_num"
+_RULE_NAMES = ("LEFT JOIN o_rule_names v ON v.main_campaign_id = t.main_campaign_id "
+               "AND v.sub_campaign_id = t.sub_campaign_id")
 
 
 def _callout_report(level: str) -> str:
@@ -492,16 +496,13 @@ def _callout_report(level: str) -> str:
             f"(SELECT min(bss_org_name) FROM sys_bss_org n WHERE n.bss_org_id = t.{key}) "
             f"AS {key.replace('_id', '_name')}")
     flags = ", ".join(f"{_flag_sum(c, ('col_1', 'col_2'))} AS {c}_num" for c in FLAGS)
-    flag_names = ", ".join(
-        f"(SELECT min(rule_name) FROM o_report_rules n WHERE n.main_campaign_id = "
-        f"t.main_campaign_id AND n.sub_campaign_id = t.sub_campaign_id AND "
-        f"n.report_column = '{c}') AS {c}_name" for c in FLAGS)
-    order = ", ".join(f"{k} NULLS FIRST" for k in keys[1:])
+    flag_names = ", ".join(f"v.{c}_name" for c in FLAGS)
+    order = ", ".join(f"t.{k} NULLS FIRST" for k in keys[1:])
     return f"""
-SELECT t.*, {', '.join(names)}, {_valid('t')} AS valid_col_num, {flag_names},
-       row_number() OVER (PARTITION BY main_campaign_id ORDER BY {order}) AS or_seq
+SELECT t.*, {', '.join(names)}, {_VALID}, {flag_names},
+       row_number() OVER (PARTITION BY t.main_campaign_id ORDER BY {order}) AS or_seq
 FROM (SELECT {', '.join(keys)}, {_MEASURES}, {flags} FROM callout_detail
-      GROUP BY {', '.join(keys)}) t"""
+      GROUP BY {', '.join(keys)}) t {_RULE_NAMES}"""
 
 
 def _all_levels() -> str:
@@ -513,7 +514,7 @@ def _all_levels() -> str:
         parts.append(f"SELECT '{level}' AS level, {columns}, {_MEASURES}, {flags} "
                      f"FROM callout_detail GROUP BY {', '.join(keys)}")
     union = "\nUNION ALL ".join(parts)
-    return f"SELECT t.*, {_valid('t')} AS valid_col_num FROM ({union}) t"
+    return f"SELECT t.*, {_VALID} FROM ({union}) t {_RULE_NAMES}"
 
 
 def _receive_report(level: str) -> str:

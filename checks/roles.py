@@ -267,13 +267,17 @@ def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
 class Roles:
     """The role views of one data folder as DataFrames."""
 
+    _registered: Roles | None = None
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.base = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in BASE_TABLES}
 
     def sql(self, text: str) -> DataFrame:
-        for name, table in self.base.items():
-            table.createOrReplaceTempView(name)
+        if Roles._registered is not self:
+            for name, table in self.base.items():
+                table.createOrReplaceTempView(name)
+            Roles._registered = self
         # the driver's timestamps carry no time zone
         return self.spark.sql(with_views(text).replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
 

@@ -50,24 +50,27 @@ def _count(condition: Column) -> Column:
     return F.sum(F.when(condition, F.lit(1)).otherwise(F.lit(0)))
 
 
-def _measures(codes: ResultCodes) -> dict[str, Column]:
+def _flag_sums(detail: DataFrame, suffix: str = "") -> dict[str, Column]:
+    """Sums of the rule columns the detail has; absent ones need no aggregation."""
+    return {f"{c}{suffix}": F.sum(F.coalesce(F.col(c), F.lit(0)))
+            for c in FLAG_COLUMNS if c in detail.columns}
+
+
+def _with_absent_flags(df: DataFrame, suffix: str = "") -> DataFrame:
+    absent = [f"{c}{suffix}" for c in FLAG_COLUMNS if f"{c}{suffix}" not in df.columns]
+    return df.withColumns({c: F.lit(0).cast("bigint") for c in absent}) if absent else df
+
+
+def _measures(detail: DataFrame, codes: ResultCodes) -> dict[str, Column]:
     return {
         "assign_num": _count(F.col("status_cd") != UNASSIGNED),
         "exe_num": _count(F.col("status_cd") >= EXECUTED_FROM),
         "mktsucc_num": _count(F.col("is_success") == 1),
         **{m: _count(F.col("order_result").isin(*getattr(codes, m))) for m in RESULT_MEASURES},
-        **{f"{c}_num": F.sum(F.coalesce(F.col(c), F.lit(0))) for c in FLAG_COLUMNS},
+        **_flag_sums(detail, "_num"),
     }
 
 
-def with_flags(detail: DataFrame) -> DataFrame:
-    """Detail with all rule columns; absent ones are NULL."""
-    for c in FLAG_COLUMNS:
-        if c not in detail.columns:
-            detail = detail.withColumn(c, F.lit(None).cast("int"))
-    return detail
-
-
 def order_cube(detail: DataFrame, levels: Sequence[str],
                codes: ResultCodes = ResultCodes()) -> DataFrame:
     """Measures at the finest of ``levels``, with the order count of each level (``n_<level>``).
@@ -78,8 +81,8 @@ def order_cube(detail: DataFrame, levels: Sequence[str],
     expanded once per level. The windows share one exchange and one sort.
     """
     finest = LEVELS[levels[-1]]
-    measures = _measures(codes)
-    per_order = with_flags(detail).groupBy("list_id", *finest).agg(
+    measures = _measures(detail, codes)
+    per_order = detail.groupBy("list_id", *finest).agg(
         *[m.alias(name) for name, m in measures.items()])
     for level in levels:
         keys = LEVELS[level]
@@ -92,10 +95,10 @@ def order_cube(detail: DataFrame, levels: Sequence[str],
         *[F.sum(name).alias(name) for name in measures])
 
 
-def _totals(order_count: str) -> list[Column]:
-    names = ["assign_num", "exe_num", "callsucc_num", "next_num", "mktsucc_num", "mktfail_num",
-             "callfail_num", *[f"{c}_num" for c in FLAG_COLUMNS]]
-    return [F.sum(order_count).alias("all_num"), *[F.sum(n).alias(n) for n in names]]
+def _totals(cube: DataFrame, order_counts: Sequence[str]) -> list[Column]:
+    """Sums of every measure of the cube except the order counts of other levels."""
+    return [F.sum(n).alias(n) for n in cube.columns
+            if n.endswith("_num") or n in order_counts]
 
 
 def with_ordinal(df: DataFrame, keys: Sequence[str], group: str, out: str) -> DataFrame:
@@ -129,13 +132,22 @@ def _with_name(df: DataFrame, dim: DataFrame, key: str, out: str) -> DataFrame:
 
 
 def _with_rules(cube: DataFrame, rules: DataFrame) -> DataFrame:
-    """Number of configured rules and the rule name behind every rule column."""
-    per_pair = rules.groupBy("main_campaign_id", "sub_campaign_id").agg(
-        F.count_distinct("suc_rule_id").alias("valid_col_num"),
-        *[F.min(F.when(F.lower("report_column") == c, F.col("rule_name"))).alias(f"{c}_name")
-          for c in FLAG_COLUMNS])
-    joined = cube.join(per_pair, ["main_campaign_id", "sub_campaign_id"], "left")
-    return joined.withColumn("valid_col_num", F.coalesce("valid_col_num", F.lit(0)))
+    """Number of configured rules and the rule name behind every rule column.
+
+    A pair has at most as many rules as there are rule columns, so they fit one small map.
+    """
+    pair = ["main_campaign_id", "sub_campaign_id"]
+    per_column = rules.groupBy(*pair, F.coalesce(F.lower("report_column"), F.lit("")).alias("c")
+                               ).agg(F.min("rule_name").alias("rule_name"),
+                                     F.collect_set("suc_rule_id").alias("ids"))
+    per_pair = per_column.groupBy(*pair).agg(
+        F.map_from_entries(F.collect_list(F.struct("c", "rule_name"))).alias("_rules"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("ids")))).cast("bigint").alias("_n"))
+    joined = cube.join(per_pair, pair, "left")
+    return joined.withColumns({
+        "valid_col_num": F.coalesce("_n", F.lit(0).cast("bigint")),
+        **{f"{c}_name": F.try_element_at("_rules", F.lit(c)) for c in FLAG_COLUMNS},
+    }).drop("_rules", "_n")
 
 
 def _callout_columns(level: str) -> list[str]:
@@ -165,9 +177,11 @@ def callout_report(detail: DataFrame, rules: DataFrame, names: Names, *, level:
     """One level of the telephone report: keys with names, measures, rule columns, position."""
     keys = LEVELS[level]
     cube = order_cube(detail, [level], codes)
-    totals = cube.groupBy(*keys).agg(*_totals(f"n_{level}"))
-    wide = _named(_with_rules(totals, rules), names, keys)
-    return with_ordinal(wide, keys, keys[0], "or_seq").select(*_callout_columns(level), "or_seq")
+    # one level asked for: the cube is that level already
+    totals = _with_absent_flags(cube.withColumnRenamed(f"n_{level}", "all_num"), "_num")
+    placed = with_ordinal(totals, keys, keys[0], "or_seq")
+    return _named(_with_rules(placed, rules), names, keys).select(*_callout_columns(level),
+                                                                  "or_seq")
 
 
 def callout_report_all(detail: DataFrame, rules: DataFrame, *,
@@ -183,7 +197,7 @@ def callout_report_all(detail: DataFrame, rules: DataFrame, *,
     totals = cube.groupingSets([[F.col(k) for k in s] for s in sets],
                                *[F.col(k) for k in finest]).agg(
         F.grouping_id().alias("_gid"),
-        *[F.sum(f"n_{level}").alias(f"n_{level}") for level in levels], *_totals("n_class")[1:])
+        *_totals(cube, [f"n_{level}" for level in levels]))
     # grouping_id sets the low bit for each finest key that is rolled up
     level_of = {(1 << (len(finest) - len(LEVELS[level]))) - 1: level for level in levels}
     name = F.coalesce(*[F.when(F.col("_gid") == g, F.lit(lv)) for g, lv in level_of.items()])
@@ -191,7 +205,7 @@ def callout_report_all(detail: DataFrame, rules: DataFrame, *,
                          for g, lv in level_of.items()])
     out = (totals.withColumn("level", name).withColumn("all_num", count)
            .drop("_gid", *[f"n_{level}" for level in levels]))
-    out = _with_rules(out, rules)
+    out = _with_rules(_with_absent_flags(out, "_num"), rules)
     return out.select("level", *finest, "all_num", "assign_num", "exe_num", "callsucc_num",
                       "next_num", "mktsucc_num", "mktfail_num", "callfail_num",
                       "valid_col_num", *[f"{c}_num" for c in FLAG_COLUMNS])
@@ -209,7 +223,7 @@ def receive_report(detail: DataFrame, *, level: str,
     Orders and offices are counted distinct. A quotient is NULL when its divisor is 0.
     """
     day = F.col("report_date").try_cast("timestamp_ntz").cast("date")
-    rows = with_flags(detail).withColumn("report_day", F.date_format(day, "yyyy-MM-dd"))
+    rows = detail.withColumn("report_day", F.date_format(day, "yyyy-MM-dd"))
     claimed, executed = F.col("user_id").isNotNull(), F.col("status_cd") >= EXECUTED_FROM
     won = F.col("is_success") == 1
     keys = {"sec": ["z_mkt_campaign_id", "fir_grid_id", "sec_grid_id"],
@@ -223,8 +237,8 @@ def receive_report(detail: DataFrame, *, level: str,
         *([F.count_distinct("org_id").alias("receive_org_count"),
            F.count_distinct(F.when(claimed, F.col("org_id"))).alias("claimed_org_count")]
           if level == "sec" else []),
-        *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in FLAG_COLUMNS])
-    counts = (counts.withColumn("order_claimed_per", _ratio("claimed_count", "receive_num"))
+        *[total.alias(c) for c, total in _flag_sums(rows).items()])
+    counts = (_with_absent_flags(counts).withColumn("order_claimed_per", _ratio("claimed_count", "receive_num"))
               .withColumn("report_date", F.to_timestamp_ntz("report_day", F.lit("yyyy-MM-dd"))))
     grid = names["grid"]
 

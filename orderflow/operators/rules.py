@@ -12,7 +12,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import (AnalysisException, ArithmeticException,
+                            ArrayIndexOutOfBoundsException, DateTimeException,
+                            IllegalArgumentException, NumberFormatException, ParseException,
+                            PySparkException, SparkRuntimeException)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +46,7 @@ class Evaluation:
     """``answers``: every pair with hit, value and success; ``errors``: error-log rows."""
 
     answers: DataFrame
-    errors: DataFrame | None
+    errors: DataFrame
     failed_rules: dict[int, str] = field(default_factory=dict)
 
     def successes(self) -> DataFrame:
@@ -155,6 +158,23 @@ def with_success(answers: DataFrame, null_is_success: bool = True) -> DataFrame:
             .drop("nulls", "bad"))
 
 
+def _broken(pairs: DataFrame) -> DataFrame:
+    """Answers of a rule that cannot run: failed for every order."""
+    return (pairs.withColumn("nulls", F.lit(0).cast("bigint"))
+            .withColumn("bad", F.lit(0).cast("bigint"))
+            .withColumn("value", F.lit(FAILED).cast("bigint")))
+
+
+def _first_line(error: PySparkException) -> str:
+    return (str(error).strip() or type(error).__name__).splitlines()[0]
+
+
+# What a rule text can get wrong; anything else is the cluster's failure and is not swallowed.
+_RULE_ERRORS = (AnalysisException, ParseException, ArithmeticException, NumberFormatException,
+                DateTimeException, ArrayIndexOutOfBoundsException, IllegalArgumentException,
+                SparkRuntimeException)
+
+
 def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
                    tables: Mapping[str, DataFrame], *, null_is_success: bool = True,
                    isolate: bool = False) -> Evaluation:
@@ -162,31 +182,37 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
 
     ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; it is read once per
     rule, so pass a staged table. ``tables`` become temporary views for the rule texts. A rule
-    Spark cannot compile fails for all its orders and is named in ``failed_rules``; with
-    ``isolate`` the same goes for a rule that fails while running, at the price of one job per
-    rule. A result that is not a number is logged and does not count.
+    Spark cannot compile fails for all its orders and is named in ``failed_rules``. With
+    ``isolate`` the answers are staged, and the same goes for a rule that fails while running:
+    only then are the rules run one by one to find it. A result that is not a number is logged
+    and does not count.
     """
     spark = pairs.sparkSession
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    parts, failed = [], {}
+    parts: dict[int, DataFrame] = {}
+    failed: dict[int, str] = {}
     for rule_id, text in texts:
         mine = pairs.where(F.col("suc_rule_id") == rule_id)
         try:
-            part = _answer(spark, mine, text)
-            if isolate:
-                part = stage(part, f"rule_{rule_id}")
-        except PySparkException as error:
-            failed[rule_id] = str(error).splitlines()[0]
-            part = (mine.withColumn("nulls", F.lit(0).cast("bigint"))
-                    .withColumn("bad", F.lit(0).cast("bigint"))
-                    .withColumn("value", F.lit(FAILED).cast("bigint")))
-        parts.append(part)
+            parts[rule_id] = _answer(spark, mine, text)
+        except _RULE_ERRORS as error:
+            failed[rule_id] = _first_line(error)
+            parts[rule_id] = _broken(mine)
     if not parts:
-        empty = (pairs.withColumn("nulls", F.lit(0)).withColumn("bad", F.lit(0))
-                 .withColumn("value", F.lit(None).cast("bigint")).where(F.lit(False)))
-        return Evaluation(with_success(empty), None, failed)
-    raw = reduce(DataFrame.unionByName, parts)
+        parts[0] = _broken(pairs.where(F.lit(False)))
+    raw = reduce(DataFrame.unionByName, parts.values())
+    if isolate:
+        try:
+            raw = stage(raw, "answers")
+        except _RULE_ERRORS:
+            for rule_id, part in parts.items():
+                try:
+                    parts[rule_id] = stage(part, f"rule_{rule_id}")
+                except _RULE_ERRORS as error:
+                    failed[rule_id] = _first_line(error)
+                    parts[rule_id] = _broken(pairs.where(F.col("suc_rule_id") == rule_id))
+            raw = reduce(DataFrame.unionByName, parts.values())
     errors = error_log(
         raw.where(F.col("bad") > 0), "evaluate_rules", "list_id",
         F.concat(F.lit("rule "), F.col("suc_rule_id").cast("string"), F.lit(": "),

@@ -77,18 +77,17 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                   "rule_pairs")
     evaluation = evaluate_rules(asked, rule_texts(rules), t, isolate=True,
                                 null_is_success=options.null_is_success)
-    hits = stage(evaluation.successes(), "hits")
-    ends = stage(outcall_success(hits), "ends")
+    hits = evaluation.successes()
+    ends = outcall_success(hits)
 
-    errors = outcall_errors(resolved)
-    rule_errors = rule_failures(evaluation, asked, OUTCALL_JOB)
     return {
         "detail": apply_flags(outcall_success_detail(detail, ends, as_of), hits),
         "executor": outcall_success_executor(
             with_success_columns(t["initiative_order_executor"]), ends, as_of),
         "new_orders": new,
         "success_log": success_log(hits, as_of, -1),
-        "errors": errors if rule_errors is None else errors.unionByName(rule_errors),
+        "errors": outcall_errors(resolved).unionByName(
+            rule_failures(evaluation, asked, OUTCALL_JOB)),
     }
 
 

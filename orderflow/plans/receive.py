@@ -45,7 +45,7 @@ def with_success_columns(executors: DataFrame) -> DataFrame:
         {c: F.lit(None).cast(t) for c, t in missing.items()}) if missing else executors
 
 
-def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFrame | None:
+def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFrame:
     """Error-log rows of the evaluation: unusable results, and one row per failing rule."""
     if not evaluation.failed_rules:
         return evaluation.errors
@@ -54,7 +54,7 @@ def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFra
             for rule, text in evaluation.failed_rules.items()]
     broken = spark.createDataFrame(
         rows, "order_id bigint, errormsg string, pro_name string, errorcode string")
-    return broken if evaluation.errors is None else evaluation.errors.unionByName(broken)
+    return evaluation.errors.unionByName(broken)
 
 
 def numeric_departments(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,9 +113,8 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     asked = stage(rule_pairs(in_scope, rules), "rule_pairs")
     evaluation = evaluate_rules(asked, rule_texts(rules), t, isolate=True,
                                 null_is_success=options.null_is_success)
-    winners = stage(first_success(evaluation.successes()), "winners")
+    winners = first_success(evaluation.successes())
 
-    rule_errors = rule_failures(evaluation, asked, RECEIVE_JOB)
     return {
         "detail": apply_flags(receive_success_detail(detail, winners, as_of), winners),
         "executor": receive_success_executor(
@@ -123,5 +122,5 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "new_orders": new,
         "success_log": success_log(winners, as_of),
         "run_log": run_log(pairs, as_of, as_of),
-        "errors": dept_errors if rule_errors is None else dept_errors.unionByName(rule_errors),
+        "errors": dept_errors.unionByName(rule_failures(evaluation, asked, RECEIVE_JOB)),
     }
