@@ -184,13 +184,13 @@ SELECT r_regionkey + 1 AS suc_rule_id, concat('rule_', r_name) AS rule_name,
        CASE r_regionkey WHEN 0 THEN '{RULE_1}' WHEN 1 THEN '{RULE_2}' WHEN 2 THEN '{RULE_3}'
             WHEN 3 THEN '{RULE_4}' ELSE 'select 1' END AS sql_text_order
 FROM region""",
-    "mkt_campaign_suc_rule_rel": """
-SELECT r_regionkey + 1 AS suc_rule_id, m.attr_value_id AS campaign_id, 1 AS rel_type,
-       r_regionkey * 10 + m.attr_value_id AS rel_id, 5 - r_regionkey AS seq
-FROM region CROSS JOIN (SELECT DISTINCT p_partkey % 4 AS attr_value_id FROM part) m
-UNION ALL
-SELECT r_regionkey + 1, p_partkey, 2, 1000 + p_partkey * 10 + r_regionkey, 0
-FROM region CROSS JOIN part WHERE (p_partkey + r_regionkey) % 3 <> 0""",
+    # rule i: attached to every catalogue, evaluated in descending rule order, and to two thirds
+    # of the campaigns
+    "mkt_campaign_suc_rule_rel": "\nUNION ALL ".join(
+        f"SELECT {i + 1} AS suc_rule_id, p_partkey % 4 AS campaign_id, 1 AS rel_type, "
+        f"{i * 10} + p_partkey % 4 AS rel_id, {5 - i} AS seq FROM part GROUP BY p_partkey % 4 "
+        f"UNION ALL SELECT {i + 1}, p_partkey, 2, 1000 + p_partkey * 10 + {i}, 0 FROM part "
+        f"WHERE (p_partkey + {i}) % 3 <> 0" for i in range(5)),
     "success_log": """
 SELECT o_orderkey AS list_id, 1 AS suc_rule_id FROM orders WHERE o_orderkey % 22 = 0""",
     "organization": """

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.clock import AsOf
+from orderflow.functions.clock import AsOf, day_window
 from orderflow.operators.apply import (EXECUTOR_SUCCESS, RECEIVE_DETAIL, apply_flags,
                                        apply_receive_changes, run_log, success_log)
 from orderflow.operators.campaigns import (APPLICATION, AREAS, CATALOG_ATTRIBUTE,
@@ -17,7 +17,7 @@ from orderflow.operators.campaigns import (APPLICATION, AREAS, CATALOG_ATTRIBUTE
 from orderflow.operators.lookups import with_user_name
 from orderflow.operators.orders import changed_receive, new_receive_orders
 from orderflow.operators.orgs import grid_lookup
-from orderflow.operators.quality import RECEIVE_JOB, error_log
+from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log, split_valid
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
                                        success_candidates)
 from orderflow.operators.success import (first_success, receive_success_detail,
@@ -57,18 +57,12 @@ def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFra
     return evaluation.errors.unionByName(broken)
 
 
-def numeric_departments(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Changes with a usable department, and error rows for those with a non-numeric one."""
-    if dict(changes.dtypes)["dept_id"] != "string":
-        empty = error_log(changes.where(F.lit(False)), RECEIVE_JOB, "list_id", F.lit(""),
-                          F.lit(""))
-        return changes, empty
-    number = F.col("dept_id").try_cast("bigint")
-    bad = changes.where(F.col("dept_id").isNotNull() & number.isNull())
-    good = changes.where(F.col("dept_id").isNull() | number.isNotNull()).withColumn(
-        "dept_id", number)
-    return good, error_log(bad, RECEIVE_JOB, "list_id",
-                           F.concat(F.lit("not a number: "), F.col("dept_id")), F.lit("-6502"))
+def numeric_departments(executors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Executor rows with a usable department, and those whose department is not a number."""
+    if dict(executors.dtypes)["dept_id"] != "string":
+        return executors, executors.where(F.lit(False))
+    good, bad = split_valid(executors, {"department is not a number": cast_check("dept_id")})
+    return good.withColumn("dept_id", F.col("dept_id").cast("bigint")), bad
 
 
 def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsOf,
@@ -89,23 +83,29 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"], pairs),
                   "rules")
 
+    # rows with an unusable department take no part; those touched in the window are logged
+    executors, unusable = numeric_departments(t["initiative_order_executor"])
+    dept_errors = error_log(
+        day_window(unusable, "last_opt_date", as_of, options.change_days, closed_start=False),
+        RECEIVE_JOB, "initiative_order_id",
+        F.concat(F.lit("department is not a number: "), F.col("dept_id").cast("string")),
+        F.lit("-6502"))
     before = conform(t["detail"], RECEIVE_DETAIL)
     new = stage(new_receive_orders(
-        t["initiative_order"], t["initiative_order_executor"], t["grid_org_code_rel"], before,
+        t["initiative_order"], executors, t["grid_org_code_rel"], before,
         t["organization"], t["common_region"], t["system_user"], t["staff"], pairs, as_of),
         "new_orders")
     detail = before.unionByName(conform(new, RECEIVE_DETAIL))
 
-    changed = changed_receive(t["initiative_order"], t["initiative_order_executor"], detail,
-                              channels, as_of, days=options.change_days, pairs=pairs)
-    usable, dept_errors = numeric_departments(changed)
-    changes = stage(with_user_name(grid_lookup(usable, t["grid_org_code_rel"]), "curr_user_id",
+    changed = changed_receive(t["initiative_order"], executors, detail, channels, as_of,
+                              days=options.change_days, pairs=pairs)
+    changes = stage(with_user_name(grid_lookup(changed, t["grid_org_code_rel"]), "curr_user_id",
                                    t["system_user"], t["staff"]), "changes")
     detail = apply_receive_changes(detail, changes, as_of)
 
     candidates = success_candidates(
-        t["initiative_order"], t["initiative_order_executor"], t["customer_order_syn"], as_of,
-        mode="receive", days=options.purchase_days)
+        t["initiative_order"], executors, t["customer_order_syn"], as_of, mode="receive",
+        days=options.purchase_days)
     in_scope = candidates.join(
         pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
                      F.col("latn_id").alias("area")).distinct(),
