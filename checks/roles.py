@@ -12,7 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.session import configure
 
-BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+# Driver tables; naming the schema spares a job per table to read it from the files.
+BASE_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 AS_OF = "1998-07-01 08:30:00"
 AREAS = "0,1,2,3,4,5,6,7,8,9"
@@ -267,22 +281,30 @@ def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
 class Roles:
     """The role views of one data folder as DataFrames."""
 
-    _registered: Roles | None = None
+    _registered: tuple[Roles, set[str]] | None = None
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
-        self.base = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in BASE_TABLES}
+        self.folder = folder
+
+    def base(self, table: str) -> DataFrame:
+        return self.spark.read.schema(BASE_TABLES[table]).parquet(
+            f"{self.folder}/{table}.parquet")
 
     def sql(self, text: str) -> DataFrame:
-        if Roles._registered is not self:
-            for name, table in self.base.items():
-                table.createOrReplaceTempView(name)
-            Roles._registered = self
+        statement = with_views(text)
+        if Roles._registered is None or Roles._registered[0] is not self:
+            Roles._registered = (self, set())
+        present = Roles._registered[1]
+        for table in BASE_TABLES:
+            if table not in present and re.search(rf"\b{table}\b", statement):
+                self.base(table).createOrReplaceTempView(table)
+                present.add(table)
         # the driver's timestamps carry no time zone
-        return self.spark.sql(with_views(text).replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
+        return self.spark.sql(statement.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.base[name] if name in self.base else self.sql(f"SELECT * FROM {name}")
+        return self.base(name) if name in BASE_TABLES else self.sql(f"SELECT * FROM {name}")
 
     @cached_property
     def receive_tables(self) -> dict[str, DataFrame]:

@@ -15,16 +15,16 @@ from orderflow.operators.campaigns import (PROVINCE_AREA, active_campaigns, camp
 from orderflow.operators.orders import changed_outcall, new_outcall_orders
 from orderflow.operators.orgs import city_with_province, resolve_outcall_org
 from orderflow.operators.quality import OUTCALL_JOB, outcall_errors
-from orderflow.operators.rules import (evaluate_rules, rule_pairs, rule_texts, skip_logged,
+from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts, skip_logged,
                                        success_candidates)
 from orderflow.operators.success import (outcall_success, outcall_success_detail,
                                          outcall_success_executor)
 from orderflow.plans.receive import RunOptions, rule_failures, with_success_columns
-from orderflow.session import stage
+from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
 
-def outcall_candidates(tables: Mapping[str, DataFrame], pairs: DataFrame, areas: DataFrame,
+def outcall_candidates(tables: Mapping[str, DataFrame], pairs: DataFrame, areas: list[int],
                        as_of: AsOf, days: int) -> DataFrame:
     """Success candidates of the pairs: ordinary areas, and area 999 for province campaigns.
 
@@ -36,7 +36,7 @@ def outcall_candidates(tables: Mapping[str, DataFrame], pairs: DataFrame, areas:
                          F.col("latn_id").alias("shard_id")).distinct()
     kinds = [success_candidates(orders, executors, purchases, as_of, mode=mode, days=days)
              for mode in ("area", "province")]
-    wide = kinds[1].join(areas, "area", "left_semi").select(kinds[0].columns)
+    wide = kinds[1].where(F.col("area").isin(areas))
     return kinds[0].unionByName(wide).join(scope, ["campaign_id", "shard_id"], "left_semi")
 
 
@@ -52,32 +52,34 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                               catalog, as_of, attr_name=options.attr_name)
     pairs = stage(campaigns_by_area(active, t["pms_campaign_chl_rel"], mode="outcall",
                                     areas=options.areas), "pairs")
-    rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"], pairs),
-                  "rules")
-    cities = stage(city_with_province(t["sys_bss_org"]), "cities")
-
     before = conform(t["callout_detail"], OUTCALL_DETAIL)
-    new = stage(conform(_registered(t, cities, before, pairs, as_of), OUTCALL_DETAIL),
-                "new_orders")
-    detail = before.unionByName(new)
-
-    changed = changed_outcall(t["initiative_order"], t["initiative_order_executor"], detail,
-                              t["exe_order_result"], t["sys_bss_org"], as_of,
-                              days=options.change_days, pairs=pairs)
-    resolved = stage(resolve_outcall_org(changed, t["sys_bss_org"], t["sys_user"]), "changes")
-    detail = apply_outcall_changes(detail, resolved, as_of, legacy=options.legacy_old_class)
-
-    spark = pairs.sparkSession
-    numbers = options.areas if not isinstance(options.areas, str) else [
-        int(a) for a in options.areas.split(",") if a.strip()]
-    areas = spark.createDataFrame([(int(a),) for a in numbers], "area int")
-    candidates = outcall_candidates(t, pairs, areas, as_of, options.purchase_days)
-    # new rows and status changes carry no success, so the flags at the start suffice
-    asked = stage(skip_logged(rule_pairs(candidates, rules), before, t["success_log"]),
-                  "rule_pairs")
-    evaluation = evaluate_rules(asked, rule_texts(rules), t, isolate=True,
-                                null_is_success=options.null_is_success)
-    hits = evaluation.successes()
+
+    def registration() -> tuple[DataFrame, DataFrame]:
+        cities = stage(city_with_province(t["sys_bss_org"]), "cities")
+        new = stage(conform(_registered(t, cities, before, pairs, as_of), OUTCALL_DETAIL),
+                    "new_orders")
+        changed = changed_outcall(
+            t["initiative_order"], t["initiative_order_executor"], before.unionByName(new),
+            t["exe_order_result"], t["sys_bss_org"], as_of, days=options.change_days,
+            pairs=pairs)
+        return new, stage(resolve_outcall_org(changed, t["sys_bss_org"], t["sys_user"]),
+                          "changes")
+
+    def evaluation() -> tuple[DataFrame, Evaluation]:
+        rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"],
+                                    pairs), "rules")
+        candidates = outcall_candidates(t, pairs, options.area_numbers(), as_of,
+                                        options.purchase_days)
+        # new rows and status changes carry no success, so the flags at the start suffice
+        asked = stage(skip_logged(rule_pairs(candidates, rules), before, t["success_log"]),
+                      "rule_pairs")
+        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
+                                     null_is_success=options.null_is_success)
+
+    (new, resolved), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)
+    detail = apply_outcall_changes(before.unionByName(new), resolved, as_of,
+                                   legacy=options.legacy_old_class)
+    hits = evaluated.successes()
     ends = outcall_success(hits)
 
     return {
@@ -87,7 +89,7 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "new_orders": new,
         "success_log": success_log(hits, as_of, -1),
         "errors": outcall_errors(resolved).unionByName(
-            rule_failures(evaluation, asked, OUTCALL_JOB)),
+            rule_failures(evaluated, asked, OUTCALL_JOB)),
     }
 
 

@@ -22,7 +22,7 @@ from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, r
                                        success_candidates)
 from orderflow.operators.success import (first_success, receive_success_detail,
                                          receive_success_executor)
-from orderflow.session import stage
+from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
 
@@ -38,6 +38,10 @@ class RunOptions:
     null_is_success: bool = True
     legacy_old_class: bool = False
 
+    def area_numbers(self) -> list[int]:
+        given = self.areas.split(",") if isinstance(self.areas, str) else self.areas
+        return [int(a) for a in given if str(a).strip()]
+
 
 def with_success_columns(executors: DataFrame) -> DataFrame:
     missing = {c: t for c, t in EXECUTOR_SUCCESS.items() if c not in executors.columns}
@@ -80,9 +84,6 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     pairs = stage(campaigns_by_area(active, t["pms_campaign_chl_rel"], mode="receive",
                                     channels=channels, areas=options.areas)
                   .select("main_campaign_id", "sub_campaign_id", "latn_id"), "pairs")
-    rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"], pairs),
-                  "rules")
-
     # rows with an unusable department take no part; those touched in the window are logged
     executors, unusable = numeric_departments(t["initiative_order_executor"])
     dept_errors = error_log(
@@ -91,30 +92,39 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         F.concat(F.lit("department is not a number: "), F.col("dept_id").cast("string")),
         F.lit("-6502"))
     before = conform(t["detail"], RECEIVE_DETAIL)
-    new = stage(new_receive_orders(
-        t["initiative_order"], executors, t["grid_org_code_rel"], before,
-        t["organization"], t["common_region"], t["system_user"], t["staff"], pairs, as_of),
-        "new_orders")
-    detail = before.unionByName(conform(new, RECEIVE_DETAIL))
-
-    changed = changed_receive(t["initiative_order"], executors, detail, channels, as_of,
-                              days=options.change_days, pairs=pairs)
-    changes = stage(with_user_name(grid_lookup(changed, t["grid_org_code_rel"]), "curr_user_id",
-                                   t["system_user"], t["staff"]), "changes")
-    detail = apply_receive_changes(detail, changes, as_of)
-
-    candidates = success_candidates(
-        t["initiative_order"], executors, t["customer_order_syn"], as_of, mode="receive",
-        days=options.purchase_days)
-    in_scope = candidates.join(
-        pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
-                     F.col("latn_id").alias("area")).distinct(),
-        ["campaign_id", "area"], "left_semi")
-    asked = stage(rule_pairs(in_scope, rules), "rule_pairs")
-    evaluation = evaluate_rules(asked, rule_texts(rules), t, isolate=True,
-                                null_is_success=options.null_is_success)
-    winners = first_success(evaluation.successes())
 
+    def registration() -> tuple[DataFrame, DataFrame]:
+        new = stage(new_receive_orders(
+            t["initiative_order"], executors, t["grid_org_code_rel"], before,
+            t["organization"], t["common_region"], t["system_user"], t["staff"], pairs, as_of),
+            "new_orders")
+        changed = changed_receive(
+            t["initiative_order"], executors,
+            before.unionByName(conform(new, RECEIVE_DETAIL)), channels, as_of,
+            days=options.change_days, pairs=pairs)
+        return new, stage(
+            with_user_name(grid_lookup(changed, t["grid_org_code_rel"]), "curr_user_id",
+                           t["system_user"], t["staff"]), "changes")
+
+    def evaluation() -> tuple[DataFrame, Evaluation]:
+        rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"],
+                                    pairs), "rules")
+        candidates = success_candidates(
+            t["initiative_order"], executors, t["customer_order_syn"], as_of, mode="receive",
+            days=options.purchase_days)
+        in_scope = candidates.join(
+            pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
+                         F.col("latn_id").alias("area")).distinct(),
+            ["campaign_id", "area"], "left_semi")
+        asked = stage(rule_pairs(in_scope, rules), "rule_pairs")
+        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
+                                     null_is_success=options.null_is_success)
+
+    # neither needs the other: registration leaves the success flags alone
+    (new, changes), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)
+    winners = first_success(evaluated.successes())
+    detail = apply_receive_changes(before.unionByName(conform(new, RECEIVE_DETAIL)), changes,
+                                   as_of)
     return {
         "detail": apply_flags(receive_success_detail(detail, winners, as_of), winners),
         "executor": receive_success_executor(
@@ -122,5 +132,5 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "new_orders": new,
         "success_log": success_log(winners, as_of),
         "run_log": run_log(pairs, as_of, as_of),
-        "errors": dept_errors.unionByName(rule_failures(evaluation, asked, RECEIVE_JOB)),
+        "errors": dept_errors.unionByName(rule_failures(evaluated, asked, RECEIVE_JOB)),
     }
