@@ -59,9 +59,13 @@ def _rules(r: Roles) -> DataFrame:
     return ca.success_rules(r["mkt_success_rule"], r["mkt_campaign_suc_rule_rel"], _active(r))
 
 
+def _held(r: Roles) -> DataFrame:
+    return od.orders_with_state(r["initiative_order"], r["initiative_order_executor"])
+
+
 def _candidates(r: Roles, mode: str) -> DataFrame:
-    return ru.success_candidates(r["initiative_order"], r["initiative_order_executor"],
-                                 r["customer_order_syn"], AS_OF, mode=mode, days=PURCHASE_DAYS)
+    return ru.success_candidates(_held(r), r["customer_order_syn"], AS_OF, mode=mode,
+                                 days=PURCHASE_DAYS)
 
 
 def _rule_tables(r: Roles) -> dict[str, DataFrame]:
@@ -87,14 +91,13 @@ def _outcall_hits(r: Roles) -> DataFrame:
 
 
 def _receive_changes(r: Roles) -> DataFrame:
-    return od.changed_receive(r["initiative_order"], r["initiative_order_executor"],
-                              r["receive_target"], _channels(r), AS_OF, days=CHANGE_DAYS)
+    return od.changed_receive(_held(r), r["receive_target"], _channels(r), AS_OF,
+                              days=CHANGE_DAYS)
 
 
 def _outcall_changes(r: Roles) -> DataFrame:
-    return od.changed_outcall(r["initiative_order"], r["initiative_order_executor"],
-                              r["outcall_target"], r["exe_order_result"], r["sys_bss_org"],
-                              AS_OF, days=CHANGE_DAYS)
+    return od.changed_outcall(_held(r), r["outcall_target"], r["exe_order_result"],
+                              r["sys_bss_org"], AS_OF, days=CHANGE_DAYS)
 
 
 def _resolved(r: Roles) -> DataFrame:
@@ -231,16 +234,14 @@ def area_list(r):
 @query
 def receive_new_orders(r):
     return od.new_receive_orders(
-        r["initiative_order"], r["initiative_order_executor"], r["grid_org_code_rel"],
-        r["detail"], r["organization"], r["common_region"], r["system_user"], r["staff"],
-        stage(_pairs(r, "receive"), "pairs"), AS_OF)
+        _held(r), r["grid_org_code_rel"], r["detail"], r["organization"], r["common_region"],
+        r["system_user"], r["staff"], stage(_pairs(r, "receive"), "pairs"), AS_OF)
 
 
 def _new_outcall(r, org: str, mode: str) -> DataFrame:
     return od.new_outcall_orders(
-        r["initiative_order"], r["initiative_order_executor"], r["exe_order_result"],
-        stage(og.city_with_province(r[org]), "cities"), r["detail"],
-        stage(_pairs(r, "outcall"), "pairs"), AS_OF, mode=mode)
+        _held(r), r["exe_order_result"], stage(og.city_with_province(r[org]), "cities"),
+        r["detail"], stage(_pairs(r, "outcall"), "pairs"), AS_OF, mode=mode)
 
 
 @query
@@ -269,7 +270,7 @@ def outcall_rule_pairs(r):
 
 @query
 def orders_with_state(r):
-    return od.orders_with_state(r["initiative_order"], r["initiative_order_executor"])
+    return _held(r)
 
 
 @query

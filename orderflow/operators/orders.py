@@ -14,11 +14,22 @@ KEY = ["shard_id", "initiative_order_id"]
 
 
 def orders_with_state(orders: DataFrame, executors: DataFrame) -> DataFrame:
-    """Orders with their executor row of the same area; executor area becomes ``ex_latn_id``."""
-    state = executors.withColumnRenamed("latn_id", "ex_latn_id")
+    """Orders with their executor row of the same area; executor area becomes ``ex_latn_id``.
+
+    The steps below start from this join. Filters they put on either side reach its scan.
+    """
+    state = executors.select(*KEY, "status_cd", "dept_id", "curr_user_id",
+                             F.col("latn_id").alias("ex_latn_id"), "last_opt_date", "is_success")
     return orders.join(state, KEY)
 
 
+def in_scope(orders: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Orders of the pairs' campaigns kept in the pairs' areas."""
+    scope = pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
+                         F.col("latn_id").alias("shard_id")).distinct()
+    return orders.join(scope, ["campaign_id", "shard_id"], "left_semi")
+
+
 def _one_main_per_pair(pairs: DataFrame, names: tuple[str, ...] = ()) -> DataFrame:
     """(sub-campaign, area) with its first catalogue; an order is registered only once."""
     first = F.min(F.struct("main_campaign_id", *names)).alias("m")
@@ -26,29 +37,31 @@ def _one_main_per_pair(pairs: DataFrame, names: tuple[str, ...] = ()) -> DataFra
         F.col("sub_campaign_id").alias("campaign_id"), "latn_id", "m.*")
 
 
-def new_receive_orders(orders: DataFrame, executors: DataFrame, grid: DataFrame,
-                       detail: DataFrame, organization: DataFrame, regions: DataFrame,
-                       system_users: DataFrame, staff: DataFrame, pairs: DataFrame,
-                       as_of: AsOf, *, dedupe: bool = False) -> DataFrame:
+def _unknown(orders: DataFrame, detail: DataFrame) -> DataFrame:
+    return orders.join(detail.select(F.col("list_id").alias("initiative_order_id")),
+                       "initiative_order_id", "left_anti")
+
+
+def new_receive_orders(held: DataFrame, grid: DataFrame, detail: DataFrame,
+                       organization: DataFrame, regions: DataFrame, system_users: DataFrame,
+                       staff: DataFrame, pairs: DataFrame, as_of: AsOf, *,
+                       dedupe: bool = False) -> DataFrame:
     """Detail rows of active non-telephone orders the detail does not hold yet.
 
-    ``pairs`` is (main_campaign_id, sub_campaign_id, latn_id). An order whose department has
-    several grid rows gives several detail rows, unless ``dedupe`` keeps the smallest one.
+    ``held``: output of orders_with_state. ``pairs``: (main_campaign_id, sub_campaign_id,
+    latn_id). An order whose department has several grid rows gives several detail rows, unless
+    ``dedupe`` keeps the smallest one.
     """
-    fresh = (orders
-             .where((F.col("state") == ACTIVE) & (F.col("channel_id") != TELEPHONE)
-                    & (F.col("shard_id") == F.col("latn_id")))
-             .join(_one_main_per_pair(pairs), ["campaign_id", "latn_id"])
-             .join(detail.select(F.col("list_id").alias("initiative_order_id")),
-                   "initiative_order_id", "left_anti"))
-    held = orders_with_state(
-        fresh, executors.select(*KEY, "status_cd", "dept_id", "curr_user_id", "latn_id"))
+    fresh = _unknown(
+        held.where((F.col("state") == ACTIVE) & (F.col("channel_id") != TELEPHONE)
+                   & (F.col("shard_id") == F.col("latn_id")))
+        .join(_one_main_per_pair(pairs), ["campaign_id", "latn_id"]), detail)
     codes = grid.select("org_jt_code", "org_id", "fir_grid_id", "sec_grid_id", "thi_grid_id")
     if dedupe:
         codes = codes.groupBy("org_jt_code").agg(
             F.min(F.struct("org_id", "fir_grid_id", "sec_grid_id", "thi_grid_id")).alias("g")
         ).select("org_jt_code", "g.*")
-    placed = held.join(codes, held["dept_id"] == codes["org_jt_code"], "left")
+    placed = fresh.join(codes, fresh["dept_id"] == codes["org_jt_code"], "left")
     placed = lookup(placed, org_regions(organization, regions), "org_id", "org_id",
                     "common_region_id", "region_id")
     placed = with_user_name(placed, "curr_user_id", system_users, staff)
@@ -70,19 +83,18 @@ def new_receive_orders(orders: DataFrame, executors: DataFrame, grid: DataFrame,
         F.col("channel_id").alias("cop_channel_id"))
 
 
-def new_outcall_orders(orders: DataFrame, executors: DataFrame, results: DataFrame,
-                       cities: DataFrame, detail: DataFrame, pairs: DataFrame, as_of: AsOf, *,
+def new_outcall_orders(held: DataFrame, results: DataFrame, cities: DataFrame,
+                       detail: DataFrame, pairs: DataFrame, as_of: AsOf, *,
                        mode: str) -> DataFrame:
     """Detail rows of active telephone orders the detail does not hold yet.
 
     ``cities`` is the output of ``city_with_province``.
-
     ``area``: orders of the campaign's own area, attached to the city of the executor's area.
     ``province``: orders kept in the province-wide area 999, attached to that area's city rows
     whatever area the order itself belongs to; adds ``city_region``, the order's area.
     """
     named = _one_main_per_pair(pairs, ("main_campaign_name", "sub_campaign_name"))
-    calls = orders.where((F.col("state") == ACTIVE) & (F.col("channel_id") == TELEPHONE))
+    calls = held.where((F.col("state") == ACTIVE) & (F.col("channel_id") == TELEPHONE))
     if mode == "area":
         calls = calls.where((F.col("shard_id") == F.col("latn_id"))
                             & (F.col("shard_id") != PROVINCE_AREA))
@@ -92,12 +104,9 @@ def new_outcall_orders(orders: DataFrame, executors: DataFrame, results: DataFra
         calls = calls.where(F.col("shard_id") == PROVINCE_AREA).join(wide, "campaign_id")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    fresh = calls.join(detail.select(F.col("list_id").alias("initiative_order_id")),
-                       "initiative_order_id", "left_anti")
-    held = orders_with_state(fresh, executors.select(*KEY, "status_cd", "latn_id"))
-    answered = held.join(results.select(F.col("list_id").alias("initiative_order_id"),
-                                        "order_result").distinct(),
-                         "initiative_order_id", "left")
+    answered = _unknown(calls, detail).join(
+        results.select(F.col("list_id").alias("initiative_order_id"), "order_result").distinct(),
+        "initiative_order_id", "left")
     # area mode: campaign area = executor area = city area; province mode: the 999 city rows
     if mode == "area":
         area = F.when(F.col("ex_latn_id") == F.col("latn_id"), F.col("latn_id"))
@@ -121,28 +130,16 @@ def new_outcall_orders(orders: DataFrame, executors: DataFrame, results: DataFra
     return placed.select(*columns).distinct()
 
 
-def _in_scope(df: DataFrame, pairs: DataFrame | None) -> DataFrame:
-    """Orders of the pairs' campaigns kept in the pairs' areas."""
-    if pairs is None:
-        return df
-    scope = pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
-                         F.col("latn_id").alias("shard_id")).distinct()
-    return df.join(scope, ["campaign_id", "shard_id"], "left_semi")
-
-
-def changed_receive(orders: DataFrame, executors: DataFrame, detail: DataFrame,
-                    channels: DataFrame, as_of: AsOf, *, days: int = 1,
-                    pairs: DataFrame | None = None) -> DataFrame:
+def changed_receive(held: DataFrame, detail: DataFrame, channels: DataFrame, as_of: AsOf, *,
+                    days: int = 1) -> DataFrame:
     """Orders on an application channel whose state differs from the detail; one row per order.
 
     Status compares plainly (a NULL never differs); for department and user 0 equals NULL. The
     window excludes its first midnight.
     """
-    open_orders = _in_scope(orders.where(F.col("state") == ACTIVE), pairs).join(
-        channels, "channel_id", "left_semi")
-    touched = day_window(executors, "last_opt_date", as_of, days, closed_start=False)
-    now = open_orders.select(*KEY, "campaign_id").join(
-        touched.select(*KEY, "status_cd", "dept_id", "curr_user_id"), KEY)
+    touched = day_window(held.where(F.col("state") == ACTIVE), "last_opt_date", as_of, days,
+                         closed_start=False)
+    now = touched.join(channels, "channel_id", "left_semi")
     before = detail.select(F.col("list_id"), F.col("status_cd").alias("was_status"),
                            F.col("org_jt_code").alias("was_dept"),
                            F.col("user_id").alias("was_user"))
@@ -160,16 +157,12 @@ def changed_receive(orders: DataFrame, executors: DataFrame, detail: DataFrame,
 UNASSIGNED, COMPLETED = 1100, 7000
 
 
-def changed_outcall(orders: DataFrame, executors: DataFrame, detail: DataFrame,
-                    results: DataFrame, org: DataFrame, as_of: AsOf, *, days: int = 1,
-                    pairs: DataFrame | None = None, on_dup: str = "error") -> DataFrame:
+def changed_outcall(held: DataFrame, detail: DataFrame, results: DataFrame, org: DataFrame,
+                    as_of: AsOf, *, days: int = 1, on_dup: str = "error") -> DataFrame:
     """Telephone orders whose status differs from the detail, with call result and org type."""
-    calls = _in_scope(orders.where((F.col("state") == ACTIVE)
-                                   & (F.col("channel_id") == TELEPHONE)), pairs)
-    touched = day_window(executors, "last_opt_date", as_of, days).where(
-        ~F.col("status_cd").isin(UNASSIGNED, COMPLETED))
-    now = calls.select(*KEY, "campaign_id").join(
-        touched.select(*KEY, "status_cd", "dept_id", "curr_user_id"), KEY)
+    calls = held.where((F.col("state") == ACTIVE) & (F.col("channel_id") == TELEPHONE)
+                       & ~F.col("status_cd").isin(UNASSIGNED, COMPLETED))
+    now = day_window(calls, "last_opt_date", as_of, days)
     before = detail.select("list_id", F.col("status_cd").alias("was_status"))
     changed = now.join(
         before, (F.col("initiative_order_id") == F.col("list_id"))

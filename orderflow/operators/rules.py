@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf, day_window
 from orderflow.operators.campaigns import PROVINCE_AREA, TELEPHONE
-from orderflow.operators.orders import KEY, orders_with_state
 from orderflow.operators.quality import error_log
 from orderflow.session import stage
 
@@ -53,23 +52,23 @@ class Evaluation:
         return self.answers.where(F.col("success") == 1)
 
 
-def success_candidates(orders: DataFrame, executors: DataFrame, customer_orders: DataFrame,
-                       as_of: AsOf, *, mode: str, days: int = 1) -> DataFrame:
+def success_candidates(held: DataFrame, customer_orders: DataFrame, as_of: AsOf, *, mode: str,
+                       days: int = 1) -> DataFrame:
     """Orders whose customer completed a purchase in the window, in the order's area.
 
-    ``receive``: non-telephone orders not yet successful. ``area``: telephone orders of ordinary
-    areas. ``province``: telephone orders kept in area 999, matched on their own area. The order
-    state does not matter.
+    ``held``: output of orders_with_state. ``receive``: non-telephone orders not yet successful.
+    ``area``: telephone orders of ordinary areas. ``province``: telephone orders kept in area
+    999, matched on their own area. The order state does not matter.
     """
     telephone = F.col("channel_id") == TELEPHONE
     if mode == "receive":
-        chosen, area = orders.where(~telephone), F.col("shard_id")
-        executors = executors.where(F.coalesce("is_success", F.lit(0)) == 0)
+        chosen = held.where(~telephone & (F.coalesce("is_success", F.lit(0)) == 0))
+        area = F.col("shard_id")
     elif mode == "area":
-        chosen = orders.where(telephone & (F.col("shard_id") != PROVINCE_AREA))
+        chosen = held.where(telephone & (F.col("shard_id") != PROVINCE_AREA))
         area = F.col("shard_id")
     elif mode == "province":
-        chosen = orders.where(telephone & (F.col("shard_id") == PROVINCE_AREA))
+        chosen = held.where(telephone & (F.col("shard_id") == PROVINCE_AREA))
         area = F.col("latn_id")
     else:
         raise ValueError(f"unknown mode {mode!r}")
@@ -77,10 +76,9 @@ def success_candidates(orders: DataFrame, executors: DataFrame, customer_orders:
     buyers = (day_window(customer_orders.where(F.col("status_cd") == DONE), "status_date",
                          as_of, days)
               .select("cust_id", F.col("latn_id").alias("area")).distinct())
-    asked = chosen.withColumn("area", area).join(buyers, ["cust_id", "area"], "left_semi")
-    return orders_with_state(asked, executors.select(*KEY, "status_cd", "latn_id")).select(
-        F.col("initiative_order_id").alias("list_id"), "campaign_id", "shard_id", "area",
-        "status_cd", "channel_id", "prod_inst_id", "cust_id")
+    return (chosen.withColumn("area", area).join(buyers, ["cust_id", "area"], "left_semi")
+            .select(F.col("initiative_order_id").alias("list_id"), "campaign_id", "shard_id",
+                    "area", "status_cd", "channel_id", "prod_inst_id", "cust_id"))
 
 
 def rule_pairs(candidates: DataFrame, rules: DataFrame) -> DataFrame:
@@ -175,7 +173,7 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
     """Evaluate every (order, rule) pair.
 
     ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; it is read once per
-    rule, so pass a staged table. ``tables`` become temporary views for the rule texts. A rule
+    rule, so pass a staged table. ``tables`` that a text names become temporary views. A rule
     Spark cannot compile fails for all its orders and is named in ``failed_rules``. With
     ``isolate`` the answers are staged, and the same goes for a rule that fails while running:
     only then are the rules run one by one to find it. A result that is not a number is logged
@@ -183,7 +181,8 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
     """
     spark = pairs.sparkSession
     for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+        if any(re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE) for _, text in texts):
+            table.createOrReplaceTempView(name)
     parts: dict[int, DataFrame] = {}
     failed: dict[int, str] = {}
     for rule_id, text in texts:

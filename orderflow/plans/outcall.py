@@ -12,32 +12,29 @@ from orderflow.operators.apply import (OUTCALL_DETAIL, apply_flags, apply_outcal
                                        success_log)
 from orderflow.operators.campaigns import (PROVINCE_AREA, active_campaigns, campaigns_by_area,
                                            success_rules)
-from orderflow.operators.orders import changed_outcall, new_outcall_orders
+from orderflow.operators.orders import (changed_outcall, in_scope, new_outcall_orders,
+                                        orders_with_state)
 from orderflow.operators.orgs import city_with_province, resolve_outcall_org
 from orderflow.operators.quality import OUTCALL_JOB, outcall_errors
-from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts, skip_logged,
-                                       success_candidates)
+from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
+                                       skip_logged, success_candidates)
 from orderflow.operators.success import (outcall_success, outcall_success_detail,
                                          outcall_success_executor)
-from orderflow.plans.receive import RunOptions, rule_failures, with_success_columns
+from orderflow.plans.receive import (RunOptions, rule_failures, running_slice,
+                                     with_success_columns)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
 
-def outcall_candidates(tables: Mapping[str, DataFrame], pairs: DataFrame, areas: list[int],
-                       as_of: AsOf, days: int) -> DataFrame:
-    """Success candidates of the pairs: ordinary areas, and area 999 for province campaigns.
+def outcall_candidates(held: DataFrame, purchases: DataFrame, areas: list[int], as_of: AsOf,
+                       days: int) -> DataFrame:
+    """Success candidates of ordinary areas, and of area 999 on the orders' own areas.
 
     Province-wide orders count only when their own area is one of ``areas``.
     """
-    orders, executors = tables["initiative_order"], tables["initiative_order_executor"]
-    purchases = tables["customer_order_syn"]
-    scope = pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
-                         F.col("latn_id").alias("shard_id")).distinct()
-    kinds = [success_candidates(orders, executors, purchases, as_of, mode=mode, days=days)
-             for mode in ("area", "province")]
-    wide = kinds[1].where(F.col("area").isin(areas))
-    return kinds[0].unionByName(wide).join(scope, ["campaign_id", "shard_id"], "left_semi")
+    ordinary, wide = (success_candidates(held, purchases, as_of, mode=mode, days=days)
+                      for mode in ("area", "province"))
+    return ordinary.unionByName(wide.where(F.col("area").isin(areas)))
 
 
 def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsOf,
@@ -52,24 +49,26 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                               catalog, as_of, attr_name=options.attr_name)
     pairs = stage(campaigns_by_area(active, t["pms_campaign_chl_rel"], mode="outcall",
                                     areas=options.areas), "pairs")
-    before = conform(t["callout_detail"], OUTCALL_DETAIL)
+    before = running_slice(conform(t["callout_detail"], OUTCALL_DETAIL), "sub_campaign_id",
+                           pairs, options)
+    # the big join once, for the running campaigns' orders only; all steps read its result
+    held = stage(in_scope(orders_with_state(t["initiative_order"],
+                                            t["initiative_order_executor"]), pairs), "held")
 
     def registration() -> tuple[DataFrame, DataFrame]:
         cities = stage(city_with_province(t["sys_bss_org"]), "cities")
-        new = stage(conform(_registered(t, cities, before, pairs, as_of), OUTCALL_DETAIL),
-                    "new_orders")
-        changed = changed_outcall(
-            t["initiative_order"], t["initiative_order_executor"], before.unionByName(new),
-            t["exe_order_result"], t["sys_bss_org"], as_of, days=options.change_days,
-            pairs=pairs)
+        new = stage(conform(_registered(held, t["exe_order_result"], cities, before, pairs,
+                                        as_of), OUTCALL_DETAIL), "new_orders")
+        changed = changed_outcall(held, before.unionByName(new), t["exe_order_result"],
+                                  t["sys_bss_org"], as_of, days=options.change_days)
         return new, stage(resolve_outcall_org(changed, t["sys_bss_org"], t["sys_user"]),
                           "changes")
 
     def evaluation() -> tuple[DataFrame, Evaluation]:
         rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"],
                                     pairs), "rules")
-        candidates = outcall_candidates(t, pairs, options.area_numbers(), as_of,
-                                        options.purchase_days)
+        candidates = outcall_candidates(held, t["customer_order_syn"],
+                                        options.area_numbers(), as_of, options.purchase_days)
         # new rows and status changes carry no success, so the flags at the start suffice
         asked = stage(skip_logged(rule_pairs(candidates, rules), before, t["success_log"]),
                       "rule_pairs")
@@ -93,13 +92,12 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     }
 
 
-def _registered(t: Mapping[str, DataFrame], cities: DataFrame, before: DataFrame,
+def _registered(held: DataFrame, results: DataFrame, cities: DataFrame, before: DataFrame,
                 pairs: DataFrame, as_of: AsOf) -> DataFrame:
     named = pairs.select("main_campaign_id", "main_campaign_name", "sub_campaign_id",
                          "sub_campaign_name", "latn_id")
     ordinary = named.where(F.col("latn_id") != PROVINCE_AREA)
-    found = [new_outcall_orders(
-        t["initiative_order"], t["initiative_order_executor"], t["exe_order_result"], cities,
-        before, scope, as_of, mode=mode)
-        for mode, scope in (("area", ordinary), ("province", named))]
-    return found[0].unionByName(found[1], allowMissingColumns=True)
+    area, province = (
+        new_outcall_orders(held, results, cities, before, scope, as_of, mode=mode)
+        for mode, scope in (("area", ordinary), ("province", named)))
+    return area.unionByName(province, allowMissingColumns=True)

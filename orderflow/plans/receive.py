@@ -15,7 +15,8 @@ from orderflow.operators.campaigns import (APPLICATION, AREAS, CATALOG_ATTRIBUTE
                                            active_campaigns, app_channels, campaigns_by_area,
                                            success_rules)
 from orderflow.operators.lookups import with_user_name
-from orderflow.operators.orders import changed_receive, new_receive_orders
+from orderflow.operators.orders import (changed_receive, in_scope, new_receive_orders,
+                                        orders_with_state)
 from orderflow.operators.orgs import grid_lookup
 from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log, split_valid
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
@@ -28,7 +29,12 @@ from orderflow.sources.snapshots import conform
 
 @dataclass(frozen=True)
 class RunOptions:
-    """What the installation fixes: names, areas and the length of the look-back windows."""
+    """What the installation fixes: names, areas and the length of the look-back windows.
+
+    ``slice_only`` reads and returns the detail of the running campaigns only: with a detail
+    partitioned by sub-campaign, Spark prunes all other partitions, and ``replace_slice`` writes
+    the result back. It relies on orders never moving to another campaign.
+    """
 
     attr_name: str = CATALOG_ATTRIBUTE
     app: str = APPLICATION
@@ -37,6 +43,7 @@ class RunOptions:
     purchase_days: int = 1
     null_is_success: bool = True
     legacy_old_class: bool = False
+    slice_only: bool = False
 
     def area_numbers(self) -> list[int]:
         given = self.areas.split(",") if isinstance(self.areas, str) else self.areas
@@ -49,6 +56,15 @@ def with_success_columns(executors: DataFrame) -> DataFrame:
         {c: F.lit(None).cast(t) for c, t in missing.items()}) if missing else executors
 
 
+def running_slice(detail: DataFrame, key: str, pairs: DataFrame,
+                  options: RunOptions) -> DataFrame:
+    """The detail rows a run works on: all, or those of the running campaigns."""
+    if not options.slice_only:
+        return detail
+    running = pairs.select(F.col("sub_campaign_id").alias(key)).distinct()
+    return detail.join(running, key, "left_semi").select(detail.columns)
+
+
 def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFrame:
     """Error-log rows of the evaluation: unusable results, and one row per failing rule."""
     if not evaluation.failed_rules:
@@ -91,17 +107,17 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         RECEIVE_JOB, "initiative_order_id",
         F.concat(F.lit("department is not a number: "), F.col("dept_id").cast("string")),
         F.lit("-6502"))
-    before = conform(t["detail"], RECEIVE_DETAIL)
+    before = running_slice(conform(t["detail"], RECEIVE_DETAIL), "a_mkt_campaign_id", pairs,
+                           options)
+    # the big join once, for the running campaigns' orders only; all steps read its result
+    held = stage(in_scope(orders_with_state(t["initiative_order"], executors), pairs), "held")
 
     def registration() -> tuple[DataFrame, DataFrame]:
         new = stage(new_receive_orders(
-            t["initiative_order"], executors, t["grid_org_code_rel"], before,
-            t["organization"], t["common_region"], t["system_user"], t["staff"], pairs, as_of),
-            "new_orders")
-        changed = changed_receive(
-            t["initiative_order"], executors,
-            before.unionByName(conform(new, RECEIVE_DETAIL)), channels, as_of,
-            days=options.change_days, pairs=pairs)
+            held, t["grid_org_code_rel"], before, t["organization"], t["common_region"],
+            t["system_user"], t["staff"], pairs, as_of), "new_orders")
+        changed = changed_receive(held, before.unionByName(conform(new, RECEIVE_DETAIL)),
+                                  channels, as_of, days=options.change_days)
         return new, stage(
             with_user_name(grid_lookup(changed, t["grid_org_code_rel"]), "curr_user_id",
                            t["system_user"], t["staff"]), "changes")
@@ -109,14 +125,9 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     def evaluation() -> tuple[DataFrame, Evaluation]:
         rules = stage(success_rules(t["mkt_success_rule"], t["mkt_campaign_suc_rule_rel"],
                                     pairs), "rules")
-        candidates = success_candidates(
-            t["initiative_order"], executors, t["customer_order_syn"], as_of, mode="receive",
-            days=options.purchase_days)
-        in_scope = candidates.join(
-            pairs.select(F.col("sub_campaign_id").alias("campaign_id"),
-                         F.col("latn_id").alias("area")).distinct(),
-            ["campaign_id", "area"], "left_semi")
-        asked = stage(rule_pairs(in_scope, rules), "rule_pairs")
+        candidates = success_candidates(held, t["customer_order_syn"], as_of, mode="receive",
+                                        days=options.purchase_days)
+        asked = stage(rule_pairs(candidates, rules), "rule_pairs")
         return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
                                      null_is_success=options.null_is_success)
 

@@ -29,7 +29,7 @@ def state(i, status=1100, dept=30, user=None, latn=1, shard=None, when=IN):
 def register(make):
     def run(orders, executors, detail=(), grid=((30, 300, 1, 2, 3),), dedupe=False, pairs=None):
         return od.new_receive_orders(
-            make(ORDER, *orders), make(EXEC, *executors), make(GRID, *grid),
+            od.orders_with_state(make(ORDER, *orders), make(EXEC, *executors)), make(GRID, *grid),
             make("list_id bigint", *[(i,) for i in detail]),
             make("org_id bigint, common_region_id int", (300, 5)),
             make("region_id int, region_name string", (5, "r")),
@@ -85,7 +85,7 @@ def test_outcall_registration(make, rows, mode, expected):
               order(5, channel=6, campaign=8)]
     states = [state(1), state(2), state(3, latn=2, shard=1), state(4, shard=999), state(5)]
     out = od.new_outcall_orders(
-        make(ORDER, *orders), make(EXEC, *states),
+        od.orders_with_state(make(ORDER, *orders), make(EXEC, *states)),
         make("list_id bigint, order_result bigint", (1, 0), (1, 1), (1, 1), (4, 1)),
         make(CITY, (1, 9, "p", 90, "c"), (999, 9, "p", 99, "hq")),
         make("list_id bigint"), make(PAIRS, (70, "m", 7, "s", 1), (70, "m", 7, "s", 999)),
@@ -113,7 +113,8 @@ def test_receive_changes(make, rows):
     detail = make(DETAIL, (1, 1100, 30, None), (1, 1101, 30, None), (2, 1100, 0, 0),
                   (3, 1100, 30, None), (4, 1100, 30, None), (5, 1100, 30, None),
                   *[(i, 1100, 30, None) for i in range(6, 12)])
-    out = od.changed_receive(orders, states, detail, make("channel_id int", (3,)), NOW)
+    out = od.changed_receive(od.orders_with_state(orders, states), detail,
+                             make("channel_id int", (3,)), NOW)
     # 2: NULL equals 0; 5: NULL status never differs; 6 lies on the open start; 7 on the end
     assert rows(out, "list_id") == [(1,), (3,), (4,), (8,)]
 
@@ -122,8 +123,9 @@ def test_changes_outside_the_campaigns_areas_are_left(make, rows):
     orders = make(ORDER, order(1), order(2, shard=999), order(3, campaign=8))
     states = make(EXEC, state(1, status=1), state(2, status=1, shard=999), state(3, status=1))
     detail = make(DETAIL, *[(i, 1100, 30, None) for i in (1, 2, 3)])
-    out = od.changed_receive(orders, states, detail, make("channel_id int", (3,)), NOW,
-                             pairs=make(PAIRS, (70, "m", 7, "s", 1), (71, "m", 7, "s", 1)))
+    held = od.in_scope(od.orders_with_state(orders, states),
+                       make(PAIRS, (70, "m", 7, "s", 1), (71, "m", 7, "s", 1)))
+    out = od.changed_receive(held, detail, make("channel_id int", (3,)), NOW)
     assert rows(out, "list_id") == [(1,)]
 
 
@@ -136,7 +138,7 @@ def test_outcall_changes(make, rows):
                   (5, 1101), (6, 1101), (7, 1101))
     org = make("bss_org_id bigint, bss_org_type_id int", (30, 4), (31, 3))
     results = make("list_id bigint, order_result bigint", (1, 8))
-    out = od.changed_outcall(orders, states, detail, results, org, NOW)
+    out = od.changed_outcall(od.orders_with_state(orders, states), detail, results, org, NOW)
     assert rows(out, "list_id", "order_result", "org_type_id") == [
         (1, 8, 4), (5, None, 0), (6, None, 4)]
 

@@ -1,4 +1,5 @@
 import uuid
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import OPTIONS, _names, _receive_names, _report_rules
 from checks.roles import AS_OF, CHANGE_DAYS, Roles
-from orderflow.operators.orders import changed_receive
+from orderflow.operators.orders import changed_receive, orders_with_state
 from orderflow.plans import rebuild_reports, refresh_dimensions, run_outcall, run_receive
 from orderflow.session import fresh_path
 from orderflow.sources import Snapshot, work_database
@@ -51,6 +52,24 @@ def test_second_outcall_run_skips_logged_rules(roles):
             .join(known, "list_id").count()) == 0
 
 
+@pytest.mark.parametrize("run, kind, name, key", [
+    (run_receive, "receive", "detail", "a_mkt_campaign_id"),
+    (run_outcall, "outcall", "callout_detail", "sub_campaign_id")])
+def test_slices_give_the_same_detail(roles, run, kind, name, key):
+    tables = getattr(roles, f"{kind}_tables")
+    whole = run(tables, None, AS_OF, OPTIONS)["detail"]
+    part = run(tables, None, AS_OF, replace(OPTIONS, slice_only=True))["detail"]
+    touched = part.select(key).distinct()
+    assert 0 < part.count() < whole.count()
+    assert whole.join(touched, key, "left_semi").select(part.columns).exceptAll(
+        part).count() == 0
+    rest = whole.join(touched, key, "left_anti")
+    old = tables[name].join(touched, key, "left_anti")
+    columns = [c for c in tables[name].columns if c in rest.columns]
+    assert rest.select(columns).exceptAll(old.select(columns)).count() == 0
+    assert part.count() + rest.count() == whole.count()
+
+
 def test_broken_rule_is_logged_and_the_run_goes_on(roles):
     tables = dict(roles.receive_tables)
     tables["mkt_success_rule"] = tables["mkt_success_rule"].withColumn(
@@ -66,8 +85,9 @@ def test_non_numeric_department_is_logged_and_the_run_goes_on(roles):
     tables = dict(roles.receive_tables)
     good = run_receive(tables, None, AS_OF, OPTIONS)
     change = changed_receive(
-        tables["initiative_order"], tables["initiative_order_executor"], tables["detail"],
-        tables["initiative_order_channel"].select("channel_id"), AS_OF, days=CHANGE_DAYS)
+        orders_with_state(tables["initiative_order"], tables["initiative_order_executor"]),
+        tables["detail"], tables["initiative_order_channel"].select("channel_id"), AS_OF,
+        days=CHANGE_DAYS)
     victim = change.head().list_id
     spoilt = tables["initiative_order_executor"].withColumn(
         "dept_id", F.when(F.col("initiative_order_id") == victim, "n/a")

@@ -5,6 +5,7 @@ import pytest
 from checks.queries import _candidates, _rule_tables, _rules
 from checks.roles import RULES, Roles
 from orderflow.operators import rules as ru
+from orderflow.operators.orders import orders_with_state
 from orderflow.session import stage
 
 PAIR = ("list_id bigint, cust_id bigint, prod_inst_id bigint, area int, "
@@ -134,7 +135,8 @@ def test_set_based_equals_a_loop_over_orders(spark, rows):
 
 ORDER = ("initiative_order_id bigint, cust_id bigint, prod_inst_id bigint, campaign_id bigint, "
          "latn_id int, shard_id int, channel_id int, state string")
-EXEC = "initiative_order_id bigint, status_cd int, latn_id int, shard_id int, is_success int"
+EXEC = ("initiative_order_id bigint, status_cd int, latn_id int, shard_id int, is_success int, "
+        "dept_id bigint, curr_user_id bigint, last_opt_date timestamp_ntz")
 SYN = "cust_id bigint, latn_id int, status_cd int, status_date timestamp_ntz"
 
 
@@ -149,11 +151,12 @@ def test_candidates(make, rows, mode, expected):
                   (7, 50, 0, 7, 2, 2, 3, "10A"),        # other area
                   (8, 50, 0, 7, 2, 999, 6, "10A"))
     states = make(EXEC, *[(i, 1100, 1, 999 if i in (6, 8) else 2 if i == 7 else 1,
-                           1 if i == 3 else None if i == 2 else 0) for i in range(1, 9)])
+                           1 if i == 3 else None if i == 2 else 0, None, None, None)
+                          for i in range(1, 9)])
     bought = make(SYN, (50, 1, 300000, datetime(2024, 5, 9)),
                   (50, 1, 300000, datetime(2024, 5, 9, 1)),
                   (51, 1, 300000, datetime(2024, 5, 10)), (51, 1, 100000, datetime(2024, 5, 9)))
-    out = ru.success_candidates(orders, states, bought, "2024-05-10 12:00:00", mode=mode)
+    out = ru.success_candidates(orders_with_state(orders, states), bought, "2024-05-10 12:00:00", mode=mode)
     assert rows(out, "list_id", "area") == expected
 
 
