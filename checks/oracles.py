@@ -65,7 +65,8 @@ WHERE NOT (old_is_success = 1 AND EXISTS (
 def _first(evaluated: str) -> str:
     return f"""
 SELECT list_id, suc_rule_id, seq_no, rule_name, report_column, value FROM (
-  SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY seq_no, suc_rule_id) AS rn
+  SELECT *, row_number() OVER (PARTITION BY list_id
+                            ORDER BY main_campaign_id, seq_no, suc_rule_id) AS rn
   FROM {evaluated} WHERE success = 1) WHERE rn = 1"""
 
 
@@ -78,9 +79,10 @@ SELECT list_id, max(status_cd) AS status_cd,
        max(CASE WHEN down = 1 THEN suc_rule_id END) AS last_suc_rule_id,
        max(CASE WHEN down = 1 THEN rule_name END) AS last_rule_name,
        max(CASE WHEN down = 1 THEN value END) AS last_value
-FROM (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY seq_no, suc_rule_id) AS up,
-             row_number() OVER (PARTITION BY list_id ORDER BY seq_no DESC, suc_rule_id DESC)
-             AS down
+FROM (SELECT *, row_number() OVER (PARTITION BY list_id ORDER BY main_campaign_id, seq_no,
+                                      suc_rule_id) AS up,
+             row_number() OVER (PARTITION BY list_id ORDER BY main_campaign_id, seq_no DESC,
+                                suc_rule_id DESC) AS down
       FROM {hits} WHERE success = 1 AND old_is_success = 0) GROUP BY list_id"""
 
 
@@ -625,7 +627,7 @@ WHERE z_mkt_campaign_id IN (1, 3) GROUP BY ALL""",
 SELECT TRY_CAST(initiative_order_id AS BIGINT) AS order_id,
        '活动[' || campaign_id || ']的工单[' || initiative_order_id || ']'
        || CASE WHEN dept_id IS NOT NULL AND TRY_CAST(dept_id AS BIGINT) IS NULL
-               THEN 'department is not a number' ELSE 'user is not a number' END AS errormsg,
+               THEN 'dept_id is not a valid bigint' ELSE 'curr_user_id is not a valid bigint' END AS errormsg,
        'p_order_receive_detail_call' AS pro_name, '-6502' AS errorcode
 FROM raw_executor
 WHERE (dept_id IS NOT NULL AND TRY_CAST(dept_id AS BIGINT) IS NULL)

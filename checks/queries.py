@@ -182,9 +182,7 @@ def success_log(r):
 
 @query
 def quarantine_errors(r):
-    _, bad = qu.split_valid(r["raw_executor"], {
-        "department is not a number": qu.cast_check("dept_id"),
-        "user is not a number": qu.cast_check("curr_user_id")})
+    _, bad = qu.typed(r["raw_executor"], {"dept_id": "bigint", "curr_user_id": "bigint"})
     ingest = qu.error_log(
         bad, qu.RECEIVE_JOB, "initiative_order_id",
         qu.order_message("campaign_id", "initiative_order_id", F.col("reason")),

@@ -31,6 +31,16 @@ def cast_check(col: str, dtype: str = "bigint") -> Column:
     return F.col(col).isNull() | F.col(col).try_cast(dtype).isNotNull()
 
 
+def typed(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with the named columns cast, rows in which one of them does not convert).
+
+    The place to turn text ids and codes into numbers, once, before anything joins on them.
+    """
+    good, bad = split_valid(df, {f"{c} is not a valid {t}": cast_check(c, t)
+                                 for c, t in types.items()})
+    return good.withColumns({c: F.col(c).cast(t) for c, t in types.items()}), bad
+
+
 def order_message(campaign: str, order: str, message: Column) -> Column:
     """Error text naming campaign and order; the message is cut to its stored length."""
     def shown(name: str) -> Column:

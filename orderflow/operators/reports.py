@@ -78,18 +78,18 @@ def order_cube(detail: DataFrame, levels: Sequence[str],
     Repeated rows of an order collapse first, map-side. An order is then counted in the first
     row of each level's group it appears in, so the counts of every level are distinct orders and
     all numbers of the small result add up to the coarser levels - the fact rows are never
-    expanded once per level. The windows share one exchange and one sort.
+    expanded once per level. The windows share one exchange and one sort; the finest level needs
+    none, its groups are the collapsed rows.
     """
     finest = LEVELS[levels[-1]]
     measures = _measures(detail, codes)
     per_order = detail.groupBy("list_id", *finest).agg(
         *[m.alias(name) for name, m in measures.items()])
     for level in levels:
-        keys = LEVELS[level]
-        rest = [k for k in finest if k not in keys]
-        group = W.partitionBy("list_id", *keys).orderBy(*(rest or ["list_id"]))
-        per_order = per_order.withColumn(
-            f"n_{level}", (F.row_number().over(group) == 1).cast("int"))
+        rest = [k for k in finest if k not in LEVELS[level]]
+        group = W.partitionBy("list_id", *LEVELS[level]).orderBy(*rest)
+        first = (F.row_number().over(group) == 1).cast("int") if rest else F.lit(1)
+        per_order = per_order.withColumn(f"n_{level}", first)
     return per_order.groupBy(*finest).agg(
         *[F.sum(f"n_{level}").alias(f"n_{level}") for level in levels],
         *[F.sum(name).alias(name) for name in measures])
@@ -175,11 +175,15 @@ def _named(cube: DataFrame, names: Names, keys: Sequence[str]) -> DataFrame:
 def callout_report(detail: DataFrame, rules: DataFrame, names: Names, *, level: str,
                    codes: ResultCodes = ResultCodes()) -> DataFrame:
     """One level of the telephone report: keys with names, measures, rule columns, position."""
+    return callout_level(order_cube(detail, [level], codes), rules, names, level)
+
+
+def callout_level(cube: DataFrame, rules: DataFrame, names: Names, level: str) -> DataFrame:
+    """One level of the telephone report from a cube that counts that level's orders."""
     keys = LEVELS[level]
-    cube = order_cube(detail, [level], codes)
-    # one level asked for: the cube is that level already
-    totals = _with_absent_flags(cube.withColumnRenamed(f"n_{level}", "all_num"), "_num")
-    placed = with_ordinal(totals, keys, keys[0], "or_seq")
+    totals = cube.groupBy(*keys).agg(*_totals(cube, [f"n_{level}"])).withColumnRenamed(
+        f"n_{level}", "all_num")
+    placed = with_ordinal(_with_absent_flags(totals, "_num"), keys, keys[0], "or_seq")
     return _named(_with_rules(placed, rules), names, keys).select(*_callout_columns(level),
                                                                   "or_seq")
 

@@ -17,20 +17,26 @@ _WINNER = ("suc_rule_id", "rule_name", "report_column", "value")
 
 
 def first_success(hits: DataFrame) -> DataFrame:
-    """The first successful rule of every order, in rule order; the later ones do not count."""
+    """The first successful rule of every order, in rule order; the later ones do not count.
+
+    Should a campaign hang on several catalogues, the smallest catalogue comes first.
+    """
     first = hits.groupBy("list_id").agg(
-        F.min(F.struct("seq_no", *_WINNER)).alias("w"))
-    return first.select("list_id", "w.*")
+        F.min(F.struct("main_campaign_id", "seq_no", *_WINNER)).alias("w"))
+    return first.select("list_id", "w.seq_no", *[f"w.{c}" for c in _WINNER])
 
 
 def outcall_success(hits: DataFrame) -> DataFrame:
     """First and last successful rule of every order that was not successful before.
 
-    The detail keeps the first one, the executor ends with the last one.
+    The detail keeps the first one, the executor ends with the last one. Both come from the
+    smallest catalogue that has a success; a later one finds the order successful already.
     """
-    struct = F.struct("seq_no", "suc_rule_id", "rule_name", "value")
+    rule = ("seq_no", "suc_rule_id", "rule_name", "value")
+    main = F.col("main_campaign_id")
     ends = (hits.where(F.col("old_is_success") == 0).groupBy("list_id")
-            .agg(F.min(struct).alias("f"), F.max(struct).alias("l"),
+            .agg(F.min(F.struct(main, *rule)).alias("f"),
+                 F.max(F.struct((-main).alias("catalogue"), *rule)).alias("l"),
                  F.max("status_cd").alias("status_cd")))
     return ends.select(
         "list_id", "status_cd",

@@ -18,7 +18,7 @@ from orderflow.operators.lookups import with_user_name
 from orderflow.operators.orders import (changed_receive, in_scope, new_receive_orders,
                                         orders_with_state)
 from orderflow.operators.orgs import grid_lookup
-from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log, split_valid
+from orderflow.operators.quality import RECEIVE_JOB, error_log, typed
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
                                        success_candidates)
 from orderflow.operators.success import (first_success, receive_success_detail,
@@ -81,8 +81,7 @@ def numeric_departments(executors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Executor rows with a usable department, and those whose department is not a number."""
     if dict(executors.dtypes)["dept_id"] != "string":
         return executors, executors.where(F.lit(False))
-    good, bad = split_valid(executors, {"department is not a number": cast_check("dept_id")})
-    return good.withColumn("dept_id", F.col("dept_id").cast("bigint")), bad
+    return typed(executors, {"dept_id": "bigint"})
 
 
 def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsOf,

@@ -7,22 +7,27 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.operators.reports import (LEVELS, Names, ResultCodes, callout_report,
+from orderflow.operators.reports import (LEVELS, Names, ResultCodes, callout_level, order_cube,
                                          receive_report)
+from orderflow.session import stage
 from orderflow.sources.sinks import replace_slice
 
 
 def rebuild_reports(callout: DataFrame, receive: DataFrame, rules: DataFrame, names: Names,
                     receive_names: Mapping[str, DataFrame], catalogs: Sequence[int],
                     database: str, codes: ResultCodes = ResultCodes()) -> dict[str, str]:
-    """Replace the catalogues' slices of all six report tables; returns report -> table name."""
+    """Replace the catalogues' slices of all six report tables; returns report -> table name.
+
+    The four telephone reports share one staged cube, so their detail is read once.
+    """
     wanted = list(catalogs)
     tables = {}
     mine = callout.where(F.col("main_campaign_id").isin(wanted))
+    cube = stage(order_cube(mine, list(LEVELS), codes), "callout_cube")
+    rules = stage(rules, "report_rules")
     for level in LEVELS:
         name = f"{database}.callout_order_detail_{level}"
-        replace_slice(callout_report(mine, rules, names, level=level, codes=codes), name,
-                      "main_campaign_id", wanted)
+        replace_slice(callout_level(cube, rules, names, level), name, "main_campaign_id", wanted)
         tables[f"callout_{level}"] = name
     received = receive.where(F.col("z_mkt_campaign_id").isin(wanted))
     for level in ("sec", "org"):

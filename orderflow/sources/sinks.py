@@ -57,7 +57,7 @@ def replace_slice(new: DataFrame, table: str, key: str, values: Sequence[int]) -
     # Dynamic overwrite leaves a slice alone when nothing new arrives for it. The list of
     # written slices is at most as long as ``values``.
     filled = {row[0] for row in wanted.select(key).distinct().collect()}
-    present = {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     for value in values:
-        if value not in filled and str(value) in present:
-            spark.sql(f"TRUNCATE TABLE {table} PARTITION ({key} = {value})")
+        part = f"PARTITION ({key} = {int(value)})"
+        if value not in filled and spark.sql(f"SHOW PARTITIONS {table} {part}").head():
+            spark.sql(f"TRUNCATE TABLE {table} {part}")

@@ -7,12 +7,12 @@ from orderflow.sources import conform
 
 NOW = "2024-05-10 12:00:00"
 HITS = ("list_id bigint, seq_no int, suc_rule_id int, rule_name string, report_column string, "
-        "value bigint, old_is_success int, status_cd int")
+        "value bigint, old_is_success int, status_cd int, main_campaign_id bigint")
 
 
 def hits(make, *extra):
-    return make(HITS, (1, 2, 8, "b", "col_8", 50, 0, 2100), (1, 1, 9, "a", "col_9", None, 0, 2100),
-                (1, 3, 7, "c", "col_7", 70, 0, 2100), (2, 1, 9, "a", "col_9", 90, 1, 1100), *extra)
+    return make(HITS, (1, 2, 8, "b", "col_8", 50, 0, 2100, 7), (1, 1, 9, "a", "col_9", None, 0, 2100, 7),
+                (1, 3, 7, "c", "col_7", 70, 0, 2100, 7), (2, 1, 9, "a", "col_9", 90, 1, 1100, 7), *extra)
 
 
 def test_receive_first_rule_wins(make, rows):
@@ -25,6 +25,13 @@ def test_outcall_first_and_last(make, rows):
                 "last_suc_rule_id", "last_value") == [(1, 9, None, 7, 70)]
 
 
+def test_smallest_catalogue_first(make, rows):
+    two = make(HITS, (1, 1, 9, "a", "col_9", 90, 0, 2100, 8), (1, 2, 8, "b", "col_8", 80, 0, 2100, 7),
+               (1, 3, 6, "c", "col_6", 60, 0, 2100, 7), (1, 9, 5, "d", "col_5", 50, 0, 2100, 8))
+    assert rows(su.first_success(two), "suc_rule_id") == [(8,)]
+    assert rows(su.outcall_success(two), "first_suc_rule_id", "last_suc_rule_id") == [(8, 6)]
+
+
 def test_receive_detail_and_executor(make, rows):
     winners = su.first_success(hits(make))
     detail = conform(make("list_id bigint, is_success int, suc_rule_id bigint", (1, None, None),
@@ -41,7 +48,7 @@ def test_receive_detail_and_executor(make, rows):
 
 
 def test_outcall_status(make, rows):
-    more = hits(make, (3, 1, 9, "a", "col_9", 5, 0, 2000), (4, 1, 9, "a", "col_9", 5, 0, None))
+    more = hits(make, (3, 1, 9, "a", "col_9", 5, 0, 2000, 7), (4, 1, 9, "a", "col_9", 5, 0, None, 7))
     ends = su.outcall_success(more)
     detail = conform(make("list_id bigint, status_cd int, is_success int",
                           *[(i, 1101, 1 if i == 2 else 0) for i in range(1, 6)]),
