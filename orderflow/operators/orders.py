@@ -45,7 +45,7 @@ def _unknown(orders: DataFrame, detail: DataFrame) -> DataFrame:
 def new_receive_orders(held: DataFrame, grid: DataFrame, detail: DataFrame,
                        organization: DataFrame, regions: DataFrame, system_users: DataFrame,
                        staff: DataFrame, pairs: DataFrame, as_of: AsOf, *,
-                       dedupe: bool = False) -> DataFrame:
+                       dedupe: bool = False, on_dup: str = "error") -> DataFrame:
     """Detail rows of active non-telephone orders the detail does not hold yet.
 
     ``held``: output of orders_with_state. ``pairs``: (main_campaign_id, sub_campaign_id,
@@ -63,7 +63,7 @@ def new_receive_orders(held: DataFrame, grid: DataFrame, detail: DataFrame,
         ).select("org_jt_code", "g.*")
     placed = fresh.join(codes, fresh["dept_id"] == codes["org_jt_code"], "left")
     placed = lookup(placed, org_regions(organization, regions), "org_id", "org_id",
-                    "common_region_id", "region_id")
+                    "common_region_id", "region_id", on_dup)
     placed = with_user_name(placed, "curr_user_id", system_users, staff)
     return placed.select(
         as_text(as_of).alias("report_date"),

@@ -2,5 +2,6 @@ from orderflow.plans.dimensions import refresh_dimensions
 from orderflow.plans.outcall import run_outcall
 from orderflow.plans.receive import run_receive
 from orderflow.plans.reports import rebuild_reports
+from orderflow.plans.save import save_run
 
-__all__ = ["rebuild_reports", "refresh_dimensions", "run_outcall", "run_receive"]
+__all__ = ["rebuild_reports", "refresh_dimensions", "run_outcall", "run_receive", "save_run"]

@@ -20,7 +20,7 @@ from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, r
                                        skip_logged, success_candidates)
 from orderflow.operators.success import (outcall_success, outcall_success_detail,
                                          outcall_success_executor)
-from orderflow.plans.receive import (RunOptions, rule_failures, running_slice,
+from orderflow.plans.receive import (RunOptions, rule_failures, running_slice, touched,
                                      with_success_columns)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
@@ -41,8 +41,8 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                 options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
     """One day for one catalogue (all for ``None``), every campaign and area together.
 
-    Returns the new versions of ``detail`` and ``executor`` and the rows to append to
-    ``success_log`` and ``errors``.
+    Returns the new versions of ``detail`` and ``executor``, the executor rows that change
+    (``executor_updates``), and the rows to append to ``success_log`` and ``errors``.
     """
     t = tables
     active = active_campaigns(t["pms_campaign"], t["mkt_cam_conf_attr"], t["common_region"],
@@ -60,7 +60,8 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         new = stage(conform(_registered(held, t["exe_order_result"], cities, before, pairs,
                                         as_of), OUTCALL_DETAIL), "new_orders")
         changed = changed_outcall(held, before.unionByName(new), t["exe_order_result"],
-                                  t["sys_bss_org"], as_of, days=options.change_days)
+                                  t["sys_bss_org"], as_of, days=options.change_days,
+                                  on_dup=options.on_duplicate)
         return new, stage(resolve_outcall_org(changed, t["sys_bss_org"], t["sys_user"]),
                           "changes")
 
@@ -81,10 +82,11 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     hits = evaluated.successes()
     ends = outcall_success(hits)
 
+    state = with_success_columns(t["initiative_order_executor"])
     return {
         "detail": apply_flags(outcall_success_detail(detail, ends, as_of), hits),
-        "executor": outcall_success_executor(
-            with_success_columns(t["initiative_order_executor"]), ends, as_of),
+        "executor": outcall_success_executor(state, ends, as_of),
+        "executor_updates": outcall_success_executor(touched(state, ends), ends, as_of),
         "new_orders": new,
         "success_log": success_log(hits, as_of, -1),
         "errors": outcall_errors(resolved).unionByName(

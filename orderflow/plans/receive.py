@@ -33,7 +33,9 @@ class RunOptions:
 
     ``slice_only`` reads and returns the detail of the running campaigns only: with a detail
     partitioned by sub-campaign, Spark prunes all other partitions, and ``replace_slice`` writes
-    the result back. It relies on orders never moving to another campaign.
+    the result back. It relies on orders never moving to another campaign. ``on_duplicate`` is
+    what lookups do when a key has several rows: ``error`` stops the run, ``any`` takes the
+    smallest value.
     """
 
     attr_name: str = CATALOG_ATTRIBUTE
@@ -44,6 +46,7 @@ class RunOptions:
     null_is_success: bool = True
     legacy_old_class: bool = False
     slice_only: bool = False
+    on_duplicate: str = "error"
 
     def area_numbers(self) -> list[int]:
         given = self.areas.split(",") if isinstance(self.areas, str) else self.areas
@@ -56,6 +59,12 @@ def with_success_columns(executors: DataFrame) -> DataFrame:
         {c: F.lit(None).cast(t) for c, t in missing.items()}) if missing else executors
 
 
+def touched(executors: DataFrame, winners: DataFrame) -> DataFrame:
+    """Executor rows of successful orders."""
+    return executors.join(winners.select(F.col("list_id").alias("initiative_order_id")),
+                          "initiative_order_id", "left_semi").select(executors.columns)
+
+
 def running_slice(detail: DataFrame, key: str, pairs: DataFrame,
                   options: RunOptions) -> DataFrame:
     """The detail rows a run works on: all, or those of the running campaigns."""
@@ -88,9 +97,10 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                 options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
     """One day for one catalogue (all for ``None``), every campaign and area together.
 
-    Returns the new versions of ``detail`` and ``executor`` and the rows to append to
-    ``success_log``, ``run_log`` and ``errors``. Writing them is the caller's step. Small or
-    shared intermediate results are staged in the shared folder.
+    Returns the new versions of ``detail`` and ``executor``, the executor rows that change
+    (``executor_updates``, for tables that can merge), and the rows to append to
+    ``success_log``, ``run_log`` and ``errors``. ``save_run`` writes them. Small or shared
+    intermediate results are staged in the shared folder.
     """
     t = tables
     active = active_campaigns(t["pms_campaign"], t["mkt_cam_conf_attr"], t["common_region"],
@@ -114,7 +124,8 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     def registration() -> tuple[DataFrame, DataFrame]:
         new = stage(new_receive_orders(
             held, t["grid_org_code_rel"], before, t["organization"], t["common_region"],
-            t["system_user"], t["staff"], pairs, as_of), "new_orders")
+            t["system_user"], t["staff"], pairs, as_of, on_dup=options.on_duplicate),
+            "new_orders")
         changed = changed_receive(held, before.unionByName(conform(new, RECEIVE_DETAIL)),
                                   channels, as_of, days=options.change_days)
         return new, stage(
@@ -135,10 +146,11 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     winners = first_success(evaluated.successes())
     detail = apply_receive_changes(before.unionByName(conform(new, RECEIVE_DETAIL)), changes,
                                    as_of)
+    state = with_success_columns(t["initiative_order_executor"])
     return {
         "detail": apply_flags(receive_success_detail(detail, winners, as_of), winners),
-        "executor": receive_success_executor(
-            with_success_columns(t["initiative_order_executor"]), winners, as_of),
+        "executor": receive_success_executor(state, winners, as_of),
+        "executor_updates": receive_success_executor(touched(state, winners), winners, as_of),
         "new_orders": new,
         "success_log": success_log(winners, as_of),
         "run_log": run_log(pairs, as_of, as_of),

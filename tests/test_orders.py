@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.errors import PySparkException
 
 from orderflow.operators import orders as od
 
@@ -143,6 +144,16 @@ def test_outcall_changes(make, rows):
         (1, 8, 4), (5, None, 0), (6, None, 4)]
 
 
+def test_duplicate_results_stop_the_run_unless_told_otherwise(make, rows):
+    held = od.orders_with_state(make(ORDER, order(1, channel=6)), make(EXEC, state(1, status=2100)))
+    args = (held, make("list_id bigint, status_cd int", (1, 1101)),
+            make("list_id bigint, order_result bigint", (1, 8), (1, 3)),
+            make("bss_org_id bigint, bss_org_type_id int", (30, 4)), NOW)
+    with pytest.raises(PySparkException, match="several rows in lookup"):
+        od.changed_outcall(*args).collect()
+    assert rows(od.changed_outcall(*args, on_dup="any"), "order_result") == [(3,)]
+
+
 def test_state_joins_inside_the_area(make, rows):
     out = od.orders_with_state(make(ORDER, order(1), order(2)),
                                make(EXEC, state(1), state(2, shard=999)))

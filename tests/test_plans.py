@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from checks.queries import OPTIONS, _names, _receive_names, _report_rules
 from checks.roles import AS_OF, CHANGE_DAYS, Roles
 from orderflow.operators.orders import changed_receive, orders_with_state
-from orderflow.plans import rebuild_reports, refresh_dimensions, run_outcall, run_receive
+from orderflow.plans import (rebuild_reports, refresh_dimensions, run_outcall, run_receive,
+                             save_run)
 from orderflow.session import fresh_path
 from orderflow.sources import Snapshot, work_database
 
@@ -32,6 +33,29 @@ def test_second_receive_run_changes_nothing(roles):
     assert now.count() == first["detail"].count()
 
 
+def test_saved_versions_feed_the_next_run(spark, roles):
+    tables = roles.receive_tables
+    folder = fresh_path(spark, "store")
+    first = run_receive(tables, None, AS_OF, OPTIONS)
+    saved = save_run(first, f"{folder}/day1", f"{folder}/logs")
+    assert saved["detail"].exceptAll(first["detail"]).count() == 0
+    assert saved["executor"].count() == tables["initiative_order_executor"].count()
+    again = run_receive({**tables, "detail": saved["detail"],
+                         "initiative_order_executor": saved["executor"]}, None, AS_OF, OPTIONS)
+    save_run(again, f"{folder}/day2", f"{folder}/logs")
+    logged = spark.read.parquet(f"{folder}/logs/success_log")
+    assert logged.count() == first["success_log"].count() > 0
+    assert logged.count() == logged.dropDuplicates(["list_id"]).count()
+
+
+def test_executor_updates_are_the_changed_rows(roles):
+    for run, tables in ((run_receive, roles.receive_tables), (run_outcall, roles.outcall_tables)):
+        out = run(tables, None, AS_OF, OPTIONS)
+        marked = out["executor"].where("suc_rule_id IS NOT NULL")
+        assert out["executor_updates"].count() == marked.count() > 0
+        assert marked.exceptAll(out["executor_updates"]).count() == 0
+
+
 def test_catalogue_limits_the_run(roles):
     tables = roles.receive_tables
     one = run_receive(tables, 1, AS_OF, OPTIONS)

@@ -4,57 +4,20 @@ import random
 import re
 
 import pytest
-from pyspark.sql import DataFrame
 
 import checks.queries as queries
-import orderflow.operators.reports as reports
 import orderflow.operators.rules as rules
-import orderflow.plans.outcall as outcall
-import orderflow.plans.receive as receive
 from checks.compare import differences, duck
 from checks.oracles import ORACLES
 from checks.roles import BASE_TABLES, Roles
 from orderflow.functions import day_window
 from orderflow.operators import orders as od
 from orderflow.session import stage
+from tests.plans import plan
 
 SMALL = "/root/testdata/sf0.001"
 
 
-def plan(df: DataFrame) -> str:
-    text = df._jdf.queryExecution().toString()
-    return text[text.index("== Physical Plan"):]
-
-
-@pytest.fixture
-def staged_plans(monkeypatch):
-    """Plans of everything a query writes or checkpoints on its way."""
-    seen: list[str] = []
-
-    def spy(write):
-        def wrapped(df, *args):
-            seen.append(plan(df))
-            return write(df, *args)
-        return wrapped
-
-    for module in (queries, rules, outcall, receive):
-        monkeypatch.setattr(module, "stage", spy(module.stage))
-    monkeypatch.setattr(reports, "checkpointed", spy(reports.checkpointed))
-    return seen
-
-
-@pytest.mark.parametrize("name", queries.QUERIES)
-def test_no_query_leaves_the_jvm_or_collects_into_one_task(spark, staged_plans, name):
-    df = queries.QUERIES[name](spark, SMALL)
-    for text in [*staged_plans, plan(df)]:
-        for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas",
-                     "PythonUDF"):
-            assert node not in text
-        # a global count of a finished table is the only single-partition step
-        if name != "dimension_refresh":
-            assert "SinglePartition" not in text
-
-
 @pytest.fixture
 def long_plans(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
