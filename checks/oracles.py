@@ -34,15 +34,14 @@ FROM {asked} c LEFT JOIN (
      AND r.main_campaign_id = c.main_campaign_id"""
 
 
-def _candidates(condition: str, area: str, window: str = MONTH_START) -> str:
+def _candidates(condition: str, area: str) -> str:
     return f"""
-SELECT a.initiative_order_id AS list_id, a.campaign_id, a.shard_id, {area} AS area,
-       b.status_cd, a.channel_id, a.prod_inst_id, a.cust_id
-FROM initiative_order a JOIN initiative_order_executor b
-  ON a.initiative_order_id = b.initiative_order_id AND a.shard_id = b.shard_id
-WHERE {condition} AND EXISTS (
-  SELECT 1 FROM customer_order_syn c WHERE c.cust_id = a.cust_id AND c.latn_id = {area}
-  AND c.status_cd = 300000 AND c.status_date >= {window} AND c.status_date < {DAY})"""
+SELECT initiative_order_id AS list_id, campaign_id, shard_id, {area} AS area, status_cd,
+       channel_id, prod_inst_id, cust_id
+FROM o_held
+WHERE {condition} AND (cust_id, {area}) IN (
+  SELECT (cust_id, latn_id) FROM customer_order_syn
+  WHERE status_cd = 300000 AND status_date >= {MONTH_START} AND status_date < {DAY})"""
 
 
 def _pairs_of(candidates: str) -> str:
@@ -92,86 +91,79 @@ def _flags(hits: str, count: int = 20) -> str:
     return f"SELECT list_id, {columns} FROM {hits} WHERE success = 1 GROUP BY list_id"
 
 
-_REGISTERED_RECEIVE = """
-SELECT '1998-07-01 08:30:00' AS report_date, {now} AS update_date, t.latn_id,
-       (SELECT e.region_id FROM organization d, common_region e
-        WHERE d.common_region_id = e.region_id AND d.org_id = c.org_id) AS region_id,
-       c.org_id, c.org_jt_code, c.fir_grid_id, c.sec_grid_id, c.thi_grid_id,
-       p.main_campaign_id AS z_mkt_campaign_id, t.campaign_id AS a_mkt_campaign_id,
-       t.initiative_order_id AS list_id, ex.status_cd, c.org_id AS old_org_id,
-       c.org_jt_code AS old_org_jt_code, ex.status_cd AS old_status_cd, 0 AS is_success,
-       ex.curr_user_id AS user_id,
-       (SELECT min(s.staff_name) FROM system_user u, staff s
-        WHERE u.system_user_id = ex.curr_user_id AND s.staff_id = u.staff_id) AS user_name,
-       t.cust_id, t.cust_name, t.acc_nbr, t.channel_id AS cop_channel_id
-FROM (SELECT DISTINCT main_campaign_id, sub_campaign_id, latn_id FROM o_pairs_receive) p
-JOIN initiative_order t ON t.campaign_id = p.sub_campaign_id AND t.latn_id = p.latn_id
-     AND t.shard_id = p.latn_id
-JOIN initiative_order_executor ex ON ex.initiative_order_id = t.initiative_order_id
-     AND ex.shard_id = t.shard_id
-LEFT JOIN grid_org_code_rel c ON ex.dept_id = c.org_jt_code
-WHERE t.state = '10A' AND t.channel_id <> 6
-  AND NOT EXISTS (SELECT 1 FROM {detail} a WHERE a.list_id = t.initiative_order_id)"""
-
-_OUTCALL_COLUMNS = """
-SELECT DISTINCT p.main_campaign_id, p.main_campaign_name, p.sub_campaign_id,
-       p.sub_campaign_name, x.*, NULL::BIGINT AS team_dept_id, NULL::VARCHAR AS team_dept_name,
+def _receive_registered(detail: str) -> str:
+    return f"""
+SELECT '{AS_OF}' AS report_date, {NOW} AS update_date, h.latn_id, o.region_id, g.org_id,
+       g.org_jt_code, g.fir_grid_id, g.sec_grid_id, g.thi_grid_id,
+       s.main_campaign_id AS z_mkt_campaign_id, h.campaign_id AS a_mkt_campaign_id,
+       h.initiative_order_id AS list_id, h.status_cd, g.org_id AS old_org_id,
+       g.org_jt_code AS old_org_jt_code, h.status_cd AS old_status_cd, 0 AS is_success,
+       h.curr_user_id AS user_id, n.user_name, h.cust_id, h.cust_name, h.acc_nbr,
+       h.channel_id AS cop_channel_id
+FROM o_held h
+JOIN (SELECT DISTINCT main_campaign_id, sub_campaign_id, latn_id FROM o_pairs_receive) s
+  ON (s.sub_campaign_id, s.latn_id, s.latn_id) = (h.campaign_id, h.latn_id, h.shard_id)
+LEFT JOIN grid_org_code_rel g ON g.org_jt_code = h.dept_id
+LEFT JOIN o_org_region o ON o.org_id = g.org_id
+LEFT JOIN o_user_names n ON n.user_id = h.curr_user_id
+WHERE h.state = '10A' AND h.channel_id <> 6
+  AND h.initiative_order_id NOT IN (SELECT list_id FROM {detail})"""
+
+
+def _cities(org: str) -> str:
+    return f"""
+SELECT c.area_id AS region_id, c.up_bss_org_id AS prov_dept_id,
+       p.bss_org_name AS prov_dept_name, c.bss_org_id AS city_dept_id,
+       c.bss_org_name AS city_dept_name
+FROM {org} c JOIN {org} p ON p.bss_org_id = c.up_bss_org_id
+WHERE c.bss_org_type_id = 2 AND (c.state, p.state) = ('10A', '10A')"""
+
+
+def _outcall_registered(mode: str, org: str, detail: str, extra: str = "") -> str:
+    """``area``: all areas agree; ``province``: orders kept in area 999 meet its city rows."""
+    where = ("s.latn_id <> 999 AND h.latn_id = s.latn_id AND h.ex_latn_id = s.latn_id"
+             if mode == "area" else "s.latn_id = 999")
+    return f"""
+SELECT DISTINCT s.main_campaign_id, s.main_campaign_name, s.sub_campaign_id,
+       s.sub_campaign_name, c.*, NULL::BIGINT AS team_dept_id, NULL::VARCHAR AS team_dept_name,
        NULL::BIGINT AS class_dept_id, NULL::VARCHAR AS class_dept_name,
        NULL::BIGINT AS caller_id, NULL::VARCHAR AS caller_name,
-       a.initiative_order_id AS list_id, b.status_cd, {before} AS create_date, 0 AS is_success,
-       t.order_result, {before} AS update_date, a.cust_name, a.prod_inst_id, a.cust_id
-       {extra}
-FROM o_pairs_outcall p JOIN initiative_order a ON a.campaign_id = p.sub_campaign_id
-JOIN initiative_order_executor b ON b.initiative_order_id = a.initiative_order_id
-     AND b.shard_id = a.shard_id
-JOIN (SELECT city.area_id AS region_id, prov.bss_org_id AS prov_dept_id,
-             prov.bss_org_name AS prov_dept_name, city.bss_org_id AS city_dept_id,
-             city.bss_org_name AS city_dept_name
-      FROM {org} prov, {org} city
-      WHERE city.bss_org_type_id = 2 AND city.up_bss_org_id = prov.bss_org_id
-        AND prov.state = '10A' AND city.state = '10A') x ON x.region_id = p.latn_id
-LEFT JOIN exe_order_result t ON t.list_id = a.initiative_order_id
-WHERE a.state = '10A' AND a.channel_id = 6 AND a.shard_id = p.latn_id AND {where}
-  AND NOT EXISTS (SELECT 1 FROM {detail} d WHERE d.list_id = a.initiative_order_id)"""
-
-
-def _outcall_registered(mode: str, org: str, detail: str) -> str:
-    if mode == "area":
-        return _OUTCALL_COLUMNS.format(
-            before=DAY_BEFORE, extra="", org=org, detail=detail,
-            where="p.latn_id <> 999 AND a.latn_id = p.latn_id AND b.latn_id = x.region_id")
-    return _OUTCALL_COLUMNS.format(
-        before=DAY_BEFORE, extra=", a.latn_id AS city_region", org=org, detail=detail,
-        where="p.latn_id = 999")
+       h.initiative_order_id AS list_id, h.status_cd, {DAY_BEFORE} AS create_date,
+       0 AS is_success, q.order_result, {DAY_BEFORE} AS update_date, h.cust_name,
+       h.prod_inst_id, h.cust_id{extra}
+FROM o_held h JOIN o_pairs_outcall s
+  ON (s.sub_campaign_id, s.latn_id) = (h.campaign_id, h.shard_id)
+JOIN ({_cities(org)}) c ON c.region_id = s.latn_id
+LEFT JOIN exe_order_result q ON q.list_id = h.initiative_order_id
+WHERE {where} AND h.state = '10A' AND h.channel_id = 6
+  AND h.initiative_order_id NOT IN (SELECT list_id FROM {detail})"""
+
+
+_OWN_AREA = ", h.latn_id AS city_region"
 
 
 def _changed_receive(detail: str, scope: str = "") -> str:
     return f"""
-SELECT DISTINCT a.initiative_order_id AS list_id, a.campaign_id, a.shard_id, b.status_cd,
-       b.dept_id, b.curr_user_id
-FROM initiative_order a, initiative_order_executor b, {detail} c
-WHERE a.initiative_order_id = b.initiative_order_id AND a.shard_id = b.shard_id
-  AND a.state = '10A'
-  AND a.channel_id IN (SELECT channel_id FROM initiative_order_channel WHERE app_name = 'call')
-  AND b.last_opt_date > {YEAR_START} AND b.last_opt_date < {DAY}
-  AND a.initiative_order_id = c.list_id
-  AND (b.status_cd <> c.status_cd OR coalesce(b.dept_id, 0) <> coalesce(c.org_jt_code, 0)
-       OR coalesce(b.curr_user_id, 0) <> coalesce(c.user_id, 0)) {scope}"""
+SELECT initiative_order_id AS list_id, campaign_id, shard_id, status_cd, dept_id, curr_user_id
+FROM o_held h
+WHERE state = '10A' AND last_opt_date > {YEAR_START} AND last_opt_date < {DAY}
+  AND channel_id IN (SELECT channel_id FROM initiative_order_channel WHERE app_name = 'call')
+  AND EXISTS (SELECT 1 FROM {detail} d WHERE d.list_id = h.initiative_order_id
+              AND (d.status_cd <> h.status_cd
+                   OR ifnull(d.org_jt_code, 0) <> ifnull(h.dept_id, 0)
+                   OR ifnull(d.user_id, 0) <> ifnull(h.curr_user_id, 0))) {scope}"""
 
 
 def _changed_outcall(detail: str, org: str, scope: str = "") -> str:
     return f"""
-SELECT DISTINCT a.initiative_order_id AS list_id, a.campaign_id, a.shard_id, b.status_cd,
-       b.dept_id, b.curr_user_id,
-       (SELECT order_result FROM exe_order_result r WHERE r.list_id = a.initiative_order_id)
-       AS order_result,
-       coalesce((SELECT c.bss_org_type_id FROM {org} c WHERE c.bss_org_id = b.dept_id), 0)
-       AS org_type_id
-FROM initiative_order a, initiative_order_executor b, {detail} c
-WHERE a.initiative_order_id = b.initiative_order_id AND a.shard_id = b.shard_id
-  AND a.state = '10A' AND a.channel_id = 6 AND b.status_cd NOT IN (1100, 7000)
-  AND b.last_opt_date >= {YEAR_START} AND b.last_opt_date < {DAY}
-  AND a.initiative_order_id = c.list_id AND b.status_cd <> c.status_cd {scope}"""
+SELECT h.initiative_order_id AS list_id, h.campaign_id, h.shard_id, h.status_cd, h.dept_id,
+       h.curr_user_id, q.order_result, ifnull(o.bss_org_type_id, 0) AS org_type_id
+FROM o_held h LEFT JOIN exe_order_result q ON q.list_id = h.initiative_order_id
+LEFT JOIN {org} o ON o.bss_org_id = h.dept_id
+WHERE h.state = '10A' AND h.channel_id = 6 AND h.status_cd <> 1100 AND h.status_cd <> 7000
+  AND h.last_opt_date >= {YEAR_START} AND h.last_opt_date < {DAY}
+  AND EXISTS (SELECT 1 FROM {detail} d WHERE d.list_id = h.initiative_order_id
+              AND d.status_cd <> h.status_cd) {scope}"""
 
 
 def _resolved(changes: str, org: str) -> str:
@@ -237,9 +229,9 @@ SELECT {columns} FROM (
                'thi_grid_id': -2::BIGINT, 'org_id': -2::BIGINT}}
            ELSE {{'fir_grid_id': g.fir_grid_id::BIGINT, 'sec_grid_id': g.sec_grid_id::BIGINT,
                   'thi_grid_id': g.thi_grid_id::BIGINT, 'org_id': g.org_id::BIGINT}} END AS grid,
-           (SELECT min(s.staff_name) FROM system_user u, staff s
-            WHERE u.system_user_id = ch.curr_user_id AND s.staff_id = u.staff_id) AS user_name
-    FROM {changes} ch LEFT JOIN o_grid g ON g.code = ch.dept_id) c ON c.list_id = d.list_id)"""
+           n.user_name
+    FROM {changes} ch LEFT JOIN o_grid g ON g.code = ch.dept_id
+    LEFT JOIN o_user_names n ON n.user_id = ch.curr_user_id) c ON c.list_id = d.list_id)"""
 
 
 def _outcall_applied(detail: str, resolved: str, columns: str) -> str:
@@ -351,51 +343,67 @@ def _outcall_names(nulls: bool) -> str:
     return _OUTCALL_NAMES.format(**names)
 
 
-_SCOPE = "AND EXISTS (SELECT 1 FROM {pairs} p WHERE p.sub_campaign_id = a.campaign_id AND " \
-         "p.latn_id = a.shard_id)"
-_ACTIVE_RULES = """
-SELECT {pairs}.main_campaign_id, {pairs}.sub_campaign_id, a.suc_rule_id, a.rule_name,
-       a.report_column, a.sql_text_order, c.rel_id, b.seq,
-       CAST(row_number() OVER (PARTITION BY {pairs}.main_campaign_id, {pairs}.sub_campaign_id
-         ORDER BY b.seq, a.suc_rule_id, c.rel_id) AS INT) AS seq_no
-FROM (SELECT DISTINCT main_campaign_id, sub_campaign_id FROM {source}) {pairs},
-     mkt_success_rule a, mkt_campaign_suc_rule_rel b, mkt_campaign_suc_rule_rel c
-WHERE a.suc_rule_id = b.suc_rule_id AND a.state = 10 AND b.rel_type = 1
-  AND b.campaign_id = {pairs}.main_campaign_id AND a.suc_rule_id = c.suc_rule_id
-  AND c.rel_type = 2 AND c.campaign_id = {pairs}.sub_campaign_id"""
+_SCOPE = "AND ({0}.campaign_id, {0}.shard_id) IN (SELECT (sub_campaign_id, latn_id) FROM {1})"
+
+
+def _ranked(source: str) -> str:
+    """Active rules on both a main campaign and its sub-campaign, in the main one's order."""
+    return f"""
+SELECT main_campaign_id, sub_campaign_id, suc_rule_id, rule_name, report_column, sql_text_order,
+       own.rel_id, main.seq,
+       CAST(row_number() OVER (PARTITION BY main_campaign_id, sub_campaign_id
+                               ORDER BY main.seq, suc_rule_id, own.rel_id) AS INT) AS seq_no
+FROM (SELECT DISTINCT main_campaign_id, sub_campaign_id FROM {source})
+JOIN (SELECT campaign_id AS sub_campaign_id, suc_rule_id, rel_id
+      FROM mkt_campaign_suc_rule_rel WHERE rel_type = 2) own USING (sub_campaign_id)
+JOIN (SELECT campaign_id AS main_campaign_id, suc_rule_id, seq
+      FROM mkt_campaign_suc_rule_rel WHERE rel_type = 1) main
+  USING (main_campaign_id, suc_rule_id)
+JOIN mkt_success_rule USING (suc_rule_id) WHERE state = 10"""
+
 
 _AREA_TABLE = "(SELECT CAST(unnest(string_split('0,1,2,3,4,5,6,7,8,9', ',')) AS INT) AS area)"
 _ACTIVE = """
-SELECT b.attr_value_id AS main_campaign_id, b.attr_value AS main_campaign_name,
-       a.campaign_id AS sub_campaign_id, a.campaign_name AS sub_campaign_name, a.region_id,
-       c.region_name, c.region_id_old
-FROM pms_campaign a, mkt_cam_conf_attr b, common_region c
-WHERE a.campaign_id = b.mkt_campaign_id AND a.region_id = c.region_id
-  AND b.attr_nbr = 'CATALOG' AND a.end_date > TIMESTAMP '1998-06-24 00:00:00'
-  AND a.state = '10A'"""
-_ON_APP = """EXISTS (SELECT 1 FROM pms_campaign_chl_rel h
-  WHERE h.campaign_id = x.sub_campaign_id AND h.channel_id IN (
-    SELECT channel_id FROM initiative_order_channel WHERE app_name = 'call'))"""
-_ON_PHONE = """EXISTS (SELECT 1 FROM pms_campaign_chl_rel h
-  WHERE h.campaign_id = x.sub_campaign_id AND h.channel_id = 6)"""
+SELECT attr_value_id AS main_campaign_id, attr_value AS main_campaign_name,
+       campaign_id AS sub_campaign_id, campaign_name AS sub_campaign_name, region_id,
+       region_name, region_id_old
+FROM pms_campaign JOIN common_region USING (region_id)
+JOIN mkt_cam_conf_attr ON mkt_campaign_id = campaign_id
+WHERE attr_nbr = 'CATALOG' AND state = '10A' AND end_date > TIMESTAMP '1998-06-24 00:00:00'"""
+_APP_CHANNELS = "SELECT channel_id FROM initiative_order_channel WHERE app_name = 'call'"
+
+
+def _fan_out(everywhere: str, own_area: str, channels: str) -> str:
+    """Campaigns on one of the channels, in every listed area or in their own one."""
+    return f"""
+SELECT x.*, y.area AS latn_id
+FROM o_active x JOIN {_AREA_TABLE} y ON {everywhere}
+WHERE x.sub_campaign_id IN (SELECT campaign_id FROM pms_campaign_chl_rel
+                            WHERE channel_id IN ({channels}))
+UNION ALL
+SELECT x.*, {own_area} FROM o_active x
+WHERE NOT ({everywhere})
+  AND x.sub_campaign_id IN (SELECT campaign_id FROM pms_campaign_chl_rel
+                            WHERE channel_id IN ({channels}))"""
+
 
 # Derived views the oracle statements share; names start with o_.
 DERIVED = {
+    "o_held": """
+SELECT a.*, b.status_cd, b.dept_id, b.curr_user_id, b.latn_id AS ex_latn_id, b.last_opt_date,
+       b.is_success
+FROM initiative_order a JOIN initiative_order_executor b
+  ON (a.initiative_order_id, a.shard_id) = (b.initiative_order_id, b.shard_id)""",
+    "o_user_names": "SELECT system_user_id AS user_id, min(staff_name) AS user_name "
+                    "FROM system_user JOIN staff USING (staff_id) GROUP BY ALL",
+    "o_org_region": "SELECT org_id, common_region_id AS region_id FROM organization "
+                    "WHERE common_region_id IN (SELECT region_id FROM common_region)",
     "o_active": _ACTIVE,
-    "o_pairs_receive": f"""
-SELECT x.*, y.area AS latn_id FROM o_active x, {_AREA_TABLE} y
-WHERE coalesce(x.region_id_old, 888) = 999 AND {_ON_APP}
-UNION ALL
-SELECT x.*, coalesce(x.region_id_old, 888) FROM o_active x
-WHERE coalesce(x.region_id_old, 888) <> 999 AND {_ON_APP}""",
-    "o_pairs_outcall": f"""
-SELECT x.*, y.area AS latn_id FROM o_active x, {_AREA_TABLE} y
-WHERE x.region_id_old IS NULL AND {_ON_PHONE}
-UNION ALL
-SELECT x.*, x.region_id_old FROM o_active x
-WHERE x.region_id_old IS NOT NULL AND {_ON_PHONE}""",
-    "o_rules": _ACTIVE_RULES.format(pairs="p", source="o_active"),
-    "o_report_rules": _ACTIVE_RULES.format(pairs="p", source="callout_detail"),
+    "o_pairs_receive": _fan_out("ifnull(x.region_id_old, 888) = 999",
+                                "ifnull(x.region_id_old, 888)", _APP_CHANNELS),
+    "o_pairs_outcall": _fan_out("x.region_id_old IS NULL", "x.region_id_old", "6"),
+    "o_rules": _ranked("o_active"),
+    "o_report_rules": _ranked("callout_detail"),
     "o_rule_names": "SELECT main_campaign_id, sub_campaign_id, "
                     "count(DISTINCT suc_rule_id) AS valid_col_num, "
                     + ", ".join(f"min(CASE WHEN report_column = '{c}' THEN rule_name END) "
@@ -408,10 +416,9 @@ SELECT code, fir_grid_id, sec_grid_id, thi_grid_id, org_id FROM (
   FROM (SELECT org_jt_code AS code, fir_grid_id, sec_grid_id, thi_grid_id, org_id
         FROM grid_org_code_rel
         UNION SELECT org_jt_code, -2, -2, -2, -2 FROM grid_org_code_rel)) WHERE rn = 1""",
-    "o_receive_cand": _candidates("a.channel_id <> 6 AND coalesce(b.is_success, 0) = 0",
-                                  "a.shard_id"),
-    "o_area_cand": _candidates("a.channel_id = 6 AND a.shard_id <> 999", "a.shard_id"),
-    "o_prov_cand": _candidates("a.channel_id = 6 AND a.shard_id = 999", "a.latn_id"),
+    "o_receive_cand": _candidates("channel_id <> 6 AND ifnull(is_success, 0) = 0", "shard_id"),
+    "o_area_cand": _candidates("channel_id = 6 AND shard_id <> 999", "shard_id"),
+    "o_prov_cand": _candidates("channel_id = 6 AND shard_id = 999", "latn_id"),
     "o_receive_pairs": _pairs_of("o_receive_cand"),
     "o_receive_eval": _evaluated("o_receive_pairs"),
     "o_receive_first": _first("o_receive_eval"),
@@ -429,32 +436,32 @@ SELECT code, fir_grid_id, sec_grid_id, thi_grid_id, org_id FROM (
     "o_outcall_changes": _changed_outcall("outcall_target", "sys_bss_org"),
     "o_resolved": _resolved("o_outcall_changes", "sys_bss_org"),
     # the receive run
-    "o_run_r_new": _REGISTERED_RECEIVE.format(now=NOW, detail="receive_target"),
+    "o_run_r_new": _receive_registered("receive_target"),
     "o_run_r_before": f"SELECT * FROM o_receive_full UNION ALL SELECT {_RECEIVE_COLUMNS}, "
                       f"{_NULL_SUCCESS}, {_null_flags()} FROM o_run_r_new",
     "o_run_r_changes": _changed_receive("o_run_r_before",
-                                        _SCOPE.format(pairs="o_pairs_receive")),
+                                        _SCOPE.format("h", "o_pairs_receive")),
     "o_run_r_changed": _receive_applied("o_run_r_before", "o_run_r_changes", "*"),
     "o_run_r_cand": "SELECT a.* FROM o_receive_cand a WHERE true "
-                    + _SCOPE.format(pairs="o_pairs_receive"),
+                    + _SCOPE.format("a", "o_pairs_receive"),
     "o_run_r_pairs": _pairs_of("o_run_r_cand"),
     "o_run_r_eval": _evaluated("o_run_r_pairs"),
     "o_run_r_first": _first("o_run_r_eval"),
     "o_run_r_hits": "SELECT *, 1 AS success FROM o_run_r_first",
     # the outcall run
-    "o_run_c_new": _outcall_registered("area", "sys_bss_org_hq", "outcall_target")
-                   .replace("a.cust_id\n", "a.cust_id, NULL::INT AS city_region\n")
+    "o_run_c_new": _outcall_registered("area", "sys_bss_org_hq", "outcall_target",
+                                       ", NULL::INT AS city_region")
                    + "\nUNION ALL " + _outcall_registered("province", "sys_bss_org_hq",
-                                                          "outcall_target"),
+                                                          "outcall_target", _OWN_AREA),
     "o_run_c_before": f"SELECT * FROM o_outcall_full UNION ALL SELECT {_outcall_names(False)}, "
                       f"city_region, NULL, NULL, {_NULL_SUCCESS}, {_null_flags()} "
                       "FROM o_run_c_new",
     "o_run_c_changes": _changed_outcall("o_run_c_before", "sys_bss_org_hq",
-                                        _SCOPE.format(pairs="o_pairs_outcall")),
+                                        _SCOPE.format("h", "o_pairs_outcall")),
     "o_run_c_resolved": _resolved("o_run_c_changes", "sys_bss_org_hq"),
     "o_run_c_changed": _outcall_applied("o_run_c_before", "o_run_c_resolved", "*"),
     "o_run_c_cand": "SELECT a.* FROM o_outcall_cand a WHERE (a.shard_id <> 999 OR a.area "
-                    "BETWEEN 0 AND 9) " + _SCOPE.format(pairs="o_pairs_outcall"),
+                    "BETWEEN 0 AND 9) " + _SCOPE.format("a", "o_pairs_outcall"),
     "o_run_c_all_pairs": _pairs_of("o_run_c_cand"),
     "o_run_c_pairs": _skip("o_run_c_all_pairs", "outcall_target"),
     "o_run_c_eval": _evaluated("o_run_c_pairs"),
@@ -571,17 +578,18 @@ def _rebuilt() -> str:
 
 
 _CALLERS = f"""
-SELECT DISTINCT c.area_id AS region_id, p.bss_org_id AS prov_dept_id,
-       p.bss_org_name AS prov_dept_name, l.bss_org_id AS city_dept_id,
-       l.bss_org_name AS city_dept_name, g.bss_org_id AS team_dept_id,
-       g.bss_org_name AS team_dept_name, c.bss_org_id AS class_dept_id,
-       c.bss_org_name AS class_dept_name, u.user_id AS caller_id, u.user_name AS caller_name,
+SELECT DISTINCT class.area_id AS region_id, prov.bss_org_id AS prov_dept_id,
+       prov.bss_org_name AS prov_dept_name, city.bss_org_id AS city_dept_id,
+       city.bss_org_name AS city_dept_name, team.bss_org_id AS team_dept_id,
+       team.bss_org_name AS team_dept_name, class.bss_org_id AS class_dept_id,
+       class.bss_org_name AS class_dept_name, user_id AS caller_id, user_name AS caller_name,
        {DAY_BEFORE} AS sync_date
-FROM sys_bss_org c, sys_bss_org g, sys_bss_org l, sys_bss_org p, sys_user_job t, sys_user u
-WHERE c.bss_org_type_id = 4 AND c.up_bss_org_id = g.bss_org_id
-  AND g.up_bss_org_id = l.bss_org_id AND l.up_bss_org_id = p.bss_org_id
-  AND t.role_id IN (10004, 10070, 10071) AND t.user_id = u.user_id
-  AND t.bss_org_id = c.bss_org_id"""
+FROM sys_user_job job JOIN sys_user USING (user_id)
+JOIN sys_bss_org class ON class.bss_org_id = job.bss_org_id AND class.bss_org_type_id = 4
+JOIN sys_bss_org team ON team.bss_org_id = class.up_bss_org_id
+JOIN sys_bss_org city ON city.bss_org_id = team.up_bss_org_id
+JOIN sys_bss_org prov ON prov.bss_org_id = city.up_bss_org_id
+WHERE role_id = 10004 OR role_id BETWEEN 10070 AND 10071"""
 
 
 def _dimension_counts() -> str:
@@ -647,17 +655,14 @@ SELECT '19980701' AS run_day, 11 AS log_type, sub_campaign_id AS campaign_id,
 SELECT campaign_id, TRY_CAST(part AS INT) AS latn_id
 FROM (SELECT campaign_id, unnest(regexp_extract_all(areas, '[^,]+')) AS part
       FROM campaign_scope) WHERE TRY_CAST(part AS INT) IS NOT NULL""",
-    "receive_new_orders": _REGISTERED_RECEIVE.format(now=NOW, detail="detail"),
+    "receive_new_orders": _receive_registered("detail"),
     "outcall_new_orders_area": _outcall_registered("area", "sys_bss_org", "detail"),
-    "outcall_new_orders_province": _outcall_registered("province", "sys_bss_org_hq", "detail"),
+    "outcall_new_orders_province": _outcall_registered("province", "sys_bss_org_hq", "detail",
+                                                       _OWN_AREA),
     "outcall_org_resolution": "SELECT * EXCLUDE (user_name) FROM o_resolved",
     "outcall_rule_pairs": "SELECT list_id, campaign_id, area, status_cd, suc_rule_id, rel_id, "
                           "seq_no, old_is_success FROM o_outcall_pairs",
-    "orders_with_state": """
-SELECT a.*, b.status_cd, b.dept_id, b.curr_user_id, b.latn_id AS ex_latn_id, b.last_opt_date,
-       b.is_success
-FROM initiative_order a JOIN initiative_order_executor b
-  ON a.initiative_order_id = b.initiative_order_id AND a.shard_id = b.shard_id""",
+    "orders_with_state": "SELECT * FROM o_held",
     "receive_success_candidates": "SELECT * FROM o_receive_cand",
     "outcall_success_candidates": "SELECT * FROM o_area_cand",
     "outcall_candidates_province": "SELECT * FROM o_prov_cand",
@@ -665,27 +670,17 @@ FROM initiative_order a JOIN initiative_order_executor b
     "campaigns_by_area_outcall": "SELECT * FROM o_pairs_outcall",
     "success_rules_ranked": "SELECT * FROM o_rules",
     "org_hierarchy_flatten": _CALLERS,
-    "city_province": """
-SELECT city.area_id AS region_id, prov.bss_org_id AS prov_dept_id,
-       prov.bss_org_name AS prov_dept_name, city.bss_org_id AS city_dept_id,
-       city.bss_org_name AS city_dept_name
-FROM sys_bss_org prov, sys_bss_org city
-WHERE city.bss_org_type_id = 2 AND city.up_bss_org_id = prov.bss_org_id
-  AND prov.state = '10A' AND city.state = '10A'""",
+    "city_province": _cities("sys_bss_org"),
     "class_team_lookup": """
-SELECT b.bss_org_id AS class_dept_id, b.bss_org_name AS class_dept_name,
-       g.bss_org_id AS team_dept_id, g.bss_org_name AS team_dept_name
-FROM sys_bss_org b, sys_bss_org g
-WHERE b.up_bss_org_id = g.bss_org_id AND b.state = '10A' AND g.state = '10A'""",
-    "scalar_lookup": """
-SELECT list_id, org_id, (SELECT e.region_id FROM organization d, common_region e
-  WHERE d.common_region_id = e.region_id AND d.org_id = r.org_id) AS region_id
-FROM receive_detail r""",
-    "user_name_lookup": """
-SELECT initiative_order_id, curr_user_id,
-       (SELECT min(s.staff_name) FROM system_user u, staff s
-        WHERE u.system_user_id = e.curr_user_id AND s.staff_id = u.staff_id) AS user_name
-FROM initiative_order_executor e""",
+SELECT child.bss_org_id AS class_dept_id, child.bss_org_name AS class_dept_name,
+       parent.bss_org_id AS team_dept_id, parent.bss_org_name AS team_dept_name
+FROM sys_bss_org child JOIN sys_bss_org parent ON parent.bss_org_id = child.up_bss_org_id
+WHERE (child.state, parent.state) = ('10A', '10A')""",
+    "scalar_lookup": "SELECT list_id, org_id, region_id FROM receive_detail "
+                     "LEFT JOIN o_org_region USING (org_id)",
+    "user_name_lookup": "SELECT initiative_order_id, curr_user_id, user_name "
+                        "FROM initiative_order_executor "
+                        "LEFT JOIN o_user_names ON user_id = curr_user_id",
     "grid_lookup_top1": """
 SELECT e.initiative_order_id, e.dept_id,
        CAST(CASE WHEN e.dept_id IS NULL THEN -1 WHEN g.code IS NULL THEN -2
