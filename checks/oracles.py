@@ -635,7 +635,7 @@ WHERE z_mkt_campaign_id IN (1, 3) GROUP BY ALL""",
 SELECT TRY_CAST(initiative_order_id AS BIGINT) AS order_id,
        '活动[' || campaign_id || ']的工单[' || initiative_order_id || ']'
        || CASE WHEN dept_id IS NOT NULL AND TRY_CAST(dept_id AS BIGINT) IS NULL
-               THEN 'dept_id is not a valid bigint' ELSE 'curr_user_id is not a valid bigint' END AS errormsg,
+               THEN 'dept_id' ELSE 'curr_user_id' END || ' is not a valid bigint' AS errormsg,
        'p_order_receive_detail_call' AS pro_name, '-6502' AS errorcode
 FROM raw_executor
 WHERE (dept_id IS NOT NULL AND TRY_CAST(dept_id AS BIGINT) IS NULL)

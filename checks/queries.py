@@ -74,7 +74,7 @@ def _rule_tables(r: Roles) -> dict[str, DataFrame]:
 
 def _receive_evaluation(r: Roles) -> ru.Evaluation:
     rules = stage(_rules(r), "rules")
-    asked = stage(ru.rule_pairs(_candidates(r, "receive"), rules), "rule_pairs")
+    asked = stage(ru.rule_pairs(_candidates(r, "receive"), rules), "rule_pairs", "suc_rule_id")
     return ru.evaluate_rules(asked, ru.rule_texts(rules), _rule_tables(r))
 
 
@@ -86,7 +86,7 @@ def _outcall_pairs(r: Roles, rules: DataFrame) -> DataFrame:
 
 def _outcall_hits(r: Roles) -> DataFrame:
     rules = stage(_rules(r), "rules")
-    asked = stage(_outcall_pairs(r, rules), "rule_pairs")
+    asked = stage(_outcall_pairs(r, rules), "rule_pairs", "suc_rule_id")
     return ru.evaluate_rules(asked, ru.rule_texts(rules), _rule_tables(r)).successes()
 
 

@@ -22,8 +22,8 @@ def part_count(col: Column, sep: str) -> Column:
 def nth_part(col: Column, n: Column | int, sep: str, from_left: Column | bool = True) -> Column:
     """The n-th part counted from the left, else from the right.
 
-    NULL unless n is positive, and for a position out of range or an empty part. A NULL direction counts
-    from the right.
+    NULL unless n is positive, and for a position out of range or an empty part. A NULL
+    direction counts from the right.
     """
     position = F.lit(n) if isinstance(n, int) else n
     left = F.lit(from_left) if isinstance(from_left, bool) else F.coalesce(from_left, F.lit(False))

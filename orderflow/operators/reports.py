@@ -242,7 +242,8 @@ def receive_report(detail: DataFrame, *, level: str,
            F.count_distinct(F.when(claimed, F.col("org_id"))).alias("claimed_org_count")]
           if level == "sec" else []),
         *[total.alias(c) for c, total in _flag_sums(rows).items()])
-    counts = (_with_absent_flags(counts).withColumn("order_claimed_per", _ratio("claimed_count", "receive_num"))
+    counts = (_with_absent_flags(counts)
+              .withColumn("order_claimed_per", _ratio("claimed_count", "receive_num"))
               .withColumn("report_date", F.to_timestamp_ntz("report_day", F.lit("yyyy-MM-dd"))))
     grid = names["grid"]
 

@@ -172,8 +172,8 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
                    isolate: bool = False) -> Evaluation:
     """Evaluate every (order, rule) pair.
 
-    ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; it is read once per
-    rule, so pass a staged table. ``tables`` that a text names become temporary views. A rule
+    ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; each rule reads its
+    own rows, so pass a table staged by suc_rule_id. ``tables`` that a text names become temporary views. A rule
     Spark cannot compile fails for all its orders and is named in ``failed_rules``. With
     ``isolate`` the answers are staged, and the same goes for a rule that fails while running:
     only then are the rules run one by one to find it. A result that is not a number is logged

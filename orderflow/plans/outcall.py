@@ -72,7 +72,7 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                                         options.area_numbers(), as_of, options.purchase_days)
         # new rows and status changes carry no success, so the flags at the start suffice
         asked = stage(skip_logged(rule_pairs(candidates, rules), before, t["success_log"]),
-                      "rule_pairs")
+                      "rule_pairs", "suc_rule_id")
         return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
                                      null_is_success=options.null_is_success)
 

@@ -137,7 +137,7 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                                     pairs), "rules")
         candidates = success_candidates(held, t["customer_order_syn"], as_of, mode="receive",
                                         days=options.purchase_days)
-        asked = stage(rule_pairs(candidates, rules), "rule_pairs")
+        asked = stage(rule_pairs(candidates, rules), "rule_pairs", "suc_rule_id")
         return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
                                      null_is_success=options.null_is_success)
 

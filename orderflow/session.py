@@ -57,17 +57,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/orderflow/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
 
     Cuts the lineage, so several outputs share one computation and a lost executor costs a
     re-read. Spark also learns the true size: joins against a staged table broadcast it exactly
-    when it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise.
+    when it is below ``spark.sql.autoBroadcastJoinThreshold`` and shuffle it otherwise. With
+    ``by`` the table is partitioned by that column, large values spread over several tasks.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if by is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
