@@ -20,7 +20,7 @@ from checks.queries import QUERIES  # noqa: E402
 
 HEADLINE = (
     "dim_snapshot_distinct", "area_scan", "append_new_only", "replace_campaign_slice",
-    "active_campaigns", "day_window_purchases", "campaigns_by_area_receive",
+    "active_campaigns", "day_window", "campaigns_by_area_receive",
     "campaigns_by_area_outcall", "success_rules_ranked", "orders_with_state",
     "receive_new_orders", "outcall_new_orders_area", "receive_changed_orders",
     "outcall_org_resolution", "grid_lookup_top1", "user_name_lookup", "org_hierarchy_flatten",

@@ -645,7 +645,7 @@ UNION ALL {_errors('o_resolved')}""",
 SELECT '19980701' AS run_day, 11 AS log_type, sub_campaign_id AS campaign_id,
        {NOW} AS start_date, {NOW} AS end_date, latn_id FROM o_pairs_receive""",
     "active_campaigns": "SELECT * FROM o_active",
-    "day_window_purchases": f"SELECT * FROM customer_order_syn WHERE status_date >= "
+    "day_window": f"SELECT * FROM customer_order_syn WHERE status_date >= "
                             f"{MONTH_START} AND status_date < {DAY}",
     "day_window_open_start": f"SELECT * FROM initiative_order_executor WHERE last_opt_date > "
                              f"{YEAR_START} AND last_opt_date < {DAY}",

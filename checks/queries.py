@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.roles import AREAS, AS_OF, CHANGE_DAYS, PURCHASE_DAYS, Roles
-from orderflow.functions.clock import day_window
+from orderflow.functions import clock
 from orderflow.operators import apply as ap
 from orderflow.operators import campaigns as ca
 from orderflow.operators import lookups as lo
@@ -203,14 +203,14 @@ def active_campaigns(r):
 
 
 @query
-def day_window_purchases(r):
-    return day_window(r["customer_order_syn"], "status_date", AS_OF, PURCHASE_DAYS)
+def day_window(r):
+    return clock.day_window(r["customer_order_syn"], "status_date", AS_OF, PURCHASE_DAYS)
 
 
 @query
 def day_window_open_start(r):
-    return day_window(r["initiative_order_executor"], "last_opt_date", AS_OF, CHANGE_DAYS,
-                      closed_start=False)
+    return clock.day_window(r["initiative_order_executor"], "last_opt_date", AS_OF, CHANGE_DAYS,
+                            closed_start=False)
 
 
 @query
