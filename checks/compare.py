@@ -13,7 +13,7 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES
 from checks.roles import BASE_TABLES
 
-SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
                  "timestamp_ntz": "TIMESTAMP"}
 
 

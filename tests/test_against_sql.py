@@ -40,7 +40,9 @@ def staged_plans(monkeypatch):
 
 
 def test_contract():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql()) == set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
