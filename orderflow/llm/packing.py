@@ -21,11 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderflow.llm.bpe import PIECES, normalized
+from orderflow.llm.bpe import normalized, split_pieces
 from orderflow.llm.common import stage
 
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 #: Bins of lengths are this part of the length wide; solver rounds.
 BIN_PART, ROUNDS = 64, 400
 
@@ -77,7 +77,7 @@ class Encoder(dict):
         text = normalized(text)
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
             return self._direct(text)
-        words = PIECES.findall(text)
+        words = split_pieces(text)
         if new := [w for w in set(words) if w not in self]:
             if len(self) + len(new) > REMEMBERED:
                 self.clear()
