@@ -25,9 +25,13 @@ WORDS = bytes(b if b in _WORD else 32 for b in LOWER)
 
 _shipped: set[str] = set()
 
+#: Bytes of the rows that a Python worker gets at once.
+BATCH_BYTES = 8 << 20
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, wherever they run; once per application."""
+
+def prepare(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, and bound their batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -38,7 +42,7 @@ def ship_package(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -102,4 +106,4 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 __all__ = ["LOWER", "ROW_FILE", "ROW_INDEX", "ROW_KEY", "WORDS", "components", "fresh_path",
-           "hexed_ids", "keyed", "ship_package", "stage", "table"]
+           "hexed_ids", "keyed", "prepare", "stage", "table"]
