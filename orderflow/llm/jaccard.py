@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import LOWER, ROW_KEY, components, keyed, stage
@@ -24,8 +24,10 @@ from orderflow.llm.common import LOWER, ROW_KEY, components, keyed, stage
 REMEMBERED, SKETCH_BITS = 400_000, 20
 #: Shingles of a group, and of the queries that one task opens it for.
 GROUP_SHINGLES, QUERY_SHINGLES = 100_000, 4_000_000
-#: Bits of the map that tells a scan which rows are wanted.
-WANTED_BITS = 1 << 24
+#: Sets with an equal home from which on they are one group.
+GROUP_SETS = 8
+#: Bits of the maps that tell a scan which rows are wanted.
+MARK_BITS = 1 << 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT, _FINAL = np.uint64(31), np.uint64(0xD6E8FEB86659FD93)
@@ -99,12 +101,16 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
     return sketch
 
 
-SIGNED = ("row_file long, row_index long, doc_id long, n int, print binary, home long, "
+SIGNED = (f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, doc_id long, n int, print binary, home long, "
           "prefix array<long>")
 
 
 def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Each row's set size, set digest, smallest hash and rarest tokens, in the shared folder."""
+    """Each row's set size, set digest, home and rarest tokens, in the shared folder.
+
+    The home, by which sets are grouped, is the smallest hash in the rarer half of the tokens:
+    sets that share a frequent passage and little else have different homes.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequency_sketch(docs, size))
     shift = np.uint64(64 - SKETCH_BITS)
 
@@ -117,11 +123,11 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 n = len(tokens)
                 sizes.append(n)
                 prints.append(xxhash.xxh3_128_digest(tokens.tobytes()) if n else None)
-                homes.append(int(tokens[0].view(np.int64)) if n else None)
                 keep = n - -(-percent * n // 100) + 1 if n else 0
                 often = sketch[(tokens >> shift).astype(np.int64)]
                 if often.any():
                     tokens = tokens[np.argsort(often, kind="stable")]
+                homes.append(int(tokens[:n // 2 + 1].min().view(np.int64)) if n else None)
                 prefixes.append(tokens[:keep].view(np.int64))
                 lengths.append(lengths[-1] + keep)
             flat = np.concatenate([*prefixes, np.zeros(0, np.int64)])
@@ -135,65 +141,138 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return stage(rows.mapInArrow(sign, SIGNED), "signatures")
 
 
-def token_groups(sets: DataFrame) -> DataFrame:
-    """``sets`` with the group of each set: by smallest hash, split where a group is large."""
-    shingles = sets.groupBy("home").agg(F.sum("n").alias("all"), F.count("*").alias("sets"))
-    parts = F.ceil(F.col("all") / GROUP_SHINGLES)
-    return (sets.join(shingles, "home")
-            .withColumn("part", F.pmod(F.xxhash64("print"), parts))
-            .withColumn("group", F.xxhash64("home", "part"))
-            .select("print", "label", "n", "home", "prefix", *ROW_KEY, "group", "part",
-                    (F.col("sets") > 1).alias("shared"), (parts > 1).alias("split")))
+def token_groups(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets, one row each without its tokens, in groups of bounded size.
+
+    Sets with an equal home are one group, from ``GROUP_SETS`` sets on; a large one is split.
+    Other sets are groups of their own. Copies of a set are counted before they are shuffled, and
+    their tokens stay where they are. Beside the sets, the shared homes and the number of their
+    parts.
+    """
+    sets = rows.where("n > 0").groupBy("print").agg(
+        F.min(F.struct(*ROW_KEY, "n", "home")).alias("s"))
+    sets = stage(sets.select("print", "s.*"), "distinct_sets")
+    sizes = sets.groupBy("home").agg(F.sum("n").alias("all"), F.count("*").alias("sets"))
+    homes = stage(sizes.where(F.col("sets") >= GROUP_SETS).select(
+        "home", F.ceil(F.col("all") / GROUP_SHINGLES).alias("parts")), "shared_homes")
+    return stage(grouped(sets, homes), "sets"), homes
+
+
+def grouped(rows: DataFrame, homes: DataFrame) -> DataFrame:
+    """``rows`` with their group, whether it is ``shared`` by sets and its home ``split``."""
+    part = F.pmod(F.xxhash64("print"), F.col("parts"))
+    group = F.when(F.col("parts").isNull(), F.xxhash64("home", "print")).otherwise(
+        F.xxhash64("home", part))
+    return rows.join(homes, "home", "left").select(
+        *[rows[c] for c in rows.columns], group.alias("group"),
+        F.col("parts").isNotNull().alias("shared"),
+        F.coalesce(F.col("parts") > 1, F.lit(False)).alias("split"))
+
+
+def marks(df: DataFrame, *columns: str) -> np.ndarray:
+    """A bit map of fixed size with a bit set for the hash of each row's ``columns``."""
+    bits = np.zeros(MARK_BITS // 8, np.uint8)
+    words = (df.select(spot(*columns).alias("spot")).distinct()
+             .groupBy((F.col("spot") / 64).cast("long").alias("word"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(spot % 64 as int)))").alias("bits"))
+             .toArrow())  # at most MARK_BITS / 64 rows
+    bits.view(np.int64)[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bits
+
+
+def spot(*columns: str) -> Column:
+    """The place of a row's bit in a map of :func:`marks`."""
+    return F.pmod(F.xxhash64(*columns), F.lit(MARK_BITS))
 
 
-def candidate_groups(sets: DataFrame, percent: int) -> DataFrame:
+def marked(bits: np.ndarray, spots: pa.Array) -> np.ndarray:
+    """Whether the bits at ``spots`` are set."""
+    at = spots.to_numpy()
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def candidate_groups(rows: DataFrame, sets: DataFrame, homes: DataFrame, percent: int
+                     ) -> DataFrame:
     """Pairs of groups (``home_group`` < ``query_group``) whose members might be linked.
 
     The matrix has a row per token and group whose members' prefixes hold it, with their least
-    and greatest set size. Sizes too far apart cannot reach the threshold.
+    and greatest set size and the most tokens that follow it in a member. Three bounds hold for
+    linked sets of sizes x <= y, which share p (x + y) / (1 + p) tokens:
+
+    * what precedes a shared token in either set, itself and what follows it in either set are at
+      least as many;
+    * so are the m tokens that the prefixes share and what follows the last of these in either;
+    * m > p (x + y) / (1 + p) - p y, as else m and what follows the shorter prefix are too few.
+      That grows with x and falls with y, and a group's union shares at least what a member
+      shares: for groups this bound is taken at the least x and the greatest y.
     """
-    cells = sets.select(F.explode("prefix").alias("token"), "group", "n", "shared")
-    alone = cells.where(~F.col("shared")).select("token", "group", F.col("n").alias("low"),
-                                                 F.col("n").alias("high"))
-    union = cells.where("shared").groupBy("token", "group").agg(F.min("n").alias("low"),
-                                                                F.max("n").alias("high"))
+    sent = rows.sparkSession.sparkContext.broadcast(marks(sets, *ROW_KEY))
+
+    def first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.array(marked(sent.value, batch.column("spot"))))
+            yield pa.RecordBatch.from_arrays(batch.columns[:4],
+                                             names=["print", "n", "home", "prefix"])
+
+    # a copy that the bit map lets through by chance adds to a count, and never removes a pair
+    kept = rows.where("n > 0").select(
+        "print", "n", "home", "prefix", spot(*ROW_KEY).alias("spot")).mapInArrow(
+            first_copies, "print binary, n int, home long, prefix array<long>")
+    cells = grouped(kept, homes).select(
+        F.posexplode("prefix").alias("place", "token"), "group", "n", "shared").withColumn(
+            "rest", F.col("n") - F.col("place") - 1)
+    alone = cells.where(~F.col("shared")).select(
+        "token", "group", F.col("n").alias("low"), F.col("n").alias("high"), "rest", "shared")
+    union = cells.where("shared").groupBy("token", "group").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("rest").alias("rest"),
+        F.lit(True).alias("shared"))
     matrix = alone.union(union)
     a, b = matrix.alias("a"), matrix.alias("b")
+    p = percent / 100
     near = ((F.col("a.high") * 100 >= F.col("b.low") * percent)
             & (F.col("b.high") * 100 >= F.col("a.low") * percent))
-    return (a.join(b, (F.col("a.token") == F.col("b.token"))
-                   & (F.col("a.group") < F.col("b.group")) & near)
-            .select(F.col("a.group").alias("home_group"), F.col("b.group").alias("query_group"))
-            .distinct())
+    sets_only = ~F.col("a.shared") & ~F.col("b.shared")
+    rest = F.least("a.rest", "b.rest")
+    enough = p / (1 + p) * (F.col("a.low") + F.col("b.low")) - 1e-6
+    before = F.least(F.col("a.low") - F.col("a.rest"), F.col("b.low") - F.col("b.rest"))
+
+    def least(low: Column, high: Column) -> Column:
+        high = F.least(high.cast("double"), low / p)
+        return p * (low + high) / (1 + p) - p * F.greatest(low.cast("double"), high)
+
+    # sizes differ between a group's tokens, so the widest range of them counts
+    pairs = (a.join(b, (F.col("a.token") == F.col("b.token"))
+                    & (F.col("a.group") < F.col("b.group")) & near
+                    & (~sets_only | (before + rest >= enough)))
+             .groupBy(F.col("a.group").alias("home_group"), F.col("b.group").alias("query_group"))
+             .agg(F.count("*").alias("m"), F.min("a.low").alias("al"), F.max("a.high").alias("ah"),
+                  F.min("b.low").alias("bl"), F.max("b.high").alias("bh"),
+                  F.min(rest).alias("rest"), F.first(enough).alias("enough"),
+                  F.first(sets_only).alias("sets_only")))
+    return pairs.where(F.when(F.col("sets_only"), F.col("m") + F.col("rest") >= F.col("enough"))
+                       .otherwise(True)
+                       & (F.col("m") > F.least(least(F.col("al"), F.col("bh")),
+                                               least(F.col("bl"), F.col("ah"))) - 1e-6)
+                       ).select("home_group", "query_group")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Tokens of the wanted rows' sets: the columns of ``wanted`` and ``tokens``.
+    """Tokens of the wanted rows' sets, and by chance of a few others: row key and ``tokens``.
 
-    A bit map of fixed size lets the scan pass over most other rows; the join with ``wanted``
-    removes what it lets through by chance.
+    A bit map of fixed size lets the scan pass over most rows that are not wanted.
     """
-    spot = F.pmod(F.xxhash64(*ROW_KEY), F.lit(WANTED_BITS))
-    bits = np.zeros(WANTED_BITS // 8, np.uint8)
-    words = (wanted.select(spot.alias("spot")).distinct()
-             .groupBy((F.col("spot") / 64).cast("long").alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(spot % 64 as int)))").alias("bits"))
-             .toArrow())  # at most WANTED_BITS / 64 rows
-    bits.view(np.int64)[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sent = docs.sparkSession.sparkContext.broadcast(marks(wanted, *ROW_KEY))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.unpackbits(sent.value, bitorder="little").view(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(marks[batch.column(3).to_numpy()]))
+            batch = batch.filter(pa.array(marked(sent.value, batch.column(3))))
             tokens = [np.unique(shingle_hashes(t, size)).tobytes() for t in _texts(batch, 2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(tokens, pa.binary())],
                 names=[*ROW_KEY, "tokens"])
 
-    rows = docs.select(*ROW_KEY, F.col("text").cast("string"), spot.alias("spot"))
-    found = rows.mapInArrow(read, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, tokens binary")
-    return found.join(wanted, ROW_KEY)
+    rows = docs.select(*ROW_KEY, F.col("text").cast("string"), spot(*ROW_KEY).alias("spot"))
+    return rows.mapInArrow(read, f"{ROW_KEY[0]} long, {ROW_KEY[1]} long, tokens binary")
 
 
 class Group:
@@ -223,28 +302,41 @@ class Group:
 
 
 EDGE = "a binary, b binary"
+#: What a set is in an opened group.
+MEMBER, BOTH, QUERY = 0, 1, 2
 
 
-def open_groups(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of the paired groups, as few as connect what is linked.
+def open_groups(docs: DataFrame, own: DataFrame, pairs: DataFrame, sets: DataFrame, size: int,
+                percent: int) -> DataFrame:
+    """Links between members of the ``own`` groups and of the paired ones, as few as connect
+    what is linked, in the shared folder.
 
-    ``sets`` has group, print, label, n and tokens. A task holds one group's members and streams
-    the queries; a group with many queries is opened by several tasks. Sets with an equal label
-    are known to be connected and not compared.
+    ``own`` has ``group``, ``pairs`` home_group and query_group, ``sets`` group, print, n, label
+    and the row key. Where the sets go is worked out without their tokens; then the tokens are
+    taken from the texts and sent there once. A task holds one group's members and streams the
+    queries; a group with many queries is opened by several tasks. Sets with an equal label are
+    known to be connected and not compared.
     """
-    load = (pairs.join(sets.groupBy("group").agg(F.sum("n").alias("load"))
-                       .withColumnRenamed("group", "query_group"), "query_group")
-            .groupBy("home_group").agg(F.sum("load").alias("load"))
-            .withColumn("chunks", F.ceil(F.col("load") / QUERY_SHINGLES)))
-    columns = ["print", "label", "tokens"]
-    homes = (sets.join(load, sets["group"] == load["home_group"])
+    loads = sets.groupBy("group").agg(F.sum("n").alias("load"))
+    asked = (pairs.join(loads.withColumnRenamed("group", "query_group"), "query_group")
+             .groupBy(F.col("home_group").alias("group"))
+             .agg(F.ceil(F.sum("load") / QUERY_SHINGLES).alias("chunks")))
+    every = asked.join(own.select("group", F.lit(True).alias("own")), "group", "full").select(
+        "group", F.coalesce("chunks", F.lit(1)).cast("long").alias("chunks"),
+        F.coalesce("own", F.lit(False)).alias("own"))
+    every = stage(every, "opened_groups")
+    columns = ["print", "label", *ROW_KEY]
+    chunk = F.pmod(F.xxhash64("print"), F.col("chunks"))
+    homes = (sets.join(every, "group")
              .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"),
                                                        F.col("chunks") - 1)))
-             .select("home_group", "chunk", F.lit(False).alias("query"), *columns))
-    queries = (pairs.join(sets, pairs["query_group"] == sets["group"])
-               .join(load.select("home_group", "chunks"), "home_group")
-               .select("home_group", F.pmod(F.xxhash64("print"), F.col("chunks")).alias("chunk"),
-                       F.lit(True).alias("query"), *columns))
+             .select(F.col("group").alias("home_group"), "chunk",
+                     F.when(F.col("own") & (F.col("chunk") == chunk), BOTH).otherwise(MEMBER)
+                     .alias("role"), *columns))
+    queries = (pairs.join(sets, pairs["query_group"] == sets["group"]).drop("group")
+               .join(every.select(F.col("group").alias("home_group"), "chunks"), "home_group")
+               .select("home_group", chunk.alias("chunk"), F.lit(QUERY).alias("role"), *columns))
+    routes = stage(homes.union(queries), "routes")
     key = ["home_group", "chunk"]
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,8 +349,11 @@ def open_groups(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     [pa.array([f[i] for f in found], pa.binary()) for i in range(2)],
                     names=["a", "b"])
 
-    together = homes.union(queries).repartition(*key).sortWithinPartitions(*key, "query", "print")
-    return together.mapInArrow(links, EDGE)
+    # routes grow with the texts, so they are never broadcast and the plan is the same at any size
+    sent = full_sets(docs, routes, size).join(routes.hint("merge"), ROW_KEY).drop(*ROW_KEY)
+    sent = sent.select(*key, "role", "print", "label", "tokens")
+    together = sent.repartition(*key).sortWithinPartitions(*key, "role", "print")
+    return stage(together.mapInArrow(links, EDGE), "links")
 
 
 def _open(rows: Iterator[tuple], percent: int) -> Iterator[tuple[bytes, bytes]]:
@@ -270,21 +365,26 @@ def _open(rows: Iterator[tuple], percent: int) -> Iterator[tuple[bytes, bytes]]:
             x = up
         return x
 
-    prints, labels, sets, group = [], [], [], None
-    for _, _, query, print_, label, tokens in rows:
-        tokens = np.frombuffer(tokens, np.uint64)
-        if not query:
-            prints.append(print_)
-            labels.append(label)
-            sets.append(tokens)
-            continue
-        if group is None:
-            group = Group(prints, labels, sets)
-            same = set(labels)
-        if same == {label} and label is not None:
+    prints, labels, sets, both = [], [], [], []
+    first_query = None
+    for _, _, role, print_, label, tokens in rows:
+        if role == QUERY:
+            first_query = (print_, label, np.frombuffer(tokens, np.uint64))
+            break
+        if role == BOTH:
+            both.append(len(prints))
+        prints.append(print_)
+        labels.append(label)
+        sets.append(np.frombuffer(tokens, np.uint64))
+    group, same = Group(prints, labels, sets), set(labels)
+    asked = itertools.chain(
+        ((prints[i], labels[i], sets[i]) for i in both), [first_query] if first_query else [],
+        ((r[3], r[4], np.frombuffer(r[5], np.uint64)) for r in rows))
+    for print_, label, tokens in asked:
+        if label is not None and same == {label}:
             continue
         for m in group.linked(tokens, percent).tolist():
-            other = group.prints[m]
+            other = prints[m]
             if other != print_ and (a := find(other)) != (b := find(print_)):
                 root[a] = b
                 yield other, print_
@@ -293,50 +393,49 @@ def _open(rows: Iterator[tuple], percent: int) -> Iterator[tuple[bytes, bytes]]:
 def links(docs: DataFrame, size: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """Signatures of all rows of ``docs`` (keyed), and links that connect their distinct sets.
 
-    First each group is opened for its own members and, where a smallest hash has several groups,
-    for one of its sets; that is linear in the texts and connects most copies of a text. What is
-    connected then is not compared again when the other candidate groups are opened.
+    First the groups of split homes are opened for their own members and for one set of the home;
+    that is linear in the copies of a much-copied text and connects most of them. Then all groups
+    are opened for their own members and for their candidates, but those whose members are all
+    connected already are not opened for each other.
     """
     rows = signatures(docs, size, percent)
-    sets = rows.where("n > 0").groupBy("print").agg(
-        F.first(F.struct("n", "home", "prefix", "row_file", "row_index")).alias("s"))
-    sets = sets.select(
-        "print", F.lit(None).cast("binary").alias("label"), "s.n", "s.home", "s.prefix",
-        F.col("s.row_file").alias(ROW_KEY[0]), F.col("s.row_index").alias(ROW_KEY[1]))
-    sets = stage(token_groups(sets), "sets")
-    pairs = stage(candidate_groups(sets, percent), "group_pairs")
-    wanted = (pairs.select(F.col("home_group").alias("group"))
-              .union(pairs.select("query_group"))
-              .union(sets.where("shared").select("group")).distinct())
-    slim = sets.drop("prefix").join(wanted, "group", "left_semi")
-    opened = stage(full_sets(docs, stage(slim, "wanted"), size), "open_sets")
-
-    own = opened.where("shared").select("group").distinct()
-    own = own.select(F.col("group").alias("home_group"), F.col("group").alias("query_group"))
-    heads = (opened.where("split").groupBy("home").agg(F.min("print").alias("print"))
-             .join(opened.select("print", "tokens", "n"), "print"))
-    first = (opened.where("split").select("home", "group").distinct()
-             .join(heads, "home"))
+    sets, homes = token_groups(rows)
+    pairs = stage(candidate_groups(rows, sets, homes, percent), "group_pairs")
+    slim = ["group", "print", "n", *ROW_KEY]
+    split = sets.where("split").withColumn("label", F.lit(None).cast("binary"))
     # the head of a split home is a query to all its groups, under a group of its own
-    heads = heads.select("print", F.lit(None).cast("binary").alias("label"), "n",
-                         F.xxhash64("home", F.lit(-1)).alias("group"), "tokens")
-    first = first.select(F.col("group").alias("home_group"),
-                         F.xxhash64("home", F.lit(-1)).alias("query_group"))
-    slim_sets = opened.select("print", "label", "n", "group", "tokens")
-    near = stage(open_groups(own.union(first), slim_sets.union(heads), percent), "near_links")
+    head_group = F.xxhash64("home", F.lit(-1))
+    heads = split.groupBy("home").agg(
+        F.min(F.struct("print", "n", *ROW_KEY)).alias("s")).select(
+            head_group.alias("group"), "s.*", F.lit(None).cast("binary").alias("label"))
+    to_heads = split.select(F.col("group").alias("home_group"),
+                            head_group.alias("query_group")).distinct()
+    near = open_groups(docs, split.select("group").distinct(), to_heads,
+                       split.select(*slim, "label").union(heads.select(*slim, "label")), size,
+                       percent)
 
     label = components(near).select(F.col("node").alias("print"), F.col("root").alias("label"))
-    labelled = stage(slim_sets.drop("label").join(label, "print", "left")
-                     .select("print", "label", "n", "group", "tokens"), "labelled")
+    own = sets.where("shared and not split").select("group").distinct()
+    of_pairs = (pairs.select(F.col("home_group").alias("group"))
+                .union(pairs.select("query_group")).union(own))
+    labelled = stage(sets.join(of_pairs.distinct(), "group", "left_semi").select(*slim)
+                     .join(label, "print", "left").select(*slim, "label"), "labelled")
     pure = labelled.groupBy("group").agg(
         F.when((F.min("label") == F.max("label")) & (F.count("label") == F.count("*")),
                F.min("label")).alias("only"))
-    left = (pairs.join(pure.select(F.col("group").alias("home_group"),
-                                   F.col("only").alias("a")), "home_group")
-            .join(pure.select(F.col("group").alias("query_group"), F.col("only").alias("b")),
-                  "query_group")
-            .where("a is null or b is null or a <> b").select("home_group", "query_group"))
-    far = stage(open_groups(left, labelled, percent), "far_links")
+    pure = pure.join(labelled.groupBy("group").agg(F.sum("n").alias("load")), "group")
+
+    def side(pair: str, group: str) -> DataFrame:
+        return pure.select(F.col("group").alias(pair), F.struct("load", "group", "only")
+                           .alias(group))
+
+    # the smaller group's members are sent to the larger one
+    left = (pairs.join(side("home_group", "a"), "home_group")
+            .join(side("query_group", "b"), "query_group")
+            .where("a.only is null or b.only is null or a.only <> b.only")
+            .select(F.greatest("a", "b")["group"].alias("home_group"),
+                    F.least("a", "b")["group"].alias("query_group")))
+    far = open_groups(docs, own, stage(left, "left_pairs"), labelled, size, percent)
     return rows, near.union(far)
 
 
@@ -354,8 +453,7 @@ def similar_documents(docs: DataFrame, size: int = 4, percent: int = 85) -> Data
     """
     docs = keyed(docs)
     rows, found = links(docs, size, percent)
-    slim = rows.select(F.col("row_file").alias(ROW_KEY[0]), F.col("row_index").alias(ROW_KEY[1]),
-                       "doc_id", F.col("n").cast("long").alias("n_shingles"), "print")
+    slim = rows.select(*ROW_KEY, "doc_id", F.col("n").cast("long").alias("n_shingles"), "print")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *ROW_KEY)
     least = slim.where("print is not null").groupBy("print").agg(F.min(order).alias("least"))
     member = components(found).select(F.col("node").alias("print"), "root")
