@@ -40,6 +40,20 @@ def prepare(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+_held: dict = {}
+
+
+def worker_memory(name: str, make):
+    """What a Python worker keeps between its tasks: one thing, that of the last ``name``.
+
+    A worker serves one operator after the other, so what the earlier one kept is let go.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     prepare(spark)
@@ -106,4 +120,5 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 __all__ = ["LOWER", "ROW_FILE", "ROW_INDEX", "ROW_KEY", "WORDS", "components", "fresh_path",
-           "hexed_ids", "keyed", "prepare", "stage", "table"]
+           "hexed_ids", "keyed", "prepare", "stage", "table",
+           "worker_memory"]

@@ -17,10 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ROW_KEY, WORDS, hexed_ids, keyed, stage
+from orderflow.llm.common import ROW_KEY, WORDS, hexed_ids, keyed, stage, worker_memory
 
 #: Words of a segment (one longer document makes a longer one) and windows of a query block.
 SEGMENT_WORDS, BLOCK_WINDOWS = 400_000, 200_000
+#: Candidates that are intersected at a time (one window's may be more).
+CANDIDATES = 100_000
 
 SEGMENT = ("segment long, row_file array<long>, row_index array<long>, doc_ids array<long>, "
            "starts array<int>, n_words array<int>, terms binary, counts binary, positions binary")
@@ -46,6 +48,7 @@ def build_index(docs: DataFrame, gap: int = 64) -> DataFrame:
     positions lie between documents, so no window of up to that many words matches across them.
     """
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_memory("index", dict)
         task, number = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         ids: list[np.ndarray] = []
@@ -152,10 +155,20 @@ def occurrences(block: Block, terms: list[bytes], counts: np.ndarray, positions:
     ends = np.cumsum(counts)
     keys = (np.repeat(np.arange(len(counts), dtype=np.int64), counts) << 32) + positions
     rarest = rows[np.arange(len(rows)), order[:, 0]]
-    many = counts[rarest]
-    window = np.repeat(np.arange(len(rows)), many)
+    part = np.cumsum(counts[rarest]) // CANDIDATES
+    found = [_intersect(np.flatnonzero(part == x), rows, used, order, rarest, counts, ends,
+                        positions, keys, slop) for x in np.unique(part)]
+    window, start, exact = (np.concatenate(x) for x in zip(*found, strict=True))
+    return alive[window], start, start + order[window, 0], exact
+
+
+def _intersect(windows: np.ndarray, rows: np.ndarray, used: np.ndarray, order: np.ndarray,
+               rarest: np.ndarray, counts: np.ndarray, ends: np.ndarray, positions: np.ndarray,
+               keys: np.ndarray, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    many = counts[rarest[windows]]
+    window = np.repeat(windows, many)
     inside = np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many)
-    start = positions[np.repeat(ends[rarest] - many, many) + inside] - order[window, 0]
+    start = positions[np.repeat(ends[rarest[windows]] - many, many) + inside] - order[window, 0]
     far = np.zeros(len(window), np.int64)
     for k in range(1, rows.shape[1]):
         column = order[window, k]
@@ -170,7 +183,7 @@ def occurrences(block: Block, terms: list[bytes], counts: np.ndarray, positions:
         window, start = window[keep], start[keep]
         if not len(window):
             break
-    return alive[window], start, start + order[window, 0], far == 0
+    return window, start, far == 0
 
 
 def search(index: DataFrame, benchmark: DataFrame, length: int = 10, slop: int = 2) -> DataFrame:
