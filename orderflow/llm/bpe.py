@@ -10,10 +10,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflow.llm.common import worker_memory
+
 #: Fixed value: the vocabulary's own split pattern.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -24,14 +25,12 @@ COMMON_PIECES = re.compile(rf"[{_LETTER}]+|[{_NUMBER}]|'(?:s|t|re|ve|m|ll|d)|"
 _HIGHER = bytes(range(0xC9, 0x100))
 
 #: Words remembered per Python worker; beyond it the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 #: Lower-case letters of the vocabulary's library that Python's tables lack, and the
 #: sigma, which has one lower-case form there.
 LOWER_ALSO = {"Σ": "σ", "\uA7CB": "\u0264", "\uA7DC": "\u019B"}
 
-_counters: dict[str, "Counter"] = {}
-
 
 def _byte_letters() -> list[str]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
@@ -147,13 +146,6 @@ def _no_higher(text: bytes) -> bool:
     return len(text.translate(None, _HIGHER)) == len(text)
 
 
-def _counter(name: str, merges: Broadcast) -> Counter:
-    if name not in _counters:
-        _counters.clear()
-        _counters[name] = Counter(merges.value)
-    return _counters[name]
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFrame:
     """Tokens of every whole text, without producing identifiers.
 
@@ -167,7 +159,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
     merges = spark.sparkContext.broadcast(read_merges(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(vocabulary, merges)
+        counter = worker_memory(f"counter {vocabulary}", lambda: Counter(merges.value))
         for batch in batches:
             sizes, tokens = [], []
             for text in batch.column(1).cast(pa.large_binary()):

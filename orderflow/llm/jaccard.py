@@ -18,10 +18,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import LOWER, ROW_KEY, components, keyed, stage
+from orderflow.llm.common import LOWER, ROW_KEY, components, keyed, stage, worker_memory
 
 #: Words remembered per Python worker; counters of the frequency sketch (powers of two).
-REMEMBERED, SKETCH_BITS = 400_000, 20
+REMEMBERED, SKETCH_BITS = 250_000, 20
 #: Shingles of a group, and of the queries that one task opens it for.
 GROUP_SHINGLES, QUERY_SHINGLES = 100_000, 4_000_000
 #: Sets with an equal home from which on they are one group.
@@ -39,8 +39,6 @@ class _Words(dict):
         return n
 
 
-_words = _Words()
-
 
 def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
     """64-bit hashes of a text's runs of ``size`` words, repeated ones too.
@@ -49,9 +47,10 @@ def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
     not none, is one shingle.
     """
     found = (text or b"").translate(LOWER).split()
-    if len(_words) > REMEMBERED:
-        _words.clear()
-    words = np.fromiter(map(_words.__getitem__, found), np.uint64, len(found))
+    hashes = worker_memory("words", _Words)
+    if len(hashes) > REMEMBERED:
+        hashes.clear()
+    words = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     if not len(words):
         return words
     runs = max(1, len(words) - size + 1)

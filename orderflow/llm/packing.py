@@ -22,18 +22,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.bpe import normalized, split_pieces
-from orderflow.llm.common import stage
+from orderflow.llm.common import stage, worker_memory
 
 #: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Bins of lengths are this part of the length wide; solver rounds.
 BIN_PART, ROUNDS = 64, 400
 
 PIECE = ("doc_id long, doc_tokens long, start long, length int, ids_crc32 long, task int, "
          "nth long")
 
-_encoders: dict[str, "Encoder"] = {}
-
 
 class Encoder(dict):
     """Token ids of whole texts as unsigned 32-bit little-endian bytes; ids by word remembered.
@@ -86,12 +84,6 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, words))
 
 
-def _encoder(vocabulary: str) -> Encoder:
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
-
-
 def pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFrame:
     """Each document's tokens cut into full windows and a rest, one row per piece.
 
@@ -99,7 +91,8 @@ def pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFr
     be sorted or counted with others of a frequent length.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = _encoder(vocabulary), TaskContext.get().partitionId()
+        encoder = worker_memory(f"encoder {vocabulary}", lambda: Encoder(vocabulary))
+        task = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
