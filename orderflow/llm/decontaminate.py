@@ -173,7 +173,7 @@ def _intersect(windows: np.ndarray, rows: np.ndarray, used: np.ndarray, order: n
     for k in range(1, rows.shape[1]):
         column = order[window, k]
         checked = used[window, column]
-        want = (rows[window, column] << 32) + np.maximum(start + column, 0)
+        want = (rows[window, column] << 32) + start + column
         at = np.minimum(np.searchsorted(keys, want - slop), len(keys) - 1)
         exact_at = np.minimum(np.searchsorted(keys, want), len(keys) - 1) if slop else at
         off = np.abs(keys[at] - want)
@@ -308,5 +308,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     Rows without a text or words are kept.
     """
     rows = keyed(docs)
-    bad = contamination(docs, benchmark, length, slop=0).where("contaminated").select(*ROW_KEY)
+    bad = contamination(rows, benchmark, length, slop=0).where("contaminated").select(*ROW_KEY)
     return rows.join(bad, ROW_KEY, "left_anti").drop(*ROW_KEY)

@@ -82,7 +82,7 @@ class Model:
                 rows = self._blend(seen, lower)
                 all_rows = rows if k == 0 else np.concatenate([all_rows, rows])
             table[:, :, language] = -np.log2(all_rows)
-        self.bits = table.reshape(-1, len(languages))
+        self.bits = table.reshape(len(table) * SYMBOLS, len(languages))
 
     @staticmethod
     def _suffix(codes: np.ndarray, k: int, nodes: list[np.ndarray], first: np.ndarray
