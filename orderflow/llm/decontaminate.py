@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import ROW_KEY, WORDS, hexed_ids, keyed, stage, worker_memory
 
 #: Words of a segment (one longer document makes a longer one) and windows of a query block.
-SEGMENT_WORDS, BLOCK_WINDOWS = 400_000, 200_000
+SEGMENT_WORDS, BLOCK_WINDOWS = 100_000, 200_000
 #: Candidates that are intersected at a time (one window's may be more).
 CANDIDATES = 100_000
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from orderflow.llm.common import LOWER, ROW_KEY, components, keyed, stage, worker_memory
 
 #: Words remembered per Python worker; counters of the frequency sketch (powers of two).
-REMEMBERED, SKETCH_BITS = 250_000, 20
+REMEMBERED, SKETCH_BITS = 120_000, 20
 #: Shingles of a group, and of the queries that one task opens it for.
 GROUP_SHINGLES, QUERY_SHINGLES = 100_000, 4_000_000
 #: Sets with an equal home from which on they are one group.
@@ -82,7 +82,7 @@ def frequency_sketch(docs: DataFrame, size: int) -> np.ndarray:
             for text in _texts(batch, 0):
                 held.append((shingle_hashes(text, size) >> shift).astype(np.int64))
                 many += len(held[-1])
-                if many > 1 << 21:
+                if many > 1 << 19:
                     total += np.bincount(np.concatenate(held), minlength=len(total))
                     held, many = [], 0
         if held:
