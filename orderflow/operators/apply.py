@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf, instant
 from orderflow.operators.campaigns import MAX_RULES
+from orderflow.operators.quality import error_log
 
 FLAG_COLUMNS = tuple(f"col_{i}" for i in range(1, MAX_RULES + 1))
 _FLAGS = dict.fromkeys(FLAG_COLUMNS, "int")
@@ -105,16 +106,24 @@ def apply_outcall_changes(detail: DataFrame, resolved: DataFrame, as_of: AsOf, *
 def flag_columns(hits: DataFrame, columns: tuple[str, ...] = FLAG_COLUMNS) -> DataFrame:
     """One row per order: the column a successful rule names in ``report_column`` is 1.
 
-    The column name is compared as data; an unknown name fails the job.
+    The column name is compared as data; a rule with an unknown name succeeds without a flag (see
+    :func:`unknown_columns`).
     """
-    unknown = F.raise_error(F.concat(F.lit("unknown report column "), F.col("report_column")))
-    named = hits.withColumn("report_column", F.lower("report_column")).withColumn(
-        "report_column", F.when(F.col("report_column").isin(*columns), F.col("report_column"))
-        .otherwise(unknown.cast("string")))
+    named = hits.withColumn("report_column", F.lower("report_column")).where(
+        F.col("report_column").isin(*columns))
     return named.groupBy("list_id").agg(*[
         F.max(F.when(F.col("report_column") == c, F.lit(1))).alias(c) for c in columns])
 
 
+def unknown_columns(hits: DataFrame, job: str,
+                    columns: tuple[str, ...] = FLAG_COLUMNS) -> DataFrame:
+    """Error rows of successful rules whose ``report_column`` the report does not have."""
+    odd = hits.where(~F.coalesce(F.lower("report_column").isin(*columns), F.lit(False)))
+    return error_log(odd, job, "list_id",
+                     F.concat(F.lit("unknown report column "),
+                              F.coalesce("report_column", F.lit("NULL"))), F.lit("-904"))
+
+
 def apply_flags(detail: DataFrame, hits: DataFrame) -> DataFrame:
     """Set the rule columns of successful orders; a set flag is never cleared."""
     return apply_changes(detail, flag_columns(hits), "list_id", {

@@ -100,12 +100,11 @@ def campaigns_by_area(active: DataFrame, channel_rel: DataFrame, *, mode: str,
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def success_rules(rules: DataFrame, rel: DataFrame, campaigns: DataFrame, *,
-                  max_rules: int = MAX_RULES) -> DataFrame:
+def success_rules(rules: DataFrame, rel: DataFrame, campaigns: DataFrame) -> DataFrame:
     """Rules attached both to the main campaign and to the sub-campaign, ranked per pair.
 
-    Evaluation order is the main campaign's ``seq``; ties go by rule and relation id. More than
-    ``max_rules`` rules on one pair is a configuration error and fails the job.
+    Evaluation order is the main campaign's ``seq``; ties go by rule and relation id. All rules of
+    a pair are ranked, however many there are; only the report has ``MAX_RULES`` columns.
     """
     pairs = campaigns.select("main_campaign_id", "sub_campaign_id").distinct()
     main = rel.where(F.col("rel_type") == 1).select(
@@ -120,10 +119,4 @@ def success_rules(rules: DataFrame, rel: DataFrame, campaigns: DataFrame, *,
                 .join(usable, "suc_rule_id"))
     order = (W.partitionBy("main_campaign_id", "sub_campaign_id")
              .orderBy(F.col("seq").asc_nulls_last(), "suc_rule_id", "rel_id"))
-    number = F.row_number().over(order)
-    too_many = F.concat(F.lit(f"more than {max_rules} rules for campaign "),
-                        F.col("sub_campaign_id").cast("string"))
-    ranked = attached.withColumn("seq_no", number)
-    return ranked.withColumn("seq_no", F.when(F.col("seq_no") > max_rules,
-                                              F.raise_error(too_many).cast("int"))
-                             .otherwise(F.col("seq_no")))
+    return attached.withColumn("seq_no", F.row_number().over(order))

@@ -33,11 +33,15 @@ PLACEHOLDERS = {
     "SUCRULEID": "suc_rule_id", "RELID": "rel_id", "LATN_ID": "area",
 }
 
+# A result as an id: a whole number, also one written as a decimal or with an exponent.
+_DECIMAL = "try_cast({v} AS DECIMAL(38, 6))"
+_WHOLE = f"try_cast({_DECIMAL} AS BIGINT)"
+_ID = f"CASE WHEN {_DECIMAL} = {_WHOLE} THEN {_WHOLE} END"
 # How the rows of one rule answer become one value: rows in total, unusable ones, and the
 # smallest number that is neither NULL nor the no-row mark.
 _REDUCE = f"""count_if(v IS NULL) AS nulls,
-       count_if(v IS NOT NULL AND try_cast(v AS BIGINT) IS NULL) AS bad,
-       min(try_cast(v AS BIGINT)) FILTER (WHERE v <> '{NO_ROW}') AS value"""
+       count_if(v IS NOT NULL AND {_ID.format(v="v")} IS NULL) AS bad,
+       min({_ID.format(v="v")}) FILTER (WHERE {_ID.format(v="v")} <> {NO_ROW}) AS value"""
 
 
 @dataclass(frozen=True)
@@ -219,9 +223,9 @@ def reduce_rule_rows(raw: DataFrame, null_is_success: bool = True) -> DataFrame:
 
     The smallest number other than the no-row mark; only NULLs give a hit without a value.
     """
-    rows = raw.withColumnRenamed("value", "v")
+    rows = raw.withColumnRenamed("value", "v").withColumn("id", F.expr(_ID.format(v="v")))
     return with_success(rows.groupBy("list_id", "suc_rule_id").agg(
         F.count_if(F.col("v").isNull()).alias("nulls"),
-        F.count_if(F.col("v").isNotNull() & F.col("v").try_cast("bigint").isNull()).alias("bad"),
-        F.min(F.when(F.col("v") != NO_ROW, F.col("v").try_cast("bigint"))).alias("value")),
+        F.count_if(F.col("v").isNotNull() & F.col("id").isNull()).alias("bad"),
+        F.min(F.when(F.col("id") != int(NO_ROW), F.col("id"))).alias("value")),
         null_is_success)

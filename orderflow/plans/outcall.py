@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf
 from orderflow.operators.apply import (OUTCALL_DETAIL, apply_flags, apply_outcall_changes,
-                                       success_log)
+                                       success_log, unknown_columns)
 from orderflow.operators.campaigns import (PROVINCE_AREA, active_campaigns, campaigns_by_area,
                                            success_rules)
 from orderflow.operators.orders import (changed_outcall, in_scope, new_outcall_orders,
@@ -20,8 +20,8 @@ from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, r
                                        skip_logged, success_candidates)
 from orderflow.operators.success import (outcall_success, outcall_success_detail,
                                          outcall_success_executor)
-from orderflow.plans.receive import (RunOptions, rule_failures, running_slice, touched,
-                                     with_success_columns)
+from orderflow.plans.receive import (RunOptions, numeric_departments, rule_failures,
+                                     running_slice, touched, with_success_columns)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
@@ -51,9 +51,9 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                                     areas=options.areas), "pairs")
     before = running_slice(conform(t["callout_detail"], OUTCALL_DETAIL), "sub_campaign_id",
                            pairs, options)
+    executors, dept_errors = numeric_departments(t["initiative_order_executor"], OUTCALL_JOB)
     # the big join once, for the running campaigns' orders only; all steps read its result
-    held = stage(in_scope(orders_with_state(t["initiative_order"],
-                                            t["initiative_order_executor"]), pairs), "held")
+    held = stage(in_scope(orders_with_state(t["initiative_order"], executors), pairs), "held")
 
     def registration() -> tuple[DataFrame, DataFrame]:
         cities = stage(city_with_province(t["sys_bss_org"]), "cities")
@@ -90,7 +90,8 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "new_orders": new,
         "success_log": success_log(hits, as_of, -1),
         "errors": outcall_errors(resolved).unionByName(
-            rule_failures(evaluated, asked, OUTCALL_JOB)),
+            rule_failures(evaluated, asked, OUTCALL_JOB)).unionByName(dept_errors)
+        .unionByName(unknown_columns(hits, OUTCALL_JOB)),
     }
 
 

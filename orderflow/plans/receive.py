@@ -8,9 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.functions.clock import AsOf, day_window
+from orderflow.functions.clock import AsOf
 from orderflow.operators.apply import (EXECUTOR_SUCCESS, RECEIVE_DETAIL, apply_flags,
-                                       apply_receive_changes, run_log, success_log)
+                                       apply_receive_changes, run_log, success_log,
+                                       unknown_columns)
 from orderflow.operators.campaigns import (APPLICATION, AREAS, CATALOG_ATTRIBUTE,
                                            active_campaigns, app_channels, campaigns_by_area,
                                            success_rules)
@@ -18,7 +19,7 @@ from orderflow.operators.lookups import with_user_name
 from orderflow.operators.orders import (changed_receive, in_scope, new_receive_orders,
                                         orders_with_state)
 from orderflow.operators.orgs import grid_lookup
-from orderflow.operators.quality import RECEIVE_JOB, error_log, typed
+from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
                                        success_candidates)
 from orderflow.operators.success import (first_success, receive_success_detail,
@@ -86,11 +87,16 @@ def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFra
     return evaluation.errors.unionByName(broken)
 
 
-def numeric_departments(executors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Executor rows with a usable department, and those whose department is not a number."""
-    if dict(executors.dtypes)["dept_id"] != "string":
-        return executors, executors.where(F.lit(False))
-    return typed(executors, {"dept_id": "bigint"})
+def numeric_departments(executors: DataFrame, job: str) -> tuple[DataFrame, DataFrame]:
+    """Executor rows with a numeric department, and error rows of those that had another text.
+
+    Such a row keeps its order: only its department is unknown, so it has no organisation, while
+    rules, which never read the department, are evaluated as for any other.
+    """
+    bad = error_log(executors.where(~cast_check("dept_id")), job, "initiative_order_id",
+                    F.concat(F.lit("department is not a number: "),
+                             F.col("dept_id").cast("string")), F.lit("-6502"))
+    return executors.withColumn("dept_id", F.col("dept_id").try_cast("bigint")), bad
 
 
 def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsOf,
@@ -109,13 +115,7 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     pairs = stage(campaigns_by_area(active, t["pms_campaign_chl_rel"], mode="receive",
                                     channels=channels, areas=options.areas)
                   .select("main_campaign_id", "sub_campaign_id", "latn_id"), "pairs")
-    # rows with an unusable department take no part; those touched in the window are logged
-    executors, unusable = numeric_departments(t["initiative_order_executor"])
-    dept_errors = error_log(
-        day_window(unusable, "last_opt_date", as_of, options.change_days, closed_start=False),
-        RECEIVE_JOB, "initiative_order_id",
-        F.concat(F.lit("department is not a number: "), F.col("dept_id").cast("string")),
-        F.lit("-6502"))
+    executors, dept_errors = numeric_departments(t["initiative_order_executor"], RECEIVE_JOB)
     before = running_slice(conform(t["detail"], RECEIVE_DETAIL), "a_mkt_campaign_id", pairs,
                            options)
     # the big join once, for the running campaigns' orders only; all steps read its result
@@ -154,5 +154,6 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "new_orders": new,
         "success_log": success_log(winners, as_of),
         "run_log": run_log(pairs, as_of, as_of),
-        "errors": dept_errors.unionByName(rule_failures(evaluated, asked, RECEIVE_JOB)),
+        "errors": dept_errors.unionByName(rule_failures(evaluated, asked, RECEIVE_JOB))
+        .unionByName(unknown_columns(winners, RECEIVE_JOB)),
     }

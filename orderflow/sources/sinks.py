@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflow.session import shared_folder
+from orderflow.session import shared_folder, stage
 
 
 def work_database(spark: SparkSession, name: str) -> str:
@@ -43,10 +43,13 @@ def replace_slice(new: DataFrame, table: str, key: str, values: Sequence[int]) -
     """Replace the slices ``values`` of a table partitioned by ``key`` with ``new``.
 
     Slices other than ``values`` stay untouched, and a requested slice without new rows ends up
-    empty. A rerun after a failure gives the same table.
+    empty. A rerun after a failure gives the same table. The new rows and their slices are fixed
+    before anything is written, so they may come from the table itself.
     """
     spark = new.sparkSession
-    wanted = new.where(F.col(key).isin(list(values)))
+    wanted = stage(new.where(F.col(key).isin(list(values))), "slice")
+    # at most as many as ``values``
+    filled = {row[0] for row in wanted.select(key).distinct().collect()}
     # partition column last, as the table stores it
     ordered = wanted.select(*[c for c in wanted.columns if c != key], key).hint("rebalance", key)
     if not spark.catalog.tableExists(table):
@@ -54,9 +57,7 @@ def replace_slice(new: DataFrame, table: str, key: str, values: Sequence[int]) -
         return
     with _dynamic_overwrite(spark):
         ordered.write.mode("overwrite").insertInto(table)
-    # Dynamic overwrite leaves a slice alone when nothing new arrives for it. The list of
-    # written slices is at most as long as ``values``.
-    filled = {row[0] for row in wanted.select(key).distinct().collect()}
+    # Dynamic overwrite leaves a slice alone when nothing new arrives for it.
     for value in values:
         part = f"PARTITION ({key} = {int(value)})"
         if value not in filled and spark.sql(f"SHOW PARTITIONS {table} {part}").head():

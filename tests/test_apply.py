@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.errors import PySparkException
 
 from orderflow.operators import apply as ap
 from orderflow.operators import quality as qu
@@ -71,10 +70,12 @@ def test_flags(make, rows):
         (1, 1, None, 1), (2, None, 1, None)]
 
 
-def test_unknown_flag_column_fails(make):
-    hits = make(HITS, (1, 1, "a", "col_21; drop", 5))
-    with pytest.raises(PySparkException, match="unknown report column"):
-        ap.flag_columns(hits).collect()
+def test_unknown_flag_column_is_logged(make, rows):
+    hits = make(HITS, (1, 1, "a", "col_21; drop", 5), (1, 2, "b", "col_2", 5), (2, 3, "c", None, 5))
+    assert rows(ap.flag_columns(hits), "list_id", "col_2") == [(1, 1)]
+    assert rows(ap.unknown_columns(hits, "job"), "order_id", "errormsg", "errorcode") == [
+        (1, "unknown report column col_21; drop", "-904"),
+        (2, "unknown report column NULL", "-904")]
 
 
 def test_logs(make, rows):

@@ -167,3 +167,11 @@ def test_skip_logged(make, rows):
     # order 2 was not successful and order 3 is unknown: their log rows do not count
     assert rows(ru.skip_logged(pairs, detail, log), "list_id", "suc_rule_id",
                 "old_is_success") == [(1, 2, 1), (2, 1, 0), (3, 1, 0)]
+
+
+def test_whole_numbers_in_any_notation_are_ids(make, rows):
+    raw = make("list_id bigint, suc_rule_id int, value string", (1, 1, "12.00"), (1, 1, "13"),
+               (2, 1, "1.2E3"), (3, 1, "12.5"), (4, 1, "-999999999.0"), (5, 1, "x"))
+    out = ru.reduce_rule_rows(raw)
+    assert rows(out, "list_id", "value", "hit") == [
+        (1, 12, 1), (2, 1200, 1), (3, None, 0), (4, None, 0), (5, None, 0)]

@@ -63,3 +63,13 @@ def test_conform_and_empty_text(make, rows):
 def test_stage_survives_its_source(spark, make):
     staged = stage(make("a int", (1,), (2,)).withColumn("b", F.col("a") + 1), "x")
     assert staged.inputFiles() and staged.count() == 2
+
+
+def test_replace_slice_with_rows_of_the_table_itself(spark, make, rows):
+    database = work_database(spark, f"orderflow_{uuid.uuid4().hex}")
+    table = f"{database}.slices"
+    replace_slice(make("v int, k int", (1, 0), (1, 1), (1, 2)), table, "k", [0, 1, 2])
+    # the filter no longer holds once the rows are written
+    changed = spark.table(table).where("v = 1 and k < 2").withColumn("v", F.lit(2))
+    replace_slice(changed, table, "k", [0, 1])
+    assert rows(spark.table(table), "k", "v") == [(0, 2), (1, 2), (2, 1)]
