@@ -17,7 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflow.llm.common import ROW_KEY, WORDS, hexed_ids, keyed, stage, worker_memory
+from orderflow.llm.common import (
+    ROW_KEY, WORDS, fresh_path, hexed_ids, keyed, stage, worker_memory,
+)
 
 #: Words of a segment (one longer document makes a longer one) and windows of a query block.
 SEGMENT_WORDS, BLOCK_WINDOWS = 100_000, 200_000
@@ -89,7 +91,12 @@ def build_index(docs: DataFrame, gap: int = 64) -> DataFrame:
 
     rows = keyed(docs).select(*ROW_KEY, F.col("doc_id").cast("long"),
                               F.col("text").cast("string"))
-    return stage(rows.mapInArrow(segments, SEGMENT), "index")
+    # a page per segment: Parquet would otherwise hold a hundred of these long values at once
+    path = fresh_path(docs.sparkSession, "index")
+    (rows.mapInArrow(segments, SEGMENT).write.option("parquet.page.size.row.check.min", 1)
+     .option("parquet.page.row.count.limit", 1).option("parquet.enable.dictionary", "false")
+     .parquet(path))
+    return docs.sparkSession.read.schema(SEGMENT).parquet(path)
 
 
 def windows(text: bytes | None, length: int) -> list[tuple[bytes, ...]]:
