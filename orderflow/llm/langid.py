@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,14 @@ CLASSES = np.array([b - 64 if 65 <= b <= 90 else b - 96 if 97 <= b <= 122 else
 ORDER = 3
 #: Bytes scored at a time.
 CHUNK = 1 << 20
+#: What a text may cost per byte in its language: as much as this share of the rows learned from,
+#: and in any case as much as equally likely symbols. It is judged where at least so many rows
+#: were learned from, and rejected when the whole text costs so many bits more than that, which a
+#: few short words never do.
+LIMIT_SHARE = 0.999
+LIMIT_BITS = float(np.log2(SYMBOLS))
+LIMIT_ROWS = 100
+LIMIT_EVIDENCE = 64
 
 
 def contexts(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -138,13 +147,12 @@ def held_out(doc_id) -> object:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model:
-    """Count the contexts of a bounded sample of labelled rows and freeze them.
+def sample(docs: DataFrame, rows_per_language: int = 3000) -> tuple[list[str], DataFrame]:
+    """The languages to learn, and the rows (``lang``, ``text``) to learn them from.
 
     Rows with a text and a language that are not held out take part. Where a language has more
     than ``rows_per_language`` of them, those with the smallest hash of the id do, about that
-    many. A context of two or three symbols counts from ``least`` occurrences on. The counts are
-    summed before they reach the driver; there are at most 64 ** 4 per language.
+    many.
     """
     usable = docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"),
@@ -158,7 +166,20 @@ def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model
     for name in languages:
         share = min(1.0, rows_per_language / sizes[name])
         wanted = wanted | ((F.col("lang") == name) & (spread < int(share * (1 << 20)) + 1))
+    return languages, usable.where(wanted).select("lang", "text")
+
+
+def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model:
+    """The model of the rows that :func:`sample` chooses; see :func:`learn`."""
+    return learn(*sample(docs, rows_per_language), least)
+
+
+def learn(languages: list[str], rows: DataFrame, least: int = 4) -> Model:
+    """Count the contexts of the sample's rows and freeze them.
 
+    A context of two or three symbols counts from ``least`` occurrences on. The counts are
+    summed before they reach the driver; there are at most 64 ** 4 per language.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = np.array(batch.column(0).to_pylist())
@@ -173,8 +194,7 @@ def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model
                     [pa.array([name] * len(found)), pa.array(found, pa.int32()),
                      pa.array(counts, pa.int64())], names=["lang", "code", "n"])
 
-    counted = (usable.where(wanted).select("lang", "text")
-               .mapInArrow(count, "lang string, code int, n long")
+    counted = (rows.mapInArrow(count, "lang string, code int, n long")
                .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow())
     names = np.array(counted.column("lang").to_pylist(), object)
     codes, counts = counted.column("code").to_numpy(), counted.column("n").to_numpy()
@@ -185,7 +205,7 @@ def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model
     return Model(languages, grams, least)
 
 
-def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+def predict(docs: DataFrame, model: Model | Broadcast, carry: list[str]) -> DataFrame:
     """lang_pred, score and bits_per_byte of each row, beside a struct ``row`` of ``carry``.
 
     The language is the one whose model codes the whole text in the fewest bits, the first by
@@ -193,7 +213,8 @@ def predict(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     beforehand. A text that is null or has no letters, and any text where nothing was learned,
     is ``und`` with score 0.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = (model if isinstance(model, Broadcast)
+            else docs.sparkSession.sparkContext.broadcast(model))
     sources = list(dict.fromkeys([*carry, "text"]))
     text_at, names_out = sources.index("text"), ["row", "lang_pred", "score", "bits_per_byte"]
 
@@ -246,11 +267,36 @@ def identify(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
         "bits_per_byte")
 
 
+def limits(rows: DataFrame, model: Broadcast) -> dict[str, float]:
+    """The greatest bits per byte of a text in each language, taken from the rows learned from.
+
+    It is what ``LIMIT_SHARE`` of the language's rows with letters do not exceed, and at least
+    ``LIMIT_BITS``. A language learned from fewer than ``LIMIT_ROWS`` such rows has none: so few
+    do not show what its texts cost.
+    """
+    scored = predict(rows, model, ["lang"]).where("lang_pred <> 'und'")
+    found = scored.groupBy(F.col("row.lang").alias("lang")).agg(
+        F.count("*").alias("n"),
+        F.percentile_approx("bits_per_byte", LIMIT_SHARE, 10_000).alias("bits")).collect()
+    return {r["lang"]: max(r["bits"], LIMIT_BITS) for r in found if r["n"] >= LIMIT_ROWS}
+
+
 def accepted(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
-    """The rows of ``docs`` that have a language, with the columns they came with.
+    """The rows of ``docs`` in one of the languages learned, with the columns they came with.
 
-    Rows whose text is null or has no letters are rejected.
+    A row is rejected for one of two reasons: its text is null or has no letters, or the model of
+    its language codes it in over ``LIMIT_EVIDENCE`` bits more than :func:`limits` allows for its
+    bytes, as it does longer random strings and scripts that were not learned. Where nothing was
+    learned, every text with letters stays. Beside the scans of :func:`identify`, one more scores
+    the rows learned from.
     """
-    found = predict(docs, fit(docs, rows_per_language), docs.columns)
-    return found.where(F.col("lang_pred") != "und").select(
-        [F.col("row").getField(c).alias(c) for c in docs.columns])
+    languages, rows = sample(docs, rows_per_language)
+    if not languages:
+        return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
+    model = docs.sparkSession.sparkContext.broadcast(learn(languages, rows))
+    found = predict(docs, model, docs.columns).where(F.col("lang_pred") != "und")
+    size = F.octet_length(F.col("row.text").cast("string"))
+    for language, bits in limits(rows, model).items():
+        found = found.where((F.col("lang_pred") != language) | (
+            (F.col("bits_per_byte") - bits) * size <= LIMIT_EVIDENCE))
+    return found.select([F.col("row").getField(c).alias(c) for c in docs.columns])

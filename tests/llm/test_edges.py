@@ -1,6 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import random
+import string
+import zlib
 
 import pytest
 
@@ -100,6 +103,45 @@ def test_language_id(docs, none):
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def prose(words, i, n=12):
+    return " ".join(words[(i * 7 + j * (i % 5 + 1) + j * j) % len(words)] for j in range(n)) + "."
+
+
+ENGLISH = ("the people of this town have never seen so much rain in a single summer and they went "
+           "home before night because nobody would answer when we called about old houses").split()
+FRENCH = ("les gens de cette ville ont toujours vu beaucoup de pluie pendant un été et ils sont "
+          "rentrés chez eux avant la nuit parce que personne ne voulait répondre").split()
+
+
+def test_nothing_learned_keeps_texts_with_letters(docs, make):
+    unlabelled = docs.selectExpr(*[c for c in docs.columns if c != "lang"],
+                                 "cast(null as string) lang").select(docs.columns)
+    kept = langid.accepted(unlabelled)
+    assert kept.columns == docs.columns and kept.count() == 8
+    # every labelled row is held out
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 0]
+    tiny = make("doc_id long, text string, lang string",
+                *[(i, prose(ENGLISH, i), "en") for i in held], (1, "123", None))
+    assert sorted(r.doc_id for r in langid.accepted(tiny).collect()) == held
+
+
+def test_code_length_rejects_what_is_in_no_learned_language(make):
+    rng = random.Random(1)
+    noise = "".join(rng.choices(string.ascii_letters, k=400))
+    odd = [(-1, noise, None), (-2, "Съешь же ещё этих мягких французских булок, да выпей чаю", None)]
+    clean = [(-3, "In this town people never called before summer, and the rain went home.", None),
+             (-4, "Les gens sont toujours chez eux pendant la nuit, et personne ne répond.", None),
+             (-5, "ok", "en"), (-6, "Rain?", None)]
+    learned = [(i, prose(w, i), lang) for i in range(0, 600, 2)
+               for i, w, lang in ((i, ENGLISH, "en"), (i + 1, FRENCH, "fr"))]
+    ddl = "doc_id long, text string, lang string"
+    kept = langid.accepted(make(ddl, *odd, *clean, *learned)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(r[0] for r in [*clean, *learned])
+    # too few rows to tell what a language's texts cost: the model rejects nothing
+    few = [r for r in learned if r[0] < 60]
+    assert langid.accepted(make(ddl, *odd, *few)).count() == len(odd) + len(few)
+
+
 def test_jaccard(docs, none):
     rows = jaccard.similar_documents(docs).collect()
     assert len(rows) == 13 and sum(r.first for r in rows) == 11
