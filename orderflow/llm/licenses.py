@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -37,25 +38,48 @@ TEMPLATES = {
 BLOCK_WORDS = 400
 
 
-def blocks(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
-    """A text's words, and the first and last place of each block.
+#: A notice that is wrapped over lines lies within so many times its template's words, so that
+#: each line may begin with a word of its own, as comments do.
+SPREAD = 2
+
+
+def blocks(text: bytes) -> tuple[list[bytes], list[tuple[int, int]], list[int]]:
+    """A text's words, the first and last place of each block, and the lines' ends.
 
     A block is a line with words. A line of more than ``BLOCK_WORDS`` words is cut into blocks of
     that many, each beginning in the middle of the one before.
     """
     words: list[bytes] = []
     cut = []
+    ends = []
     for line in text.split(b"\n"):
         found = line.translate(WORDS).split()
         first, size = len(words), len(found)
         words += found
+        if size:
+            ends.append(first + size)
         if 0 < size <= BLOCK_WORDS:
             cut.append((first, first + size))
         elif size:
             step = BLOCK_WORDS // 2
             cut += [(first + i, min(first + i + BLOCK_WORDS, first + size))
                     for i in range(0, size - step, step)]
-    return words, cut
+    return words, cut, ends
+
+
+def windows(ends: list[int], reach: int) -> Iterator[tuple[int, int]]:
+    """First and last place of blocks over all lines of a text, which end at ``ends``.
+
+    They have ``2 * reach`` words and begin every ``reach`` words, so any ``reach`` words in a row
+    lie within one of them. Those within a single line are left out: the line's blocks hold them.
+    """
+    line, size = 0, ends[-1] if ends else 0
+    for first in range(0, max(size - reach, min(size, 1)), reach):
+        last = min(first + 2 * reach, size)
+        while ends[line] <= first:
+            line += 1
+        if ends[line] < last:
+            yield first, last
 
 
 class Templates:
@@ -79,6 +103,8 @@ class Templates:
             for place, word in enumerate(words[:len(words) - self.need[t] + 1]):
                 self.index.setdefault(word, []).append((t, place))
         self.sets = [frozenset(s) for s in sets]
+        self.spread = [SPREAD * len(t.encode().translate(WORDS).split()) for t in templates]
+        self.reach = max(self.spread, default=1)
 
     def match(self, block: set[bytes]) -> list[tuple[int, float]]:
         """Templates that the block contains to the threshold, and the contained part."""
@@ -99,6 +125,26 @@ class Templates:
                 found.append((t, part / len(self.sets[t])))
         return found
 
+    def densest(self, t: int, words: list[bytes]) -> tuple[int, int, float]:
+        """The stretch of a wrapped notice with most of the template's words.
+
+        First and last place of the first such stretch, and the contained part. A stretch begins
+        and ends with a word of the template and has at most ``SPREAD`` times its words.
+        """
+        places = [i for i, w in enumerate(words) if w in self.sets[t]]
+        best, low, inside = (0, 0, 0), 0, {}
+        for at in places:
+            inside[words[at]] = inside.get(words[at], 0) + 1
+            while at - places[low] >= self.spread[t] or inside[words[places[low]]] > 1:
+                gone = words[places[low]]
+                inside[gone] -= 1
+                if not inside[gone]:
+                    del inside[gone]
+                low += 1
+            if len(inside) > best[0]:
+                best = (len(inside), places[low], at)
+        return best[1], best[2], best[0] / len(self.sets[t])
+
 
 def _texts(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
     for text in batch.column(column).cast(pa.large_binary()):
@@ -115,7 +161,7 @@ def frequencies(docs: DataFrame, words: set[bytes]) -> dict[bytes, int]:
         total = dict.fromkeys(words, 0)
         for batch in batches:
             for text in _texts(batch, 0):
-                found, cut = blocks(text)
+                found, cut, _ = blocks(text)
                 for first, last in cut:
                     for word in words.intersection(found[first:last]):
                         total[word] += 1
@@ -142,7 +188,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
     and last_word (their smallest and largest first word, null without any), base_labels (of the
     phrases), labels (with those of the templates that some block contains to the threshold),
     score (the greatest contained part of those, else 0) and blocks (first and last word, label
-    and part of each such pair). Null and empty texts have no words; null and repeated ids keep
+    and part of each such pair). Blocks are the lines, and for notices that are wrapped over lines
+    the stretches found in overlapping :func:`windows` over all words. Null and empty texts have no words; null and repeated ids keep
     their rows. An empty table gives no rows.
 
     Templates are few and fixed and go to every task. Two scans, no text is shuffled.
@@ -161,17 +208,31 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES,
                     out.append((at, label))
         return out
 
+    def wrapped(found: list[bytes], ends: list[int]) -> list[tuple]:
+        out: dict[tuple, None] = {}
+        for first, last in windows(ends, join.reach):
+            words = found[first:last]
+            if join.index.keys().isdisjoint(words):
+                continue
+            for t, _ in join.match(set(words)):
+                begin, end, part = join.densest(t, words)
+                line = bisect.bisect_right(ends, first + begin)
+                if part >= join.need[t] / len(join.sets[t]) and ends[line] <= first + end:
+                    out[first + begin, first + end, join.labels[t], part] = None
+        return list(out)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), _texts(batch, 1), strict=True):
-                found, cut = blocks(text)
+                found, cut, ends = blocks(text)
                 base = places(found)
                 matched = []
                 for first, last in cut:
                     if not join.index.keys().isdisjoint(found[first:last]):
                         matched += [(first, last - 1, join.labels[t], part)
                                     for t, part in join.match(set(found[first:last]))]
+                matched += wrapped(found, ends)
                 own = {label for _, label in base}
                 every = own | {m[2] for m in matched}
                 out.append((

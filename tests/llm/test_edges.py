@@ -3,6 +3,7 @@
 import hashlib
 import random
 import string
+import textwrap
 import zlib
 
 import pytest
@@ -200,6 +201,31 @@ def test_licenses(docs, none):
     assert licenses.scan(none).collect() == []
 
 
+def wrap(template, width, prefix=""):
+    return "\n".join(prefix + line for line in textwrap.wrap(template, width))
+
+
+def test_wrapped_notices(make):
+    before, after = "import os\n\n", "\n\nx = 1\n"
+    rows, want = [], {}
+    for template, label in licenses.TEMPLATES.items():
+        for width in (20, 40, 70):
+            for prefix in ("", "# ", " * ", "// ", "rem "):
+                for words in (0, 1, 63, 200):
+                    at = len(rows)
+                    filler = wrap("some other words of a text " * words, 60) + "\n"
+                    rows.append((at, before + filler + wrap(template, width, prefix) + after))
+                    want[at] = label
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0."
+    rows += [(-1, mpl), (-2, "released to a few\n" + "of us and others " * 5 + "\nunder the\n"
+                         + "same old and new " * 9 + "\nlicense"), (-3, None), (-4, "\n\n")]
+    got = by_id(licenses.scan(make("doc_id long, text string", *rows)))
+    assert {i: got[i].labels for i in want} == want
+    assert {got[i].score for i in want} == {1.0}
+    assert got[-1].labels == "mpl" and [(b.first, b.last) for b in got[-1].blocks] == [(0, 16)]
+    assert {got[i].labels for i in (-2, -3, -4)} == {""}
+
+
 def test_packing(docs, none):
     rows = packing.pack(docs, VOCABULARY).collect()
     assert len({(r.doc_id, r.start) for r in rows if r.doc_id == 6}) > 1
