@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.common import stage
 
-#: Turns whose prefixes are rendered one after the other; longer conversations go on from there.
+#: Turns that are rendered together where the template is declared concatenative.
 BLOCK_TURNS = 16
 
 #: A turn as a template sees it: role and text.
@@ -53,6 +53,10 @@ def marked_turns(turns: Sequence[Turn]) -> str:
                    for role, text in turns)
 
 
+#: Declares that a template's output for some turns is its outputs for each of them end to end.
+marked_turns.concatenative = True
+
+
 def read_marked(formatted: str) -> Iterator[Turn]:
     """Roles and texts of what :func:`marked_turns` made; ValueError for anything else."""
     at = 0
@@ -133,13 +137,20 @@ def render(conversations: DataFrame, template: Template = marked_turns,
            escaped: Callable[[str], str] = escape) -> DataFrame:
     """Formatted blocks of all conversations, in the shared folder.
 
-    One row per block of up to ``BLOCK_TURNS`` turns: conv_id, place (the order of a
-    conversation's blocks), formatted, and per turn its role, where its text lies in
-    ``formatted`` (null where history was rewritten) and whether it was. Rows are dealt by ranges
-    of the whole order, so a conversation with a third of all turns spans many tasks. A template
-    whose output for a turn depends on turns of an earlier block is out of scope, as the price of
-    a cost that grows with the turns and not with their square; within a block it is detected.
+    One row per block: conv_id, place (the order of a conversation's blocks), formatted, and per
+    turn its role, where its text lies in ``formatted`` (null where history was rewritten) and
+    whether it was.
+
+    A template is a black box whose output may depend on all turns of a conversation. Each
+    conversation is then one block, whose true prefixes are rendered in one ordered stream in one
+    task; the time grows with the square of its turns and its text is held in memory.
+
+    A template with a true attribute ``concatenative`` renders each turn the same wherever it
+    stands, with nothing before, between or behind the turns. Its rows are dealt by ranges of the
+    whole order, so a conversation with a third of all turns spans many tasks, in blocks of up to
+    ``BLOCK_TURNS`` turns, whose borders then make no difference to the text.
     """
+    split = getattr(template, "concatenative", False)
     order = ["conv_id", "turn", "role", "text"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,20 +158,21 @@ def render(conversations: DataFrame, template: Template = marked_turns,
 
         def rows() -> Iterator[tuple]:
             for conv, group in itertools.groupby(_sorted_rows(batches), key=lambda r: r[0]):
-                while turns := [(r[2], r[3]) for r in itertools.islice(group, BLOCK_TURNS)]:
+                size = BLOCK_TURNS if split else None
+                while turns := [(r[2], r[3]) for r in itertools.islice(group, size)]:
                     formatted, found = locate(template, turns, escaped)
                     yield (conv, next(place), formatted, [t[0] for t in turns],
                            [x.text_start for x in found], [x.text_end for x in found],
                            [x.rewritten for x in found])
 
-        yield from _emit(rows(), _ARROW, 500)
+        yield from _emit(rows(), _ARROW, 500 if split else 50)
 
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stage(dealt.mapInArrow(blocks, FORMATTED), "formatted")
+    dealt = rows.repartitionByRange(*order) if split else rows.repartition("conv_id")
+    return stage(dealt.sortWithinPartitions(*order).mapInArrow(blocks, FORMATTED), "formatted")
 
 
 READ = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

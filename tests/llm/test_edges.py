@@ -192,6 +192,51 @@ def test_chat(make):
     assert chat.format_conversations(df.limit(0)).collect() == []
 
 
+def begin_mark(turns):
+    return "<s>" + "".join(f"[{r}]{t}\n" for r, t in turns)
+
+
+def first_header(turns):
+    return "".join(f"{'system ' if i == 0 else ''}[{r}]{t}\n" for i, (r, t) in enumerate(turns))
+
+
+def numbered(turns):
+    return "".join(f"{i}[{r}]{t}\n" for i, (r, t) in enumerate(turns))
+
+
+def forgetful(turns):
+    last = len(turns) - 1
+    return "".join(f"[{r}]{t if i == last else t.replace('hm ', '')}\n"
+                   for i, (r, t) in enumerate(turns))
+
+
+@pytest.mark.parametrize("template", [begin_mark, first_header, numbered, forgetful])
+def test_templates_see_the_whole_conversation(make, template):
+    prepare(make("a int").sparkSession)
+    sizes = {1: 45, **dict.fromkeys(range(2, 40), 3), 40: 17}
+    turns = {c: [("user" if i % 2 else "assistant", f"hm {c} says {i}") for i in range(n)]
+             for c, n in sizes.items()}
+    df = make("conv_id long, turn long, role string, text string",
+              *[(c, i, *t) for c, all_turns in turns.items() for i, t in enumerate(all_turns)])
+    blocks = sorted(chat.render(df, template, str).collect(), key=lambda r: r.place)
+    for c, all_turns in turns.items():
+        mine = [r for r in blocks if r.conv_id == c]
+        assert "".join(r.formatted for r in mine) == template(all_turns)
+        changed = [x for r in mine for x in r.rewritten]
+        assert changed == [template is forgetful] * (len(all_turns) - 1) + [False]
+        if template is not forgetful:
+            assert [r.formatted[a:b] for r in mine for a, b in zip(r.starts, r.ends, strict=True)
+                    ] == [t for _, t in all_turns]
+
+
+def test_concatenative_templates_are_split(make):
+    rows = [(1, i, "user", f"t{i}") for i in range(100)]
+    df = make("conv_id long, turn long, role string, text string", *rows)
+    blocks = sorted(chat.render(df).collect(), key=lambda r: r.place)
+    assert max(len(r.roles) for r in blocks) <= chat.BLOCK_TURNS and len(blocks) >= 7
+    assert "".join(r.formatted for r in blocks) == chat.marked_turns([r[2:] for r in rows])
+
+
 def test_licenses(docs, none):
     rows = licenses.scan(docs).collect()
     assert len(rows) == 13
