@@ -55,7 +55,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("shown")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

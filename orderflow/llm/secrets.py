@@ -22,6 +22,12 @@ KINDS = [*PATTERNS, "live"]
 
 #: A value that more owners than this show is an example, not a secret.
 MOST_OWNERS = 2
+#: So is one that more different texts show, whoever owns them.
+MOST_TEXTS = 100
+#: Owners decide from so many different texts on: 1 counts the owners of copies of a single text.
+LEAST_TEXTS = 1
+
+SHOWN = "array<struct<start:bigint,kind:int,end:bigint,owners:bigint,texts:bigint>>"
 
 
 def _parts(text: Column) -> Column:
@@ -62,16 +68,17 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Owners and repositories of each value in the whole corpus, by the value's digest.
+    """Owners and different texts of each value in the whole corpus, by the value's digest.
 
-    Copies within an owner are counted first, so a value that is in a third of all rows is small
-    before it is shuffled. A repository is a text, whose copies count once per owner.
+    Copies within an owner, or of a text, are counted first, so a value that is in a third of all
+    rows is small before it is shuffled by its digest alone. A text's copies count once, in
+    whichever owners they are.
     """
-    each = found.groupBy("digest", "owner", "repository").agg(
-        F.count("*").alias("n"))
-    each = each.groupBy("digest", "owner").agg(F.count("*").alias("n"))
-    return each.groupBy("digest").agg(F.count("*").alias("owners"),
-                                      F.sum("n").alias("repositories"))
+    def distinct(what: str, count: str) -> DataFrame:
+        return found.groupBy("digest", what).agg(F.count("*").alias("n")).groupBy("digest").agg(
+            F.count("*").alias(count))
+
+    return distinct("owner", "owners").join(distinct("repository", "texts"), "digest")
 
 
 def looks_random(value: Column) -> Column:
@@ -80,17 +87,21 @@ def looks_random(value: Column) -> Column:
             & (F.size(F.array_distinct(F.split(value, ""))) >= 8))
 
 
-def scan(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, most_owners: int = MOST_OWNERS, most_texts: int = MOST_TEXTS,
+         least_texts: int = LEAST_TEXTS) -> DataFrame:
     """Secrets of every whole text, with the owner-specific ones marked.
 
     ``docs`` has ``doc_id``, ``text`` and ``source`` (the owner); other columns are ignored.
     Returns one row per input row: doc_id, n_assign, n_access, n_hex, base_sha256 (of
     kind:start:end of these three kinds), spans (these, the vendors' formats, and ``live`` for
-    the value of a candidate that looks random and that no more than ``most_owners`` owners show
-    anywhere), n_vendor, n_live, n_example (candidates with more owners). Spans are in code
-    points, ordered by start and kind. A null text is empty, a null source one more owner; null
-    and repeated ids keep their rows. Texts without candidates have counts 0, an empty ``spans``
-    and the digest of the empty string.
+    the value of a candidate that looks random and is no example), n_vendor, n_live, n_example
+    (candidates that are examples) and shown (kind, start, end, owners and texts of each
+    candidate). A value is an example when more than ``most_texts`` different texts of the whole
+    corpus show it, or when more than ``most_owners`` owners do and at least ``least_texts``
+    different texts; with 2, a text that is merely copied between owners keeps its live values.
+    Spans are in code points, ordered by start and kind. A null text is empty, a null source one
+    more owner; null and repeated ids keep their rows. Texts without candidates have counts 0, an
+    empty ``spans`` and the digest of the empty string.
 
     Texts are read once and not shuffled; candidates are a few rows per text that has any.
     """
@@ -98,11 +109,14 @@ def scan(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
     rows = docs.select(*ROW_KEY, F.col("doc_id").cast("long").alias("doc_id"))
     found = stage(candidates(docs).withColumn("digest", F.sha2("value", 256)), "candidates")
     owned = found.join(stage(ownership(found), "ownership"), "digest")
-    owned = owned.withColumn("example", F.col("owners") > most_owners)
+    owned = owned.withColumn("example", (F.col("texts") > most_texts) | (
+        (F.col("owners") > most_owners) & (F.col("texts") >= least_texts)))
     live = owned.where(~F.col("example") & looks_random(F.col("value"))).select(
         *ROW_KEY, F.lit(KINDS.index("live")).alias("kind"),
-        (F.col("end") - F.length("value")).alias("start"), "end", "example").distinct()
-    every = owned.select(*ROW_KEY, "kind", "start", "end", "example").union(live)
+        (F.col("end") - F.length("value")).alias("start"), "end", "example", "owners",
+        "texts").distinct()
+    every = owned.select(*ROW_KEY, "kind", "start", "end", "example", "owners", "texts").union(
+        live)
 
     def written(spans: Column) -> Column:
         text = F.transform(spans, lambda s: F.concat_ws(
@@ -115,7 +129,9 @@ def scan(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
 
     spans = every.groupBy(*ROW_KEY).agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"),
-        *map(number, KINDS), F.count_if("example").alias("n_example"))
+        *map(number, KINDS), F.count_if("example").alias("n_example"),
+        F.array_sort(F.collect_list(F.when(F.col("kind") < len(PATTERNS), F.struct(
+            "start", "kind", "end", "owners", "texts")))).alias("shown"))
     out = rows.join(spans, ROW_KEY, "left")
     listed = F.coalesce("spans", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
     base = F.filter(listed, lambda s: s["kind"] < len(BASE))
@@ -123,4 +139,9 @@ def scan(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
     return out.select(
         "doc_id", *counts[:len(BASE)], F.sha2(written(base), 256).alias("base_sha256"),
         written(listed).alias("spans"), *counts[len(BASE):],
-        F.coalesce("n_example", F.lit(0)).alias("n_example"))
+        F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        F.transform(
+            F.coalesce("shown", F.array().cast(SHOWN)), lambda s: F.struct(
+                F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1).alias("kind"),
+                s["start"].alias("start"), s["end"].alias("end"), s["owners"].alias("owners"),
+                s["texts"].alias("texts"))).alias("shown"))

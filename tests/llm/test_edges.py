@@ -307,6 +307,26 @@ def test_widely_shown_values_are_examples(make):
     assert {(r.spans, r.n_live, r.n_example) for r in rows} == {("assign:0:20", 0, 1)}
 
 
+def test_different_texts_decide_beside_owners(make):
+    common, copied = "token = abcdef123456", "secret = q1w2e3r4t5y6"
+    docs = make("doc_id long, text string, source string",
+                *[(i, f"{common} of text {i}", "hot") for i in range(6)],
+                *[(100 + i, copied, f"s{i}") for i in range(3)],
+                (200, "password = z9y8x7w6v5u4", "s0"))
+    got = by_id(secrets.scan(docs, most_texts=5, least_texts=2))
+    assert {(got[i].n_live, got[i].n_example) for i in range(6)} == {(0, 1)}
+    assert {(got[100 + i].n_live, got[100 + i].n_example) for i in range(3)} == {(1, 0)}
+    assert (got[200].n_live, got[200].n_example) == (1, 0)
+    assert {(s.kind, s.owners, s.texts) for r in got.values() for s in r.shown} == {
+        ("assign", 1, 6), ("assign", 3, 1), ("assign", 1, 1)}
+    # the defaults: over 100 texts, and copies of one text count their owners
+    got = by_id(secrets.scan(docs))
+    assert got[0].n_live == 1 and got[100].n_example == 1
+    many = make("doc_id long, text string, source string",
+                *[(i, f"{common} of text {i}", "hot") for i in range(101)])
+    assert {r.n_live for r in secrets.scan(many).collect()} == {0}
+
+
 def test_warc(make):
     prepare(make("a int").sparkSession)
     page = "<p>\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\né"
