@@ -64,17 +64,34 @@ def keyed(df: DataFrame) -> DataFrame:
     """``df`` with two more columns that name each row, equal rows and null ids included.
 
     They are the file and the row's place in it, so they do not depend on how a scan is split
-    and stay the same when a lost executor's work is repeated. Rows that come from anything but
-    files are written to the shared folder first. Rows that have the columns are left alone.
+    and stay the same when a lost executor's work is repeated. Rows that are not plain rows of
+    files, with columns chosen or computed and rows filtered, are written to the shared folder
+    first: pieces of a row would share its place. Rows that have the columns are left alone.
     """
     if set(ROW_KEY) <= set(df.columns):
         return df
+    if not _plain(df):
+        return _places(stage(df, "rows"))
     try:
         return _places(df)
     except AnalysisException:
         return _places(stage(df, "rows"))
 
 
+#: Steps of a plan that leave at most one row of each row read.
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias"}
+
+
+def _plain(df: DataFrame) -> bool:
+    """Whether ``df`` is a file scan with projections and filters that give the same each time."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in _ROW_BY_ROW:
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def _places(df: DataFrame) -> DataFrame:
     out = df.select(F.xxhash64("_metadata.file_path").alias(ROW_FILE),
                     F.col("_metadata.row_index").alias(ROW_INDEX), *[df[c] for c in df.columns])

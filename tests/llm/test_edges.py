@@ -12,7 +12,7 @@ import corpus_pipeline
 from orderflow.llm import (
     bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, packing, secrets, warc,
 )
-from orderflow.llm.common import prepare
+from orderflow.llm.common import ROW_KEY, _plain, keyed, prepare
 from orderflow.llm.queries import VOCABULARY
 
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -290,6 +290,28 @@ def test_exact_duplicates(docs, none):
     assert kept.columns == docs.columns and kept.count() == 8
 
 
+def test_pieces_of_a_row_have_keys_of_their_own(spark, make, tmp_path):
+    prepare(spark)
+    again = "one two three four five six seven"
+    rows = make("doc_id long, text string",
+                (1, f"{again}|kept alone in the first row|{PASSAGE}"), (2, f"{again}|other piece"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    pieces = docs.selectExpr("doc_id", "explode(split(text, '[|]')) text")
+    texts = {r.text for r in pieces.collect()}
+    for left in (exact_dedup.distinct_texts(pieces), jaccard.one_per_group(pieces)):
+        assert sorted(r.text for r in left.collect()) == sorted(texts)
+    items = make("item_id long, text string", (1, PASSAGE))
+    left = decontaminate.clean(pieces, items).collect()
+    assert sorted(r.text for r in left) == sorted([*(texts - {PASSAGE}), again])
+    for df, plain in ((docs.where("doc_id > 0").selectExpr("doc_id + 1 doc_id", "text"), True),
+                      (pieces, False), (docs.where("rand() < 2"), False), (docs.limit(1), False),
+                      (docs.distinct(), False)):
+        assert _plain(df) == plain
+        keys = keyed(df).select(*ROW_KEY)
+        assert keys.distinct().count() == keys.count() == df.count()
+
+
 def test_secrets(docs, none):
     rows = secrets.scan(docs).collect()
     assert len(rows) == 13
