@@ -21,7 +21,7 @@ from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, r
 from orderflow.operators.success import (outcall_success, outcall_success_detail,
                                          outcall_success_executor)
 from orderflow.plans.receive import (RunOptions, numeric_departments, rule_failures,
-                                     running_slice, touched, with_success_columns)
+                                     running_slice, slice_marker, touched, with_success_columns)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
@@ -92,6 +92,7 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "errors": outcall_errors(resolved).unionByName(
             rule_failures(evaluated, asked, OUTCALL_JOB)).unionByName(dept_errors)
         .unionByName(unknown_columns(hits, OUTCALL_JOB)),
+        **slice_marker("sub_campaign_id", pairs, options),
     }
 
 

@@ -66,6 +66,13 @@ def touched(executors: DataFrame, winners: DataFrame) -> DataFrame:
                           "initiative_order_id", "left_semi").select(executors.columns)
 
 
+def slice_marker(key: str, pairs: DataFrame, options: RunOptions) -> dict[str, DataFrame]:
+    """The output ``slices`` of a run on a slice: the campaigns that its detail is limited to."""
+    if not options.slice_only:
+        return {}
+    return {"slices": pairs.select(F.col("sub_campaign_id").alias(key)).distinct()}
+
+
 def running_slice(detail: DataFrame, key: str, pairs: DataFrame,
                   options: RunOptions) -> DataFrame:
     """The detail rows a run works on: all, or those of the running campaigns."""
@@ -105,7 +112,8 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
 
     Returns the new versions of ``detail`` and ``executor``, the executor rows that change
     (``executor_updates``, for tables that can merge), and the rows to append to
-    ``success_log``, ``run_log`` and ``errors``. ``save_run`` writes them. Small or shared
+    ``success_log``, ``run_log`` and ``errors``. ``save_run`` writes them. With ``slice_only``
+    there is also ``slices``, the campaigns that ``detail`` is limited to, and ``save_run`` refuses. Small or shared
     intermediate results are staged in the shared folder.
     """
     t = tables
@@ -156,4 +164,5 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         "run_log": run_log(pairs, as_of, as_of),
         "errors": dept_errors.unionByName(rule_failures(evaluated, asked, RECEIVE_JOB))
         .unionByName(unknown_columns(winners, RECEIVE_JOB)),
+        **slice_marker("a_mkt_campaign_id", pairs, options),
     }

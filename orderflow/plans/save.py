@@ -19,7 +19,12 @@ def save_run(outputs: Mapping[str, DataFrame], version: str, logs: str) -> dict[
     ``version`` is a new folder per run: the run reads the version before, so nothing is
     overwritten while it is read, and readers switch when all is written. The logs come last; a
     run that failed before may be repeated whole. Returns the new versions as tables.
+
+    A run with ``slice_only`` is refused with a ValueError before anything is written: its detail
+    lacks all other campaigns. ``replace_slice`` writes it back, for the values in ``slices``.
     """
+    if "slices" in outputs:
+        raise ValueError("detail is a slice of the running campaigns; write it with replace_slice")
     written = {}
     for name, keys in PARTITIONS.items():
         df = outputs[name]

@@ -94,6 +94,17 @@ def test_slices_give_the_same_detail(roles, run, kind, name, key):
     assert part.count() + rest.count() == whole.count()
 
 
+@pytest.mark.parametrize("run, kind, key", [(run_receive, "receive", "a_mkt_campaign_id"),
+                                            (run_outcall, "outcall", "sub_campaign_id")])
+def test_a_slice_is_not_saved_as_the_whole_detail(spark, roles, tmp_path, run, kind, key):
+    part = run(getattr(roles, f"{kind}_tables"), None, AS_OF, replace(OPTIONS, slice_only=True))
+    held = {r[0] for r in part["detail"].select(key).distinct().collect()}
+    assert held and held <= {r[0] for r in part["slices"].select(key).collect()}
+    with pytest.raises(ValueError, match="slice"):
+        save_run(part, str(tmp_path / "day"), str(tmp_path / "logs"))
+    assert not list(tmp_path.iterdir())
+
+
 def test_broken_rule_is_logged_and_the_run_goes_on(roles):
     tables = dict(roles.receive_tables)
     tables["mkt_success_rule"] = tables["mkt_success_rule"].withColumn(
