@@ -176,7 +176,103 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payl
 FROM p
 """
 
+
+
+def _crc32(ascii_text: str) -> str:
+    """Unsigned CRC-32 of a short text of ASCII characters."""
+    bits = "[xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]"
+    return (f"xor(list_reduce(list_concat([4294967295], list_transform(range(1, "
+            f"length({ascii_text}) + 1), lambda i: CAST(ascii(substr({ascii_text}, i, 1)) AS BIGINT)"
+            f")), lambda c, b: list_reduce({bits}, "
+            f"lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+
+
+_TRIM = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP11 = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")}
+           % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+           AS text,
+         unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM k WHERE kind <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1
+           AS seen, rtrim(text, {_TRIM}) AS shown, left(role, 1) AS r FROM d),
+f AS MATERIALIZED (
+  SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS last,
+         CASE WHEN shown = '' THEN 'blank' WHEN seen THEN 'duplicate'
+              WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM o),
+moves(a, r, b) AS (VALUES ('empty', 's', 'system'), ('empty', 'u', 'user'), ('system', 'u', 'user'),
+                          ('pairs', 'u', 'user'), ('user', 'a', 'pairs')),
+ins(a, n, b) AS (
+  SELECT a, 0, a FROM (VALUES ('empty'), ('system'), ('pairs'), ('user')) v(a)
+  UNION ALL SELECT a, 1, b FROM moves WHERE r <> 's'
+  UNION ALL SELECT x.a, 2, y.b FROM moves x JOIN moves y ON x.b = y.a WHERE 's' NOT IN (x.r, y.r)
+  UNION ALL SELECT x.a, 3, z.b FROM moves x JOIN moves y ON x.b = y.a JOIN moves z ON y.b = z.a
+            WHERE 's' NOT IN (x.r, y.r, z.r)),
+edits(action, r, cost) AS (VALUES ('R', 'u', 1), ('R', 'a', 1), ('K', 's', 0), ('K', 'u', 0),
+                                  ('K', 'a', 0)),
+t(conv_id, i, state, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 'empty', {{'cost': CAST(0 AS BIGINT), 'audit': ''}}
+  FROM f
+  UNION ALL
+  SELECT conv_id, i, state, min(best) FROM (
+    SELECT t.conv_id, f.i, u.state,
+           {{'cost': t.best.cost + 5 * ins.n + u.cost,
+             'audit': t.best.audit || repeat('I', ins.n) || u.action}} AS best
+    FROM t JOIN f ON f.conv_id IS NOT DISTINCT FROM t.conv_id AND f.i = t.i + 1
+    JOIN ins ON ins.a = t.state,
+    LATERAL (SELECT 'D' AS action, ins.b AS state, 2 AS cost
+             UNION ALL SELECT e.action, m.b, e.cost + CASE f.fault WHEN 'truncated' THEN 5 ELSE 0 END
+             FROM edits e JOIN moves m ON m.a = ins.b AND m.r = e.r
+             WHERE f.fault NOT IN ('blank', 'duplicate') AND (e.action = 'R' OR e.r = f.r)) u)
+  GROUP BY conv_id, i, state),
+ends AS (
+  SELECT t.conv_id, min({{'cost': t.best.cost + 5 * ins.n,
+                          'audit': t.best.audit || repeat('I', ins.n)}}) AS best
+  FROM t JOIN (SELECT conv_id, max(i) AS n FROM f GROUP BY conv_id) l
+    ON l.conv_id IS NOT DISTINCT FROM t.conv_id AND l.n = t.i
+  JOIN ins ON ins.a = t.state AND ins.b IN ('empty', 'pairs') GROUP BY t.conv_id),
+steps AS (SELECT conv_id, place, best.audit[place] AS action,
+                 length(replace(left(best.audit, place), 'I', '')) AS i,
+                 length(replace(left(best.audit, place), 'D', '')) AS j
+          FROM (SELECT conv_id, best, unnest(range(1, length(best.audit) + 1)) AS place FROM ends)),
+joined AS (SELECT s.conv_id, s.place, s.action, s.j, f.role, f.text, f.r FROM steps s
+           LEFT JOIN f ON s.action <> 'I' AND f.conv_id IS NOT DISTINCT FROM s.conv_id
+             AND f.i = s.i
+           WHERE s.action <> 'D'),
+shifted AS (SELECT *, bool_or(j = 1 AND action = 'K' AND r = 's') OVER (PARTITION BY conv_id) AS sys
+            FROM joined),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(
+    CASE WHEN action = 'K' THEN role WHEN (j + CAST(sys AS INT)) % 2 = 1 THEN 'user'
+         ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY place)) AS digest
+  FROM shifted GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (last || r NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
 ORACLES = {
     "op2_decontamination": OP2, "op4_jaccard_join": OP4, "op5_chat_format": OP5,
     "op6_license_scan": OP6, "op8_exact_dedup": OP8, "op9_secret_scan": OP9, "op10_warc": OP10,
+    "op11_conversation_repair": OP11,
 }

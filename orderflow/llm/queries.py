@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.llm import (
-    bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, packing, secrets, warc,
+    bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, packing, repair, secrets,
+    warc,
 )
 from orderflow.llm.common import table
 
@@ -63,6 +64,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.digests(rows, repair.repair(repair.damage(rows)))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_decontamination, op3_language_id, op4_jaccard_join, op5_chat_format,
-    op6_license_scan, op7_packing, op8_exact_dedup, op9_secret_scan, op10_warc)}
+    op6_license_scan, op7_packing, op8_exact_dedup, op9_secret_scan, op10_warc,
+    op11_conversation_repair)}
