@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from orderflow.llm import secrets
+from orderflow.llm import secrets, sharding
 from orderflow.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
@@ -178,12 +178,12 @@ FROM p
 
 
 
-def _crc32(ascii_text: str) -> str:
-    """Unsigned CRC-32 of a short text of ASCII characters."""
-    bits = "[xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]"
-    return (f"xor(list_reduce(list_concat([4294967295], list_transform(range(1, "
-            f"length({ascii_text}) + 1), lambda i: CAST(ascii(substr({ascii_text}, i, 1)) AS BIGINT)"
-            f")), lambda c, b: list_reduce({bits}, "
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text's UTF-8 bytes."""
+    octets = (f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "
+              f"lambda h: CAST('0x' || h AS BIGINT))")
+    return (f"xor(list_reduce(list_concat([4294967295], {octets}), lambda c, b: "
+            f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], "
             f"lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
 
 
@@ -271,8 +271,125 @@ LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id
 LEFT JOIN repaired p ON p.conv_id IS NOT DISTINCT FROM a.conv_id
 """
 
+
+def _mixed(column: str, out: str, source: str, kept: str) -> str:
+    """A statement that adds ``out``, the mixed bits of an unsigned 64-bit column."""
+    def step(x: str, shift: int, factor: int) -> str:
+        return (f"CAST((CAST(xor({x}, {x} >> {shift}) AS UHUGEINT) * CAST({factor} AS UHUGEINT)) "
+                f"% CAST(18446744073709551616 AS UHUGEINT) AS UBIGINT)")
+    (s1, f1), (s2, f2) = [(s, int(f)) for s, f in sharding._MIX]
+    return f"""SELECT {kept}, xor(m2, m2 >> 31) AS {out} FROM (
+      SELECT {kept}, {step('m1', s2, f2)} AS m2 FROM (
+        SELECT {kept}, {step(column, s1, f1)} AS m1 FROM ({source})))"""
+
+
+_PLACES = sharding.ROOM[0] * sharding.ROOM[1] * sharding.ROOM[2]
+_NODES = 1 + sharding.ROOM[0] + sharding.ROOM[0] * sharding.ROOM[1] + _PLACES
+#: Draws of rows that are still turned away after so many are not in the statement.
+_ATTEMPTS = 64
+
+
+def _first_node(level: int) -> int:
+    sizes = [1, sharding.ROOM[0], sharding.ROOM[0] * sharding.ROOM[1]]
+    return sum(sizes[:level])
+
+
+def _level(name: str, before: str, level: int) -> str:
+    """The child of each (id, attempt) that draws the smallest number."""
+    width = sharding.ROOM[level - 1]
+    child = (f"{_first_node(level)} + (node - {_first_node(level - 1)}) * {width} + j")
+    return f"""{name} AS MATERIALIZED (
+  SELECT id, attempt, bits, arg_min(child, draw) AS node FROM (
+    SELECT id, attempt, bits, child, -ln((CAST(h >> 11 AS DOUBLE) + 1) / 9007199254740992) AS draw
+    FROM ({_mixed('x', 'h', f"""
+      SELECT id, attempt, bits, child, CAST((CAST(bits AS UHUGEINT)
+               + CAST(child + attempt * {2 * _NODES} AS UHUGEINT) * CAST({int(sharding._GOLDEN)} AS UHUGEINT))
+               % CAST(18446744073709551616 AS UHUGEINT) AS UBIGINT) AS x
+      FROM (SELECT id, attempt, bits, {child} AS child
+            FROM {before}, (SELECT unnest(range({width})) AS j))""", "id, attempt, bits, child")}))
+  GROUP BY id, attempt, bits)"""
+
+
+OP12 = f"""
+WITH ids AS MATERIALIZED (
+  {_mixed('x', 'bits', """SELECT DISTINCT coalesce(doc_id, -1) AS id,
+    CAST(CASE WHEN coalesce(doc_id, -1) < 0
+              THEN CAST(18446744073709551616 AS HUGEINT) + coalesce(doc_id, -1)
+              ELSE coalesce(doc_id, -1) END AS UBIGINT) AS x FROM documents""", "id")}),
+l0 AS (SELECT id, attempt, bits, 0 AS node FROM ids, (SELECT unnest(range({_ATTEMPTS})) AS attempt)),
+{_level('l1', 'l0', 1)},
+{_level('l2', 'l1', 2)},
+{_level('l3', 'l2', 3)},
+of_count AS (
+  SELECT id, n, arg_min(node, attempt) - {_NODES - _PLACES} AS shard
+  FROM l3, (VALUES (16), (17)) v(n) WHERE node - {_NODES - _PLACES} < n GROUP BY id, n)
+SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, crc AS text_crc32,
+       'key' AS law, CAST(a.shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY a.shard ORDER BY doc_id NULLS FIRST, crc) - 1 AS slot,
+       CAST(b.shard AS INTEGER) AS grown_shard
+FROM (SELECT doc_id, text, {_crc32("coalesce(text, '')")} AS crc FROM documents) d
+JOIN of_count a ON a.id = coalesce(doc_id, -1) AND a.n = 16
+JOIN of_count b ON b.id = coalesce(doc_id, -1) AND b.n = 17
+"""
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {f} IS NULL THEN '-' ELSE strlen({f}) || ':' || {f} END" for f in fields) + ")"
+
+
+def _level_up(nodes: str) -> str:
+    return (f"list_transform(range(0, (len({nodes}) + 2) // 3), "
+            f"lambda i: sha256(array_to_string({nodes}[3 * i + 1:3 * i + 3], '')))")
+
+
+OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 2 = 0
+              THEN {_leaf("replace(text, chr(10), '')")} END AS changed
+  FROM documents),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         row_number() OVER () AS doc
+  FROM d),
+levels(source, k, nodes) AS (
+  SELECT source, 0, list(leaf ORDER BY i) FROM leaves GROUP BY source
+  UNION ALL SELECT source, k + 1, {_level_up('nodes')} FROM levels WHERE len(nodes) > 1),
+subroots AS MATERIALIZED (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place,
+         k AS height FROM levels WHERE len(nodes) = 1),
+tops(k, nodes) AS (
+  SELECT 0, list(subroot ORDER BY place) FROM subroots
+  UNION ALL SELECT k + 1, {_level_up('nodes')} FROM tops WHERE len(nodes) > 1),
+climb(doc, source, k, i, above, siblings, h) AS (
+  SELECT doc, source, 0, i, false, '', coalesce(changed, leaf) FROM leaves
+  UNION ALL
+  SELECT doc, source, CASE WHEN up THEN 0 ELSE k + 1 END,
+         CASE WHEN up THEN place ELSE i // 3 END, above OR up,
+         CASE WHEN up THEN siblings ELSE siblings || before || after END,
+         CASE WHEN up THEN h ELSE sha256(before || h || after) END
+  FROM (
+    SELECT c.*, s.place, NOT above AND k = s.height AS up,
+           array_to_string(n[i - i % 3 + 1:i], '') AS before,
+           array_to_string(n[i + 2:i - i % 3 + 3], '') AS after
+    FROM (SELECT c.*, CASE WHEN above THEN t.nodes ELSE l.nodes END AS n
+          FROM climb c LEFT JOIN levels l ON NOT above AND l.source IS NOT DISTINCT FROM c.source
+                                             AND l.k = c.k
+          LEFT JOIN tops t ON above AND t.k = c.k) c
+    JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+    WHERE NOT (above AND len(n) = 1))),
+done AS (SELECT doc, arg_max(siblings, length(siblings)) AS siblings,
+                arg_max(h, CASE WHEN above THEN 1000 ELSE 0 END + k) AS h FROM climb GROUP BY doc)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, h AS folded_root,
+       h = root AS verified
+FROM leaves c JOIN done USING (doc) JOIN subroots s ON s.source IS NOT DISTINCT FROM c.source
+JOIN (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1) ON true
+"""
+
 ORACLES = {
     "op2_decontamination": OP2, "op4_jaccard_join": OP4, "op5_chat_format": OP5,
     "op6_license_scan": OP6, "op8_exact_dedup": OP8, "op9_secret_scan": OP9, "op10_warc": OP10,
-    "op11_conversation_repair": OP11,
+    "op11_conversation_repair": OP11, "op12_sharding": OP12, "op13_merkle_manifest": OP13,
 }

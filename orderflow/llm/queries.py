@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderflow.llm import (
-    bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, packing, repair, secrets,
-    warc,
+    bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, manifest, packing, repair,
+    secrets, sharding, warc,
 )
 from orderflow.llm.common import table
 
@@ -69,7 +70,18 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.digests(rows, repair.repair(repair.damage(rows)))
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree.of(16),
+                           sharding.Tree.of(17))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(
+        table(spark, sf_dir, "documents"),
+        manifest.without_line_ends(F.col("doc_id"), F.col("text")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_decontamination, op3_language_id, op4_jaccard_join, op5_chat_format,
     op6_license_scan, op7_packing, op8_exact_dedup, op9_secret_scan, op10_warc,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_sharding, op13_merkle_manifest)}
