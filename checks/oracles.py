@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from checks.roles import AS_OF, RULES, VIEWS, with_views
+from checks.roles import (AS_OF, FAILING_RULES, NESTED_RULES, RANGE_RULES, RULES, SHARED_RULES,
+                          VIEWS, with_views)
 
 DAY = "TIMESTAMP '1998-07-01 00:00:00'"
 DAY_BEFORE = "TIMESTAMP '1998-06-30 08:30:00'"
@@ -12,12 +13,30 @@ MONTH_START = "TIMESTAMP '1998-06-01 00:00:00'"
 FLAGS = [f"col_{i}" for i in range(1, 21)]
 
 
-def _rule_rows(rule_id: int, asked: str) -> str:
-    """Rows of one rule for every asked pair, as a plain join."""
-    text = RULES[rule_id].replace("''", "'")
+def _bound(text: str) -> str:
     for mark, column in (("[CUSTID]", "c.cust_id"), ("[custId]", "c.cust_id"),
-                         ("[LATN_ID]", "c.area")):
+                         ("[LATN_ID]", "c.area"), ("[PRODINSTID]", "c.prod_inst_id")):
         text = text.replace(mark, column)
+    return text
+
+
+def _all_asked(rules: dict[int, str], condition: str = "true") -> str:
+    """Every receive candidate's answer to every rule."""
+    rows = "\nUNION ALL ".join(
+        f"SELECT c.list_id, {rule} AS suc_rule_id, q.v FROM o_receive_cand c, "
+        f"LATERAL ({_bound(text)}) q(v) WHERE {condition}" for rule, text in rules.items())
+    ids = ", ".join(f"({rule})" for rule in rules)
+    return f"""
+SELECT c.list_id, i.suc_rule_id, CASE WHEN r.n > 0 THEN 1 ELSE 0 END AS hit, r.value,
+       CASE WHEN r.n > 0 THEN 1 ELSE 0 END AS success
+FROM o_receive_cand c CROSS JOIN (VALUES {ids}) i(suc_rule_id) LEFT JOIN (
+  SELECT list_id, suc_rule_id, count(*) AS n, min(v) AS value FROM ({rows}) GROUP BY ALL) r
+  ON r.list_id = c.list_id AND r.suc_rule_id = i.suc_rule_id"""
+
+
+def _rule_rows(rule_id: int, asked: str) -> str:
+    """Rows of one rule for every asked pair, as a plain join."""
+    text = _bound(RULES[rule_id].replace("''", "'"))
     return (f"SELECT c.main_campaign_id, c.list_id, c.suc_rule_id, q.v FROM {asked} c, "
             f"LATERAL ({text}) q(v) WHERE c.suc_rule_id = {rule_id}")
 
@@ -703,6 +722,17 @@ FROM initiative_order_executor e LEFT JOIN o_grid g ON g.code = e.dept_id""",
     "receive_report_org": _receive_report("org"),
     "success_flag_columns": _flags("o_receive_eval", 5),
     "rule_eval": "SELECT list_id, suc_rule_id, seq_no, hit, value, success FROM o_receive_eval",
+    "rule_eval_range": _all_asked(RANGE_RULES),
+    "rule_eval_nested": _all_asked(NESTED_RULES),
+    "rule_eval_shared": _all_asked(SHARED_RULES),
+    "rule_errors": f"""
+SELECT list_id AS order_id, 'evaluate_rules' AS pro_name, '-1' AS errorcode,
+       'rule 71: [DIVIDE_BY_ZERO]' AS problem
+FROM o_receive_cand WHERE cust_id = 100
+  AND (cust_id, area) IN (SELECT (cust_id, latn_id) FROM customer_order_syn)
+UNION ALL
+SELECT list_id, 'evaluate_rules', '-6502', 'rule 72: ' || count(*) || ' results'
+FROM o_receive_cand c, LATERAL ({_bound(FAILING_RULES[72])}) q(v) GROUP BY list_id""",
     "rule_first_value": """
 SELECT list_id, suc_rule_id, value,
        CASE WHEN nulls > 0 OR value IS NOT NULL THEN 1 ELSE 0 END AS hit,

@@ -9,7 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.roles import AREAS, AS_OF, CHANGE_DAYS, PURCHASE_DAYS, Roles
+from checks.roles import (AREAS, AS_OF, CHANGE_DAYS, FAILING_RULES, NESTED_RULES, PURCHASE_DAYS,
+                          RANGE_RULES, SHARED_RULES, Roles)
 from orderflow.functions import clock
 from orderflow.operators import apply as ap
 from orderflow.operators import campaigns as ca
@@ -430,6 +431,44 @@ def rule_eval(r):
                                                  "value", "success")
 
 
+def _asked(r: Roles, rules: dict[int, str], **options) -> ru.Evaluation:
+    """Every receive candidate asked every rule."""
+    pairs = _candidates(r, "receive").select(
+        "list_id", "cust_id", "prod_inst_id", "area", F.col("campaign_id").alias("main_campaign_id"),
+        F.explode(F.array(*map(F.lit, rules))).alias("suc_rule_id"), F.lit(0).alias("rel_id"),
+        F.lit(1).alias("seq_no"))
+    return ru.evaluate_rules(stage(pairs, "asked", "suc_rule_id"), list(rules.items()),
+                             _rule_tables(r), **options)
+
+
+def _answers(evaluation: ru.Evaluation) -> DataFrame:
+    return evaluation.answers.select("list_id", "suc_rule_id", "hit", "value", "success")
+
+
+@query
+def rule_eval_range(r):
+    return _answers(_asked(r, RANGE_RULES))
+
+
+@query
+def rule_eval_nested(r):
+    return _answers(_asked(r, NESTED_RULES))
+
+
+@query
+def rule_eval_shared(r):
+    return _answers(_asked(r, SHARED_RULES))
+
+
+@query
+def rule_errors(r):
+    """The first words of the error rows of rules that fail for some orders."""
+    errors = _asked(r, FAILING_RULES, isolate="orders").errors
+    return errors.select("order_id", "pro_name", "errorcode",
+                         F.regexp_extract("errormsg", r"^rule \d+: (\[DIVIDE_BY_ZERO\]|\d+ results)",
+                                          0).alias("problem"))
+
+
 @query
 def rule_first_value(r):
     return ru.reduce_rule_rows(r["rule_rows"])

@@ -49,6 +49,39 @@ RULE_4 = ("select o.order_id from customer_order_syn o join part on p_partkey =
           "where o.cust_id = [CUSTID] and o.latn_id = [LATN_ID] and p_brand = ''Brand#7''")
 RULES = {1: RULE_1, 2: RULE_2, 3: RULE_3, 4: RULE_4}
 
+# Rules as users write them. Ranges: by a band alone, and beside an equality.
+RANGE_RULES = {
+    21: "select o.order_id from customer_order_syn o where o.order_id between [PRODINSTID] - 35 "
+        "and [PRODINSTID] + 64 and o.status_cd = 300000",
+    22: "select o.order_id from customer_order_syn o where o.order_id > [PRODINSTID] and "
+        "o.order_id < [PRODINSTID] + 500 * (1 + [CUSTID] % 3) and o.latn_id <> [LATN_ID]",
+    23: "select o.order_id from customer_order_syn o where o.cust_id = [CUSTID] and "
+        "o.order_id > [PRODINSTID] + 9",
+    24: "select max(o.order_id) from customer_order_syn o where o.cust_id = [CUSTID] and "
+        "o.order_id <> [PRODINSTID] + 1",
+}
+# Placeholders in subqueries.
+NESTED_RULES = {
+    31: "select o.order_id from customer_order_syn o where o.cust_id = [CUSTID] and exists "
+        "(select 1 from part where p_partkey = o.offer_id and p_size % 5 = [LATN_ID] % 5)",
+    32: "select o.order_id from customer_order_syn o where o.latn_id = [LATN_ID] and "
+        "o.cust_id = [CUSTID] and not exists (select 1 from customer_order_syn l where "
+        "l.cust_id = o.cust_id and l.order_id > o.order_id and l.order_id < [PRODINSTID])",
+    33: "select o.order_id from customer_order_syn o where o.cust_id = [CUSTID] and o.amount > "
+        "(select avg(l.amount) from customer_order_syn l where l.latn_id = [LATN_ID])",
+}
+# Many rules on one table, with the same equalities.
+SHARED_RULES = {
+    40 + i: "select o.order_id from customer_order_syn o where o.cust_id = [CUSTID] "
+            f"and o.latn_id = [LATN_ID] and o.offer_id % 20 = {i}" for i in range(20)}
+# One rule that cannot be evaluated for one customer, one whose answers are no ids.
+FAILING_RULES = {
+    71: "select 1000000 / (o.cust_id - 100) * 0 + 5 from customer_order_syn o "
+        "where o.cust_id = [CUSTID] and o.latn_id = [LATN_ID]",
+    72: "select o.order_id + 0.5 from customer_order_syn o where o.cust_id = [CUSTID] "
+        "and o.latn_id = [LATN_ID] and o.amount > 95000",
+}
+
 VIEWS: dict[str, str] = {
     "common_region": """
 SELECT n_nationkey AS region_id, n_name AS region_name,

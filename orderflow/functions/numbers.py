@@ -5,10 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A number with more decimals than these is not compared, because the cast would round it.
+_PLACES = 18
+_EXACT = f"DECIMAL(38, {_PLACES})"
+_DECIMALS, _EXPONENT = "[.]([0-9]*?)0*([^0-9]|$)", "[eE]([+-]?[0-9]+)"
+
+
+def whole_sql(v: str) -> str:
+    """SQL for :func:`to_bigint` of a text column."""
+    exact = f"try_cast({v} AS {_EXACT})"
+    return (f"coalesce(try_cast({v} AS BIGINT), CASE WHEN {exact} = try_cast({exact} AS BIGINT) "
+            f"AND length(regexp_extract({v}, '{_DECIMALS}', 1)) - coalesce(try_cast("
+            f"regexp_extract({v}, '{_EXPONENT}', 1) AS INT), 0) <= {_PLACES} "
+            f"THEN try_cast({exact} AS BIGINT) END)")
+
 
 def to_bigint(col: Column | str) -> Column:
-    """Text to bigint, NULL when it is not an integer."""
-    return (F.col(col) if isinstance(col, str) else col).try_cast("bigint")
+    """Text to bigint, NULL when it is not a whole number.
+
+    ``12.00`` and ``1.2E3`` are whole numbers, ``12.0000001`` is none: nothing is rounded. A number
+    written with over 18 decimals that are not zeros is none.
+    """
+    text = F.col(col) if isinstance(col, str) else col
+    exact = text.try_cast(_EXACT)
+    decimals = F.length(F.regexp_extract(text, _DECIMALS, 1)) - F.coalesce(
+        F.regexp_extract(text, _EXPONENT, 1).try_cast("int"), F.lit(0))
+    whole = exact.try_cast("bigint")
+    return F.coalesce(text.try_cast("bigint"),
+                      F.when((exact == whole) & (decimals <= _PLACES), whole))
 
 
 def null_as_zero(col: Column | str) -> Column:

@@ -1,16 +1,17 @@
-"""Configurable success rules, evaluated set-based: one query per rule, not per order.
+"""Configurable success rules, evaluated set-based: a few queries for all orders and rules.
 
 A rule is Spark SQL returning one column. Placeholders stand for the order it is asked about:
-``[CUSTID] [PRODINSTID] [CAMPAIGNID] [SUCRULEID] [RELID] [LATN_ID]``, in any letter case.
-They may be used in the rule's own WHERE and ON clauses, not inside a further subquery.
+``[CUSTID] [PRODINSTID] [CAMPAIGNID] [SUCRULEID] [RELID] [LATN_ID]``, in any letter case. They may
+stand anywhere in the text, in comparisons of any kind and in subqueries.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections import defaultdict, deque
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import (AnalysisException, ArithmeticException,
                             ArrayIndexOutOfBoundsException, DateTimeException,
@@ -20,28 +21,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf, day_window
+from orderflow.functions.numbers import to_bigint, whole_sql
 from orderflow.operators.campaigns import PROVINCE_AREA, TELEPHONE
 from orderflow.operators.quality import error_log
-from orderflow.session import stage
+from orderflow.operators.rule_shapes import (ASKED, BOUND, PLACEHOLDERS, Shape, blocks,
+                                             seated, shape)
+from orderflow.session import stage, together
 
 # Fixed values.
 NO_ROW = "-999999999"
 FAILED = -1
 DONE = 300000
-PLACEHOLDERS = {
-    "CUSTID": "cust_id", "PRODINSTID": "prod_inst_id", "CAMPAIGNID": "main_campaign_id",
-    "SUCRULEID": "suc_rule_id", "RELID": "rel_id", "LATN_ID": "area",
-}
-
-# A result as an id: a whole number, also one written as a decimal or with an exponent.
-_DECIMAL = "try_cast({v} AS DECIMAL(38, 6))"
-_WHOLE = f"try_cast({_DECIMAL} AS BIGINT)"
-_ID = f"CASE WHEN {_DECIMAL} = {_WHOLE} THEN {_WHOLE} END"
-# How the rows of one rule answer become one value: rows in total, unusable ones, and the
-# smallest number that is neither NULL nor the no-row mark.
-_REDUCE = f"""count_if(v IS NULL) AS nulls,
-       count_if(v IS NOT NULL AND {_ID.format(v="v")} IS NULL) AS bad,
-       min({_ID.format(v="v")}) FILTER (WHERE {_ID.format(v="v")} <> {NO_ROW}) AS value"""
+
+# How the rows of one rule answer become one value: NULLs, unusable ones, and the smallest whole
+# number that is not the no-row mark.
+_ID = whole_sql("v")
+_REDUCE = f"""count_if(v IS NULL) AS nulls, count_if(v IS NOT NULL AND {_ID} IS NULL) AS bad,
+       min({_ID}) FILTER (WHERE {_ID} <> {NO_ROW}) AS value"""
+#: What is asked about a rule's orders, when an order's run-time failure is looked for.
+PROBES = 400
 
 
 @dataclass(frozen=True)
@@ -113,8 +111,8 @@ def rule_texts(rules: DataFrame) -> list[tuple[int, str]]:
     return [(row[0], row[1]) for row in rows]
 
 
-def bind(text: str) -> tuple[str, list[str]]:
-    """Rule text with placeholders turned into columns of ``c``, and the columns it uses.
+def bind(text: str, relation: str = "c") -> tuple[str, list[str]]:
+    """Rule text with placeholders turned into columns of a relation, and the columns it uses.
 
     Only placeholders change; literals keep their case. Unknown ones stay and fail to parse.
     """
@@ -126,13 +124,15 @@ def bind(text: str) -> tuple[str, list[str]]:
             return match.group(0)
         if name not in used:
             used.append(name)
-        return f"c.{name}"
+        return f"{relation}.{name}"
 
     return re.sub(r"\[(\w+)\]", column, text), used
 
 
-def _answer(spark: SparkSession, pairs: DataFrame, text: str) -> DataFrame:
-    """Ask one rule for all its orders in one join.
+# ---- ways to ask --------------------------------------------------------------------------
+
+def _laterally(sql: str, pairs: DataFrame) -> DataFrame:
+    """Answers of a text with one column ``v``, whose placeholders are the asked order's columns.
 
     The rule's rows are aggregated inside the lateral subquery, so Spark groups them by the
     values the placeholders are compared with, combines them map-side, and joins at most one row
@@ -140,12 +140,150 @@ def _answer(spark: SparkSession, pairs: DataFrame, text: str) -> DataFrame:
     that customer's orders. The constant GROUP BY makes an empty answer no row instead of a row
     of zeros, which spares Spark a second join.
     """
-    sql, _ = bind(text)
-    return spark.sql(
-        f"SELECT c.*, q.* FROM {{pairs}} c LEFT JOIN LATERAL (SELECT {_REDUCE} FROM "
+    return pairs.sparkSession.sql(
+        f"SELECT {ASKED}.*, q.* FROM {{pairs}} {ASKED} LEFT JOIN LATERAL (SELECT {_REDUCE} FROM "
         f"(SELECT CAST(r.v AS STRING) AS v FROM ({sql}) AS r(v)) GROUP BY true) q", pairs=pairs)
 
 
+def _one_by_one(sql: str) -> Callable[[DataFrame], DataFrame]:
+    return partial(_laterally, sql)
+
+
+def _shared(rules: list[tuple[int, Shape]]) -> Callable[[DataFrame], DataFrame]:
+    """Rules on the same FROM with the same equalities, in one pass over it.
+
+    Every row of the FROM becomes one row per rule whose other conditions it meets; the rule is
+    one more column that the answers are grouped by. So there is one scan and one exchange,
+    however many rules there are.
+    """
+    first = rules[0][1]
+    tests = [" AND ".join(f"({c})" for c in s.local) or "true" for _, s in rules]
+    marks = ", ".join(
+        f"CASE WHEN {test} THEN named_struct('rule', {rule}, 'v', CAST({s.select} AS STRING)) END"
+        for (rule, s), test in zip(rules, tests, strict=True))
+    keys = ", ".join(f"{own} AS k{i}" for i, (_, own) in enumerate(first.keys))
+    met = " AND ".join(f"x.k{i} = {ASKED}.{name}" for i, (name, _) in enumerate(first.keys))
+    return partial(_laterally, (
+        f"SELECT x.m.v FROM (SELECT {keys}, explode(array_compact(array({marks}))) AS m "
+        f"FROM {first.source} WHERE {' OR '.join(f'({t})' for t in tests)}) x "
+        f"WHERE {met} AND x.m.rule = {ASKED}.suc_rule_id"))
+
+
+def _banded(used: list[str], s: Shape, x: str) -> Callable[[DataFrame], DataFrame]:
+    """A rule without equalities that bounds ``x`` from both sides.
+
+    Both sides are cut into bins and meet where the bins are equal; the rule's own comparisons
+    decide then. A band of n whole numbers lies in at most two bins of the smallest power of four
+    from n on, so bins suit each band's own width, a wide band does not become many rows, and the
+    rule's FROM is read once per power that occurs. Bands are told apart by value: orders that
+    ask the same are asked once.
+    """
+    names, band = ", ".join(used), "band_of_order"
+    low, high = ([bound for own, sign, bound in s.ranges if own == x and sign[0] == c]
+                 for c in "><")
+    compared = [f"{own} {sign} {bound}" for own, sign, bound in s.ranges]
+    where = " AND ".join(f"({BOUND.sub(rf'{band}.\1', c)})"
+                         for c in (*s.local, *compared, *s.others))
+
+    def outermost(function: str, bounds: list[str]) -> str:
+        return bounds[0] if len(bounds) == 1 else f"{function}({', '.join(bounds)})"
+
+    def ask(pairs: DataFrame) -> DataFrame:
+        spark = pairs.sparkSession
+        bands = spark.sql(
+            f"SELECT DISTINCT {names}, CAST(floor({outermost('greatest', low)}) AS BIGINT) AS low, "
+            f"CAST(floor({outermost('least', high)}) AS BIGINT) AS high FROM {{pairs}} {ASKED}",
+            pairs=pairs).where("low <= high")
+        # a rounded power is only less fitting: every bin from low to high is taken
+        power = F.ceil(F.log2(F.col("high") - F.col("low") + 1) / 2).cast("int")
+        bands = bands.withColumn("power", power).withColumn("bin", F.explode(F.expr(
+            "sequence(shiftright(low, 2 * power), shiftright(high, 2 * power))")))
+        bands = stage(bands.drop("low", "high"), "bands")
+        powers = [r[0] for r in bands.select("power").distinct().collect()]  # at most 32
+        rows = [spark.sql(
+            f"SELECT {', '.join(f'{band}.{c}' for c in used)}, CAST({s.select} AS STRING) AS v "
+            f"FROM {s.source} CROSS JOIN {{bands}} {band} WHERE {band}.power = {p} "
+            f"AND {band}.bin = shiftright(CAST(floor({x}) AS BIGINT), {2 * p}) AND {where}",
+            bands=bands) for p in powers or [0]]
+        found = spark.sql(f"SELECT {names}, {_REDUCE} FROM {{rows}} GROUP BY {names}",
+                          rows=reduce(DataFrame.union, rows))
+        return pairs.join(found, used, "left").select(*pairs.columns, "nulls", "bad", "value")
+
+    return ask
+
+
+def _product(sql: str, pairs: DataFrame) -> bool | None:
+    """Whether Spark plans a text as a product of all orders and rows; None: not at all."""
+    try:
+        steps = _laterally(sql, pairs)._jdf.queryExecution().executedPlan().toString()
+    except (AnalysisException, ParseException):
+        return None
+    return "CartesianProduct" in steps or "BroadcastNestedLoopJoin" in steps
+
+
+def _by_rows(spark: SparkSession, s: Shape) -> bool:
+    """Whether the rule gives one value per row of its FROM, without placeholders' conditions."""
+    where = "".join(f" AND ({c})" for c in s.local)
+    try:
+        plan = spark.sql(f"SELECT {s.select} FROM {s.source} WHERE true{where}"
+                         )._jdf.queryExecution().analyzed()
+    except (AnalysisException, ParseException):
+        return False
+    return plan.nodeName() == "Project" and plan.children().head().nodeName() == "Filter"
+
+
+@dataclass(frozen=True)
+class Question:
+    """How some rules are asked: from (order, rule) pairs to their answers."""
+
+    rules: tuple[int, ...]
+    ask: Callable[[DataFrame], DataFrame]
+
+
+def questions(pairs: DataFrame, texts: list[tuple[int, str]], share: bool = True) -> list[Question]:
+    """The queries for all rules.
+
+    Rules that compare placeholders by equality only, on the same FROM and columns, are asked
+    together (``share``). A placeholder in a subquery, or in another comparison beside an
+    equality, becomes a column of the FROM's first relation, so that Spark unnests it and joins by
+    the equality. A rule whose only comparisons with placeholders bound an expression from both
+    sides is joined by bins. Any other text is asked as it is.
+    """
+    spark = pairs.sparkSession
+    families: dict[tuple, list[tuple[int, Shape]]] = defaultdict(list)
+    out: list[Question] = []
+    for rule, text in texts:
+        sql, used = bind(text, ASKED)
+        ask = _one_by_one(sql)
+        try:
+            found = blocks(spark, sql) if used else []
+            s = shape(spark, sql) if found else None
+        except ParseException:
+            found, s = [], None
+        if s is not None and not s.ranges and not s.others:
+            if share and s.keys and _by_rows(spark, s):
+                families[s.source, tuple(sorted(s.keys))].append((rule, s))
+                continue
+        elif s is None or s.keys:
+            other = seated(found, sql, used)
+            if other != sql and _product(sql, pairs) is not False and (
+                    _product(other, pairs) is not None):
+                ask = _one_by_one(other)
+        else:
+            banded = next((own for own, _, _ in s.ranges if {">", "<"} <= {
+                sign[0] for x, sign, _ in s.ranges if x == own}), None)
+            if banded is not None and _by_rows(spark, s):
+                ask = _banded(used, s, banded)
+        out.append(Question((rule,), ask))
+    for family in families.values():
+        alone = dict(texts)[family[0][0]]
+        ask = (_shared([(rule, Shape(s.select, s.source, tuple(sorted(s.keys)), (), s.local, ()))
+                        for rule, s in family]) if len(family) > 1
+               else _one_by_one(bind(alone, ASKED)[0]))
+        out.append(Question(tuple(rule for rule, _ in family), ask))
+    return sorted(out, key=lambda q: q.rules)
+
+
 def with_success(answers: DataFrame, null_is_success: bool = True) -> DataFrame:
     """Add ``hit`` (a usable row came back) and ``success``; drops the helper counts."""
     hit = (F.coalesce("nulls", F.lit(0)) > 0) | F.col("value").isNotNull()
@@ -161,8 +299,8 @@ def _broken(pairs: DataFrame) -> DataFrame:
             .withColumn("value", F.lit(FAILED).cast("bigint")))
 
 
-def _first_line(error: PySparkException) -> str:
-    return (str(error).strip() or type(error).__name__).splitlines()[0]
+def _text(error: PySparkException) -> str:
+    return str(error).strip() or type(error).__name__
 
 
 # What a rule text can get wrong; anything else is the cluster's failure and is not swallowed.
@@ -171,51 +309,138 @@ _RULE_ERRORS = (AnalysisException, ParseException, ArithmeticException, NumberFo
                 SparkRuntimeException)
 
 
+@dataclass
+class _Failures:
+    """What went wrong: rules that failed for all orders, and orders that a rule failed for."""
+
+    rules: dict[int, str] = field(default_factory=dict)
+    orders: list[DataFrame] = field(default_factory=list)
+
+
+def _apart(pairs: DataFrame, question: Question, used: list[str],
+           failures: _Failures) -> DataFrame:
+    """Answers of a rule that fails while running, without the orders it fails for.
+
+    The values that the placeholders stand for are cut into parts by a hash, the failing parts
+    again, until a part has one value; the orders with that value have failed, all others keep
+    their answers. After ``PROBES`` parts, what still fails has failed as it is. A condition on
+    the rule's tables alone is evaluated before any order is looked at, so when it fails, it fails
+    for all orders.
+    """
+    spark = pairs.sparkSession
+    rule, = question.rules
+    try:
+        return stage(question.ask(pairs), "answers")
+    except _RULE_ERRORS as error:
+        text = _text(error)
+    pairs = stage(pairs, "suspects")
+    place = F.xxhash64(*(used or [F.lit(0)]))
+    good: list[DataFrame] = []
+    parts, probes = deque([(1, 0)]), 0
+
+    def probe(count: int, number: int) -> tuple:
+        part = pairs.where(F.pmod(place, F.lit(count)) == number)
+        values = len(part.select(*used, F.lit(0).alias("any")).distinct().take(2))
+        try:
+            return count, number, part, values, stage(question.ask(part), "part"), None
+        except _RULE_ERRORS as error:
+            return count, number, part, values, None, _text(error)
+
+    while parts:
+        count, number = parts.popleft()
+        probes += 8
+        for found in together(spark, *[partial(probe, 8 * count, number + i * count)
+                                       for i in range(8)]):
+            wider, rest, part, values, answers, error = found
+            if answers is not None:
+                good.append(answers)
+            elif values > 1 and probes < PROBES and wider < 1 << 57:
+                parts.append((wider, rest))
+            else:
+                good.append(_broken(part))
+                failures.orders.append(error_log(
+                    part.select("list_id").distinct(), "evaluate_rules", "list_id",
+                    F.lit(f"rule {rule}: {error or text}"), F.lit("-1")))
+    return reduce(DataFrame.unionByName, good)
+
+
+def _each(question: Question, texts: dict[int, str]) -> list[Question]:
+    """The rules of a shared question, each by itself."""
+    return [Question((rule,), _one_by_one(bind(texts[rule], ASKED)[0]))
+            for rule in question.rules]
+
+
+def _settled(pairs: DataFrame, question: Question, texts: dict[int, str], by_order: bool,
+             failures: _Failures) -> DataFrame:
+    """Staged answers of a question whose rules may fail while running."""
+    mine = pairs.where(F.col("suc_rule_id").isin(*question.rules))
+    try:
+        return stage(question.ask(mine), "answers")
+    except _RULE_ERRORS as error:
+        text = _text(error)
+    if len(question.rules) > 1:
+        return reduce(DataFrame.unionByName, [
+            _settled(pairs, one, texts, by_order, failures) for one in _each(question, texts)])
+    if by_order:
+        sql, used = bind(texts[question.rules[0]], ASKED)
+        if used:  # joined to the orders first, a rule's values are made for their rows only
+            other = seated(blocks(pairs.sparkSession, sql), sql, used)
+            if _product(other, mine) is not None:
+                question = Question(question.rules, _one_by_one(other))
+        return _apart(mine, question, used, failures)
+    failures.rules[question.rules[0]] = text
+    return _broken(mine)
+
+
 def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
                    tables: Mapping[str, DataFrame], *, null_is_success: bool = True,
-                   isolate: bool = False) -> Evaluation:
+                   isolate: bool | str = False, share: bool = True) -> Evaluation:
     """Evaluate every (order, rule) pair.
 
-    ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; each rule reads its
-    own rows, so pass a table staged by suc_rule_id. ``tables`` that a text names become temporary views. A rule
-    Spark cannot compile fails for all its orders and is named in ``failed_rules``. With
-    ``isolate`` the answers are staged, and the same goes for a rule that fails while running:
-    only then are the rules run one by one to find it. A result that is not a number is logged
-    and does not count.
+    ``pairs`` needs list_id, suc_rule_id, seq_no and the placeholder columns; a rule reads its own
+    rows, so pass a table staged by suc_rule_id. ``tables`` that a text names become temporary
+    views. A rule Spark cannot compile fails for all its orders and is named in ``failed_rules``.
+    With ``isolate`` the answers are staged, and the same goes for a rule that fails while
+    running; with ``isolate="orders"`` such a rule fails only for the orders it cannot be
+    evaluated for, which are named in ``errors``. Only then are rules run apart to find out. A
+    result that is not a whole number is logged and does not count. ``share=False`` asks each
+    rule by itself.
     """
     spark = pairs.sparkSession
     for name, table in tables.items():
         if any(re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE) for _, text in texts):
             table.createOrReplaceTempView(name)
-    parts: dict[int, DataFrame] = {}
-    failed: dict[int, str] = {}
-    for rule_id, text in texts:
-        mine = pairs.where(F.col("suc_rule_id") == rule_id)
+    parts: list[DataFrame] = []
+    failures = _Failures()
+    waiting, asked = deque(questions(pairs, texts, share)), []
+    while waiting:
+        question = waiting.popleft()
+        mine = pairs.where(F.col("suc_rule_id").isin(*question.rules))
         try:
-            parts[rule_id] = _answer(spark, mine, text)
+            parts.append(question.ask(mine))
         except _RULE_ERRORS as error:
-            failed[rule_id] = _first_line(error)
-            parts[rule_id] = _broken(mine)
-    if not parts:
-        parts[0] = _broken(pairs.where(F.lit(False)))
-    raw = reduce(DataFrame.unionByName, parts.values())
+            if len(question.rules) > 1:
+                waiting.extend(_each(question, dict(texts)))
+                continue
+            failures.rules[question.rules[0]] = _text(error)
+            parts.append(_broken(mine))
+        asked.append(question)
+    raw = reduce(DataFrame.unionByName, parts, _broken(pairs.where(F.lit(False))))
     if isolate:
         try:
             raw = stage(raw, "answers")
         except _RULE_ERRORS:
-            for rule_id, part in parts.items():
-                try:
-                    parts[rule_id] = stage(part, f"rule_{rule_id}")
-                except _RULE_ERRORS as error:
-                    failed[rule_id] = _first_line(error)
-                    parts[rule_id] = _broken(pairs.where(F.col("suc_rule_id") == rule_id))
-            raw = reduce(DataFrame.unionByName, parts.values())
+            raw = reduce(DataFrame.unionByName, [
+                part if failures.rules.keys() & set(question.rules)
+                else _settled(pairs, question, dict(texts), isolate == "orders", failures)
+                for question, part in zip(asked, parts, strict=True)])
     errors = error_log(
         raw.where(F.col("bad") > 0), "evaluate_rules", "list_id",
         F.concat(F.lit("rule "), F.col("suc_rule_id").cast("string"), F.lit(": "),
                  F.col("bad").cast("string"), F.lit(" results are not numbers")),
         F.lit("-6502"))
-    return Evaluation(with_success(raw, null_is_success), errors, failed)
+    return Evaluation(with_success(raw, null_is_success),
+                      reduce(DataFrame.unionByName, failures.orders, errors), failures.rules)
 
 
 def reduce_rule_rows(raw: DataFrame, null_is_success: bool = True) -> DataFrame:
@@ -223,7 +448,7 @@ def reduce_rule_rows(raw: DataFrame, null_is_success: bool = True) -> DataFrame:
 
     The smallest number other than the no-row mark; only NULLs give a hit without a value.
     """
-    rows = raw.withColumnRenamed("value", "v").withColumn("id", F.expr(_ID.format(v="v")))
+    rows = raw.withColumnRenamed("value", "v").withColumn("id", to_bigint("v"))
     return with_success(rows.groupBy("list_id", "suc_rule_id").agg(
         F.count_if(F.col("v").isNull()).alias("nulls"),
         F.count_if(F.col("v").isNotNull() & F.col("id").isNull()).alias("bad"),

@@ -73,7 +73,7 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         # new rows and status changes carry no success, so the flags at the start suffice
         asked = stage(skip_logged(rule_pairs(candidates, rules), before, t["success_log"]),
                       "rule_pairs", "suc_rule_id")
-        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
+        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate="orders",
                                      null_is_success=options.null_is_success)
 
     (new, resolved), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)

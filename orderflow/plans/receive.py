@@ -87,7 +87,7 @@ def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFra
     if not evaluation.failed_rules:
         return evaluation.errors
     spark = pairs.sparkSession
-    rows = [(None, f"rule {rule}: {text}"[:200], job, "-1")
+    rows = [(None, f"rule {rule}: {text}", job, "-1")
             for rule, text in evaluation.failed_rules.items()]
     broken = spark.createDataFrame(
         rows, "order_id bigint, errormsg string, pro_name string, errorcode string")
@@ -146,7 +146,7 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         candidates = success_candidates(held, t["customer_order_syn"], as_of, mode="receive",
                                         days=options.purchase_days)
         asked = stage(rule_pairs(candidates, rules), "rule_pairs", "suc_rule_id")
-        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate=True,
+        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate="orders",
                                      null_is_success=options.null_is_success)
 
     # neither needs the other: registration leaves the success flags alone
