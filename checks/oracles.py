@@ -759,6 +759,14 @@ FROM (SELECT id, conditions, unnest(string_split(conditions, ',')) AS pair,
              unnest(range(1, len(string_split(conditions, ',')) + 1)) AS pos
       FROM condition_text WHERE conditions IS NOT NULL)""",
     "receive_daily_run": _receive_won("o_run_r_changed", "o_run_r_first", "o_run_r_hits"),
+    "detail_merge": _receive_won("o_run_r_changed", "o_run_r_first", "o_run_r_hits"),
+    "executor_merge": _receive_state("o_run_r_first"),
+    "callout_detail_merge": _outcall_won("o_run_c_changed", "o_run_c_ends", "o_run_c_eval"),
+    "replace_partitions_at_once": """
+SELECT main_campaign_id, sub_campaign_id, count(*) AS orders FROM callout_detail
+WHERE main_campaign_id = 0 GROUP BY ALL
+UNION ALL SELECT z_mkt_campaign_id, a_mkt_campaign_id, count(*) FROM receive_detail
+WHERE z_mkt_campaign_id IN (1, 3) GROUP BY ALL""",
     "receive_daily_executor": _receive_state("o_run_r_first"),
     "receive_daily_log": _log("o_run_r_first", NOW),
     "outcall_daily_run": _outcall_won("o_run_c_changed", "o_run_c_ends", "o_run_c_eval"),

@@ -22,11 +22,12 @@ from orderflow.operators import reports as re
 from orderflow.operators import rules as ru
 from orderflow.operators import success as su
 from orderflow.operators.text_jobs import explode_conditions
-from orderflow.plans import rebuild_reports, refresh_dimensions, run_outcall, run_receive
+from orderflow.plans import (merge_run, rebuild_reports, refresh_dimensions, run_outcall,
+                             run_receive, start_store)
 from orderflow.plans.receive import RunOptions, with_success_columns
 from orderflow.session import fresh_path, stage
-from orderflow.sources import (Snapshot, append_new, conform, read_area, refresh_snapshot,
-                               replace_slice, work_database, write_by_area)
+from orderflow.sources import (Snapshot, Store, append_new, conform, read_area,
+                               refresh_snapshot, replace_slice, work_database, write_by_area)
 
 OPTIONS = RunOptions(attr_name="CATALOG", app="call", areas=AREAS, change_days=CHANGE_DAYS,
                      purchase_days=PURCHASE_DAYS)
@@ -549,6 +550,50 @@ def outcall_daily_errors(r):
     return run_outcall(r.outcall_tables, None, AS_OF, OPTIONS)["errors"]
 
 
+def _merged(r: Roles, run, tables: dict[str, DataFrame], detail: str, columns) -> Store:
+    """A store of detail and executor with one day merged into it."""
+    store = Store(r.spark, fresh_path(r.spark, "store"))
+    start_store(conform(tables[detail], columns),
+                with_success_columns(tables["initiative_order_executor"]), store)
+    now = {**tables, detail: store.read("detail"),
+           "initiative_order_executor": store.read("executor")}
+    merge_run(run(now, None, AS_OF, OPTIONS), store)
+    return store
+
+
+@query
+def detail_merge(r):
+    """The receive day, written by rewriting the files with changed orders."""
+    return _merged(r, run_receive, r.receive_tables, "detail", ap.RECEIVE_DETAIL).read("detail")
+
+
+@query
+def executor_merge(r):
+    store = _merged(r, run_receive, r.receive_tables, "detail", ap.RECEIVE_DETAIL)
+    return store.read("executor")
+
+
+@query
+def callout_detail_merge(r):
+    return _merged(r, run_outcall, r.outcall_tables, "callout_detail",
+                   ap.OUTCALL_DETAIL).read("detail")
+
+
+@query
+def replace_partitions_at_once(r):
+    """As replace_campaign_slice, with all slices changing in one moment."""
+    keys = ["main_campaign_id", "sub_campaign_id"]
+    store = Store(r.spark, fresh_path(r.spark, "store"))
+    old = r["callout_detail"].groupBy(*keys).agg(F.count("list_id").alias("orders"))
+    store.change().replace_all("slices", old, "main_campaign_id").publish()
+    new = (r["receive_detail"].withColumnsRenamed({"z_mkt_campaign_id": "main_campaign_id",
+                                                   "a_mkt_campaign_id": "sub_campaign_id"})
+           .groupBy(*keys).agg(F.count("list_id").alias("orders")))
+    store.change().replace_partitions(
+        "slices", new.where(F.col("main_campaign_id") != 2), [1, 2, 3]).publish()
+    return store.read("slices")
+
+
 REBUILT = {"callout_prov": "main_campaign_id", "callout_city": "main_campaign_id",
            "callout_team": "main_campaign_id", "callout_class": "main_campaign_id",
            "receive_sec": "z_mkt_campaign_id", "receive_org": "z_mkt_campaign_id"}

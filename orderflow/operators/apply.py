@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,28 +59,66 @@ def apply_changes(target: DataFrame, changes: DataFrame, key: str,
         else F.col(c) for c in target.columns])
 
 
-def apply_receive_changes(detail: DataFrame, changes: DataFrame, as_of: AsOf) -> DataFrame:
-    """Current status, organisation and owner; the values before go to the ``old_`` columns.
+def change_set(key: str, sets: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per key of any of the ``sets``: a struct column per set, NULL where it lacks the key.
 
-    ``changes``: list_id, status_cd, dept_id, curr_user_id, user_name and the grid columns.
+    Every set holds at most one row per key. The sets meet in one aggregation.
+    """
+    fields = {name: [c for c in df.columns if c != key] for name, df in sets.items()}
+    types = {name: df.select(F.struct(*fields[name]).alias("s")).schema["s"].dataType
+             for name, df in sets.items()}
+    parts = [df.select(F.col(key), *[
+        (F.struct(*fields[name]) if other == name else F.lit(None).cast(types[other])).alias(other)
+        for other in sets]) for name, df in sets.items()]
+    return reduce(DataFrame.union, parts).groupBy(key).agg(
+        *[F.first(name, ignorenulls=True).alias(name) for name in sets])
+
+
+def apply_all(target: DataFrame, changes: DataFrame, key: str,
+              steps: Sequence[tuple[str, Mapping[str, Column]]]) -> DataFrame:
+    """Several :func:`apply_changes`, one after the other, in one join.
+
+    ``changes`` is a :func:`change_set`; a step names one of its sets and the assignments, which
+    see what the steps before it have assigned.
     """
+    packed = changes.select(F.col(key).alias("_key"), *[
+        F.col(name).alias(f"_{name}") for name, _ in steps])
+    out = target.join(packed, F.col(key) == F.col("_key"), "left")
+    types = {f.name: f.dataType for f in target.schema.fields}
+    for name, assign in steps:
+        hit = F.col(f"_{name}").isNotNull()
+        out = out.withColumn("chg", F.col(f"_{name}")).select(*[
+            F.when(hit, assign[c].cast(types[c])).otherwise(F.col(c)).alias(c) if c in assign
+            else F.col(c) for c in target.columns], *[f"_{other}" for other, _ in steps])
+    return out.select(target.columns)
+
+
+def receive_change(as_of: AsOf) -> dict[str, Column]:
+    """Assignments: current status, organisation and owner; the values before to ``old_`` ones."""
     new = {"status_cd": "status_cd", "org_id": "org_id", "org_jt_code": "dept_id",
            "fir_grid_id": "fir_grid_id", "sec_grid_id": "sec_grid_id",
            "thi_grid_id": "thi_grid_id", "user_id": "curr_user_id", "user_name": "user_name"}
-    return apply_changes(detail, changes, "list_id", {
+    return {
         "old_status_cd": F.col("status_cd"), "old_org_id": F.col("org_id"),
         "old_org_jt_code": F.col("org_jt_code"), "update_date": instant(as_of),
-        **{column: F.col(f"chg.{field}") for column, field in new.items()}})
+        **{column: F.col(f"chg.{field}") for column, field in new.items()}}
 
 
-def apply_outcall_changes(detail: DataFrame, resolved: DataFrame, as_of: AsOf, *,
-                          legacy: bool = False) -> DataFrame:
-    """Status, team, class, caller and call result of resolved changes.
+def apply_receive_changes(detail: DataFrame, changes: DataFrame, as_of: AsOf) -> DataFrame:
+    """Current status, organisation and owner; the values before go to the ``old_`` columns.
 
-    A team-level change leaves class, caller and result alone, a class-level one the caller. The
-    previous class is kept in ``old_class_dept_id``; ``legacy`` never fills that column.
+    ``changes``: list_id, status_cd, dept_id, curr_user_id, user_name and the grid columns.
     """
-    usable = resolved.where(F.col("problem").isNull() & (F.col("action") != "none"))
+    return apply_changes(detail, changes, "list_id", receive_change(as_of))
+
+
+def usable_changes(resolved: DataFrame) -> DataFrame:
+    """Resolved telephone changes that say something and have no problem."""
+    return resolved.where(F.col("problem").isNull() & (F.col("action") != "none"))
+
+
+def outcall_change(as_of: AsOf, *, legacy: bool = False) -> dict[str, Column]:
+    """Assignments of a resolved change, see :func:`apply_outcall_changes`."""
     action = F.col("chg.action")
     by_class = action.isin("user", "class")
 
@@ -91,7 +130,7 @@ def apply_outcall_changes(detail: DataFrame, resolved: DataFrame, as_of: AsOf, *
 
     old_class = F.col("old_class_dept_id") if legacy else F.when(
         by_class, F.col("class_dept_id")).otherwise(F.col("old_class_dept_id"))
-    return apply_changes(detail, usable, "list_id", {
+    return {
         "old_status_cd": F.col("status_cd"), "old_class_dept_id": old_class,
         "status_cd": F.col("chg.status_cd"), "update_date": instant(as_of, -1),
         "team_dept_id": F.col("chg.team_dept_id"),
@@ -100,7 +139,18 @@ def apply_outcall_changes(detail: DataFrame, resolved: DataFrame, as_of: AsOf, *
         "class_dept_name": when_class("class_dept_name"),
         "caller_id": when_user("caller_id"), "caller_name": when_user("caller_name"),
         "order_result": F.when(by_class, F.coalesce("chg.order_result", "order_result"))
-        .otherwise(F.col("order_result"))})
+        .otherwise(F.col("order_result"))}
+
+
+def apply_outcall_changes(detail: DataFrame, resolved: DataFrame, as_of: AsOf, *,
+                          legacy: bool = False) -> DataFrame:
+    """Status, team, class, caller and call result of resolved changes.
+
+    A team-level change leaves class, caller and result alone, a class-level one the caller. The
+    previous class is kept in ``old_class_dept_id``; ``legacy`` never fills that column.
+    """
+    return apply_changes(detail, usable_changes(resolved), "list_id",
+                         outcall_change(as_of, legacy=legacy))
 
 
 def flag_columns(hits: DataFrame, columns: tuple[str, ...] = FLAG_COLUMNS) -> DataFrame:
@@ -126,8 +176,12 @@ def unknown_columns(hits: DataFrame, job: str,
 
 def apply_flags(detail: DataFrame, hits: DataFrame) -> DataFrame:
     """Set the rule columns of successful orders; a set flag is never cleared."""
-    return apply_changes(detail, flag_columns(hits), "list_id", {
-        c: F.coalesce(f"chg.{c}", c) for c in FLAG_COLUMNS})
+    return apply_changes(detail, flag_columns(hits), "list_id", set_flags())
+
+
+def set_flags() -> dict[str, Column]:
+    """Assignments of the rule columns; a set flag is never cleared."""
+    return {c: F.coalesce(f"chg.{c}", c) for c in FLAG_COLUMNS}
 
 
 def success_log(hits: DataFrame, as_of: AsOf, days: int = 0) -> DataFrame:

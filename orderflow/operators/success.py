@@ -49,17 +49,23 @@ def _open(flag: str = "is_success") -> Column:
     return F.coalesce(F.col(flag), F.lit(0)) == 0
 
 
-def receive_success_detail(detail: DataFrame, winners: DataFrame, as_of: AsOf) -> DataFrame:
-    """Mark orders not yet successful with their winning rule."""
-    def unless_done(column: str, value: Column) -> Column:
-        return F.when(_open(), value).otherwise(F.col(column))
+def _unless_done(column: str, value: Column) -> Column:
+    return F.when(_open(), value).otherwise(F.col(column))
+
 
-    return apply_changes(detail, winners, "list_id", {
+def receive_win(as_of: AsOf) -> dict[str, Column]:
+    """Assignments of a winning rule to a detail row that was not successful yet."""
+    return {
         "is_success": F.lit(1),
-        "update_date": unless_done("update_date", instant(as_of)),
-        "suc_rule_id": unless_done("suc_rule_id", F.col("chg.suc_rule_id")),
-        "suc_rule_name": unless_done("suc_rule_name", F.col("chg.rule_name")),
-        "suc_order_id": unless_done("suc_order_id", F.col("chg.value"))})
+        "update_date": _unless_done("update_date", instant(as_of)),
+        "suc_rule_id": _unless_done("suc_rule_id", F.col("chg.suc_rule_id")),
+        "suc_rule_name": _unless_done("suc_rule_name", F.col("chg.rule_name")),
+        "suc_order_id": _unless_done("suc_order_id", F.col("chg.value"))}
+
+
+def receive_success_detail(detail: DataFrame, winners: DataFrame, as_of: AsOf) -> DataFrame:
+    """Mark orders not yet successful with their winning rule."""
+    return apply_changes(detail, winners, "list_id", receive_win(as_of))
 
 
 def receive_success_executor(executors: DataFrame, winners: DataFrame,
@@ -78,21 +84,23 @@ def _outcall_status(current: Column) -> Column:
         F.lit(COMPLETED))
 
 
+def outcall_win(as_of: AsOf) -> dict[str, Column]:
+    """Assignments of the first winning rule to a detail row that was not successful yet."""
+    return {
+        "status_cd": _unless_done("status_cd", _outcall_status(F.col("status_cd"))),
+        "is_success": F.lit(1),
+        "update_date": _unless_done("update_date", instant(as_of, -1)),
+        "suc_rule_id": _unless_done("suc_rule_id", F.col("chg.first_suc_rule_id")),
+        "suc_rule_name": _unless_done("suc_rule_name", F.col("chg.first_rule_name")),
+        "suc_order_id": _unless_done("suc_order_id", F.col("chg.first_value"))}
+
+
 def outcall_success_detail(detail: DataFrame, ends: DataFrame, as_of: AsOf) -> DataFrame:
     """Mark orders not yet successful with their first successful rule.
 
     Whether the status stays is decided by the executor's status at the start.
     """
-    def unless_done(column: str, value: Column) -> Column:
-        return F.when(_open(), value).otherwise(F.col(column))
-
-    return apply_changes(detail, ends, "list_id", {
-        "status_cd": unless_done("status_cd", _outcall_status(F.col("status_cd"))),
-        "is_success": F.lit(1),
-        "update_date": unless_done("update_date", instant(as_of, -1)),
-        "suc_rule_id": unless_done("suc_rule_id", F.col("chg.first_suc_rule_id")),
-        "suc_rule_name": unless_done("suc_rule_name", F.col("chg.first_rule_name")),
-        "suc_order_id": unless_done("suc_order_id", F.col("chg.first_value"))})
+    return apply_changes(detail, ends, "list_id", outcall_win(as_of))
 
 
 def outcall_success_executor(executors: DataFrame, ends: DataFrame, as_of: AsOf) -> DataFrame:

@@ -2,6 +2,7 @@ from orderflow.plans.dimensions import refresh_dimensions
 from orderflow.plans.outcall import run_outcall
 from orderflow.plans.receive import run_receive
 from orderflow.plans.reports import rebuild_reports
-from orderflow.plans.save import save_run
+from orderflow.plans.save import merge_run, save_run, start_store
 
-__all__ = ["rebuild_reports", "refresh_dimensions", "run_outcall", "run_receive", "save_run"]
+__all__ = ["merge_run", "rebuild_reports", "refresh_dimensions", "run_outcall", "run_receive",
+           "save_run", "start_store"]

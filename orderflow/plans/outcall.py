@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf
-from orderflow.operators.apply import (OUTCALL_DETAIL, apply_flags, apply_outcall_changes,
-                                       success_log, unknown_columns)
+from orderflow.operators.apply import (OUTCALL_DETAIL, apply_all, change_set, flag_columns,
+                                       outcall_change, set_flags, success_log, unknown_columns,
+                                       usable_changes)
 from orderflow.operators.campaigns import (PROVINCE_AREA, active_campaigns, campaigns_by_area,
                                            success_rules)
 from orderflow.operators.orders import (changed_outcall, in_scope, new_outcall_orders,
@@ -18,9 +19,9 @@ from orderflow.operators.orgs import city_with_province, resolve_outcall_org
 from orderflow.operators.quality import OUTCALL_JOB, outcall_errors
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
                                        skip_logged, success_candidates)
-from orderflow.operators.success import (outcall_success, outcall_success_detail,
-                                         outcall_success_executor)
-from orderflow.plans.receive import (RunOptions, numeric_departments, rule_failures,
+from orderflow.operators.success import (outcall_success, outcall_success_executor,
+                                         outcall_win)
+from orderflow.plans.receive import (RunOptions, changed_rows, numeric_departments, rule_failures,
                                      running_slice, slice_marker, touched, with_success_columns)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
@@ -41,8 +42,9 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                 options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
     """One day for one catalogue (all for ``None``), every campaign and area together.
 
-    Returns the new versions of ``detail`` and ``executor``, the executor rows that change
-    (``executor_updates``), and the rows to append to ``success_log`` and ``errors``.
+    Returns the new versions of ``detail`` and ``executor``, their rows that are new or changed
+    (``detail_updates``, ``executor_updates``), and the rows to append to ``success_log`` and
+    ``errors``.
     """
     t = tables
     active = active_campaigns(t["pms_campaign"], t["mkt_cam_conf_attr"], t["common_region"],
@@ -77,14 +79,19 @@ def run_outcall(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                                      null_is_success=options.null_is_success)
 
     (new, resolved), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)
-    detail = apply_outcall_changes(before.unionByName(new), resolved, as_of,
-                                   legacy=options.legacy_old_class)
     hits = evaluated.successes()
     ends = outcall_success(hits)
+    # one row per changed order, so the detail is joined once
+    changed = stage(change_set("list_id", {
+        "changes": usable_changes(resolved), "ends": ends, "flags": flag_columns(hits)}),
+        "change_set")
+    steps = [("changes", outcall_change(as_of, legacy=options.legacy_old_class)),
+             ("ends", outcall_win(as_of)), ("flags", set_flags())]
 
     state = with_success_columns(t["initiative_order_executor"])
     return {
-        "detail": apply_flags(outcall_success_detail(detail, ends, as_of), hits),
+        "detail": apply_all(before.unionByName(new), changed, "list_id", steps),
+        "detail_updates": apply_all(changed_rows(before, new, changed), changed, "list_id", steps),
         "executor": outcall_success_executor(state, ends, as_of),
         "executor_updates": outcall_success_executor(touched(state, ends), ends, as_of),
         "new_orders": new,

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf
-from orderflow.operators.apply import (EXECUTOR_SUCCESS, RECEIVE_DETAIL, apply_flags,
-                                       apply_receive_changes, run_log, success_log,
-                                       unknown_columns)
+from orderflow.operators.apply import (EXECUTOR_SUCCESS, RECEIVE_DETAIL, apply_all, change_set,
+                                       flag_columns, receive_change, run_log, set_flags,
+                                       success_log, unknown_columns)
 from orderflow.operators.campaigns import (APPLICATION, AREAS, CATALOG_ATTRIBUTE,
                                            active_campaigns, app_channels, campaigns_by_area,
                                            success_rules)
@@ -22,8 +22,8 @@ from orderflow.operators.orgs import grid_lookup
 from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log
 from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
                                        success_candidates)
-from orderflow.operators.success import (first_success, receive_success_detail,
-                                         receive_success_executor)
+from orderflow.operators.success import (first_success, receive_success_executor,
+                                         receive_win)
 from orderflow.session import stage, together
 from orderflow.sources.snapshots import conform
 
@@ -82,6 +82,12 @@ def running_slice(detail: DataFrame, key: str, pairs: DataFrame,
     return detail.join(running, key, "left_semi").select(detail.columns)
 
 
+def changed_rows(before: DataFrame, new: DataFrame, changes: DataFrame) -> DataFrame:
+    """The detail rows that a run adds or changes, in the state before the changes."""
+    return before.join(changes.select("list_id"), "list_id", "left_semi").select(
+        before.columns).unionByName(new)
+
+
 def rule_failures(evaluation: Evaluation, pairs: DataFrame, job: str) -> DataFrame:
     """Error-log rows of the evaluation: unusable results, and one row per failing rule."""
     if not evaluation.failed_rules:
@@ -110,9 +116,9 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
                 options: RunOptions = RunOptions()) -> dict[str, DataFrame]:
     """One day for one catalogue (all for ``None``), every campaign and area together.
 
-    Returns the new versions of ``detail`` and ``executor``, the executor rows that change
-    (``executor_updates``, for tables that can merge), and the rows to append to
-    ``success_log``, ``run_log`` and ``errors``. ``save_run`` writes them. With ``slice_only``
+    Returns the new versions of ``detail`` and ``executor``, their rows that are new or changed
+    (``detail_updates``, ``executor_updates``), and the rows to append to ``success_log``,
+    ``run_log`` and ``errors``. ``save_run`` writes the versions, ``merge_run`` what changes. With ``slice_only``
     there is also ``slices``, the campaigns that ``detail`` is limited to, and ``save_run`` refuses. Small or shared
     intermediate results are staged in the shared folder.
     """
@@ -152,11 +158,17 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
     # neither needs the other: registration leaves the success flags alone
     (new, changes), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)
     winners = first_success(evaluated.successes())
-    detail = apply_receive_changes(before.unionByName(conform(new, RECEIVE_DETAIL)), changes,
-                                   as_of)
+    # one row per changed order, so the detail is joined once
+    changed = stage(change_set("list_id", {
+        "changes": changes, "winners": winners, "flags": flag_columns(winners)}), "change_set")
+    steps = [("changes", receive_change(as_of)), ("winners", receive_win(as_of)),
+             ("flags", set_flags())]
+    added = conform(new, RECEIVE_DETAIL)
     state = with_success_columns(t["initiative_order_executor"])
     return {
-        "detail": apply_flags(receive_success_detail(detail, winners, as_of), winners),
+        "detail": apply_all(before.unionByName(added), changed, "list_id", steps),
+        "detail_updates": apply_all(changed_rows(before, added, changed), changed, "list_id",
+                                    steps),
         "executor": receive_success_executor(state, winners, as_of),
         "executor_updates": receive_success_executor(touched(state, winners), winners, as_of),
         "new_orders": new,

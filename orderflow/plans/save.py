@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from orderflow.sources.sinks import append_rows
+from orderflow.sources.versions import Store
 
 # Column a new version is partitioned by, and the outputs that only grow.
 PARTITIONS = {"detail": ("a_mkt_campaign_id", "sub_campaign_id"), "executor": ("shard_id",)}
@@ -36,3 +37,27 @@ def save_run(outputs: Mapping[str, DataFrame], version: str, logs: str) -> dict[
         if name in outputs:
             append_rows(outputs[name], f"{logs.rstrip('/')}/{name}")
     return written
+
+
+def start_store(detail: DataFrame, executor: DataFrame, store: Store) -> int:
+    """The first version of a store's ``detail`` and ``executor``, which ``merge_run`` updates."""
+    change = store.change()
+    for name, df in (("detail", detail), ("executor", executor)):
+        change.replace_all(name, df, next(k for k in PARTITIONS[name] if k in df.columns))
+    return change.publish()
+
+
+def merge_run(outputs: Mapping[str, DataFrame], store: Store, *, stays: bool = False) -> int:
+    """Write what a run changes into ``store``, all tables and logs in one new version.
+
+    Only files with a changed order are rewritten (see ``Change.upsert``, also for ``stays``), so
+    this costs what the day changes, and a run with ``slice_only`` is merged like any other.
+    Nothing is seen of a run that fails on the way; it is repeated whole.
+    """
+    change = store.change()
+    for name, key in (("detail", "list_id"), ("executor", "initiative_order_id")):
+        change.upsert(name, outputs[f"{name}_updates"], key, stays=stays)
+    for name in LOGS:
+        if name in outputs:
+            change.append(name, outputs[name])
+    return change.publish()

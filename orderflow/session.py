@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
@@ -26,6 +28,7 @@ SETTINGS = {
 }
 
 _local_folders: dict[str, str] = {}
+_used_folders: dict[str, set[str]] = defaultdict(set)
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -43,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = _local_folders.get(context.applicationId)
         if folder is None:
@@ -54,7 +57,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nobody has written to yet."""
-    return f"{shared_folder(spark)}/orderflow/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_folder(spark)}/orderflow/{uuid.uuid4().hex}"
+    _used_folders[spark.sparkContext.applicationId].add(folder)
+    return f"{folder}/{name}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds, wherever Spark can write; False when there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete everything this application has staged so far; the number of folders.
+
+    Call it when the results of a run are saved: DataFrames that read staged tables, such as a
+    run's outputs, can't be used any more. Other applications' tables stay.
+    """
+    folders = _used_folders.pop(spark.sparkContext.applicationId, set())
+    return sum(remove_folder(spark, folder) for folder in folders)
 
 
 def stage(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
