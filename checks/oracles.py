@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.roles import (AS_OF, FAILING_RULES, NESTED_RULES, RANGE_RULES, RULES, SHARED_RULES,
-                          VIEWS, with_views)
+                          TEXT_RULE, VIEWS, with_views)
 
 DAY = "TIMESTAMP '1998-07-01 00:00:00'"
 DAY_BEFORE = "TIMESTAMP '1998-06-30 08:30:00'"
@@ -220,6 +220,18 @@ SELECT list_id AS order_id, 'ORA-01403: no data found' AS errormsg,
 FROM {resolved} WHERE problem = 'missing'"""
 
 
+def _run_errors(pairs: str, job: str) -> str:
+    """Departments that are no numbers, and answers of rule 2 that are no ids."""
+    return f"""
+SELECT initiative_order_id AS order_id, 'department is not a number: ' || dept_id AS errormsg,
+       '{job}' AS pro_name, '-6502' AS errorcode
+FROM executor_text WHERE dept_id IS NOT NULL AND TRY_CAST(dept_id AS BIGINT) IS NULL
+UNION ALL
+SELECT list_id, 'rule 2: ' || count(*) || ' results are not numbers', 'evaluate_rules', '-6502'
+FROM {pairs} c, LATERAL ({_bound(TEXT_RULE)}) q(v) WHERE c.suc_rule_id = 2
+GROUP BY c.main_campaign_id, c.list_id"""
+
+
 def _receive_applied(detail: str, changes: str, columns: str) -> str:
     """The receive detail after applying changes (one row per order)."""
     return f"""
@@ -674,6 +686,11 @@ SELECT '19980701' AS run_day, 11 AS log_type, sub_campaign_id AS campaign_id,
 SELECT campaign_id, TRY_CAST(part AS INT) AS latn_id
 FROM (SELECT campaign_id, unnest(regexp_extract_all(areas, '[^,]+')) AS part
       FROM campaign_scope) WHERE TRY_CAST(part AS INT) IS NOT NULL""",
+    "area_list_errors": """
+SELECT campaign_id AS order_id, 'areas: not a whole number: ' || part AS errormsg,
+       'p_order_outcall_detail_call' AS pro_name, '-6502' AS errorcode
+FROM (SELECT campaign_id, unnest(regexp_extract_all(areas, '[^,]+')) AS part
+      FROM campaign_scope) WHERE TRY_CAST(part AS INT) IS NULL""",
     "receive_new_orders": _receive_registered("detail"),
     "outcall_new_orders_area": _outcall_registered("area", "sys_bss_org", "detail"),
     "outcall_new_orders_province": _outcall_registered("province", "sys_bss_org_hq", "detail",
@@ -772,9 +789,17 @@ WHERE z_mkt_campaign_id IN (1, 3) GROUP BY ALL""",
     "outcall_daily_run": _outcall_won("o_run_c_changed", "o_run_c_ends", "o_run_c_eval"),
     "outcall_daily_executor": _outcall_state("o_run_c_ends"),
     "outcall_daily_log": _log("o_run_c_eval", DAY_BEFORE) + " WHERE success = 1",
-    "outcall_daily_errors": _errors("o_run_c_resolved"),
+    "receive_daily_errors": _run_errors("o_run_r_pairs", "p_order_receive_detail_call"),
+    "outcall_daily_errors": _errors("o_run_c_resolved") + "\nUNION ALL "
+                            + _run_errors("o_run_c_pairs", "p_order_outcall_detail_call"),
     "report_rebuild": _rebuilt(),
     "dimension_refresh": _dimension_counts(),
 }
 
-ORACLES = {name: with_views(sql, {**VIEWS, **DERIVED}) for name, sql in STATEMENTS.items()}
+# What the runs with faulty tables read in the place of the executor table.
+_TYPED = {"initiative_order_executor":
+          "SELECT * REPLACE (TRY_CAST(dept_id AS BIGINT) AS dept_id) FROM executor_text"}
+_FAULTY = ("receive_daily_errors", "outcall_daily_errors")
+
+ORACLES = {name: with_views(sql, {**VIEWS, **DERIVED, **(_TYPED if name in _FAULTY else {})})
+           for name, sql in STATEMENTS.items()}

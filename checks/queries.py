@@ -231,6 +231,11 @@ def area_list(r):
                                                                            "latn_id")
 
 
+@query
+def area_list_errors(r):
+    return ca.list_errors(r["campaign_scope"], "areas", "campaign_id", qu.OUTCALL_JOB)
+
+
 @query
 def receive_new_orders(r):
     return od.new_receive_orders(
@@ -545,9 +550,20 @@ def outcall_daily_log(r):
     return run_outcall(r.outcall_tables, None, AS_OF, OPTIONS)["success_log"]
 
 
+def _faulty(r: Roles, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with departments as texts and a rule that answers texts."""
+    return {**tables, "initiative_order_executor": r["executor_text"],
+            "mkt_success_rule": r["rule_of_texts"]}
+
+
+@query
+def receive_daily_errors(r):
+    return run_receive(_faulty(r, r.receive_tables), None, AS_OF, OPTIONS)["errors"]
+
+
 @query
 def outcall_daily_errors(r):
-    return run_outcall(r.outcall_tables, None, AS_OF, OPTIONS)["errors"]
+    return run_outcall(_faulty(r, r.outcall_tables), None, AS_OF, OPTIONS)["errors"]
 
 
 def _merged(r: Roles, run, tables: dict[str, DataFrame], detail: str, columns) -> Store:

@@ -294,6 +294,23 @@ SELECT o_orderkey AS id,
 FROM orders""",
 }
 
+# Departments as texts: some no numbers, some of organisations that do not exist.
+VIEWS["executor_text"] = f"""
+SELECT initiative_order_id, status_cd,
+       CASE WHEN initiative_order_id % 97 = 0 THEN 'n/a'
+            WHEN initiative_order_id % 5 = 0 THEN '777777777'
+            ELSE CAST(dept_id AS VARCHAR(20)) END AS dept_id,
+       curr_user_id, latn_id, shard_id, last_opt_date, is_success
+FROM ({VIEWS['initiative_order_executor']})"""
+# Rule 2 answers texts instead of ids.
+TEXT_RULE = ("select concat('n', cast(o.order_id as varchar(20))) from customer_order_syn o "
+             "where o.cust_id = [CUSTID] and o.latn_id = [LATN_ID] and o.amount > 95000")
+VIEWS["rule_of_texts"] = f"""
+SELECT suc_rule_id, rule_name, report_column, state,
+       CASE WHEN suc_rule_id = 2 THEN '{TEXT_RULE.replace("'", "''")}' ELSE sql_text_order END
+       AS sql_text_order
+FROM mkt_success_rule"""
+
 
 def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
     """``sql`` with a WITH clause defining every view it needs, dependencies first."""

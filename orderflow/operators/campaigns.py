@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from orderflow.functions.clock import AsOf, midnight
 from orderflow.functions.text import parts
+from orderflow.operators.quality import error_log
 
 # Fixed values.
 ACTIVE = "10A"
@@ -26,12 +27,20 @@ MAX_RULES = 20
 def explode_list(df: DataFrame, col: str, out: str, sep: str = ",") -> DataFrame:
     """One row per non-empty part of a delimited text column, as an integer.
 
-    Parts that are not integers are dropped.
+    Parts that are not integers have no row here but one in :func:`list_errors`.
     """
     items = df.withColumn(out, F.explode(parts(F.col(col), sep)))
     return items.withColumn(out, F.col(out).try_cast("int")).where(F.col(out).isNotNull())
 
 
+def list_errors(df: DataFrame, col: str, key: str, job: str, sep: str = ",") -> DataFrame:
+    """Error rows of the parts of a delimited text column that are not integers."""
+    items = df.withColumn("_part", F.explode(parts(F.col(col), sep)))
+    bad = items.where((F.trim("_part") != "") & F.col("_part").try_cast("int").isNull())
+    return error_log(bad, job, key, F.concat(F.lit(f"{col}: not a whole number: "), F.col("_part")),
+                     F.lit("-6502"))
+
+
 def area_array(areas: str | Iterable[int]) -> Column:
     """A constant area list as an array literal."""
     if isinstance(areas, str):

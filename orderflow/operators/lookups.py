@@ -12,6 +12,16 @@ def one_per_key(dim: DataFrame, key: str, value: str) -> DataFrame:
         F.min(value).alias("_value"), F.count(F.lit(1)).alias("_rows"))
 
 
+def only_keys(table: DataFrame, key: str, wanted: DataFrame, on: str) -> DataFrame:
+    """The rows of a large table whose ``key`` is among ``wanted[on]``.
+
+    For a day's few keys and a look-up in a fact-size table: pass ``wanted`` staged, so that Spark
+    knows how few there are, broadcasts them, and aggregates only the rows that are left.
+    """
+    return table.join(wanted.select(F.col(on).alias(key)).distinct(), key, "left_semi").select(
+        table.columns)
+
+
 def lookup(df: DataFrame, dim: DataFrame, on: str, key: str, value: str, out: str,
            on_dup: str = "error") -> DataFrame:
     """Add column ``out``: the value ``dim`` holds for ``df[on]``, NULL when it has none.

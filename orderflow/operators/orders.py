@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from orderflow.functions.clock import AsOf, as_text, day_window, instant
 from orderflow.functions.numbers import null_as_zero
 from orderflow.operators.campaigns import ACTIVE, PROVINCE_AREA, TELEPHONE
-from orderflow.operators.lookups import lookup, org_regions, with_user_name
+from orderflow.operators.lookups import lookup, only_keys, org_regions, with_user_name
+from orderflow.session import stage
 
 KEY = ["shard_id", "initiative_order_id"]
 
@@ -104,8 +105,11 @@ def new_outcall_orders(held: DataFrame, results: DataFrame, cities: DataFrame,
         calls = calls.where(F.col("shard_id") == PROVINCE_AREA).join(wide, "campaign_id")
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    answered = _unknown(calls, detail).join(
-        results.select(F.col("list_id").alias("initiative_order_id"), "order_result").distinct(),
+    # the new orders of a day are few: only their call results are read on
+    fresh = stage(_unknown(calls, detail), "fresh_calls")
+    mine = only_keys(results, "list_id", fresh, "initiative_order_id")
+    answered = fresh.join(
+        mine.select(F.col("list_id").alias("initiative_order_id"), "order_result").distinct(),
         "initiative_order_id", "left")
     # area mode: campaign area = executor area = city area; province mode: the 999 city rows
     if mode == "area":
@@ -164,11 +168,11 @@ def changed_outcall(held: DataFrame, detail: DataFrame, results: DataFrame, org:
                        & ~F.col("status_cd").isin(UNASSIGNED, COMPLETED))
     now = day_window(calls, "last_opt_date", as_of, days)
     before = detail.select("list_id", F.col("status_cd").alias("was_status"))
-    changed = now.join(
+    changed = stage(now.join(
         before, (F.col("initiative_order_id") == F.col("list_id"))
-        & (F.col("status_cd") != F.col("was_status")), "left_semi")
-    changed = lookup(changed, results, "initiative_order_id", "list_id", "order_result",
-                     "order_result", on_dup)
+        & (F.col("status_cd") != F.col("was_status")), "left_semi"), "changed_calls")
+    changed = lookup(changed, only_keys(results, "list_id", changed, "initiative_order_id"),
+                     "initiative_order_id", "list_id", "order_result", "order_result", on_dup)
     changed = lookup(changed, org, "dept_id", "bss_org_id", "bss_org_type_id", "org_type_id",
                      on_dup)
     return changed.select(

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 NO_DATA = "ORA-01403: no data found"
 RECEIVE_JOB = "p_order_receive_detail_call"
 OUTCALL_JOB = "p_order_outcall_detail_call"
-MESSAGE_LENGTH = 200
 
 
 def split_valid(df: DataFrame, checks: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
@@ -42,11 +41,11 @@ def typed(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, DataFrame
 
 
 def order_message(campaign: str, order: str, message: Column) -> Column:
-    """Error text naming campaign and order; the message is cut to its stored length."""
+    """Error text naming campaign and order; the message is kept whole."""
     def shown(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
     return F.concat(F.lit("活动["), shown(campaign), F.lit("]的工单["), shown(order), F.lit("]"),
-                    F.substring(message, 1, MESSAGE_LENGTH))
+                    message)
 
 
 def error_log(df: DataFrame, job: str, order: str, message: Column, code: Column) -> DataFrame:

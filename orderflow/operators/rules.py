@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from orderflow.functions.clock import AsOf, day_window
 from orderflow.functions.numbers import to_bigint, whole_sql
 from orderflow.operators.campaigns import PROVINCE_AREA, TELEPHONE
+from orderflow.operators.lookups import only_keys
 from orderflow.operators.quality import error_log
 from orderflow.operators.rule_shapes import (ASKED, BOUND, PLACEHOLDERS, Shape, blocks,
                                              seated, shape)
@@ -93,8 +94,12 @@ def rule_pairs(candidates: DataFrame, rules: DataFrame) -> DataFrame:
 def skip_logged(pairs: DataFrame, detail: DataFrame, log: DataFrame) -> DataFrame:
     """Drop pairs already logged for an order the detail knew as successful.
 
-    Adds ``old_is_success``, the detail's flag at the start (0 when the order is not there).
+    Adds ``old_is_success``, the detail's flag at the start (0 when the order is not there). The
+    pairs are staged, and of detail and log only their orders are aggregated.
     """
+    pairs = stage(pairs, "candidate_pairs")
+    detail, log = (only_keys(t.select("list_id", c), "list_id", pairs, "list_id")
+                   for t, c in ((detail, "is_success"), (log, "suc_rule_id")))
     flags = detail.groupBy("list_id").agg(F.max("is_success").alias("_flag"))
     logged = log.select("list_id", "suc_rule_id").distinct().withColumn("_logged", F.lit(1))
     known = (pairs.join(flags, "list_id", "left")
