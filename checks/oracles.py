@@ -729,6 +729,7 @@ SELECT e.initiative_order_id, e.dept_id,
             ELSE g.org_id END AS BIGINT) AS org_id
 FROM initiative_order_executor e LEFT JOIN o_grid g ON g.code = e.dept_id""",
     "receive_first_success": f"SELECT {_WINNER} FROM o_receive_first",
+    "receive_first_success_waves": f"SELECT {_WINNER} FROM o_receive_first",
     "outcall_success_detail": "SELECT list_id, status_cd, first_suc_rule_id, first_rule_name, "
                               "first_value FROM o_outcall_ends",
     "outcall_success_executor": "SELECT list_id, status_cd, last_suc_rule_id, last_rule_name, "

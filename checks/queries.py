@@ -349,6 +349,15 @@ def receive_first_success(r):
     return _winner_columns(su.first_success(_receive_evaluation(r).successes()))
 
 
+@query
+def receive_first_success_waves(r):
+    """As receive_first_success, asking an order's rules only up to its first success."""
+    rules = stage(_rules(r), "rules")
+    asked = stage(ru.rule_pairs(_candidates(r, "receive"), rules), "rule_pairs")
+    done = ru.evaluate_in_waves(asked, ru.rule_texts(rules), _rule_tables(r))
+    return _winner_columns(su.first_success(done.successes()))
+
+
 @query
 def outcall_success_detail(r):
     ends = su.outcall_success(_outcall_hits(r))

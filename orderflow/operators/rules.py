@@ -17,7 +17,7 @@ from pyspark.errors import (AnalysisException, ArithmeticException,
                             ArrayIndexOutOfBoundsException, DateTimeException,
                             IllegalArgumentException, NumberFormatException, ParseException,
                             PySparkException, SparkRuntimeException)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow.functions.clock import AsOf, day_window
@@ -448,6 +448,40 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
                       reduce(DataFrame.unionByName, failures.orders, errors), failures.rules)
 
 
+def evaluate_in_waves(pairs: DataFrame, texts: list[tuple[int, str]],
+                      tables: Mapping[str, DataFrame], **options) -> Evaluation:
+    """Evaluate rules in their order, and an order's later rules only while it has no success.
+
+    A wave takes the next rules of every unfinished order, one in the first wave, then twice as
+    many as before. So the first success is the one that :func:`evaluate_rules` finds, the number
+    of waves grows with the logarithm of the rules per order, and an order is asked at most twice
+    as often as needed. ``answers`` has the pairs that were asked; later rules are not looked at,
+    so they log no errors either. Options as for :func:`evaluate_rules`, which runs every wave.
+    """
+    place = Window.partitionBy("list_id").orderBy(
+        "main_campaign_id", F.asc_nulls_last("seq_no"), "suc_rule_id")
+    placed = stage(pairs.withColumn("_place", F.row_number().over(place)), "placed_pairs")
+    last = placed.agg(F.max("_place")).head()[0] or 0
+    waves: list[Evaluation] = []
+    finished: DataFrame | None = None
+    first, width = 1, 1
+    while first <= last or not waves:
+        wave = placed.where(F.col("_place").between(first, first + width - 1)).drop("_place")
+        if finished is not None:
+            wave = wave.join(finished, "list_id", "left_anti")
+        asked = stage(wave.select(pairs.columns), "wave", "suc_rule_id")
+        present = {r[0] for r in asked.select("suc_rule_id").distinct().collect()}  # some rules
+        done = evaluate_rules(asked, [t for t in texts if t[0] in present], tables, **options)
+        done = Evaluation(stage(done.answers, "wave_answers"), done.errors, done.failed_rules)
+        waves.append(done)
+        won = done.successes().select("list_id").distinct()
+        finished = stage(won if finished is None else finished.union(won), "finished")
+        first, width = first + width, 2 * width
+    failed = reduce(lambda a, b: a | b, (w.failed_rules for w in waves), {})
+    return Evaluation(reduce(DataFrame.unionByName, [w.answers for w in waves]),
+                      reduce(DataFrame.unionByName, [w.errors for w in waves]), failed)
+
+
 def reduce_rule_rows(raw: DataFrame, null_is_success: bool = True) -> DataFrame:
     """First usable value per (list_id, suc_rule_id) of stored rule rows with text ``value``.
 

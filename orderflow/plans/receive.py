@@ -20,8 +20,8 @@ from orderflow.operators.orders import (changed_receive, in_scope, new_receive_o
                                         orders_with_state)
 from orderflow.operators.orgs import grid_lookup
 from orderflow.operators.quality import RECEIVE_JOB, cast_check, error_log
-from orderflow.operators.rules import (Evaluation, evaluate_rules, rule_pairs, rule_texts,
-                                       success_candidates)
+from orderflow.operators.rules import (Evaluation, evaluate_in_waves, evaluate_rules,
+                                       rule_pairs, rule_texts, success_candidates)
 from orderflow.operators.success import (first_success, receive_success_executor,
                                          receive_win)
 from orderflow.session import stage, together
@@ -36,7 +36,8 @@ class RunOptions:
     partitioned by sub-campaign, Spark prunes all other partitions, and ``replace_slice`` writes
     the result back. It relies on orders never moving to another campaign. ``on_duplicate`` is
     what lookups do when a key has several rows: ``error`` stops the run, ``any`` takes the
-    smallest value.
+    smallest value. ``early_stop`` evaluates an order's rules only up to its first success, in
+    waves; it pays where a rule costs more than a wave's fixed cost.
     """
 
     attr_name: str = CATALOG_ATTRIBUTE
@@ -48,6 +49,7 @@ class RunOptions:
     legacy_old_class: bool = False
     slice_only: bool = False
     on_duplicate: str = "error"
+    early_stop: bool = False
 
     def area_numbers(self) -> list[int]:
         given = self.areas.split(",") if isinstance(self.areas, str) else self.areas
@@ -152,8 +154,9 @@ def run_receive(tables: Mapping[str, DataFrame], catalog: int | None, as_of: AsO
         candidates = success_candidates(held, t["customer_order_syn"], as_of, mode="receive",
                                         days=options.purchase_days)
         asked = stage(rule_pairs(candidates, rules), "rule_pairs", "suc_rule_id")
-        return asked, evaluate_rules(asked, rule_texts(rules), t, isolate="orders",
-                                     null_is_success=options.null_is_success)
+        evaluate = evaluate_in_waves if options.early_stop else evaluate_rules
+        return asked, evaluate(asked, rule_texts(rules), t, isolate="orders",
+                               null_is_success=options.null_is_success)
 
     # neither needs the other: registration leaves the success flags alone
     (new, changes), (asked, evaluated) = together(pairs.sparkSession, registration, evaluation)

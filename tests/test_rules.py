@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 
 import pytest
@@ -6,6 +7,7 @@ from checks.queries import _candidates, _rule_tables, _rules
 from checks.roles import RULES, Roles
 from orderflow.operators import rules as ru
 from orderflow.operators.orders import orders_with_state
+from orderflow.operators.success import first_success
 from orderflow.session import stage
 
 PAIR = ("list_id bigint, cust_id bigint, prod_inst_id bigint, area int, "
@@ -175,3 +177,41 @@ def test_whole_numbers_in_any_notation_are_ids(make, rows):
     out = ru.reduce_rule_rows(raw)
     assert rows(out, "list_id", "value", "hit") == [
         (1, 12, 1), (2, 1200, 1), (3, None, 0), (4, None, 0), (5, None, 0)]
+
+
+def test_waves_ask_only_unfinished_orders(make, rows, monkeypatch):
+    chance = random.Random(3)
+    values = make("cust_id bigint, rule int, v bigint",
+                  *[(c, r, c * 10 + r) for c in range(30) for r in range(1, 8)
+                    if chance.random() < 0.3])
+    pairs = make(PAIR + ", rule_name string, report_column string",
+                 *[(100 + c, c, 0, 1, main, r, 2, (r * 3) % 7 if r < 7 else None, f"r{r}", "col_1")
+                   for c in range(30) for main in (1, 2) for r in range(1, 8) if (c + r + main) % 4])
+    texts = [(r, f"select v from vals where vals.cust_id = [CUSTID] and rule = {r}")
+             for r in range(1, 8)]
+    asked = []
+    ask = ru.evaluate_rules
+    monkeypatch.setattr(ru, "evaluate_rules", lambda wave, *rest, **more: (
+        asked.append(rows(wave.select("list_id", "main_campaign_id", "suc_rule_id"))),
+        ask(wave, *rest, **more))[1])
+    whole = ask(pairs, texts, {"vals": values})
+    waves = ru.evaluate_in_waves(pairs, texts, {"vals": values})
+    assert rows(first_success(waves.successes())) == rows(first_success(whole.successes()))
+    won = {r[0] for r in rows(whole.successes(), "list_id")}
+    per_order = [r[0] for r in rows(pairs, "list_id")]
+    assert len(asked) <= 4 and sum(map(len, asked)) < len(per_order)
+    finished = set()
+    for wave in asked:
+        assert not finished & {r[0] for r in wave}
+        finished |= {r[0] for r in rows(whole.successes().join(
+            make("list_id bigint, main_campaign_id bigint, suc_rule_id int", *wave),
+            ["list_id", "main_campaign_id", "suc_rule_id"]), "list_id")}
+    assert finished == won
+    # an order without success is asked all its rules
+    lost = {i for i in per_order if i not in won}
+    assert sorted(r[0] for wave in asked for r in wave if r[0] in lost) == sorted(
+        i for i in per_order if i in lost)
+
+
+def test_no_pairs_in_waves(make):
+    assert ru.evaluate_in_waves(make(PAIR), [(1, "select 1")], {}).answers.count() == 0
