@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from checks.roles import (AS_OF, FAILING_RULES, NESTED_RULES, RANGE_RULES, RULES, SHARED_RULES,
-                          TEXT_RULE, VIEWS, with_views)
+                          TEXT_RULE, VIEWS, _GRID_COLUMNS, with_views)
+from orderflow.sources.dimensions import SNAPSHOTS
 
 DAY = "TIMESTAMP '1998-07-01 00:00:00'"
 DAY_BEFORE = "TIMESTAMP '1998-06-30 08:30:00'"
@@ -639,6 +640,19 @@ def _dimension_counts() -> str:
         for name, (source, key) in plain.items())
 
 
+def _dimension_rows() -> str:
+    """Empty texts are NULL; one table is stamped, one loses repeated rows."""
+    parts = []
+    for name, spec in SNAPSHOTS.items():
+        columns = spec.columns or (*_GRID_COLUMNS, "password")
+        shown = [f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '~')" for c in columns]
+        if spec.stamped:
+            shown.append(f"'{AS_OF}'")
+        parts.append(f"SELECT {'DISTINCT' if spec.distinct else ''} '{name}' AS table_name, "
+                     f"concat_ws('|', {', '.join(shown)}) AS row_text FROM source_{name}")
+    return "\nUNION ALL ".join(parts)
+
+
 _DETAIL_SUCCESS = ("list_id, update_date, is_success, suc_rule_id, suc_rule_name, suc_order_id, "
                    "col_1, col_2, col_3, col_4, col_5")
 _WINNER = "list_id, suc_rule_id, seq_no, rule_name, value"
@@ -692,6 +706,7 @@ SELECT campaign_id AS order_id, 'areas: not a whole number: ' || part AS errorms
 FROM (SELECT campaign_id, unnest(regexp_extract_all(areas, '[^,]+')) AS part
       FROM campaign_scope) WHERE TRY_CAST(part AS INT) IS NULL""",
     "receive_new_orders": _receive_registered("detail"),
+    "receive_new_orders_bucketed": _receive_registered("detail"),
     "outcall_new_orders_area": _outcall_registered("area", "sys_bss_org", "detail"),
     "outcall_new_orders_province": _outcall_registered("province", "sys_bss_org_hq", "detail",
                                                        _OWN_AREA),
@@ -793,6 +808,10 @@ WHERE z_mkt_campaign_id IN (1, 3) GROUP BY ALL""",
     "receive_daily_errors": _run_errors("o_run_r_pairs", "p_order_receive_detail_call"),
     "outcall_daily_errors": _errors("o_run_c_resolved") + "\nUNION ALL "
                             + _run_errors("o_run_c_pairs", "p_order_outcall_detail_call"),
+    "report_incremental": _receive_report("sec"),
+    "report_incremental_org": _receive_report("org"),
+    "report_incremental_class": _callout_report("class"),
+    "dimension_rows": _dimension_rows(),
     "report_rebuild": _rebuilt(),
     "dimension_refresh": _dimension_counts(),
 }

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from orderflow.session import configure
+from orderflow.sources.dimensions import SNAPSHOTS
 
 # Driver tables; naming the schema spares a job per table to read it from the files.
 BASE_TABLES = {
@@ -312,6 +313,20 @@ SELECT suc_rule_id, rule_name, report_column, state,
 FROM mkt_success_rule"""
 
 
+def _source(name: str, columns: tuple[str, ...]) -> str:
+    """A dimension's source table with its real columns, empty texts, repeated rows and a password."""
+    filled = [f"CASE WHEN (p_partkey + {i}) % 7 = 0 THEN '' ELSE concat('{c} ', "
+              f"CAST(p_size AS VARCHAR(9))) END AS {c}" for i, c in enumerate(columns[1:])]
+    return (f"SELECT p_partkey % 300 AS {columns[0]}, {', '.join(filled)}, 'secret' AS password "
+            f"FROM part")
+
+
+# The one table without a list of columns is copied whole.
+_GRID_COLUMNS = ("org_jt_code", "org_id", "fir_grid_id", "sec_grid_id", "thi_grid_id")
+VIEWS |= {f"source_{name}": _source(name, spec.columns or _GRID_COLUMNS)
+          for name, spec in SNAPSHOTS.items()}
+
+
 def with_views(sql: str, views: dict[str, str] = VIEWS) -> str:
     """``sql`` with a WITH clause defining every view it needs, dependencies first."""
     needed: dict[str, str] = {}

@@ -219,6 +219,40 @@ def _ratio(part: str, whole: str) -> Column:
     return F.try_divide(F.col(part).cast("double"), F.col(whole).cast("double"))
 
 
+_RECEIVE_KEYS = {
+    "sec": ("z_mkt_campaign_id", "fir_grid_id", "sec_grid_id", "report_day", "cop_channel_id"),
+    "org": ("z_mkt_campaign_id", "a_mkt_campaign_id", "fir_grid_id", "sec_grid_id",
+            "thi_grid_id", "org_id", "org_jt_code", "report_day", "cop_channel_id")}
+_RECEIVE_MEASURES = ("receive_suc_num", "claimed_count", "exe_count", "exe_suc_count")
+
+
+def receive_cube(detail: DataFrame) -> DataFrame:
+    """Measures of received orders per office and day, with the order count of both levels.
+
+    Repeated rows of an order collapse first, map-side; an order is then counted in the first of
+    its rows in each level's group (``n_sec``, ``n_org``), so all numbers add up to the coarser
+    level, and the cubes of different campaigns' orders simply lie side by side: the cube of some
+    campaigns can be made anew without the others. It relies on an order having one campaign.
+    """
+    day = F.col("report_date").try_cast("timestamp_ntz").cast("date")
+    rows = detail.withColumn("report_day", F.date_format(day, "yyyy-MM-dd"))
+    claimed, executed = F.col("user_id").isNotNull(), F.col("status_cd") >= EXECUTED_FROM
+    won = F.col("is_success") == 1
+    measures = dict(zip(_RECEIVE_MEASURES, map(_count, (won, claimed, executed, executed & won)),
+                        strict=True)) | _flag_sums(rows)
+    finest = _RECEIVE_KEYS["org"]
+    per_order = rows.groupBy("list_id", *finest).agg(
+        *[m.alias(name) for name, m in measures.items()])
+    rest = [k for k in finest if k not in _RECEIVE_KEYS["sec"]]
+    group = W.partitionBy("list_id", *_RECEIVE_KEYS["sec"]).orderBy(*rest)
+    known = F.col("list_id").isNotNull()
+    per_order = per_order.withColumns({
+        "n_sec": (known & (F.row_number().over(group) == 1)).cast("int"),
+        "n_org": known.cast("int")})
+    return per_order.groupBy(*finest).agg(
+        *[F.sum(name).alias(name) for name in ("n_sec", "n_org", *measures)])
+
+
 def receive_report(detail: DataFrame, *, level: str,
                    names: Mapping[str, DataFrame]) -> DataFrame:
     """Received orders per day by second-level grid (``sec``) or by office (``org``).
@@ -226,22 +260,27 @@ def receive_report(detail: DataFrame, *, level: str,
     ``names``: ``campaign``, ``grid`` (keyed by tree_level and tree_id) and ``organization``.
     Orders and offices are counted distinct. A quotient is NULL when its divisor is 0.
     """
-    day = F.col("report_date").try_cast("timestamp_ntz").cast("date")
-    rows = detail.withColumn("report_day", F.date_format(day, "yyyy-MM-dd"))
-    claimed, executed = F.col("user_id").isNotNull(), F.col("status_cd") >= EXECUTED_FROM
-    won = F.col("is_success") == 1
-    keys = {"sec": ["z_mkt_campaign_id", "fir_grid_id", "sec_grid_id"],
-            "org": ["z_mkt_campaign_id", "a_mkt_campaign_id", "fir_grid_id", "sec_grid_id",
-                    "thi_grid_id", "org_id", "org_jt_code"]}[level]
-    keys += ["report_day", "cop_channel_id"]
-    counts = rows.groupBy(*keys).agg(
-        F.count_distinct("list_id").alias("receive_num"),
-        _count(won).alias("receive_suc_num"), _count(claimed).alias("claimed_count"),
-        _count(executed).alias("exe_count"), _count(executed & won).alias("exe_suc_count"),
-        *([F.count_distinct("org_id").alias("receive_org_count"),
-           F.count_distinct(F.when(claimed, F.col("org_id"))).alias("claimed_org_count")]
-          if level == "sec" else []),
-        *[total.alias(c) for c, total in _flag_sums(rows).items()])
+    return receive_level(receive_cube(detail), level=level, names=names)
+
+
+def receive_level(cube: DataFrame, *, level: str, names: Mapping[str, DataFrame]) -> DataFrame:
+    """One level of the report from a :func:`receive_cube`.
+
+    Offices are counted by collapsing to one row per office first, so no row is multiplied for
+    the distinct counts.
+    """
+    keys = _RECEIVE_KEYS[level]
+    sums = [c for c in cube.columns if c in (*_RECEIVE_MEASURES, *FLAG_COLUMNS)]
+    totals = [F.sum(c).alias(c) for c in sums]
+    if level == "sec":
+        offices = cube.groupBy(*keys, "org_id").agg(F.sum("n_sec").alias("n_sec"), *totals)
+        office = F.col("org_id").isNotNull()
+        counts = offices.groupBy(*keys).agg(
+            F.sum("n_sec").alias("receive_num"), *totals,
+            F.count_if(office).alias("receive_org_count"),
+            F.count_if(office & (F.col("claimed_count") > 0)).alias("claimed_org_count"))
+    else:
+        counts = cube.groupBy(*keys).agg(F.sum("n_org").alias("receive_num"), *totals)
     counts = (_with_absent_flags(counts)
               .withColumn("order_claimed_per", _ratio("claimed_count", "receive_num"))
               .withColumn("report_date", F.to_timestamp_ntz("report_day", F.lit("yyyy-MM-dd"))))

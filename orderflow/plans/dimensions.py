@@ -10,18 +10,13 @@ from orderflow.functions.clock import AsOf
 from orderflow.operators.orgs import org_callers
 from orderflow.sources.dimensions import SNAPSHOTS, Snapshot
 from orderflow.sources.snapshots import empty_text_as_null, refresh_snapshot
+from orderflow.sources.versions import Store
 
 CALLERS = "callout_bssorg_caller_rel"
 
 
-def refresh_dimensions(sources: Mapping[str, DataFrame], folder: str, as_of: AsOf, *,
-                       snapshots: Mapping[str, Snapshot] = SNAPSHOTS) -> dict[str, DataFrame]:
-    """Write a new version of every dimension that has a source, and of the caller mapping.
-
-    Each goes to ``folder/<table>``; pass a new folder per run and point readers to it when the
-    run is done, so nobody sees a half-loaded table. The caller mapping is written when
-    ``sys_bss_org``, ``sys_user_job`` and ``sys_user`` are among the sources.
-    """
+def _refreshed(sources: Mapping[str, DataFrame], as_of: AsOf,
+               snapshots: Mapping[str, Snapshot]) -> dict[str, DataFrame]:
     written = {}
     for name, spec in snapshots.items():
         if name in sources:
@@ -31,9 +26,29 @@ def refresh_dimensions(sources: Mapping[str, DataFrame], folder: str, as_of: AsO
     if {"sys_bss_org", "sys_user_job", "sys_user"} <= set(sources):
         written[CALLERS] = org_callers(sources["sys_bss_org"], sources["sys_user_job"],
                                        sources["sys_user"], as_of)
+    return written
+
+
+def refresh_dimensions(sources: Mapping[str, DataFrame], folder: str, as_of: AsOf, *,
+                       snapshots: Mapping[str, Snapshot] = SNAPSHOTS) -> dict[str, DataFrame]:
+    """Write a new version of every dimension that has a source, and of the caller mapping.
+
+    Each goes to ``folder/<table>``; pass a new folder per run and point readers to it when the
+    run is done, so nobody sees a half-loaded table. The caller mapping is written when
+    ``sys_bss_org``, ``sys_user_job`` and ``sys_user`` are among the sources.
+    """
     out = {}
-    for name, df in written.items():
+    for name, df in _refreshed(sources, as_of, snapshots).items():
         path = f"{folder.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
         out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
     return out
+
+
+def refresh_store(sources: Mapping[str, DataFrame], store: Store, as_of: AsOf, *,
+                  snapshots: Mapping[str, Snapshot] = SNAPSHOTS) -> int:
+    """As refresh_dimensions, into a store: all tables change in one moment."""
+    change = store.change()
+    for name, df in _refreshed(sources, as_of, snapshots).items():
+        change.replace_all(name, df)
+    return change.publish()

@@ -149,6 +149,11 @@ class Change:
         found = rows.sparkSession.read.schema(rows.schema).parquet(target).inputFiles()
         return tuple(f"{commit}/{f.split(f'/{commit}/', 1)[1]}" for f in found)
 
+    def read(self, name: str) -> DataFrame:
+        """A table's rows as this change leaves them so far."""
+        table = self._table(name)
+        return self.store.scan(name, table, table.files)
+
     @staticmethod
     def _cast(rows: DataFrame, table: Table) -> DataFrame:
         return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
