@@ -71,11 +71,11 @@ def keyed(df: DataFrame) -> DataFrame:
     if set(ROW_KEY) <= set(df.columns):
         return df
     if not _plain(df):
-        return _places(stage(df, "rows"))
+        return _places(_staged(df))
     try:
         return _places(df)
     except AnalysisException:
-        return _places(stage(df, "rows"))
+        return _places(_staged(df))
 
 
 #: Steps of a plan that leave at most one row of each row read.
@@ -92,9 +92,17 @@ def _plain(df: DataFrame) -> bool:
     return plan.nodeName() == "LogicalRelation"
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    """The rows in files of the shared folder, where any column names may stand."""
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return stage(numbered, "rows").toDF(*df.columns)
+
+
 def _places(df: DataFrame) -> DataFrame:
-    out = df.select(F.xxhash64("_metadata.file_path").alias(ROW_FILE),
-                    F.col("_metadata.row_index").alias(ROW_INDEX), *[df[c] for c in df.columns])
+    # the hidden column, also of a table that has one of this name
+    place = df.metadataColumn("_metadata")
+    out = df.select(F.xxhash64(place["file_path"]).alias(ROW_FILE),
+                    place["row_index"].alias(ROW_INDEX), *[df[c] for c in df.columns])
     out.schema  # noqa: B018  analysis happens here
     return out
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from orderflow.llm.common import ROW_FILE, ROW_INDEX, ROW_KEY, keyed, stage
 
-#: A text that has at least one in so many rows is dealt over several ranges. So there are at
-#: most that many such texts.
-HOT_PART = 1000
+#: A text that has at least one in so many rows, or so many rows, is dealt over several ranges.
+#: So no range holds more copies of a text than that.
+HOT_PART, HOT_ROWS = 1000, 100_000
 #: Characters of a splitter; longer equal beginnings are told apart by a hash.
 SPLITTER = 48
 
@@ -34,23 +34,24 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 
     Sampled splitters (the text's beginning, then a hash) deal the rows into ranges; each range
     is sorted by the whole text, so equal texts are neighbours and a window compares each text
-    with the one before. A text that fills a thousandth of the rows or more is salted: its copies
-    form several sorted runs, whose winners (a few rows per such text) are merged by digest. What
-    is written to the shared folder has no texts.
+    with the one before. A text that fills a thousandth of the rows, or ``HOT_ROWS``, is salted: its
+    copies form several sorted runs, whose winners (a few rows per such text) are merged by digest.
+    What is written to the shared folder has no texts. The lists of such texts are staged, so Spark
+    broadcasts them as long as they are small.
     """
     text = F.col("text").cast("string")
     rows = keyed(docs).select(
         *ROW_KEY, F.col("doc_id").cast("long").alias("doc_id"),
         F.length(F.coalesce(text, F.lit(""))).alias("points"), squeezed(text).alias("norm"))
     rows = rows.withColumn("hash", F.xxhash64("norm"))
-    part = -(-rows.count() // HOT_PART)
+    part = min(-(-rows.count() // HOT_PART), HOT_ROWS)
     hot = stage(rows.groupBy("hash").agg(F.count("*").alias("n"))
                 .where((F.col("n") >= part) & (F.col("n") > 1))
                 .select("hash", F.ceil(F.col("n") / max(part, 1)).cast("long").alias("runs")),
                 "hot_texts")
     salt = F.when(F.col("runs").isNull(), F.lit(-1)).otherwise(
         F.pmod(F.xxhash64(*ROW_KEY), F.col("runs")))
-    salted = (rows.join(F.broadcast(hot), "hash", "left")  # at most HOT_PART rows
+    salted = (rows.join(hot, "hash", "left")
               .withColumn("salt", salt).withColumn("splitter", F.left("norm", F.lit(SPLITTER)))
               .drop("runs").repartitionByRange("splitter", "hash", "salt"))
     run = Window.partitionBy("splitter", "hash", "norm", "salt")
@@ -64,7 +65,7 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
     first = F.struct(*[F.col(f"best.{c}") for c in ROW_KEY]) == F.struct(*ROW_KEY)
     merged = (marked.where((F.col("salt") >= 0) & first).groupBy("text_sha256")
               .agg(F.min("best").alias("all_best"), F.sum("n").alias("all_n")))
-    out = (marked.join(F.broadcast(stage(merged, "merged")), "text_sha256", "left")
+    out = (marked.join(stage(merged, "merged"), "text_sha256", "left")
            .withColumn("best", F.coalesce("all_best", "best")))
     return out.select(
         *ROW_KEY, "doc_id", F.col("best.doc_id").alias("keep_id"),

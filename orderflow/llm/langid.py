@@ -19,13 +19,11 @@ CLASSES = np.array([b - 64 if 65 <= b <= 90 else b - 96 if 97 <= b <= 122 else
 ORDER = 3
 #: Bytes scored at a time.
 CHUNK = 1 << 20
-#: What a text may cost per byte in its language: as much as this share of the rows learned from,
-#: and in any case as much as equally likely symbols. It is judged where at least so many rows
-#: were learned from, and rejected when the whole text costs so many bits more than that, which a
-#: few short words never do.
+#: What a text may cost per byte in its language: as much as this share of the rows learned from
+#: in any language, and in any case as much as equally likely symbols. It is rejected when the
+#: whole text costs so many bits more than that, which a few short words never do.
 LIMIT_SHARE = 0.999
 LIMIT_BITS = float(np.log2(SYMBOLS))
-LIMIT_ROWS = 100
 LIMIT_EVIDENCE = 64
 
 
@@ -267,25 +265,23 @@ def identify(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
         "bits_per_byte")
 
 
-def limits(rows: DataFrame, model: Broadcast) -> dict[str, float]:
-    """The greatest bits per byte of a text in each language, taken from the rows learned from.
+def limit(rows: DataFrame, model: Broadcast) -> float:
+    """The greatest bits per byte of a text in its language, taken from the rows learned from.
 
-    It is what ``LIMIT_SHARE`` of the language's rows with letters do not exceed, and at least
-    ``LIMIT_BITS``. A language learned from fewer than ``LIMIT_ROWS`` such rows has none: so few
-    do not show what its texts cost.
+    It is what ``LIMIT_SHARE`` of all these rows with letters do not exceed, and at least
+    ``LIMIT_BITS``. The languages are judged together, so that one with few rows has a limit like
+    any other, whatever the size of the corpus.
     """
     scored = predict(rows, model, ["lang"]).where("lang_pred <> 'und'")
-    found = scored.groupBy(F.col("row.lang").alias("lang")).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("bits_per_byte", LIMIT_SHARE, 10_000).alias("bits")).collect()
-    return {r["lang"]: max(r["bits"], LIMIT_BITS) for r in found if r["n"] >= LIMIT_ROWS}
+    found = scored.agg(F.percentile_approx("bits_per_byte", LIMIT_SHARE, 10_000)).head()[0]
+    return max(found or 0.0, LIMIT_BITS)
 
 
 def accepted(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
     """The rows of ``docs`` in one of the languages learned, with the columns they came with.
 
     A row is rejected for one of two reasons: its text is null or has no letters, or the model of
-    its language codes it in over ``LIMIT_EVIDENCE`` bits more than :func:`limits` allows for its
+    its language codes it in over ``LIMIT_EVIDENCE`` bits more than :func:`limit` allows for its
     bytes, as it does longer random strings and scripts that were not learned. Where nothing was
     learned, every text with letters stays. Beside the scans of :func:`identify`, one more scores
     the rows learned from.
@@ -296,7 +292,5 @@ def accepted(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(learn(languages, rows))
     found = predict(docs, model, docs.columns).where(F.col("lang_pred") != "und")
     size = F.octet_length(F.col("row.text").cast("string"))
-    for language, bits in limits(rows, model).items():
-        found = found.where((F.col("lang_pred") != language) | (
-            (F.col("bits_per_byte") - bits) * size <= LIMIT_EVIDENCE))
-    return found.select([F.col("row").getField(c).alias(c) for c in docs.columns])
+    over = (F.col("bits_per_byte") - limit(rows, model)) * size
+    return found.where(over <= LIMIT_EVIDENCE).select([F.col("row").getField(c).alias(c) for c in docs.columns])

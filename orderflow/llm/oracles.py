@@ -140,8 +140,11 @@ cut AS (SELECT *, start + length(match) AS stop,
                CASE WHEN kind = 0 THEN regexp_extract(match, '{_ASSIGN}', 2) ELSE match END AS value
         FROM raw),
 c AS (SELECT * FROM cut WHERE kind <> 0 OR length(value) >= 8),
-o AS (SELECT value, count(DISTINCT owner) AS owners FROM c GROUP BY value),
-c2 AS (SELECT c.*, owners > {secrets.MOST_OWNERS} AS example FROM c JOIN o USING (value)),
+o AS (SELECT value, count(DISTINCT owner) AS owners, count(DISTINCT text) AS texts
+      FROM c GROUP BY value),
+c2 AS (SELECT c.*, texts > {secrets.MOST_TEXTS}
+              OR (owners > {secrets.MOST_OWNERS} AND texts >= {secrets.LEAST_TEXTS}) AS example
+       FROM c JOIN o USING (value)),
 live AS (SELECT DISTINCT doc_id, {secrets.KINDS.index('live')} AS kind,
                 stop - length(value) AS start, stop, example
          FROM c2 WHERE NOT example AND regexp_matches(value, '[0-9]')

@@ -136,11 +136,52 @@ def test_code_length_rejects_what_is_in_no_learned_language(make):
     learned = [(i, prose(w, i), lang) for i in range(0, 600, 2)
                for i, w, lang in ((i, ENGLISH, "en"), (i + 1, FRENCH, "fr"))]
     ddl = "doc_id long, text string, lang string"
-    kept = langid.accepted(make(ddl, *odd, *clean, *learned)).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(r[0] for r in [*clean, *learned])
-    # too few rows to tell what a language's texts cost: the model rejects nothing
-    few = [r for r in learned if r[0] < 60]
-    assert langid.accepted(make(ddl, *odd, *few)).count() == len(odd) + len(few)
+    # the decision is the same however many rows a language was learned from
+    for size in (600, 172, 40):
+        some = [r for r in learned if r[0] < size]
+        kept = langid.accepted(make(ddl, *odd, *clean, *some)).collect()
+        assert sorted(r.doc_id for r in kept) == sorted(r[0] for r in [*clean, *some]), size
+
+
+#: Foreign prose, and prose of the tables' invented languages.
+FOREIGN = ("Съешь же ещё этих мягких французских булок, да выпей чаю, и снова повтори это",
+           "我们昨天在城里看到很多人,他们说今年夏天的雨比往年都要多,所以大家都留在家里",
+           "Zażółć gęślą jaźń, a potem wróć do domu, bo nikt nie czeka na ciebie przy bramie",
+           "Quel ramo del lago di Como, che volge a mezzogiorno, tra due catene non interrotte",
+           "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan yhdessä")
+
+
+def test_foreign_texts_get_the_same_decision_at_every_size(spark):
+    got = []
+    for size in ("sf0.01", "sf0.1"):
+        docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select(
+            "doc_id", "text", "lang")
+        more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(FOREIGN)], docs.schema)
+        kept = langid.accepted(docs.union(more))
+        got.append({r.doc_id for r in kept.where("doc_id < 0").select("doc_id").collect()})
+        assert kept.where("doc_id >= 0").count() == docs.count()
+    assert got[0] == got[1] == set()
+
+
+@pytest.mark.parametrize("kind", ["string", "struct<file_path: string, row_index: bigint>"])
+def test_tables_with_a_column_of_the_hidden_name(spark, tmp_path, kind):
+    """A column ``_metadata`` is data like any other: rows stay apart, and keep it."""
+    value = ("named_struct('file_path', 'f', 'row_index', 0L)" if kind != "string" else "'m'")
+    df = spark.range(6).selectExpr("id AS doc_id", "CAST(id % 2 AS STRING) AS text", "'s' AS source",
+                                   f"{value} AS _metadata", "concat('http://a/', id) AS url",
+                                   "id AS page_id", "CAST(id AS STRING) AS html")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    for rows in (stored, df, stored.where("doc_id < 100"), stored.repartition(3)):
+        assert keyed(rows).select(*ROW_KEY).distinct().count() == 6
+        kept = exact_dedup.distinct_texts(rows)
+        assert kept.columns == rows.columns and kept.count() == 2
+        assert kept.select("_metadata").distinct().count() == 1
+    assert jaccard.one_per_group(stored).count() == 2
+    none = spark.createDataFrame([], ITEMS)
+    assert decontaminate.clean(stored, none).count() == 6
+    assert secrets.scan(stored).count() == 6
+    assert warc.archive_captures(stored).count() == 6
 
 
 def test_jaccard(docs, none):

@@ -1,7 +1,9 @@
 """Methods of the operators on small inputs."""
 
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -69,6 +71,63 @@ def test_code_lengths_are_a_distribution():
     assert whole / len(text) < 2 and abs(parts - whole) < 60
 
 
+def plain_ppm(counts, least, text):
+    """Bits of a text's symbols by the definition; counts: per language Counters by context."""
+    total = Counter()
+    for language in counts:
+        for context, seen in language.items():
+            total[context] += sum(seen.values())
+
+    def known(context):
+        return total[context] >= (least if len(context) > 1 else 1)
+
+    def shares(language, context):
+        if context is None:
+            return dict.fromkeys(range(langid.SYMBOLS), 1 / langid.SYMBOLS)
+        lower = shares(language, context[:-1] if context else None)
+        if context and not known(context):
+            return lower
+        seen = language.get(context, Counter())
+        rest = sum(p for s, p in lower.items() if s not in seen)
+        n, kinds = sum(seen.values()), len(seen) if rest > 0 else 0
+        if not n:
+            return lower
+        return {s: seen[s] / (n + kinds) if s in seen else kinds / (n + kinds) * p / rest
+                for s, p in lower.items()}
+
+    for language in counts:
+        bits, before = 0.0, (0, 0, 0)
+        for symbol in text:
+            bits -= math.log2(shares(language, before)[symbol])
+            before = (symbol, *before[:2])
+        yield bits
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_code_lengths_against_the_definition(least):
+    texts = [[b"the rain in spain stays mainly in the plain", b"rain again, the same rain"],
+             ["les gens de la ville et la pluie".encode(), "été à la ville".encode()]]
+    counts, grams = [], []
+    for language in texts:
+        seen, codes = defaultdict(Counter), []
+        for text in language:
+            symbols = langid.CLASSES[np.frombuffer(text, np.uint8)]
+            codes.append(langid.contexts(symbols, np.array([0])) << 6 | symbols)
+            before = (0, 0, 0)
+            for symbol in symbols.tolist():
+                for k in range(4):
+                    seen[before[:k]][symbol] += 1
+                before = (symbol, *before[:2])
+        counts.append(seen)
+        grams.append(np.unique(np.concatenate(codes).astype(np.int64), return_counts=True))
+    model = langid.Model(["en", "fr"], grams, least)
+    for text in ("the plain rain", "la ville été", "xyz QRS 12", "日本"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = model.code_lengths(data, np.array([0]))[0]
+        assert np.allclose(got, list(plain_ppm(counts, least, langid.CLASSES[data].tolist())),
+                           rtol=1e-5)
+
+
 def test_code_lengths_do_not_depend_on_chunks(monkeypatch):
     rng = np.random.default_rng(0)
     data = rng.integers(97, 110, 5000).astype(np.uint8)
