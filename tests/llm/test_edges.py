@@ -143,11 +143,15 @@ def test_code_length_rejects_what_is_in_no_learned_language(make):
         assert sorted(r.doc_id for r in kept) == sorted(r[0] for r in [*clean, *some]), size
 
 
-#: Foreign prose, and prose of the tables' invented languages.
+#: Foreign prose, long enough to tell: a few words cost too little to be judged.
 FOREIGN = ("Съешь же ещё этих мягких французских булок, да выпей чаю, и снова повтори это",
            "我们昨天在城里看到很多人,他们说今年夏天的雨比往年都要多,所以大家都留在家里",
-           "Zażółć gęślą jaźń, a potem wróć do domu, bo nikt nie czeka na ciebie przy bramie",
-           "Quel ramo del lago di Como, che volge a mezzogiorno, tra due catene non interrotte",
+           "Zażółć gęślą jaźń, a potem wróć do domu, bo nikt nie czeka na ciebie przy bramie. Wszyscy "
+           "ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+           "Quel ramo del lago di Como, che volge a mezzogiorno, tra due catene non interrotte di "
+           "monti, tutto a seni e a golfi, a seconda dello sporgere e del rientrare di quelli, vien "
+           "quasi a un tratto a ristringersi, e a prender corso e figura di fiume, tra un promontorio "
+           "a destra, e un'ampia costiera dall'altra parte",
            "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan yhdessä")
 
 
