@@ -26,7 +26,7 @@ WORDS = bytes(b if b in _WORD else 32 for b in LOWER)
 _shipped: set[str] = set()
 
 #: Bytes of the rows that a Python worker gets at once.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepare(spark: SparkSession) -> None:
