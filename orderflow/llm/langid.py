@@ -20,10 +20,10 @@ ORDER = 3
 #: Bytes scored at a time.
 CHUNK = 1 << 20
 #: What a text may cost per byte in its language: as much as this share of the rows learned from
-#: in any language, and in any case as much as equally likely symbols. It is rejected when the
-#: whole text costs so many bits more than that, which a few short words never do.
+#: in any language, and in any case five of the six bits of equally likely symbols. It is rejected
+#: when the whole text costs so many bits more than that, which a few short words never do.
 LIMIT_SHARE = 0.999
-LIMIT_BITS = float(np.log2(SYMBOLS))
+LIMIT_BITS = float(np.log2(SYMBOLS)) - 1
 LIMIT_EVIDENCE = 64
 
 

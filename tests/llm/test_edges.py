@@ -157,14 +157,14 @@ FOREIGN = ("Съешь же ещё этих мягких французских
 
 def test_foreign_texts_get_the_same_decision_at_every_size(spark):
     got = []
-    for size in ("sf0.01", "sf0.1"):
+    for size in ("sf0.001", "sf0.01", "sf0.1"):
         docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select(
             "doc_id", "text", "lang")
         more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(FOREIGN)], docs.schema)
         kept = langid.accepted(docs.union(more))
         got.append({r.doc_id for r in kept.where("doc_id < 0").select("doc_id").collect()})
         assert kept.where("doc_id >= 0").count() == docs.count()
-    assert got[0] == got[1] == set()
+    assert got[0] == got[1] == got[2] == set()
 
 
 @pytest.mark.parametrize("kind", ["string", "struct<file_path: string, row_index: bigint>"])
