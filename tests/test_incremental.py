@@ -1,5 +1,7 @@
 """Reports from a stored state, bucketed tables, and the plans they are made for."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,7 +97,7 @@ def test_bucketed_tables_are_joined_without_an_exchange(spark, roles):
     tables = {}
     for name, key in (("initiative_order", "initiative_order_id"),
                       ("initiative_order_executor", "initiative_order_id"), ("detail", "list_id")):
-        table = f"{database}.{name}"
+        table = f"{database}.{name}_{uuid.uuid4().hex}"
         write_bucketed(roles[name], table, key, 4)
         tables[name] = spark.table(table)
     pairs = stage(_pairs(roles, "receive"), "pairs")
