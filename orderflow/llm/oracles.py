@@ -172,15 +172,26 @@ _BASE32 = " || ".join(
     f"+ 1)::BIGINT, 1)" for i in range(8) for shift in (15, 10, 5, 0))
 OP10 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h,
-                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+                  max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top,
+                  trim(regexp_replace(coalesce(url, ''), '[\\r\\n]', '', 'g')) AS url
+           FROM pages),
+k AS (SELECT *, split_part(CASE WHEN regexp_matches(url, '://.') THEN substr(url, strpos(url, '://') + 3)
+                           ELSE url END, '#', 1) AS rest FROM p),
+u AS (SELECT *, split_part(regexp_replace(lower(regexp_replace(split_part(rest, '/', 1), '^.*@', '')),
+                                          '^www\\.', ''), ':', 1) AS host,
+             regexp_extract(rest, '/.*$', 0, 's') AS path,
+             strftime(make_timestamp((coalesce(page_id, 0) % 1000000000 + 1000000000) * 1000000),
+                      '%Y-%m-%dT%H:%M:%SZ') AS captured FROM k),
+n AS (SELECT *, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || lower(path)
+                  AS url_key FROM u)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> top THEN top END AS refers_to
-FROM p
+       CASE WHEN page_id <> top THEN top END AS refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id NULLS FIRST) - 1 AS rank
+FROM n
 """
 
 
-
 def _crc32(text: str) -> str:
     """Unsigned CRC-32 of a text's UTF-8 bytes."""
     octets = (f"list_transform(regexp_extract_all(hex(encode({text})), '..'), "

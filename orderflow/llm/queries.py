@@ -62,7 +62,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_captures(table(spark, sf_dir, "pages")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+        "captured", "rank")
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

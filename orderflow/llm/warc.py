@@ -6,17 +6,21 @@ import base64
 import gzip
 import hashlib
 import io
-import itertools
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderflow.llm.common import ROW_KEY, fresh_path, keyed, stage
 
 #: Records of one archive file. A file is read by one task, record by record.
 FILE_RECORDS = 2000
+#: Captures of one range of the merged index, about: what a task holds, packed, while it merges.
+RANGE_ROWS = 100_000
+#: Captures that a merging task unpacks of a run at a time.
+OPEN_ROWS = 256
 
 HEXES, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CAPTURE = ("archive string, position long, url_key string, captured string, page_id long, "
@@ -62,13 +66,14 @@ def records(pages: DataFrame) -> DataFrame:
 
     # line ends inside a url would end its header line
     url = F.regexp_replace(F.coalesce("url", F.lit("")), "[\\r\\n]", "")
-    second = F.timestamp_seconds(F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10 ** 9))
-                                 + F.lit(10 ** 9))
+    # a moment without a zone, so that the session's does not matter
+    second = F.expr("timestampadd(SECOND, pmod(coalesce(page_id, 0), 1000000000) + 1000000000, "
+                    "TIMESTAMP_NTZ'1970-01-01 00:00:00')").cast("string")
     header = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "),
         F.when(again, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit("\r\nWARC-Record-ID: "), urn(F.col("page_id")), F.lit("\r\nWARC-Target-URI: "), url,
-        F.lit("\r\nWARC-Date: "), F.date_format(second, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+        F.lit("\r\nWARC-Date: "), F.translate(second, " ", "T"), F.lit("Z"),
         F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.when(again, F.concat(
             F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/"
@@ -149,6 +154,8 @@ ARROW = pa.schema([
     ("captured", pa.string()), ("page_id", pa.int64()), ("payload_bytes", pa.int64()),
     ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
     ("intact", pa.bool_())])
+#: The merged index' order.
+ORDER = ("url_key", "captured", "page_id", "archive", "position")
 MERGED = ARROW.append(pa.field("place", pa.int64()))
 
 
@@ -208,20 +215,40 @@ class LoserTree:
             self._replay(winner)
 
 
-def merge(sorted_runs: DataFrame, rows_per_batch: int = 5000) -> DataFrame:
-    """All captures in the order of URL key, time, id and archive.
+def _slices(batches: Iterator[pa.RecordBatch]) -> list[list[pa.RecordBatch]]:
+    """Rows that come archive by archive, cut into each archive's pieces, still packed."""
+    slices: dict[str, list[pa.RecordBatch]] = {}
+    for batch in batches:
+        names = batch.column(0).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+        for first, last in zip(cuts, cuts[1:], strict=False):
+            if last > first:
+                slices.setdefault(names[first], []).append(batch.slice(first, last - first))
+    return list(slices.values())
+
+
+def _opened(pieces: Sequence[pa.RecordBatch]) -> Iterator[tuple]:
+    """The pieces' rows in their order, ``OPEN_ROWS`` unpacked at a time."""
+    for piece in pieces:
+        for first in range(0, piece.num_rows, OPEN_ROWS):
+            some = piece.slice(first, OPEN_ROWS)
+            yield from zip(*(c.to_pylist() for c in some.columns), strict=True)
 
-    Sampled splitters over the whole order deal the runs' rows into ranges, so a URL with a third
-    of all captures spans several. In its range a task finds each run's slice in the run's own
-    order and merges the slices. Ranges follow each other; ``place`` numbers a range's rows, with
-    the range in the upper bits, and so gives the global order.
+
+def merge(sorted_runs: DataFrame, rows_per_batch: int = 5000) -> DataFrame:
+    """All captures in the order of URL key, time, id and archive, with ``rank`` from 0.
+
+    Sampled splitters over the whole order deal the runs' rows into ranges of about
+    ``RANGE_ROWS``, so a URL with a third of all captures spans several. In its range a task finds
+    each run's slice in the run's own order and merges the slices; it holds them packed and opens
+    a few rows of each. Ranges follow each other, so a row's rank is its place in its range and
+    the rows of the ranges before, which takes one small row per range. The merged index is
+    written to the shared folder. The runs should be a staged table: they are counted first.
     """
     from pyspark import TaskContext
 
     def one_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = itertools.chain.from_iterable(
-            zip(*(c.to_pylist() for c in batch.columns), strict=True) for batch in batches)
-        slices = [iter(list(group)) for _, group in itertools.groupby(rows, key=lambda r: r[0])]
+        slices = [_opened(pieces) for pieces in _slices(batches)]
         base = TaskContext.get().partitionId() << 40
         out = []
         for n, row in enumerate(LoserTree(slices)):
@@ -232,21 +259,33 @@ def merge(sorted_runs: DataFrame, rows_per_batch: int = 5000) -> DataFrame:
         if out:
             yield _batch(out, MERGED)
 
-    inside = ["archive", "url_key", "captured", "page_id", "position"]
-    return (sorted_runs.repartitionByRange("url_key", "captured", "page_id", "archive", "position")
-            .sortWithinPartitions(*inside).mapInArrow(one_range, CAPTURE + ", place long"))
+    spark = sorted_runs.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-sorted_runs.count() // RANGE_ROWS))
+    merged = stage(
+        sorted_runs.repartitionByRange(ranges, *ORDER)
+        .sortWithinPartitions("archive", *(c for c in ORDER if c != "archive"))
+        .mapInArrow(one_range, CAPTURE + ", place long"), "merged")
+    at = F.shiftright("place", 40)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    skipped = stage(merged.groupBy(at.alias("range")).agg(F.count("*").alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skipped")), "ranges")
+    inside = F.col("place").bitwiseAND((1 << 40) - 1)
+    return (merged.withColumn("range", at).join(skipped, "range")
+            .withColumn("rank", inside + F.col("skipped")).drop("range", "skipped", "place"))
 
 
 def archive_captures(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write one record per page into archives, read them back and merge their indexes.
 
     ``pages`` has ``page_id``, ``url`` and ``html``; other columns are ignored. Returns one row
-    per input row in the order of :func:`merge`: the archive file, the record's position in it,
-    url_key, captured, page_id, payload_bytes, payload_digest, record_type, refers_to, intact
-    (the payload read back has the stated length and digest). Null html is empty; null ids and
-    urls are kept, with ``none`` and an empty text in the record. Of rows with equal payloads the
-    one with the largest id is the response, of equal ids the first row. An empty table gives no
-    rows. ``path`` defaults to a new folder in the shared folder.
+    per input row: the archive file, the record's position in it, url_key, captured, page_id,
+    payload_bytes, payload_digest, record_type, refers_to, intact (the payload read back has the
+    stated length and digest) and rank (the place in the order of :func:`merge`, from 0 and
+    without gaps). Null html is empty; null ids and urls are kept, with ``none`` and an empty
+    text in the record. Of rows with equal payloads the one with the largest id is the response,
+    of equal ids the first row. An empty table gives no rows. ``path`` defaults to a new folder
+    in the shared folder.
     """
     spark = pages.sparkSession
     path = path or fresh_path(spark, "archives")

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import datetime
 import hashlib
 import random
 import string
@@ -406,12 +407,40 @@ def test_warc(make):
     assert sorted((r.page_id or 0, r.record_type, r.refers_to) for r in rows) == [
         (0, "revisit", 4), (1, "revisit", 2), (2, "response", None), (2, "revisit", 2),
         (3, "revisit", 4), (4, "response", None)]
-    placed = sorted(rows, key=lambda r: r.place)
+    placed = sorted(rows, key=lambda r: r.rank)
+    assert [r.rank for r in placed] == list(range(6))
     assert [(r.url_key, r.captured) for r in placed] == sorted(
         (r.url_key, r.captured) for r in rows)
     assert warc.archive_captures(pages.limit(0)).collect() == []
 
 
+def test_capture_history_over_many_ranges(make, monkeypatch, tmp_path):
+    spark = make("a int").sparkSession
+    prepare(spark)
+    monkeypatch.setattr(warc, "FILE_RECORDS", 23)
+    monkeypatch.setattr(warc, "RANGE_ROWS", 40)
+    monkeypatch.setattr(warc, "OPEN_ROWS", 3)
+    rng = random.Random(5)
+    # a third of the captures share a URL; ids repeat and are null
+    pages = [(rng.choice([None, rng.randrange(300)]) if rng.random() < 0.1 else i,
+              "http://hot.example/a" if rng.random() < 0.34 else f"http://h{i % 50}.example/{i % 7}",
+              rng.choice(["", None, f"page {i % 90}"])) for i in range(500)]
+    made = make("page_id long, url string, html string", *pages).repartition(5)
+    made.write.parquet(str(tmp_path / "pages"))
+    rows = warc.archive_captures(spark.read.parquet(str(tmp_path / "pages"))).collect()
+    rows.sort(key=lambda r: r.rank)
+    assert [r.rank for r in rows] == list(range(500))
+    assert len({r.archive for r in rows}) > 20 and all(r.intact for r in rows)
+    assert len({(r.archive, r.position) for r in rows}) == 500
+    order = [(r.url_key, r.captured, r.page_id is not None, r.page_id or 0, r.archive, r.position)
+             for r in rows]
+    assert order == sorted(order)
+    moment = datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=10 ** 9)
+    want = sorted((warc.url_key(u), (moment + datetime.timedelta(seconds=i or 0)).isoformat() + "Z",
+                   i or 0) for i, u, _ in pages)
+    assert sorted((r.url_key, r.captured, r.page_id or 0) for r in rows) == want
+
+
 def test_pipeline_stages_keep_columns(spark, docs, tmp_path):
     items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
     items.write.parquet(str(tmp_path / "benchmark.parquet"))
