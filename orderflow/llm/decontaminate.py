@@ -9,6 +9,7 @@ lists are intersected from its rarest term on, each shifted by the term's offset
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,14 +100,12 @@ def build_index(docs: DataFrame, gap: int = 64) -> DataFrame:
     return docs.sparkSession.read.schema(SEGMENT).parquet(path)
 
 
-def windows(text: bytes | None, length: int) -> list[tuple[bytes, ...]]:
-    """Distinct runs of ``length`` consecutive words; a shorter text is one run, an empty none."""
+def windows(text: bytes | None, length: int) -> Iterator[tuple[bytes, ...]]:
+    """Runs of ``length`` consecutive words; a shorter text is one run, an empty none."""
     found = words(text)
-    if not found:
-        return []
-    if len(found) < length:
-        return [tuple(found)]
-    return list(dict.fromkeys(zip(*(found[i:] for i in range(length)), strict=False)))
+    if 0 < len(found) < length:
+        yield tuple(found)
+    yield from zip(*(found[i:] for i in range(length)), strict=False)
 
 
 class Block:
@@ -123,28 +122,45 @@ class Block:
         self.items = items
 
 
+def query_windows(benchmark: DataFrame, length: int) -> DataFrame:
+    """The benchmark's distinct windows as a staged table: item_id, phrase, block.
+
+    A phrase is a window's words joined by blanks. Blocks are dealt by hash, so each has about
+    ``BLOCK_WINDOWS`` windows, and one item's windows may be in many.
+    """
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).cast(pa.large_binary())
+            for item, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+                found = windows(text.as_py(), length)
+                while some := [b" ".join(w) for w in itertools.islice(found, 10_000)]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(some), pa.string()), pa.array(some, pa.binary())],
+                        names=["item_id", "phrase"])
+
+    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    every = stage(rows.mapInArrow(cut, "item_id string, phrase binary").distinct(), "windows")
+    count = max(1, -(-every.count() // BLOCK_WINDOWS))
+    block = F.pmod(F.xxhash64("phrase", "item_id"), F.lit(count)).cast("int").alias("block")
+    return stage(every.select("item_id", "phrase", block), "window_blocks", "block")
+
+
 def blocks(benchmark: DataFrame, length: int) -> Iterator[Block]:
-    """The benchmark's windows in blocks, streamed; one item's windows may span blocks."""
-    items: list[str | None] = []
-    found: list[tuple[bytes, ...]] = []
-    rows = benchmark.select(F.col("item_id").cast("string"),
-                            F.col("text").cast("string").cast("binary"))
-    for item, text in rows.toLocalIterator():
-        for window in windows(None if text is None else bytes(text), length):
-            items.append(item)
-            found.append(window)
-            if len(found) == BLOCK_WINDOWS:
-                yield Block(items, found)
-                items, found = [], []
-    if found:
-        yield Block(items, found)
+    """The benchmark's windows, one block at a time."""
+    found = query_windows(benchmark, length)
+    numbers = found.agg(F.max("block")).first()[0]
+    for number in range(0 if numbers is None else numbers + 1):
+        rows = found.where(F.col("block") == number).select("item_id", "phrase").toArrow()
+        yield Block(rows.column("item_id").to_pylist(),
+                    [tuple(p.split(b" ")) for p in rows.column("phrase").to_pylist()])
 
 
 def occurrences(block: Block, terms: list[bytes], counts: np.ndarray, positions: np.ndarray,
-                slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows that occur in a segment: number, start, rarest term's position, exact or near.
+                slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that occur in a segment: number, start, exact or near.
 
-    The candidates of a window are its rarest term's positions less the term's offset. Each
+    The candidates of a window are its rarest term's positions less the term's offset, with
+    ``slop`` also those up to so many words off; the first term stands at each that stays. Each
     further term, in the order of rarity, keeps the candidates at which its shifted list has a
     position no more than ``slop`` away.
     """
@@ -155,7 +171,7 @@ def occurrences(block: Block, terms: list[bytes], counts: np.ndarray, positions:
     used = block.rows >= 0
     alive = np.flatnonzero(((rows >= 0) | ~used).all(axis=1))
     if not len(alive):
-        return none, none, none, none.astype(bool)
+        return none, none, none.astype(bool)
     rows, used = rows[alive], used[alive]
     size = np.where(used, counts[np.maximum(rows, 0)], np.iinfo(np.int64).max)
     order = np.argsort(size, axis=1, kind="stable")
@@ -166,7 +182,7 @@ def occurrences(block: Block, terms: list[bytes], counts: np.ndarray, positions:
     found = [_intersect(np.flatnonzero(part == x), rows, used, order, rarest, counts, ends,
                         positions, keys, slop) for x in np.unique(part)]
     window, start, exact = (np.concatenate(x) for x in zip(*found, strict=True))
-    return alive[window], start, start + order[window, 0], exact
+    return alive[window], start, exact
 
 
 def _intersect(windows: np.ndarray, rows: np.ndarray, used: np.ndarray, order: np.ndarray,
@@ -177,6 +193,14 @@ def _intersect(windows: np.ndarray, rows: np.ndarray, used: np.ndarray, order: n
     inside = np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many)
     start = positions[np.repeat(ends[rarest[windows]] - many, many) + inside] - order[window, 0]
     far = np.zeros(len(window), np.int64)
+    if slop and len(window):
+        # the rarest term may be off its place, the first one gives the start
+        shift = np.arange(-slop, slop + 1)
+        want = (rows[window, 0] << 32)[:, None] + start[:, None] + shift
+        held = keys[np.minimum(np.searchsorted(keys, want), len(keys) - 1)] == want
+        picked, off = np.nonzero(held)
+        window, start = window[picked], start[picked] + shift[off]
+        far = np.abs(shift[off])
     for k in range(1, rows.shape[1]):
         column = order[window, k]
         checked = used[window, column]
@@ -198,9 +222,9 @@ def search(index: DataFrame, benchmark: DataFrame, length: int = 10, slop: int =
 
     Returns segment, ordinal (the document's place in its segment), item_id, first and last
     (positions of the first and last word), exact. Overlapping and touching occurrences of one
-    item's windows are one passage. Near matches (``exact`` false) have every term of a window at
-    its offset give or take ``slop`` words from the rarest term. Items with an equal id count as
-    one; an item without an id still matches. Each block is broadcast, is at most
+    item's windows are one passage. Near matches (``exact`` false) have every further term of a
+    window at its offset from the first term, give or take ``slop`` words. Items with an equal id
+    count as one; an item without an id still matches. Each block is broadcast, is about
     ``BLOCK_WINDOWS`` windows long and reads the index once.
     """
     spark = index.sparkSession
@@ -223,14 +247,14 @@ def _search_block(index: DataFrame, sent, slop: int) -> DataFrame:
                 segment, starts, sizes, terms, counts, positions = (
                     batch.column(k)[i].as_py() for k in range(6))
                 starts, sizes = np.array(starts, np.int64), np.array(sizes, np.int64)
-                window, at, anchor, exact = occurrences(
+                window, at, exact = occurrences(
                     block, terms.split(b" ") if terms else [],
                     np.frombuffer(counts, "<i4").astype(np.int64),
                     np.frombuffer(positions, "<i4").astype(np.int64), slop)
-                doc = np.searchsorted(starts, anchor, side="right") - 1
+                doc = np.searchsorted(starts, at, side="right") - 1
                 first = at - starts[doc]
                 last = np.minimum(first + block.lengths[window], sizes[doc]) - 1
-                out = _passages(doc, item_of[window], np.maximum(first, 0), last, exact)
+                out = _passages(doc, item_of[window], first, last, exact)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(out[0]), segment), pa.int64()),
                      pa.array(out[0], pa.int32()),

@@ -21,6 +21,14 @@ TEMPLATES = {
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
     "software and associated documentation files (the \"Software\"), to deal in the Software "
     "without restriction": "mit",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+    "without fee is hereby granted, provided that the above copyright notice and this permission "
+    "notice appear in all copies": "isc",
+    "This software is provided 'as-is', without any express or implied warranty. In no event will "
+    "the authors be held liable for any damages arising from the use of this software": "zlib",
+    "Distributed under the Boost Software License, Version 1.0": "bsl",
+    "This program and the accompanying materials are made available under the terms of the "
+    "Eclipse Public License": "epl",
     "Licensed under the Apache License, Version 2.0": "apache",
     "You may not use this file except in compliance with the License": "apache",
     "This program is free software: you can redistribute it and/or modify it under the terms of "

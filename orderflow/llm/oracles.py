@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from orderflow.llm import secrets, sharding
-from orderflow.llm.licenses import BLOCK_WORDS, PHRASES, TEMPLATES
+from orderflow.llm.licenses import BLOCK_WORDS, PHRASES, SPREAD, TEMPLATES
 
 _LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 
@@ -32,11 +32,23 @@ hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit
         FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM occ) GROUP BY doc_id),
 items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
                  string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids
-          FROM occ GROUP BY doc_id)
+          FROM occ GROUP BY doc_id),
+terms AS (SELECT item_id, l, string_split(g, ' ') AS t FROM win),
+around AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) + 1), lambda i:
+           {{'first': w[i], 'near': list_concat(CASE WHEN i = 1 THEN [''] ELSE [] END,
+                                              w[greatest(i - 1, 1):i + 11])}})) AS c
+  FROM d WHERE len(w) > 0),
+near AS (SELECT DISTINCT doc_id, item_id FROM around JOIN terms ON c.first = t[1]
+         WHERE len(list_filter(range(1, l), lambda k:
+                     NOT list_contains(c.near[k:k + 4], t[k + 1]))) = 0),
+nearly AS (SELECT doc_id, count(*) AS n_near FROM near ANTI JOIN occ USING (doc_id, item_id)
+           GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near_items
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+LEFT JOIN nearly USING (doc_id)
 """
 
 OP4 = fr"""
@@ -93,10 +105,17 @@ blocks AS (
   UNION SELECT DISTINCT doc_id, list_distinct(w[i + 1:i + {BLOCK_WORDS}]) FROM (
     SELECT doc_id, w, unnest(range(0, len(w) - {BLOCK_WORDS // 2}, {BLOCK_WORDS // 2})) AS i
     FROM lines WHERE len(w) > {BLOCK_WORDS})),
-t AS (SELECT list_distinct({_words('template')}) AS t, label
+t AS (SELECT list_distinct({_words('template')}) AS t, label,
+             {SPREAD} * len({_words('template')}) AS spread
       FROM (VALUES {_texts(TEMPLATES)}) v(template, label)),
+stretches AS (
+  SELECT doc_id, t, label, unnest(list_transform(range(1, len(w) + 1), lambda i:
+           CASE WHEN list_contains(t, w[i]) THEN len(list_intersect(w[i:i + spread - 1], t)) END)) AS n
+  FROM d, t WHERE len(list_intersect(w, t)) >= ceil(0.8 * len(t) - 1e-9)),
 found AS (SELECT doc_id, label, len(list_intersect(w, t)) / len(t) AS part FROM blocks, t
-          WHERE len(list_intersect(w, t)) >= ceil(0.8 * len(t) - 1e-9)),
+          WHERE len(list_intersect(w, t)) >= ceil(0.8 * len(t) - 1e-9)
+          UNION ALL SELECT doc_id, label, n / len(t) FROM stretches
+          WHERE n >= ceil(0.8 * len(t) - 1e-9)),
 more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS score FROM found
          GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word,

@@ -22,7 +22,8 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
-            "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+            "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
+            "n_near_items")
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

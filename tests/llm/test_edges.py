@@ -7,13 +7,17 @@ import string
 import textwrap
 import zlib
 
+import duckdb
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from checks.compare import differences
 from orderflow.llm import (
     bpe, chat, decontaminate, exact_dedup, jaccard, langid, licenses, packing, secrets, warc,
 )
 from orderflow.llm.common import ROW_KEY, _plain, keyed, prepare
+from orderflow.llm.oracles import ORACLES
 from orderflow.llm.queries import VOCABULARY
 
 EMPTY = hashlib.sha256(b"").hexdigest()
@@ -83,6 +87,51 @@ def test_near_matches(make):
     assert (got[2].n_hit, got[2].n_near_items, got[3].n_near_items) == (10, 0, 0)
 
 
+def near_items(text, items, length, slop):
+    """Ids of the items that match exactly, and of those that match nearly, by the definition."""
+    text, exact, near = (text or "").split(), set(), set()
+    for item, passage in items:
+        found = (passage or "").split()
+        size = min(length, len(found))
+        for window in ([found[i:i + size] for i in range(len(found) - size + 1)] if size else []):
+            for at in range(len(text)):
+                if text[at:at + size] == window:
+                    exact.add(item)
+                if text[at] == window[0] and all(
+                        w in text[max(0, at + k - slop):at + k + slop + 1]
+                        for k, w in enumerate(window[1:], 1)):
+                    near.add(item)
+    return exact, near - exact
+
+
+def test_near_matches_by_brute_force(make, monkeypatch):
+    prepare(make("a int").sparkSession)
+    monkeypatch.setattr(decontaminate, "SEGMENT_WORDS", 60)
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 7)
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 9)
+    rng = random.Random(4)
+
+    def some(n):
+        return " ".join(rng.choice("abcdefgh") for _ in range(n))
+
+    def changed(text):
+        out = text.split()
+        for _ in range(rng.randrange(4)):
+            out.insert(rng.randrange(1 + len(out)), rng.choice("abcxyz"))
+        return " ".join(out)
+
+    items = [(str(i), some(rng.choice([0, 1, 3, 5, 9]))) for i in range(25)] + [("n", None)]
+    texts = [(i, f"{some(rng.randrange(8))} {changed(rng.choice(items[:25])[1])} {some(rng.randrange(30))}")
+             for i in range(80)] + [(80, None), (81, "")]
+    got = by_id(decontaminate.contamination(
+        make("doc_id long, text string", *texts), make("item_id string, text string", *items),
+        length=5, slop=2))
+    want = {i: near_items(t, items, 5, 2) for i, t in texts}
+    assert {i: (r.n_items, r.n_near_items) for i, r in got.items()} == {
+        i: (len(e), len(n)) for i, (e, n) in want.items()}
+    assert sum(len(n) for _, n in want.values()) > 20
+
+
 def test_windows_in_blocks(make, monkeypatch):
     prepare(make("a int").sparkSession)
     monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 2)
@@ -317,6 +366,30 @@ def test_wrapped_notices(make):
     assert {got[i].labels for i in (-2, -3, -4)} == {""}
 
 
+def test_wrapped_notices_against_sql(make):
+    rng = random.Random(8)
+    notices = [t.split() for t in licenses.TEMPLATES]
+    rows = []
+    for i in range(300):
+        words = list(rng.choice(notices))
+        if i % 3:  # words lost, strange ones between, words of another notice
+            words = [w for w in words if rng.random() > 0.15]
+            for _ in range(rng.randrange(1 + len(words))):
+                words.insert(rng.randrange(1 + len(words)), rng.choice(["x", "rem", *notices[i % 15]]))
+        around = [rng.choice(["of", "the", "y", "license"]) for _ in range(rng.choice([0, 5, 150, 700]))]
+        line = " ".join(around + words + around[:40])
+        rows.append((i, "\n".join(textwrap.wrap(line, rng.choice([15, 50, 4000])))))
+    rows += [(300, None), (301, ""), (302, "\n")]
+    documents = make("doc_id long, text string", *rows)
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": [i for i, _ in rows],
+                                               "text": [t for _, t in rows]}))
+    got = licenses.scan(documents).drop("blocks")
+    assert differences(got, connection, ORACLES["op6_license_scan"]) == []
+    labels = [r.labels for r in got.collect()]
+    assert len(set(labels)) > 8 and "" in labels
+
+
 def test_packing(docs, none):
     rows = packing.pack(docs, VOCABULARY).collect()
     assert len({(r.doc_id, r.start) for r in rows if r.doc_id == 6}) > 1
