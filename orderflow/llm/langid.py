@@ -11,102 +11,120 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Symbols of the models: a blank for every ASCII byte that is no letter, the letters a to z in
-#: either case, and the non-ASCII bytes dealt in turn over the remaining classes.
-SYMBOLS = 64
-CLASSES = np.array([b - 64 if 65 <= b <= 90 else b - 96 if 97 <= b <= 122 else
-                    27 + b % (SYMBOLS - 27) if b >= 128 else 0 for b in range(256)], np.uint8)
+#: What the models read of a text: a to z for letters in either case, a blank for every other ASCII
+#: byte, and the non-ASCII bytes as they are. Numbers, keys and capitals say nothing of a language.
+FOLDED = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32
+                   for b in range(256)], np.uint8)
 ORDER = 3
+#: Blanks stand before a text.
+BEFORE = 0x202020
 #: Bytes scored at a time.
 CHUNK = 1 << 20
 #: What a text may cost per byte in its language: as much as this share of the rows learned from
-#: in any language, and in any case five of the six bits of equally likely symbols. It is rejected
-#: when the whole text costs so many bits more than that, which a few short words never do.
+#: in any language, and in any case five of a byte's eight bits. It is rejected when the whole text
+#: costs so many bits more than that, which a few short words never do.
 LIMIT_SHARE = 0.999
-LIMIT_BITS = float(np.log2(SYMBOLS)) - 1
+LIMIT_BITS = 5.0
 LIMIT_EVIDENCE = 64
 
 
-def contexts(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The three symbols before each position as one number; blanks stand before a text."""
-    wide = symbols.astype(np.int32)
+def contexts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The three bytes before each position as one number, the nearest in its lowest byte."""
+    wide = data.astype(np.int32)
     out = np.zeros(len(wide), np.int32)
     for back in range(1, ORDER + 1):
-        out[back:] |= wide[:-back] << 6 * (back - 1)
+        out[back:] |= wide[:-back] << 8 * (back - 1)
     ends = np.append(starts[1:], len(wide))
     for place in range(min(ORDER, len(wide))):
         at = (starts + place)[starts + place < ends]
-        out[at] &= (1 << 6 * place) - 1
+        own = (1 << 8 * place) - 1
+        out[at] = (out[at] & own) | (BEFORE & ~own)
     return out
 
 
+def coded(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each folded byte with the three before it as one number, the byte itself lowest."""
+    data = FOLDED[data]
+    return contexts(data, starts).astype(np.int64) << 8 | data
+
+
 class Model:
     """Frozen context trees of several languages, compiled into one table of code lengths.
 
-    A context of order k codes a symbol that it has seen n times among N with n / (N + U), where
-    U counts its distinct symbols; the escape U / (N + U) goes to the order below, over the
-    symbols not seen here. Below order 0 all symbols are equally likely. ``bits`` holds the
-    resulting exact code lengths of each symbol in each language after each known context;
-    ``node`` leads from three symbols to their longest known suffix.
+    A context of order k codes a byte that it has seen n times among N with n / (N + U), where U
+    counts its distinct bytes; the escape U / (N + U) goes to the order below, over the bytes not
+    seen here. Below order 0 all 256 bytes are equally likely. ``bits`` holds the resulting exact
+    code lengths of each folded byte in each language after each known context.
+
+    Bytes that nobody learned cost the same everywhere and are in no known context, so they share
+    symbol 0 (``symbol``, ``alike`` bytes) and tables grow with the bytes in use. ``slot`` leads
+    from the two bytes before to their known context, ``node`` from there and the third to the
+    longest one.
     """
 
     def __init__(self, languages: list[str], grams: list[tuple[np.ndarray, np.ndarray]],
                  least: int) -> None:
-        """``grams``: per language the codes of context and symbol, and their counts."""
+        """``grams``: per language the numbers of :func:`coded` and their counts."""
         self.languages = languages
-        size = SYMBOLS ** ORDER
-        known = np.zeros(size, np.int64)
-        for codes, counts in grams:
-            np.add.at(known, codes >> 6, counts)
+        every = np.concatenate([np.zeros(0, np.int64), *(codes for codes, _ in grams)])
+        many = np.concatenate([np.zeros(0, np.int64), *(counts for _, counts in grams)])
+        used = np.unique(np.concatenate([[BEFORE & 255], *(every >> 8 * k & 255
+                                                           for k in range(ORDER + 1))]))
+        self.symbol = np.zeros(256, np.int32)
+        self.symbol[used] = np.arange(1, len(used) + 1)
+        self.size, self.alike = len(used) + 1, 256 - len(used)
         nodes = [np.zeros(1, np.int64)]
         for k in range(1, ORDER + 1):
-            total = known.reshape(-1, SYMBOLS ** k).sum(axis=0)
-            nodes.append(np.flatnonzero(total >= (least if k > 1 else 1)))
+            found, place = np.unique(every >> 8 & (1 << 8 * k) - 1, return_inverse=True)
+            total = np.bincount(place, many, len(found))
+            nodes.append(found[total >= (least if k > 1 else 1)])
         first = np.cumsum([0, *map(len, nodes)])
-        node = np.zeros(size, np.int32)
-        every = np.arange(size)
-        for k in range(1, ORDER + 1):
-            at = np.full(SYMBOLS ** k, -1, np.int32)
-            at[nodes[k]] = first[k] + np.arange(len(nodes[k]))
-            mine = at[every & (SYMBOLS ** k - 1)]
-            node = np.where(mine >= 0, mine, node)
-        self.node = node
-        table = np.zeros((first[-1], SYMBOLS, len(languages)), np.float32)
+        self._index(nodes, first)
+        table = np.zeros((first[-1], self.size, len(languages)), np.float32)
         for language, (codes, counts) in enumerate(grams):
-            below = np.full((1, SYMBOLS), 1 / SYMBOLS)
+            rows = np.full((1, self.size), 1 / 256)
             for k in range(ORDER + 1):
-                short = codes & (SYMBOLS ** (k + 1) - 1)
-                where = np.searchsorted(nodes[k], short >> 6)
-                seen = np.zeros((len(nodes[k]), SYMBOLS))
+                short = codes & (1 << 8 * (k + 1)) - 1
+                where = np.searchsorted(nodes[k], short >> 8)
+                seen = np.zeros((len(nodes[k]), self.size))
                 ok = where < len(nodes[k])
-                ok[ok] = nodes[k][where[ok]] == (short >> 6)[ok]
-                np.add.at(seen, (where[ok], (short & 63)[ok]), counts[ok])
-                if k:
-                    # the context's suffix is the longest known one of a lower order
-                    lower = all_rows[self._suffix(nodes[k], k, nodes, first)]
-                else:
-                    lower = below
-                rows = self._blend(seen, lower)
-                all_rows = rows if k == 0 else np.concatenate([all_rows, rows])
-            table[:, :, language] = -np.log2(all_rows)
-        self.bits = table.reshape(len(table) * SYMBOLS, len(languages))
+                ok[ok] = nodes[k][where[ok]] == (short >> 8)[ok]
+                np.add.at(seen, (where[ok], self.symbol[short & 255][ok]), counts[ok])
+                # the context's suffix is the longest known one of a lower order
+                lower = rows[self._suffix(nodes[k], k, nodes, first)] if k else rows
+                mixed = self._blend(seen, lower)
+                rows = np.concatenate([rows, mixed]) if k else mixed
+            table[:, :, language] = -np.log2(rows)
+        self.bits = table.reshape(len(table) * self.size, len(languages))
+
+    def _index(self, nodes: list[np.ndarray], first: np.ndarray) -> None:
+        size, pairs, triples = self.size, nodes[2], nodes[3]
+        one = np.zeros(size, np.int32)
+        one[self.symbol[nodes[1]]] = first[1] + np.arange(len(nodes[1]))
+        # a slot for each nearest byte alone, then one for each known pair
+        self.slot = np.tile(np.arange(size, dtype=np.int32), size)
+        self.slot[self.symbol[pairs >> 8] * size + self.symbol[pairs & 255]] = (
+            size + np.arange(len(pairs)))
+        self.node = np.repeat(np.concatenate(
+            [one, (first[2] + np.arange(len(pairs))).astype(np.int32)]), size)
+        at = size + np.searchsorted(pairs, triples & 0xFFFF)
+        self.node[at * size + self.symbol[triples >> 16]] = first[3] + np.arange(len(triples))
 
     @staticmethod
     def _suffix(codes: np.ndarray, k: int, nodes: list[np.ndarray], first: np.ndarray
                 ) -> np.ndarray:
         out = np.zeros(len(codes), np.int64)
         for j in range(1, k):
-            short = codes & (SYMBOLS ** j - 1)
+            short = codes & (1 << 8 * j) - 1
             at = np.minimum(np.searchsorted(nodes[j], short), max(len(nodes[j]) - 1, 0))
             hit = nodes[j][at] == short if len(nodes[j]) else np.zeros(len(codes), bool)
             out = np.where(hit, first[j] + at, out)
         return out
 
-    @staticmethod
-    def _blend(seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    def _blend(self, seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
         total, kinds = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
         unseen = np.where(seen > 0, 0, lower)
-        rest = unseen.sum(axis=1, keepdims=True)
+        rest = unseen.sum(axis=1, keepdims=True) + (self.alike - 1) * unseen[:, :1]
         escape = np.where(rest > 0, kinds, 0)
         under = np.where(total > 0, total + escape, 1)
         share = np.where(total > 0, escape / under, 1)
@@ -120,10 +138,12 @@ class Model:
         for begin in range(0, len(data), CHUNK):
             end = min(len(data), begin + CHUNK)
             early = max(0, begin - ORDER)
-            symbols = CLASSES[data[early:end]]
+            text = FOLDED[data[early:end]]
             here = starts[(starts >= early) & (starts < end)] - early
-            after = contexts(symbols, here)[begin - early:]
-            rows = (self.node[after].astype(np.int64) << 6) + symbols[begin - early:]
+            after = contexts(text, here)[begin - early:]
+            slot = self.slot[self.symbol[after >> 8 & 255] * self.size + self.symbol[after & 255]]
+            node = self.node[slot * self.size + self.symbol[after >> 16]]
+            rows = node.astype(np.int64) * self.size + self.symbol[text[begin - early:]]
             first = np.searchsorted(starts, begin, side="right") - 1
             last = np.searchsorted(starts, end, side="left")
             cuts = np.maximum(starts[first:last] - begin, 0)
@@ -176,7 +196,8 @@ def learn(languages: list[str], rows: DataFrame, least: int = 4) -> Model:
     """Count the contexts of the sample's rows and freeze them.
 
     A context of two or three symbols counts from ``least`` occurrences on. The counts are
-    summed before they reach the driver; there are at most 64 ** 4 per language.
+    summed before they reach the driver; there are as many as the sample has different runs of
+    four bytes.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,21 +206,19 @@ def learn(languages: list[str], rows: DataFrame, least: int = 4) -> Model:
                 chosen = batch.column(1).filter(pa.array(names == name))
                 data, lengths = _flat(chosen)
                 starts = (np.cumsum(lengths) - lengths)[lengths > 0]
-                symbols = CLASSES[data]
-                codes = (contexts(symbols, starts) << 6) | symbols
-                found, counts = np.unique(codes, return_counts=True)
+                found, counts = np.unique(coded(data, starts), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found)), pa.array(found, pa.int32()),
+                    [pa.array([name] * len(found)), pa.array(found, pa.int64()),
                      pa.array(counts, pa.int64())], names=["lang", "code", "n"])
 
-    counted = (rows.mapInArrow(count, "lang string, code int, n long")
+    counted = (rows.mapInArrow(count, "lang string, code long, n long")
                .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow())
     names = np.array(counted.column("lang").to_pylist(), object)
     codes, counts = counted.column("code").to_numpy(), counted.column("n").to_numpy()
     grams = []
     for name in languages:
         mine = names == name
-        grams.append((codes[mine].astype(np.int64), counts[mine]))
+        grams.append((codes[mine], counts[mine]))
     return Model(languages, grams, least)
 
 

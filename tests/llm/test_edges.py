@@ -164,6 +164,24 @@ FRENCH = ("les gens de cette ville ont toujours vu beaucoup de pluie pendant un
           "rentrés chez eux avant la nuit parce que personne ne voulait répondre").split()
 
 
+RUSSIAN = ("люди этого города никогда не видели столько дождя за одно лето и вернулись домой до ночи "
+           "потому что никто не хотел отвечать когда мы спрашивали о старых домах").split()
+UKRAINIAN = ("люди цього міста ніколи не бачили стільки дощу за одне літо і повернулися додому до ночі "
+             "тому що ніхто не хотів відповідати коли ми питали про старі будинки").split()
+GREEK = ("οι άνθρωποι αυτής της πόλης δεν είδαν ποτέ τόση βροχή ένα καλοκαίρι και γύρισαν σπίτι πριν "
+         "νυχτώσει επειδή κανείς δεν ήθελε να απαντήσει για τα παλιά σπίτια").split()
+
+
+def test_languages_that_are_not_latin(make):
+    rows = [(i, prose((RUSSIAN, UKRAINIAN, GREEK)[i % 3], i), ("ru", "uk", "el")[i % 3])
+            for i in range(300)]
+    docs = make("doc_id long, text string, lang string", *rows)
+    prepare(docs.sparkSession)
+    want = {i: name for i, _, name in rows}
+    held = [r for r in langid.identify(docs).collect() if r.held_out]
+    assert len(held) > 30 and all(r.lang_pred == want[r.doc_id] for r in held)
+
+
 def test_nothing_learned_keeps_texts_with_letters(docs, make):
     unlabelled = docs.selectExpr(*[c for c in docs.columns if c != "lang"],
                                  "cast(null as string) lang").select(docs.columns)
