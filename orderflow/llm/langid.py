@@ -26,6 +26,11 @@ CHUNK = 1 << 20
 LIMIT_SHARE = 0.999
 LIMIT_BITS = 5.0
 LIMIT_EVIDENCE = 64
+#: Different runs of four bytes that a task holds before it passes their counts on, and as many as
+#: it passes on at a time.
+HELD, EMITTED = 1 << 20, 1 << 16
+#: Most bytes of a model's table. The rarest contexts stay out of a table that would be larger.
+TABLE_BYTES = 128 << 20
 
 
 def contexts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -73,11 +78,17 @@ class Model:
         self.symbol = np.zeros(256, np.int32)
         self.symbol[used] = np.arange(1, len(used) + 1)
         self.size, self.alike = len(used) + 1, 256 - len(used)
-        nodes = [np.zeros(1, np.int64)]
+        seen = [(np.zeros(1, np.int64), np.full(1, np.inf))]
         for k in range(1, ORDER + 1):
             found, place = np.unique(every >> 8 & (1 << 8 * k) - 1, return_inverse=True)
             total = np.bincount(place, many, len(found))
-            nodes.append(found[total >= (least if k > 1 else 1)])
+            seen.append((found, total if k > 1 else np.full(len(found), np.inf)))
+        room = TABLE_BYTES // (4 * self.size * max(len(languages), 1))
+        totals = np.concatenate([total for _, total in seen])
+        if np.count_nonzero(totals >= least) > room:
+            # more than the first that has no room
+            least = np.partition(totals, -room - 1)[-room - 1] + 1
+        nodes = [found[total >= least] for found, total in seen]
         first = np.cumsum([0, *map(len, nodes)])
         self._index(nodes, first)
         table = np.zeros((first[-1], self.size, len(languages)), np.float32)
@@ -165,41 +176,50 @@ def held_out(doc_id) -> object:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def sample(docs: DataFrame, rows_per_language: int = 3000) -> tuple[list[str], DataFrame]:
+def known(docs: DataFrame) -> tuple[list[str], DataFrame]:
     """The languages to learn, and the rows (``lang``, ``text``) to learn them from.
 
-    Rows with a text and a language that are not held out take part. Where a language has more
-    than ``rows_per_language`` of them, those with the smallest hash of the id do, about that
-    many.
+    These are all rows with a text and a language that are not held out.
     """
     usable = docs.select(
         F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text")).where(
             ~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in
-             usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
-    wanted = F.lit(False)
-    spread = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    for name in languages:
-        share = min(1.0, rows_per_language / sizes[name])
-        wanted = wanted | ((F.col("lang") == name) & (spread < int(share * (1 << 20)) + 1))
-    return languages, usable.where(wanted).select("lang", "text")
+    languages = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    return languages, usable.select("lang", "text")
+
 
+def fit(docs: DataFrame, least: int = 4) -> Model:
+    """The model of the rows of :func:`known`; see :func:`learn`."""
+    return learn(*known(docs), least)
 
-def fit(docs: DataFrame, rows_per_language: int = 3000, least: int = 4) -> Model:
-    """The model of the rows that :func:`sample` chooses; see :func:`learn`."""
-    return learn(*sample(docs, rows_per_language), least)
+
+def _summed(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, place = np.unique(np.concatenate(codes), return_inverse=True)
+    return found, np.bincount(place, np.concatenate(counts), len(found)).astype(np.int64)
 
 
 def learn(languages: list[str], rows: DataFrame, least: int = 4) -> Model:
-    """Count the contexts of the sample's rows and freeze them.
+    """Count the contexts of all rows and freeze them.
 
-    A context of two or three symbols counts from ``least`` occurrences on. The counts are
-    summed before they reach the driver; there are as many as the sample has different runs of
-    four bytes.
+    A context of two or three symbols counts from ``least`` occurrences on, and from more when
+    the table would outgrow ``TABLE_BYTES``. The counts are summed in each task and again before
+    they reach the driver; there are as many as the rows have different runs of four folded bytes.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: dict[str, tuple[list, list]] = {}
+        held = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for name in sorted(pending):
+                codes, counts = _summed(*pending[name])
+                for at in range(0, len(codes), EMITTED):
+                    n = len(codes[at:at + EMITTED])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * n, pa.string()), pa.array(codes[at:at + EMITTED]),
+                         pa.array(counts[at:at + EMITTED])], names=["lang", "code", "n"])
+            pending.clear()
+
         for batch in batches:
             names = np.array(batch.column(0).to_pylist())
             for name in sorted(set(names.tolist())):
@@ -207,9 +227,19 @@ def learn(languages: list[str], rows: DataFrame, least: int = 4) -> Model:
                 data, lengths = _flat(chosen)
                 starts = (np.cumsum(lengths) - lengths)[lengths > 0]
                 found, counts = np.unique(coded(data, starts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(found)), pa.array(found, pa.int64()),
-                     pa.array(counts, pa.int64())], names=["lang", "code", "n"])
+                mine = pending.setdefault(name, ([], []))
+                mine[0].append(found)
+                mine[1].append(counts)
+                held += len(found)
+            if held > HELD:
+                for name, kept in pending.items():
+                    codes, counts = _summed(*kept)
+                    pending[name] = [codes], [counts]
+                held = sum(len(codes[0]) for codes, _ in pending.values())
+                if held > HELD // 2:
+                    yield from flush()
+                    held = 0
+        yield from flush()
 
     counted = (rows.mapInArrow(count, "lang string, code long, n long")
                .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow())
@@ -268,24 +298,24 @@ def predict(docs: DataFrame, model: Model | Broadcast, carry: list[str]) -> Data
         T.StructField("bits_per_byte", T.DoubleType())]))
 
 
-def identify(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
+def identify(docs: DataFrame) -> DataFrame:
     """Predict the language of every whole text.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``; other columns are ignored. Returns one row
     per input row: doc_id, held_out, lang_pred, score, bits_per_byte. A row without an id is held
     out. See :func:`fit` and :func:`predict` for what is learned and for null, empty and
-    letterless texts. One scan counts labels, one learns, one predicts; nothing is shuffled but
-    the sample's counts. The broadcast model is bounded by the number of contexts.
+    letterless texts. One scan finds the labels, one learns, one predicts; nothing is shuffled but
+    the counts. The broadcast model is bounded by ``TABLE_BYTES``.
     """
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     doc_id = F.col("row.doc_id")
-    return predict(slim, fit(docs, rows_per_language), ["doc_id"]).select(
+    return predict(slim, fit(docs), ["doc_id"]).select(
         doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "lang_pred", "score",
         "bits_per_byte")
 
 
 def limit(rows: DataFrame, model: Broadcast) -> float:
-    """The greatest bits per byte of a text in its language, taken from the rows learned from.
+    """The greatest bits per byte of a text in its language, taken from all rows learned from.
 
     It is what ``LIMIT_SHARE`` of all these rows with letters do not exceed, and at least
     ``LIMIT_BITS``. The languages are judged together, so that one with few rows has a limit like
@@ -296,7 +326,7 @@ def limit(rows: DataFrame, model: Broadcast) -> float:
     return max(found or 0.0, LIMIT_BITS)
 
 
-def accepted(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
+def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` in one of the languages learned, with the columns they came with.
 
     A row is rejected for one of two reasons: its text is null or has no letters, or the model of
@@ -305,7 +335,7 @@ def accepted(docs: DataFrame, rows_per_language: int = 3000) -> DataFrame:
     learned, every text with letters stays. Beside the scans of :func:`identify`, one more scores
     the rows learned from.
     """
-    languages, rows = sample(docs, rows_per_language)
+    languages, rows = known(docs)
     if not languages:
         return docs.where(F.coalesce(docs["text"].rlike(r"\p{L}"), F.lit(False)))
     model = docs.sparkSession.sparkContext.broadcast(learn(languages, rows))

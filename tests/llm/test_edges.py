@@ -8,6 +8,7 @@ import textwrap
 import zlib
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -235,6 +236,33 @@ def test_foreign_texts_get_the_same_decision_at_every_size(spark):
     assert got[0] == got[1] == got[2] == set()
 
 
+def test_every_row_is_learned_and_measured(make, monkeypatch):
+    """However many rows a language has, none is left out of the counts and of the limit."""
+    said = [(i, f"common words {i % 7}", "en") for i in range(9000)]
+    docs = make("doc_id long, text string, lang string", *said)
+    learned = [r for r in said if zlib.crc32(str(r[0]).encode()) % 5]
+    seen = {}
+    build, limit = langid.Model.__init__, langid.limit
+    monkeypatch.setattr(langid, "HELD", 10)
+    monkeypatch.setattr(langid.Model, "__init__", lambda model, names, grams, least: seen.update(
+        bytes=sum(int(n.sum()) for _, n in grams)) or build(model, names, grams, least))
+    monkeypatch.setattr(langid, "limit", lambda rows, *rest: seen.update(
+        rows=rows.count()) or limit(rows, *rest))
+    assert langid.accepted(docs).count() == 9000
+    assert seen == {"bytes": sum(len(r[1]) for r in learned), "rows": len(learned)}
+
+
+def test_a_table_keeps_the_commonest_contexts(monkeypatch):
+    data = np.frombuffer(b"the cat and the dog and the rat" * 9 + b"qx jz wv", np.uint8)
+    grams = [np.unique(langid.coded(data, np.array([0])), return_counts=True)]
+    whole = langid.Model(["x"], grams, 1)
+    monkeypatch.setattr(langid, "TABLE_BYTES", whole.bits.nbytes // 2)
+    half = langid.Model(["x"], grams, 1)
+    assert half.bits.nbytes <= langid.TABLE_BYTES
+    lengths = [m.code_lengths(data, np.array([0]))[0, 0] for m in (whole, half)]
+    assert lengths[0] < lengths[1] < len(data)
+
+
 @pytest.mark.parametrize("kind", ["string", "struct<file_path: string, row_index: bigint>"])
 def test_tables_with_a_column_of_the_hidden_name(spark, tmp_path, kind):
     """A column ``_metadata`` is data like any other: rows stay apart, and keep it."""
