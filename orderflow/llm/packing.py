@@ -12,7 +12,7 @@ from __future__ import annotations
 import bisect
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from orderflow.llm.bpe import normalized, split_pieces
 from orderflow.llm.common import stage, worker_memory
 
-#: Words whose ids a Python worker remembers; beyond it the memory starts anew.
+#: Words whose ids a Python worker remembers: half as many new ones, and those used before them.
 REMEMBERED = 400_000
+#: Characters of texts that are split at a time.
+TOGETHER = 1 << 19
 #: Bins of lengths are this part of the length wide; solver rounds.
 BIN_PART, ROUNDS = 64, 400
 
@@ -33,18 +35,20 @@ PIECE = ("doc_id long, doc_tokens long, start long, length int, ids_crc32 long,
          "nth long")
 
 
-class Encoder(dict):
+class Encoder:
     """Token ids of whole texts as unsigned 32-bit little-endian bytes; ids by word remembered.
 
     The vocabulary splits a text into pieces before merging and never merges across them, and a
-    piece's last token, and no other, ends a word. So new pieces are encoded together and cut
-    apart at those tokens.
+    piece's last token, and no other, ends a word. So the new pieces of many texts are encoded
+    together and cut apart at those tokens. A full memory becomes the ``older`` one, from which
+    the pieces that come again are taken back.
     """
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
+        self.ids: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(vocabulary)
         tokens = self.library.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
@@ -53,35 +57,57 @@ class Encoder(dict):
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
 
     def _direct(self, text: str) -> bytes:
-        ids = self.library.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        # without the places of the tokens
+        encoded, = self.library.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoded.ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(self.ends[ids]) + 1
+        found = self._direct(" ".join(words))
+        cuts = (4 * (np.flatnonzero(self.ends[np.frombuffer(found, "<u4")]) + 1)).tolist()
         if len(cuts) == len(words):
-            start = 0
-            for word, end in zip(words, cuts.tolist(), strict=True):
-                self[word] = ids[start:end].tobytes()
-                start = end
+            pieces = map(found.__getitem__, map(slice, [0, *cuts[:-1]], cuts))
+            self.ids.update(zip(words, pieces, strict=True))
         else:
             for word in words:
-                self[word] = self._direct(word)
+                self.ids[word] = self._direct(word)
 
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text`` as the library gives them, without added special tokens."""
+    def _split(self, text: str) -> list[str] | None:
+        """The pieces of a text, None if only the library can tell them."""
         if "<|" in text and self.special.search(text):
-            return self._direct(text)
+            return None
         text = normalized(text)
         if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-            return self._direct(text)
-        words = split_pieces(text)
-        if new := [w for w in set(words) if w not in self]:
-            if len(self) + len(new) > REMEMBERED:
-                self.clear()
-                new = list(set(words))
+            return None
+        return split_pieces(text)
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self._split(text) for text in texts]
+        every = set().union(*(words for words in split if words is not None))
+        new = every.difference(self.ids)
+        if len(self.ids) + len(new) > REMEMBERED // 2:
+            self.older, self.ids = self.ids, {}
+            new = every
+        again = [word for word in new if word in self.older]
+        self.ids.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        if new := list(new.difference(again)):
             self._learn(new)
-        return b"".join(map(self.__getitem__, words))
+        for text, words in zip(texts, split, strict=True):
+            yield self._direct(text) if words is None else b"".join(map(self.ids.__getitem__, words))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of ``text`` as the library gives them, without added special tokens."""
+        return next(self._encode([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """As :meth:`encode`, of each text in turn."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size > TOGETHER:
+                yield from self._encode(group)
+                group, size = [], 0
+        yield from self._encode(group)
 
 
 def pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFrame:
@@ -97,8 +123,9 @@ def pieces(docs: DataFrame, vocabulary: str, window: int, end_id: int) -> DataFr
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memoryview(encoder.encode(text.as_py() or "") + end)
+            texts = encoder.encode_all(text.as_py() or "" for text in batch.column(1))
+            for doc, encoded in zip(batch.column(0).to_pylist(), texts, strict=True):
+                ids = memoryview(encoded + end)
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)

@@ -44,6 +44,21 @@ def test_ids_like_the_library(text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
+def test_words_of_many_texts_are_learned_together(library, monkeypatch):
+    """Texts are encoded in few calls, and a full memory gives back the words that come again."""
+    texts = [*TRICKY, *(f"word{i} common text, number {i * 7}" for i in range(300))]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for together, remembered, most in ((1 << 19, 400_000, 10), (40, 30, 10_000)):
+        monkeypatch.setattr(packing, "TOGETHER", together)
+        monkeypatch.setattr(packing, "REMEMBERED", remembered)
+        encoder = packing.Encoder(VOCABULARY)
+        calls, direct = [], encoder._direct
+        encoder._direct = lambda text: calls.append(text) or direct(text)
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(texts)]
+        assert got == want
+        assert len(calls) < most
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 64), max_size=300))
 def test_plan_places_every_piece_once(lengths):
