@@ -397,6 +397,21 @@ def _settled(pairs: DataFrame, question: Question, texts: dict[int, str], by_ord
     return _broken(mine)
 
 
+def _named(tables: Mapping[str, DataFrame], texts: list[str]) -> dict[str, DataFrame]:
+    """The tables that a text names."""
+    return {name: table for name, table in tables.items() if any(
+        re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE) for text in texts)}
+
+
+def _read_once(tables: Mapping[str, DataFrame], texts: list[str]) -> None:
+    """Stage the tables that the texts name, which every probe would compute again."""
+    for name, table in _named(tables, texts).items():
+        try:
+            stage(table, name).createOrReplaceTempView(name)
+        except _RULE_ERRORS:  # of the table itself: the rules that read it fail by it
+            pass
+
+
 def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
                    tables: Mapping[str, DataFrame], *, null_is_success: bool = True,
                    isolate: bool | str = False, share: bool = True) -> Evaluation:
@@ -412,9 +427,8 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
     rule by itself.
     """
     spark = pairs.sparkSession
-    for name, table in tables.items():
-        if any(re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE) for _, text in texts):
-            table.createOrReplaceTempView(name)
+    for name, table in _named(tables, [text for _, text in texts]).items():
+        table.createOrReplaceTempView(name)
     parts: list[DataFrame] = []
     failures = _Failures()
     waiting, asked = deque(questions(pairs, texts, share)), []
@@ -435,6 +449,8 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
         try:
             raw = stage(raw, "answers")
         except _RULE_ERRORS:
+            if isolate == "orders":
+                _read_once(tables, [text for _, text in texts])
             raw = reduce(DataFrame.unionByName, [
                 part if failures.rules.keys() & set(question.rules)
                 else _settled(pairs, question, dict(texts), isolate == "orders", failures)

@@ -1,5 +1,7 @@
 """Rules as users write them: ranges, subqueries, many on one table, and what fails in them."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +207,15 @@ def test_shape(spark):
                  "select a from t where b = 1 order by a limit 1",
                  "select a from t where exists (select 1 from u)"):
         assert sh.shape(spark, text) is None
+
+
+def test_tables_are_computed_once_for_all_probes(pairs, tables, monkeypatch):
+    """Looking for the orders that a rule fails for, the probes read staged tables."""
+    staged, plans, stage = [], [], ru.stage
+    monkeypatch.setattr(ru, "stage", lambda df, name, *by: staged.append(name) or (
+        plans.append(df._jdf.queryExecution().analyzed().toString()) if name == "part" else None)
+        or stage(df, name, *by))
+    ru.evaluate_rules(pairs(3), [(3, FAILING)], tables, isolate="orders")
+    read = [name for name in tables if re.search(rf"\b{name}\b", FAILING)]
+    assert read and [staged.count(name) for name in read] == [1] * len(read)
+    assert plans and all("parquet" in plan for plan in plans)
