@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame
 
 from orderflow.functions.clock import AsOf
 from orderflow.operators.orgs import org_callers
+from orderflow.session import together
 from orderflow.sources.dimensions import SNAPSHOTS, Snapshot
 from orderflow.sources.snapshots import empty_text_as_null, refresh_snapshot
 from orderflow.sources.versions import Store
@@ -29,6 +32,16 @@ def _refreshed(sources: Mapping[str, DataFrame], as_of: AsOf,
     return written
 
 
+def _at_once(write: Callable[[str, DataFrame], Any], tables: dict[str, DataFrame]
+             ) -> dict[str, Any]:
+    """Write all tables at the same time: a dimension is often read and written by few tasks."""
+    if not tables:
+        return {}
+    spark = next(iter(tables.values())).sparkSession
+    done = together(spark, *[partial(write, name, df) for name, df in tables.items()])
+    return dict(zip(tables, done, strict=True))
+
+
 def refresh_dimensions(sources: Mapping[str, DataFrame], folder: str, as_of: AsOf, *,
                        snapshots: Mapping[str, Snapshot] = SNAPSHOTS) -> dict[str, DataFrame]:
     """Write a new version of every dimension that has a source, and of the caller mapping.
@@ -37,18 +50,17 @@ def refresh_dimensions(sources: Mapping[str, DataFrame], folder: str, as_of: AsO
     run is done, so nobody sees a half-loaded table. The caller mapping is written when
     ``sys_bss_org``, ``sys_user_job`` and ``sys_user`` are among the sources.
     """
-    out = {}
-    for name, df in _refreshed(sources, as_of, snapshots).items():
+    def written(name: str, df: DataFrame) -> DataFrame:
         path = f"{folder.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
-        out[name] = df.sparkSession.read.schema(df.schema).parquet(path)
-    return out
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    return _at_once(written, _refreshed(sources, as_of, snapshots))
 
 
 def refresh_store(sources: Mapping[str, DataFrame], store: Store, as_of: AsOf, *,
                   snapshots: Mapping[str, Snapshot] = SNAPSHOTS) -> int:
     """As refresh_dimensions, into a store: all tables change in one moment."""
     change = store.change()
-    for name, df in _refreshed(sources, as_of, snapshots).items():
-        change.replace_all(name, df)
+    _at_once(change.replace_all, _refreshed(sources, as_of, snapshots))
     return change.publish()

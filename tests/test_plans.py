@@ -1,3 +1,4 @@
+import threading
 import uuid
 from dataclasses import replace
 from datetime import datetime
@@ -157,3 +158,20 @@ def test_dimension_versions(spark, make, rows):
         "a": Snapshot(("t", "k"), distinct=True, stamped=True), "missing": Snapshot()})
     assert list(out) == ["a"]
     assert rows(out["a"]) == [(None, 1, datetime(2024, 5, 10, 12))]
+
+
+def test_dimensions_are_written_at_the_same_time(spark, make, monkeypatch):
+    from orderflow.plans import refresh_store
+    from orderflow.sources import Store, versions
+    names = ["staff", "channel", "organization"]
+    sources = {name: make("id long, name string", (i, name)) for i, name in enumerate(names)}
+    meeting, write = threading.Barrier(len(names)), versions.Change.replace_all
+
+    def met(change, name, rows, by=None):
+        meeting.wait(60)  # breaks unless all tables have come
+        return write(change, name, rows, by)
+
+    monkeypatch.setattr(versions.Change, "replace_all", met)
+    store = Store(spark, fresh_path(spark, "store"))
+    refresh_store(sources, store, AS_OF, snapshots={name: Snapshot() for name in names})
+    assert {name: store.read(name).collect()[0][1] for name in names} == {n: n for n in names}
