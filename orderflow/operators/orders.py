@@ -32,10 +32,13 @@ def in_scope(orders: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _one_main_per_pair(pairs: DataFrame, names: tuple[str, ...] = ()) -> DataFrame:
-    """(sub-campaign, area) with its first catalogue; an order is registered only once."""
+    """(sub-campaign, area) with its first catalogue; an order is registered only once.
+
+    Staged plainly: by the size of encoded files Spark would broadcast millions of pairs.
+    """
     first = F.min(F.struct("main_campaign_id", *names)).alias("m")
-    return pairs.groupBy("sub_campaign_id", "latn_id").agg(first).select(
-        F.col("sub_campaign_id").alias("campaign_id"), "latn_id", "m.*")
+    return stage(pairs.groupBy("sub_campaign_id", "latn_id").agg(first).select(
+        F.col("sub_campaign_id").alias("campaign_id"), "latn_id", "m.*"), "mains", plain=True)
 
 
 def _unknown(orders: DataFrame, detail: DataFrame) -> DataFrame:

@@ -111,3 +111,29 @@ def test_random_rule_rows_against_brute_force(spark, make, rows):
         hit = value is not None or None in mine
         expected.append((pair[0], int(hit), value, int(hit and value != -1)))
     assert rows(out.answers, "list_id", "hit", "value", "success") == expected
+
+
+def test_pairs_are_broadcast_by_their_size_in_memory(spark, make):
+    """Repeated names and areas make small files of many pairs; joins must see the rows."""
+    def size(df):
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+    many = spark.range(50_000).selectExpr(
+        "id % 4 as main_campaign_id", "'a catalogue' as main_campaign_name",
+        "id div 10 as sub_campaign_id", "'the same campaign' as sub_campaign_name",
+        "int(id % 10) as latn_id")
+    named = od._one_main_per_pair(stage(many, "pairs"), ("main_campaign_name", "sub_campaign_name"))
+    assert named.count() == 50_000 and size(named) > 50_000 * 40
+    few = make("main_campaign_id bigint, sub_campaign_id bigint, latn_id int",
+               (2, 7, 1), (1, 7, 1), (3, 7, 999))
+    one = od._one_main_per_pair(few)
+    assert sorted(map(tuple, one.collect())) == [(7, 1, 1), (7, 999, 3)]
+    calls = make("campaign_id bigint, latn_id int, initiative_order_id bigint", (7, 1, 5))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        joined = calls.join(named, ["campaign_id", "latn_id"])
+        assert "SortMergeJoin" in plan(joined)
+        assert [r.sub_campaign_name for r in joined.collect()] == ["the same campaign"]
+        assert "BroadcastHashJoin" in plan(calls.join(one, ["campaign_id", "latn_id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
