@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 _PLACES = 18
 _EXACT = f"DECIMAL(38, {_PLACES})"
 _DECIMALS, _EXPONENT = "[.]([0-9]*?)0*([^0-9]|$)", "[eE]([+-]?[0-9]+)"
+# A cast that fails takes many times as long as one that doesn't, also with try_cast, so texts
+# that can't be cast are told by their characters first: ASCII ones that no number has, signs behind
+# digits, second points and exponents, nothing but blanks. Other texts may still fail to cast.
+_NO_NUMBER = "[!-*,/:-DF-df-~]|[0-9.][+-]|[.].*[.]|[eE].*[.eE]|^ *$"
+_NO_INTEGER = "[.eE]"
 
 
 def whole_sql(v: str) -> str:
     """SQL for :func:`to_bigint` of a text column."""
-    exact = f"try_cast({v} AS {_EXACT})"
-    return (f"coalesce(try_cast({v} AS BIGINT), CASE WHEN {exact} = try_cast({exact} AS BIGINT) "
-            f"AND length(regexp_extract({v}, '{_DECIMALS}', 1)) - coalesce(try_cast("
-            f"regexp_extract({v}, '{_EXPONENT}', 1) AS INT), 0) <= {_PLACES} "
-            f"THEN try_cast({exact} AS BIGINT) END)")
+    exact, power = f"try_cast({v} AS {_EXACT})", f"regexp_extract({v}, '{_EXPONENT}', 1)"
+    return (f"CASE WHEN NOT {v} RLIKE '{_NO_NUMBER}' THEN coalesce("
+            f"CASE WHEN NOT {v} RLIKE '{_NO_INTEGER}' THEN try_cast({v} AS BIGINT) END, "
+            f"CASE WHEN {exact} = try_cast({exact} AS BIGINT) "
+            f"AND length(regexp_extract({v}, '{_DECIMALS}', 1)) - coalesce("
+            f"CASE WHEN {power} <> '' THEN try_cast({power} AS INT) END, 0) <= {_PLACES} "
+            f"THEN try_cast({exact} AS BIGINT) END) END")
 
 
 def to_bigint(col: Column | str) -> Column:
@@ -27,12 +34,13 @@ def to_bigint(col: Column | str) -> Column:
     written with over 18 decimals that are not zeros is none.
     """
     text = F.col(col) if isinstance(col, str) else col
-    exact = text.try_cast(_EXACT)
+    exact, power = text.try_cast(_EXACT), F.regexp_extract(text, _EXPONENT, 1)
     decimals = F.length(F.regexp_extract(text, _DECIMALS, 1)) - F.coalesce(
-        F.regexp_extract(text, _EXPONENT, 1).try_cast("int"), F.lit(0))
+        F.when(power != "", power.try_cast("int")), F.lit(0))
     whole = exact.try_cast("bigint")
-    return F.coalesce(text.try_cast("bigint"),
-                      F.when((exact == whole) & (decimals <= _PLACES), whole))
+    return F.when(~text.rlike(_NO_NUMBER), F.coalesce(
+        F.when(~text.rlike(_NO_INTEGER), text.try_cast("bigint")),
+        F.when((exact == whole) & (decimals <= _PLACES), whole)))
 
 
 def null_as_zero(col: Column | str) -> Column:

@@ -26,7 +26,7 @@ from orderflow.operators.campaigns import PROVINCE_AREA, TELEPHONE
 from orderflow.operators.lookups import only_keys
 from orderflow.operators.quality import error_log
 from orderflow.operators.rule_shapes import (ASKED, BOUND, PLACEHOLDERS, Shape, blocks,
-                                             seated, shape)
+                                             relations, seated, shape)
 from orderflow.session import stage, together
 
 # Fixed values.
@@ -35,10 +35,10 @@ FAILED = -1
 DONE = 300000
 
 # How the rows of one rule answer become one value: NULLs, unusable ones, and the smallest whole
-# number that is not the no-row mark.
-_ID = whole_sql("v")
-_REDUCE = f"""count_if(v IS NULL) AS nulls, count_if(v IS NOT NULL AND {_ID} IS NULL) AS bad,
-       min({_ID}) FILTER (WHERE {_ID} <> {NO_ROW}) AS value"""
+# number that is not the no-row mark. ``id``: the whole number of ``v``, made once per row.
+_ID = f"{whole_sql('v')} AS id"
+_REDUCE = f"""count_if(v IS NULL) AS nulls, count(v) - count(id) AS bad,
+       min(id) FILTER (WHERE id <> {NO_ROW}) AS value"""
 #: What is asked about a rule's orders, when an order's run-time failure is looked for.
 PROBES = 400
 
@@ -147,7 +147,8 @@ def _laterally(sql: str, pairs: DataFrame) -> DataFrame:
     """
     return pairs.sparkSession.sql(
         f"SELECT {ASKED}.*, q.* FROM {{pairs}} {ASKED} LEFT JOIN LATERAL (SELECT {_REDUCE} FROM "
-        f"(SELECT CAST(r.v AS STRING) AS v FROM ({sql}) AS r(v)) GROUP BY true) q", pairs=pairs)
+        f"(SELECT v, {_ID} FROM (SELECT CAST(r.v AS STRING) AS v FROM ({sql}) AS r(v))) "
+        "GROUP BY true) q", pairs=pairs)
 
 
 def _one_by_one(sql: str) -> Callable[[DataFrame], DataFrame]:
@@ -210,8 +211,8 @@ def _banded(used: list[str], s: Shape, x: str) -> Callable[[DataFrame], DataFram
             f"FROM {s.source} CROSS JOIN {{bands}} {band} WHERE {band}.power = {p} "
             f"AND {band}.bin = shiftright(CAST(floor({x}) AS BIGINT), {2 * p}) AND {where}",
             bands=bands) for p in powers or [0]]
-        found = spark.sql(f"SELECT {names}, {_REDUCE} FROM {{rows}} GROUP BY {names}",
-                          rows=reduce(DataFrame.union, rows))
+        found = spark.sql(f"SELECT {names}, {_REDUCE} FROM (SELECT *, {_ID} FROM {{rows}}) "
+                          f"GROUP BY {names}", rows=reduce(DataFrame.union, rows))
         return pairs.join(found, used, "left").select(*pairs.columns, "nulls", "bad", "value")
 
     return ask
@@ -322,50 +323,100 @@ class _Failures:
     orders: list[DataFrame] = field(default_factory=list)
 
 
-def _apart(pairs: DataFrame, question: Question, used: list[str],
+def _own_rows(pairs: DataFrame, text: str, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Those tables of a rule that its equalities cut to rows of the pairs' values, cut and staged.
+
+    No other row can meet the rule's WHERE. Conditions on a table alone are met by all its rows
+    first, so when one fails, it still fails for all orders: the table is left as it is then.
+    """
+    spark = pairs.sparkSession
+    try:
+        s = shape(spark, bind(text, ASKED)[0])
+        named = relations(spark, s.source) if s else []
+    except ParseException:
+        return {}
+    names = [name.lower() for name, _ in named]
+    out: dict[str, DataFrame] = {}
+
+    def own(expression: str, rows: DataFrame, alias: str) -> bool:
+        try:
+            spark.sql(f"SELECT {expression} FROM {{rows}} {alias}", rows=rows)
+        except (AnalysisException, ParseException):
+            return False
+        return True
+
+    for name, rows in tables.items():
+        if names.count(name.lower()) != 1:
+            continue
+        alias = named[names.index(name.lower())][1]
+        keys = [key for key in s.keys if own(key[1], rows, alias)]
+        if not keys:
+            continue
+        asked = pairs.select(*[F.col(c).alias(f"asked_{i}") for i, (c, _) in enumerate(keys)])
+        met = " AND ".join(f"{x} = {ASKED}.asked_{i}" for i, (_, x) in enumerate(keys))
+        where = " AND ".join(f"({c})" for c in s.local if own(c, rows, alias)) or "true"
+        try:
+            out[name] = stage(spark.sql(
+                f"SELECT * FROM {{rows}} {alias} LEFT SEMI JOIN {{asked}} {ASKED} ON {met} "
+                f"WHERE {where}", rows=rows, asked=asked.distinct()), "own_rows")
+        except _RULE_ERRORS:
+            pass
+    return out
+
+
+def _apart(pairs: DataFrame, question: Question, text: str, tables: Mapping[str, DataFrame],
            failures: _Failures) -> DataFrame:
     """Answers of a rule that fails while running, without the orders it fails for.
 
     The values that the placeholders stand for are cut into parts by a hash, the failing parts
     again, until a part has one value; the orders with that value have failed, all others keep
-    their answers. After ``PROBES`` parts, what still fails has failed as it is. A condition on
-    the rule's tables alone is evaluated before any order is looked at, so when it fails, it fails
-    for all orders.
+    their answers. A part that is cut again is staged with its own rows of the rule's tables, so
+    the parts of a part read these and not the tables. After ``PROBES`` parts, what still fails
+    has failed as it is. A condition on the rule's tables alone is evaluated before any order is
+    looked at, so when it fails, it fails for all orders.
     """
     spark = pairs.sparkSession
     rule, = question.rules
     try:
         return stage(question.ask(pairs), "answers")
     except _RULE_ERRORS as error:
-        text = _text(error)
-    pairs = stage(pairs, "suspects")
+        failed = _text(error)
+    used = bind(text, ASKED)[1]
     place = F.xxhash64(*(used or [F.lit(0)]))
     good: list[DataFrame] = []
-    parts, probes = deque([(1, 0)]), 0
+    parts, probes = deque([(1, 0, pairs, _named(tables, [text]))]), 0
 
-    def probe(count: int, number: int) -> tuple:
-        part = pairs.where(F.pmod(place, F.lit(count)) == number)
-        values = len(part.select(*used, F.lit(0).alias("any")).distinct().take(2))
+    def probe(held: DataFrame, count: int, number: int) -> tuple:
+        part = held.where(F.pmod(place, F.lit(count)) == number)
         try:
-            return count, number, part, values, stage(question.ask(part), "part"), None
+            return count, number, part, 0, stage(question.ask(part), "part"), None
         except _RULE_ERRORS as error:
-            return count, number, part, values, None, _text(error)
-
-    while parts:
-        count, number = parts.popleft()
-        probes += 8
-        for found in together(spark, *[partial(probe, 8 * count, number + i * count)
-                                       for i in range(8)]):
-            wider, rest, part, values, answers, error = found
-            if answers is not None:
-                good.append(answers)
-            elif values > 1 and probes < PROBES and wider < 1 << 57:
-                parts.append((wider, rest))
-            else:
-                good.append(_broken(part))
-                failures.orders.append(error_log(
-                    part.select("list_id").distinct(), "evaluate_rules", "list_id",
-                    F.lit(f"rule {rule}: {error or text}"), F.lit("-1")))
+            values = part.select(*used, F.lit(0).alias("any")).distinct().take(2)
+            return count, number, part, len(values), None, _text(error)
+
+    try:
+        while parts:
+            count, number, held, rows = parts.popleft()
+            held = stage(held, "suspects")
+            rows = {**rows, **_own_rows(held, text, rows)}
+            for name, table in rows.items():
+                table.createOrReplaceTempView(name)
+            probes += 8
+            for found in together(spark, *[partial(probe, held, 8 * count, number + i * count)
+                                           for i in range(8)]):
+                wider, rest, part, values, answers, error = found
+                if answers is not None:
+                    good.append(answers)
+                elif values > 1 and probes < PROBES and wider < 1 << 57:
+                    parts.append((wider, rest, part, rows))
+                else:
+                    good.append(_broken(part))
+                    failures.orders.append(error_log(
+                        part.select("list_id").distinct(), "evaluate_rules", "list_id",
+                        F.lit(f"rule {rule}: {error or failed}"), F.lit("-1")))
+    finally:
+        for name, table in _named(tables, [text]).items():
+            table.createOrReplaceTempView(name)
     return reduce(DataFrame.unionByName, good)
 
 
@@ -375,9 +426,12 @@ def _each(question: Question, texts: dict[int, str]) -> list[Question]:
             for rule in question.rules]
 
 
-def _settled(pairs: DataFrame, question: Question, texts: dict[int, str], by_order: bool,
-             failures: _Failures) -> DataFrame:
-    """Staged answers of a question whose rules may fail while running."""
+def _settled(pairs: DataFrame, question: Question, texts: dict[int, str],
+             tables: Mapping[str, DataFrame] | None, failures: _Failures) -> DataFrame:
+    """Staged answers of a question whose rules may fail while running.
+
+    Given ``tables``, the orders that a rule fails for are looked for.
+    """
     mine = pairs.where(F.col("suc_rule_id").isin(*question.rules))
     try:
         return stage(question.ask(mine), "answers")
@@ -385,14 +439,14 @@ def _settled(pairs: DataFrame, question: Question, texts: dict[int, str], by_ord
         text = _text(error)
     if len(question.rules) > 1:
         return reduce(DataFrame.unionByName, [
-            _settled(pairs, one, texts, by_order, failures) for one in _each(question, texts)])
-    if by_order:
+            _settled(pairs, one, texts, tables, failures) for one in _each(question, texts)])
+    if tables is not None:
         sql, used = bind(texts[question.rules[0]], ASKED)
         if used:  # joined to the orders first, a rule's values are made for their rows only
             other = seated(blocks(pairs.sparkSession, sql), sql, used)
             if _product(other, mine) is not None:
                 question = Question(question.rules, _one_by_one(other))
-        return _apart(mine, question, used, failures)
+        return _apart(mine, question, texts[question.rules[0]], tables, failures)
     failures.rules[question.rules[0]] = text
     return _broken(mine)
 
@@ -403,13 +457,16 @@ def _named(tables: Mapping[str, DataFrame], texts: list[str]) -> dict[str, DataF
         re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE) for text in texts)}
 
 
-def _read_once(tables: Mapping[str, DataFrame], texts: list[str]) -> None:
+def _read_once(tables: Mapping[str, DataFrame], texts: list[str]) -> dict[str, DataFrame]:
     """Stage the tables that the texts name, which every probe would compute again."""
-    for name, table in _named(tables, texts).items():
+    out = _named(tables, texts)
+    for name, table in out.items():
         try:
-            stage(table, name).createOrReplaceTempView(name)
+            out[name] = stage(table, name)
+            out[name].createOrReplaceTempView(name)
         except _RULE_ERRORS:  # of the table itself: the rules that read it fail by it
             pass
+    return out
 
 
 def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
@@ -449,11 +506,11 @@ def evaluate_rules(pairs: DataFrame, texts: list[tuple[int, str]],
         try:
             raw = stage(raw, "answers")
         except _RULE_ERRORS:
-            if isolate == "orders":
-                _read_once(tables, [text for _, text in texts])
+            read = (_read_once(tables, [text for _, text in texts]) if isolate == "orders"
+                    else None)
             raw = reduce(DataFrame.unionByName, [
                 part if failures.rules.keys() & set(question.rules)
-                else _settled(pairs, question, dict(texts), isolate == "orders", failures)
+                else _settled(pairs, question, dict(texts), read, failures)
                 for question, part in zip(asked, parts, strict=True)])
     errors = error_log(
         raw.where(F.col("bad") > 0), "evaluate_rules", "list_id",

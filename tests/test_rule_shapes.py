@@ -183,6 +183,72 @@ def test_rule_that_fails_for_every_order(pairs, tables):
     assert {r.value for r in out.answers.collect()} == {-1}
 
 
+def one_by_one(asked, tables, texts):
+    """The answers of :func:`loop` for the orders that it doesn't fail for, and the other orders."""
+    answered, failing = [], []
+    for row in asked.collect():
+        try:
+            answered += loop(asked.where(F.col("list_id") == row.list_id), tables, texts)
+        except ru._RULE_ERRORS:
+            failing.append(row.list_id)
+    return sorted(answered, key=str), sorted(failing)
+
+
+FAILING_SHAPES = {
+    "aggregate": "select max(1000 div (bought.cust_id - 3)) from bought where [CUSTID] = "
+                 "bought.cust_id and bought.amount < 90",
+    "outer join": "select 1000 div (b.cust_id - 3) from offers o left join bought b on b.order_id "
+                  "= o.offer where b.cust_id + 0 = [CUSTID] and o.latn_id = [LATN_ID]",
+    "table twice": "select 1000 div (b.cust_id - 3) from bought b join bought d on d.order_id = "
+                   "b.order_id where b.cust_id = [CUSTID] and d.latn_id = [LATN_ID]",
+}
+
+
+@pytest.mark.parametrize("name", FAILING_SHAPES)
+def test_probes_find_the_orders_that_fail_alone(spark, pairs, tables, rows, name):
+    asked, text = pairs(3), FAILING_SHAPES[name]
+    out = ru.evaluate_rules(asked, [(3, text)], tables, isolate="orders")
+    assert spark.table("bought").count() == tables["bought"].count()
+    answered, failing = one_by_one(asked, tables, {3: text})
+    assert failing and [r[0] for r in rows(out.errors, "order_id")] == failing
+    assert [a for a in answers(out) if a[0] not in failing] == answered
+
+
+def test_probes_read_their_own_rows_only(pairs, tables, monkeypatch):
+    """No probe reads the whole table, and the parts of a part read only that part's rows."""
+    read, kept, stage = [], [], ru.stage
+
+    def noted(df, name, *by):
+        out = stage(df, name, *by)
+        if name == "part":
+            read.extend(df.inputFiles())
+        if name == "own_rows":
+            kept.append({r[0] for r in out.select("cust_id").distinct().collect()})
+        return out
+
+    monkeypatch.setattr(ru, "stage", noted)
+    asked = pairs(3).where("cust_id < 6")
+    ru.evaluate_rules(asked, [(3, FAILING)], tables, isolate="orders")
+    assert read and not any("/bought/" in file for file in read)
+    assert kept[0] == set(range(6)) and all(3 in k and k <= kept[0] for k in kept)
+
+
+def test_condition_on_a_table_that_fails_for_every_order(pairs, tables):
+    """For all with a customer: without one, no row of the table is looked at."""
+    out = ru.evaluate_rules(pairs(1), [(1, "select b.order_id from bought b where b.cust_id = "
+                                           "[CUSTID] and 1000 div (b.order_id - 15) < 900")],
+                            tables, isolate="orders")
+    assert out.errors.select("order_id").distinct().count() == 16
+
+
+def test_relations(spark):
+    assert sh.relations(spark, "t a join s.u on a.x = u.x left join w") == [
+        ("t", "a"), ("s.u", "s.u"), ("w", "w")]
+    for source in ("(select 1) t", "t a join (select 1) u", "t as a (x, y)",
+                   "t tablesample (3 rows)", "t lateral view explode(t.x) y"):
+        assert sh.relations(spark, source) == []
+
+
 WHOLE = [("12", 12), ("12.00", 12), (" 12 ", 12), ("+7", 7), ("1.2E3", 1200), ("1.25E1", None),
          ("1200e-2", 12), ("5.", 5), ("-.0", 0), (".5", None), ("12.0000001", None),
          ("-0.9999999", None), ("0.0000004", None), ("12.0000000000000000000001", None),
